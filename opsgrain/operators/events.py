@@ -18,7 +18,7 @@ from opsgrain.operators.temporal import (
     interval_lookup,
     mode_by,
     nearest_after,
-    nearest_after_wild,
+    nearest_after_many,
     pair_sessions,
 )
 
@@ -106,34 +106,52 @@ def attribute_bins(bin_presented: DataFrame, sessions: DataFrame, pick: DataFram
     sign-in, ties by lowest sign-in key), the nearest later pick by container
     with a user, and the nearest later close of the container at the same
     location (or either location unknown).  Adds ``session_user``,
-    ``pick_user``, ``CloseTime``."""
+    ``pick_user``, ``CloseTime``.
+
+    Every matcher reads the presentations directly (no matcher consumes
+    another's output), so the plan stays linear in the number of matchers:
+    one window on (container, bucket) serves the pick match and both
+    location-free close matches, one window on (container, location, bucket)
+    the same-location close match, and one bucketed join the session match.
+    The three results meet on the presentation key.
+    """
     iv = sessions.select(
         "LocationPrimaryKey", "SignInTime", "SignOutTime", "SignInPrimaryKey",
         F.col("UserName").alias("s_user"), F.col("WorkType").alias("s_wt"),
     )
     if any_task_type:
-        cond = None
-        point_cols = ()
+        cond, point_cols = None, ()
     else:
         cond = F.col("LocationTaskType").isNull() | (F.col("s_wt") == F.col("LocationTaskType"))
         point_cols = ("LocationTaskType",)
-    a = interval_lookup(
+    by_session = interval_lookup(
         bin_presented, iv, point_id="PrimaryKey", keys=[("LocationPrimaryKey", "LocationPrimaryKey")],
         ts="TimeStamp", start="SignInTime", end="SignOutTime",
         rank=F.struct(F.col("SignInTime"), -F.col("SignInPrimaryKey")),
         values=["s_user"], out="_sm", condition=cond, point_cols=point_cols, interval_cols=("s_wt",),
+        matches_only=True,
     )
     picks = pick.filter(F.col("UserName").isNotNull()).select(
         "ContainerBarcode", "TimeStamp", "PrimaryKey", F.col("UserName").alias("p_user"))
-    b = nearest_after(a, picks, ["ContainerBarcode"], "TimeStamp", "TimeStamp", ["PrimaryKey"], ["p_user"], "_pm")
     closes = close_bin.select("ContainerBarcode", "LocationPrimaryKey", "TimeStamp", "PrimaryKey")
-    c = nearest_after_wild(b, closes, ["ContainerBarcode"], "LocationPrimaryKey", "TimeStamp", "TimeStamp",
-                           ["PrimaryKey"], [], "_cm")
-    return (
-        c.withColumn("session_user", F.col("_sm.s_user"))
-        .withColumn("pick_user", F.col("_pm.p_user"))
-        .withColumn("CloseTime", F.col("_cm.ts"))
-        .drop("_sm", "_pm", "_cm")
+    spine = nearest_after_many(bin_presented, ["ContainerBarcode"], "TimeStamp", [
+        ("_pm", picks, "TimeStamp", ["PrimaryKey"], ["p_user"]),
+        ("_cw", closes.filter(F.col("LocationPrimaryKey").isNull()), "TimeStamp", ["PrimaryKey"], []),
+        ("_ca", closes, "TimeStamp", ["PrimaryKey"], []),
+    ])
+    same_loc = nearest_after(
+        bin_presented.filter(F.col("LocationPrimaryKey").isNotNull())
+        .select("PrimaryKey", "ContainerBarcode", "LocationPrimaryKey", "TimeStamp"),
+        closes.filter(F.col("LocationPrimaryKey").isNotNull()),
+        ["ContainerBarcode", "LocationPrimaryKey"], "TimeStamp", "TimeStamp", ["PrimaryKey"], [], "_cs",
+    ).select("PrimaryKey", "_cs")
+    j = spine.join(same_loc, on="PrimaryKey", how="left").join(by_session, on="PrimaryKey", how="left")
+    close = F.when(F.col("LocationPrimaryKey").isNull(), F.col("_ca")).otherwise(F.least(F.col("_cs"), F.col("_cw")))
+    return j.select(
+        *bin_presented.columns,
+        F.col("_sm.s_user").alias("session_user"),
+        F.col("_pm.p_user").alias("pick_user"),
+        close.getField("ts").alias("CloseTime"),
     )
 
 

@@ -21,60 +21,63 @@ def _bucket(ts: Column, seconds: int) -> Column:
     return F.floor(F.unix_seconds(ts) / F.lit(seconds)).cast("bigint")
 
 
-def nearest_after(
+def nearest_after_many(
     left: DataFrame,
-    right: DataFrame,
     keys: Sequence[str],
     left_ts: str,
-    right_ts: str,
-    tiebreak: Sequence[str],
-    values: Sequence[str],
-    out: str,
+    channels: Sequence[tuple],
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
 ) -> DataFrame:
-    """E01 as-of forward match.
-
-    For every ``left`` row, the first ``right`` row with equal ``keys`` and
-    ``right_ts >= left_ts``, ordered by (right_ts, *tiebreak).  Adds ``out``:
-    a struct ``(ts, *tiebreak, *values)`` or NULL when there is no such row.
-    ``keys`` must carry the same names on both sides; NULL keys never match.
-
-    Plan: one window over ``left ∪ right`` partitioned by (keys, time bucket)
-    finds matches inside the left row's bucket.  Left rows whose bucket holds
-    no later right row take a carry-over: the first right row of the nearest
-    later bucket, found by a second window over the per-(key, bucket) minimum,
-    a table bounded by keys × buckets, never by rows.
+    """E01 as-of forward match against several right tables in one pass.
+
+    ``channels`` holds ``(out, right, right_ts, tiebreak, values)`` tuples.  For
+    every ``left`` row and channel, the first ``right`` row with equal ``keys``
+    and ``right_ts >= left_ts``, ordered by (right_ts, *tiebreak), is returned
+    in column ``out`` as a struct ``(ts, *tiebreak, *values)`` (NULL if none).
+    ``keys`` carry the same names on both sides; NULL keys never match.
+
+    Plan: one window over ``left ∪ rights`` partitioned by (keys, time bucket)
+    finds matches inside the left row's bucket, one running ``last`` per
+    channel.  Left rows whose bucket holds no later right row take a carry-over:
+    the first right row of the nearest later bucket, from a second window over
+    the per-(key, bucket) minimum, a table bounded by keys × buckets, not rows.
+    A hot key is therefore split into as many tasks as it has buckets.
     """
     keys = list(keys)
-    m_fields = [F.col(right_ts).alias("ts")] + [F.col(c) for c in tiebreak] + [F.col(c) for c in values]
-    not_null = F.lit(True)
+    n = len(channels)
+    key_ok = F.lit(True)
     for k in keys:
-        not_null = not_null & F.col(k).isNotNull()
-    r = (
-        right.filter(not_null & F.col(right_ts).isNotNull())
-        .select(*keys, F.col(right_ts).alias("_ts"), F.struct(*m_fields).alias("_m"))
-        .withColumn("_b", _bucket(F.col("_ts"), bucket_seconds))
-        .withColumn("_side", F.lit(1))
-    )
+        key_ok = key_ok & F.col(k).isNotNull()
+    rights = []
+    for i, (_, right, right_ts, tiebreak, values) in enumerate(channels):
+        fields = [F.col(right_ts).alias("ts")] + [F.col(c) for c in tiebreak] + [F.col(c) for c in values]
+        rights.append(
+            right.filter(key_ok & F.col(right_ts).isNotNull()).select(
+                *keys,
+                F.col(right_ts).alias("_ts"),
+                _bucket(F.col(right_ts), bucket_seconds).alias("_b"),
+                F.lit(1).alias("_side"),
+                F.struct(*fields).alias(f"_m{i}"),
+            )
+        )
     left_cols = left.columns
-    lft = (
-        left.withColumn("_ts", F.col(left_ts))
-        .withColumn("_b", _bucket(F.col(left_ts), bucket_seconds))
-        .withColumn("_side", F.lit(0))
-    )
-    u = lft.unionByName(r, allowMissingColumns=True)
-    w = (
-        Window.partitionBy(*keys, "_b")
-        .orderBy(F.col("_ts").desc(), F.col("_side").desc(), F.col("_m").desc())
-        .rowsBetween(Window.unboundedPreceding, Window.currentRow)
-    )
-    in_bucket = (
-        u.withColumn("_inb", F.last("_m", ignorenulls=True).over(w))
-        .filter(F.col("_side") == 0)
-        .drop("_m", "_side", "_ts")
-    )
-
-    first_per_bucket = r.groupBy(*keys, "_b").agg(F.min("_m").alias("_first")).withColumn("_side", F.lit(1))
+    lft = left.select("*", F.col(left_ts).alias("_ts"), _bucket(F.col(left_ts), bucket_seconds).alias("_b"),
+                      F.lit(0).alias("_side"))
+    u = lft
+    for r in rights:
+        u = u.unionByName(r, allowMissingColumns=True)
+    order = [F.col("_ts").desc(), F.col("_side").desc()] + [F.col(f"_m{i}").desc() for i in range(n)]
+    w = Window.partitionBy(*keys, "_b").orderBy(*order).rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    in_bucket = u.select(
+        *left_cols, "_b", "_side",
+        *[F.last(f"_m{i}", ignorenulls=True).over(w).alias(f"_in{i}") for i in range(n)],
+    ).filter(F.col("_side") == 0).drop("_side")
+
+    per_bucket = rights[0].drop("_ts", "_side")
+    for r in rights[1:]:
+        per_bucket = per_bucket.unionByName(r.drop("_ts", "_side"), allowMissingColumns=True)
+    per_bucket = per_bucket.groupBy(*keys, "_b").agg(*[F.min(f"_m{i}").alias(f"_f{i}") for i in range(n)]) \
+        .withColumn("_side", F.lit(1))
     left_buckets = lft.select(*keys, "_b").dropDuplicates().withColumn("_side", F.lit(0))
     wc = (
         Window.partitionBy(*keys)
@@ -82,18 +85,35 @@ def nearest_after(
         .rowsBetween(Window.unboundedPreceding, Window.currentRow)
     )
     carry = (
-        left_buckets.unionByName(first_per_bucket, allowMissingColumns=True)
-        .withColumn("_carry", F.last("_first", ignorenulls=True).over(wc))
+        left_buckets.unionByName(per_bucket, allowMissingColumns=True)
+        .select(*keys, "_b", "_side", *[F.last(f"_f{i}", ignorenulls=True).over(wc).alias(f"_c{i}") for i in range(n)])
         .filter(F.col("_side") == 0)
-        .select(*keys, "_b", "_carry")
+        .drop("_side")
     )
     joined = in_bucket.join(carry, on=[*keys, "_b"], how="left")
-    return joined.select(*left_cols, F.coalesce(F.col("_inb"), F.col("_carry")).alias(out))
+    outs = [F.coalesce(F.col(f"_in{i}"), F.col(f"_c{i}")).alias(ch[0]) for i, ch in enumerate(channels)]
+    return joined.select(*left_cols, *outs)
+
+
+def nearest_after(
+    left: DataFrame,
+    right: DataFrame,
+    keys: Sequence[str],
+    left_ts: str,
+    right_ts: str,
+    tiebreak: Sequence[str],
+    values: Sequence[str],
+    out: str,
+    bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+) -> DataFrame:
+    """E01 with one right table (see ``nearest_after_many``)."""
+    return nearest_after_many(left, keys, left_ts, [(out, right, right_ts, tiebreak, values)], bucket_seconds)
 
 
 def nearest_after_wild(
     left: DataFrame,
     right: DataFrame,
+    row_id: str,
     keys: Sequence[str],
     soft_key: str,
     left_ts: str,
@@ -106,19 +126,21 @@ def nearest_after_wild(
     """As E01 with a null-tolerant secondary key
     (``l.soft = r.soft OR l.soft IS NULL OR r.soft IS NULL``).
 
-    Split into exact equi passes: left rows with a soft key take the smaller of
-    (same soft key) and (right rows without a soft key); left rows without one
-    match any right row on ``keys``.  Structs compare on (ts, tiebreak...).
+    Split into exact equi passes, each computed from ``left`` directly (no
+    chaining): (a) same soft key, for left rows that have one; (b) one window
+    on ``keys`` with two channels, right rows without a soft key and all right
+    rows.  Left rows with a soft key take ``least(a, b.wild)``; rows without one
+    take ``b.all``.  (a) is joined back on the unique ``row_id``.
     """
-    lk = left.filter(F.col(soft_key).isNotNull())
-    ln = left.filter(F.col(soft_key).isNull())
     r_keyed = right.filter(F.col(soft_key).isNotNull())
     r_wild = right.filter(F.col(soft_key).isNull())
-    a = nearest_after(lk, r_keyed, [*keys, soft_key], left_ts, right_ts, tiebreak, values, "_a", bucket_seconds)
-    b = nearest_after(a, r_wild, keys, left_ts, right_ts, tiebreak, values, "_w", bucket_seconds)
-    keyed = b.withColumn(out, F.least(F.col("_a"), F.col("_w"))).drop("_a", "_w")
-    wild = nearest_after(ln, right, keys, left_ts, right_ts, tiebreak, values, out, bucket_seconds)
-    return keyed.unionByName(wild)
+    same = nearest_after(left.filter(F.col(soft_key).isNotNull()).select(row_id, *keys, soft_key, left_ts),
+                         r_keyed, [*keys, soft_key], left_ts, right_ts, tiebreak, values, "_a", bucket_seconds)
+    both = nearest_after_many(left, keys, left_ts, [("_w", r_wild, right_ts, tiebreak, values),
+                                                    ("_all", right, right_ts, tiebreak, values)], bucket_seconds)
+    j = both.join(same.select(row_id, "_a"), on=row_id, how="left")
+    res = F.when(F.col(soft_key).isNull(), F.col("_all")).otherwise(F.least(F.col("_a"), F.col("_w")))
+    return j.select(*left.columns, res.alias(out))
 
 
 def interval_lookup(
@@ -136,6 +158,7 @@ def interval_lookup(
     point_cols: Sequence[str] = (),
     interval_cols: Sequence[str] = (),
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
+    matches_only: bool = False,
 ) -> DataFrame:
     """For each point, the interval on the same keys with
     ``start <= ts <= end`` (and ``condition``), keeping the one with the
@@ -144,7 +167,8 @@ def interval_lookup(
     Intervals are exploded into the time buckets they span and equi-joined on
     (keys, bucket); the candidate set is exact and uncapped.  ``condition`` may
     reference point columns listed in ``point_cols`` and interval columns listed
-    in ``interval_cols`` (names must not clash).
+    in ``interval_cols`` (names must not clash).  ``matches_only`` returns just
+    (point_id, out) for points that found an interval.
     """
     iv = intervals
     for (_, ik) in keys:
@@ -176,6 +200,8 @@ def interval_lookup(
         .agg(F.max_by(F.col("_v"), F.col("_rank")).alias(out))
         .withColumnRenamed("_pid", point_id)
     )
+    if matches_only:
+        return best
     return points.join(best, on=point_id, how="left")
 
 

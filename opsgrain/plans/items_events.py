@@ -85,8 +85,8 @@ def e01(t):
 def e03(t):
     from opsgrain.operators.temporal import nearest_after_wild
     closes = t.close_bin.select("ContainerBarcode", "LocationPrimaryKey", "TimeStamp", "PrimaryKey")
-    m = nearest_after_wild(t.bin_presented, closes, ["ContainerBarcode"], "LocationPrimaryKey", "TimeStamp", "TimeStamp",
-                           ["PrimaryKey"], [], "_cm")
+    m = nearest_after_wild(t.bin_presented, closes, "PrimaryKey", ["ContainerBarcode"], "LocationPrimaryKey",
+                           "TimeStamp", "TimeStamp", ["PrimaryKey"], [], "_cm")
     return canon(m.select("PrimaryKey", F.col("_cm.ts").alias("CloseTime")))
 
 
