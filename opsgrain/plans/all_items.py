@@ -6,6 +6,7 @@ import importlib
 
 MODULES = [
     "opsgrain.plans.items_events",
+    "opsgrain.plans.items_pages",
 ]
 
 
