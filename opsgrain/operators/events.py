@@ -282,6 +282,27 @@ def with_seconds(ev: DataFrame) -> DataFrame:
 
 # ---- v1 stream (E05, E09-E13) ------------------------------------------------------
 
+V1_COLUMNS = [
+    "EventType", "EventKey", "UserName", "Port", "EventDate", "StartTime", "EndTime", "DurationSeconds",
+    "MachineWaitSeconds", "OrderCompletedCount", "BinPresentationCount", "LineCompletedCount", "UnitCompletedCount",
+    "SourcePrimaryKey", "FulfillmentOrderPrimaryKey", "FulfillmentOrderLinePrimaryKey", "ContainerBarcode",
+    "AttributionMethod",
+]
+_V1_TYPES = {
+    "EventType": "string", "EventKey": "string", "UserName": "string", "Port": "string", "EventDate": "date",
+    "StartTime": "timestamp", "EndTime": "timestamp", "DurationSeconds": "bigint", "MachineWaitSeconds": "bigint",
+    "OrderCompletedCount": "int", "BinPresentationCount": "int", "LineCompletedCount": "int",
+    "UnitCompletedCount": "bigint", "SourcePrimaryKey": "bigint", "FulfillmentOrderPrimaryKey": "bigint",
+    "FulfillmentOrderLinePrimaryKey": "bigint", "ContainerBarcode": "string", "AttributionMethod": "string",
+}
+
+
+def _v1(df: DataFrame, **cols) -> DataFrame:
+    cols.setdefault("EventDate", F.to_date(cols["StartTime"]))
+    return df.select(*[(cols.get(c) if cols.get(c) is not None else F.lit(None)).cast(_V1_TYPES[c]).alias(c)
+                       for c in V1_COLUMNS])
+
+
 def pick_sessions_v1(sign_in: DataFrame, sign_out: DataFrame) -> DataFrame:
     """Pick-only pairing without a work-type key."""
     ins = sign_in.filter(F.col("WorkType") == "Pick")
@@ -290,30 +311,88 @@ def pick_sessions_v1(sign_in: DataFrame, sign_out: DataFrame) -> DataFrame:
 
 
 def bin_events_v1(bin_presented: DataFrame, sessions_v1: DataFrame, pick: DataFrame, close_bin: DataFrame) -> DataFrame:
-    """Pick / OnDemand presentations (and untyped ones); user by Pick
-    session, else nearest pick by container; durations in whole seconds."""
-    bp = bin_presented.filter(F.col("LocationTaskType").isNull() | F.col("LocationTaskType").isin("Pick", "OnDemand"))
+    """Pick / OnDemand presentations; user by Pick session (any type),
+    else nearest pick by container; durations in whole seconds (boundaries)."""
+    bp = bin_presented.filter(F.col("LocationTaskType").isin("Pick", "OnDemand"))
     sess = sessions_v1.withColumn("WorkType", F.lit("Pick"))
     a = attribute_bins(bp, sess, pick, close_bin, any_task_type=True)
     wait = clock_seconds_whole(F.col("BinActionTime"))
     close_ok = F.col("CloseTime").isNotNull() & (F.col("CloseTime") >= F.col("TimeStamp"))
-    handle = F.when(close_ok, seconds_between("TimeStamp", "CloseTime")).otherwise(wait)
-    user = F.coalesce(F.col("session_user"), F.col("pick_user"))
-    return a.select(
-        F.lit("BIN_PRESENTATION").alias("EventType"),
-        F.col("PrimaryKey").cast("string").alias("EventKey"),
-        user.alias("UserName"),
-        F.col("LocationBarcode").alias("Port"),
-        F.col("TimeStamp").alias("StartTime"),
-        F.col("CloseTime").alias("EndTime"),
-        handle.cast("bigint").alias("DurationSeconds"),
-        F.lit(0).alias("OrderCompletedCount"),
-        F.lit(1).alias("BinPresentationCount"),
-        F.lit(0).alias("LineCompletedCount"),
-        F.lit(0).cast("bigint").alias("UnitCompletedCount"),
-        F.lit("BinPresented").alias("SourceName"),
-        F.col("PrimaryKey").alias("SourcePrimaryKey"),
-        F.when(F.col("session_user").isNotNull(), "Pick session")
-        .when(F.col("pick_user").isNotNull(), "Nearest pick by container")
-        .otherwise("Unattributed").alias("AttributionMethod"),
+    return _v1(
+        a,
+        EventType=F.lit("BIN_PRESENTATION"), EventKey=F.col("PrimaryKey").cast("string"),
+        UserName=F.coalesce(F.col("session_user"), F.col("pick_user")), Port=F.col("LocationBarcode"),
+        StartTime=F.col("TimeStamp"), EndTime=F.col("CloseTime"),
+        DurationSeconds=F.when(close_ok, seconds_between("TimeStamp", "CloseTime")).otherwise(wait),
+        MachineWaitSeconds=wait,
+        OrderCompletedCount=F.lit(0), BinPresentationCount=F.lit(1), LineCompletedCount=F.lit(0), UnitCompletedCount=F.lit(0),
+        SourcePrimaryKey=F.col("PrimaryKey"), ContainerBarcode=F.col("ContainerBarcode"),
+        AttributionMethod=F.when(F.col("session_user").isNotNull(), "Pick session")
+        .when(F.col("pick_user").isNotNull(), "Nearest pick by container").otherwise("Unattributed"),
+    )
+
+
+def pick_events_v1(pick: DataFrame) -> DataFrame:
+    """One PICK_COMPLETED event per pick with a user; a line when the pick
+    has a pick key or a line percentage; units only when actual >= required."""
+    p = pick.filter(F.col("UserName").isNotNull())
+    pct = F.col("PercentOfOrderLine") if "PercentOfOrderLine" in p.columns else F.lit(None)
+    _, units = completed_line(p)
+    dur_ok = F.col("PickCompleteDate").isNotNull() & (F.col("PickCompleteDate") >= F.col("TimeStamp"))
+    return _v1(
+        p,
+        EventType=F.lit("PICK_COMPLETED"), EventKey=F.col("PrimaryKey").cast("string"), UserName=F.col("UserName"),
+        Port=F.col("LocationBarcode"), StartTime=F.col("TimeStamp"),
+        EndTime=F.coalesce(F.col("PickCompleteDate"), F.col("TimeStamp")),
+        DurationSeconds=F.when(dur_ok, seconds_between("TimeStamp", "PickCompleteDate")),
+        OrderCompletedCount=F.lit(0), BinPresentationCount=F.lit(0),
+        LineCompletedCount=F.when(F.col("PickPrimaryKey").isNotNull() | pct.isNotNull(), 1).otherwise(0),
+        UnitCompletedCount=units, SourcePrimaryKey=F.col("PrimaryKey"),
+        FulfillmentOrderPrimaryKey=F.col("TransportOrderPrimaryKey"), FulfillmentOrderLinePrimaryKey=F.col("PickPrimaryKey"),
+        ContainerBarcode=F.col("ContainerBarcode"), AttributionMethod=F.lit("Pick row"),
+    )
+
+
+def completed_orders_v1(history: DataFrame) -> DataFrame:
+    """The last 'Completed' status row per (order, user, day)."""
+    h = history.filter(F.col("Status") == "Completed")
+    g = h.groupBy("FulfillmentOrderPrimaryKey", "UserName", F.to_date("StatusDate").alias("_day")).agg(
+        F.max(F.struct("StatusDate", "PrimaryKey")).alias("_last"))
+    return g.select("FulfillmentOrderPrimaryKey", "UserName", F.col("_last.StatusDate").alias("CompletedTime"))
+
+
+def order_port_mode(fulfillment_orders: DataFrame, pick: DataFrame) -> DataFrame:
+    """Per fulfillment order, the most frequent pick port of its order
+    number (ties by port text)."""
+    p = pick.filter(F.col("LocationBarcode").isNotNull()).select("OrderNumber", "LocationBarcode")
+    fo = fulfillment_orders.select(F.col("PrimaryKey").alias("FulfillmentOrderPrimaryKey"),
+                                   F.col("ExternalOrderNumber").alias("OrderNumber"))
+    counts = fo.join(p, "OrderNumber").groupBy("FulfillmentOrderPrimaryKey", "LocationBarcode").agg(F.count(F.lit(1)).alias("n"))
+    best = counts.groupBy("FulfillmentOrderPrimaryKey").agg(
+        F.min_by("LocationBarcode", F.struct(-F.col("n"), F.col("LocationBarcode"))).alias("Port"))
+    return best
+
+
+def order_events_v1(history: DataFrame, fulfillment_orders: DataFrame, pick: DataFrame) -> DataFrame:
+    """E11 + E12: ORDER_COMPLETED events of the v1 stream."""
+    co = completed_orders_v1(history).join(order_port_mode(fulfillment_orders, pick), "FulfillmentOrderPrimaryKey", "left")
+    key = F.concat(F.col("FulfillmentOrderPrimaryKey").cast("string"), F.lit(":"), F.coalesce(F.col("UserName"), F.lit("")),
+                   F.lit(":"), F.coalesce(F.col("Port"), F.lit("")))
+    return _v1(
+        co,
+        EventType=F.lit("ORDER_COMPLETED"), EventKey=key, UserName=F.col("UserName"), Port=F.col("Port"),
+        StartTime=F.col("CompletedTime"), EndTime=F.col("CompletedTime"),
+        OrderCompletedCount=F.lit(1), BinPresentationCount=F.lit(0), LineCompletedCount=F.lit(0), UnitCompletedCount=F.lit(0),
+        SourcePrimaryKey=F.col("FulfillmentOrderPrimaryKey"), FulfillmentOrderPrimaryKey=F.col("FulfillmentOrderPrimaryKey"),
+        AttributionMethod=F.lit("Completed status history"),
+    )
+
+
+def work_events_v1(t) -> DataFrame:
+    """The v1 work-event stream = E09 ∪ E10 ∪ (E11 + E12)."""
+    sessions = pick_sessions_v1(t.sign_in, t.sign_out)
+    return (
+        bin_events_v1(t.bin_presented, sessions, t.pick, t.close_bin)
+        .unionByName(pick_events_v1(t.pick))
+        .unionByName(order_events_v1(t.status_history, t.fulfillment_orders, t.pick))
     )

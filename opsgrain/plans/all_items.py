@@ -7,6 +7,7 @@ import importlib
 MODULES = [
     "opsgrain.plans.items_events",
     "opsgrain.plans.items_pages",
+    "opsgrain.plans.items_staging",
 ]
 
 

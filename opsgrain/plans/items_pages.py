@@ -47,6 +47,8 @@ def _helper_sql(dim, out, src, kind):
     return f"select {key}, {val} as {out} from {table} where WorkType = 'Pick'"
 
 
+add_ctes({f"hv_{v[0]}": _helper_sql(*v[1:]) for v in P.HELPER_VIEWS})
+
 for _i, (_name, _dim, _out, _src, _kind) in enumerate(P.HELPER_VIEWS, start=1):
     def _fn(t, _name=_name, _dim=_dim):
         return canon(P.helper_view(_rollup_of(t, _dim), _name))

@@ -17,6 +17,7 @@ from pyspark.sql import functions as F
 
 from opsgrain.functions.tsql import hour_label, nullif_blank, trimmed, weeknum_sunday
 from opsgrain.operators.temporal import nearest_after
+from opsgrain.sources.staging import latest_snapshot
 
 # ---- helper views P01-P22 -------------------------------------------------------------
 
@@ -48,25 +49,43 @@ HELPER_VIEWS = [
 ]
 
 
+def _helper_value(src: str, kind: str) -> Column:
+    if kind == "count":
+        return F.col(src).cast("int" if src != "UnitsCompleted" else "bigint")
+    if kind == "rate":
+        return F.when(F.col("RateDenominatorSource") == "SESSION", F.col(src)).cast("double")
+    if kind == "float":
+        return F.col(src).cast("double")
+    return F.round(F.col(src), 0).cast("bigint")
+
+
+def _helper_key(dim: str) -> Column:
+    key = F.col(dim)
+    if dim == "Ports":
+        key = F.when(key == "Unattributed", "No Data").otherwise(key)
+    return key.alias(dim)
+
+
+def helper_columns(rollup: DataFrame, dim: str) -> DataFrame:
+    """All helper views of one dimension as columns of one projection
+    (Old<value> names as in the old-vs-new comparison)."""
+    from opsgrain.plans.rollups import COMPARE_OLD
+    suffix = "User" if dim == "Users" else "Port"
+    spec = {v[0]: v for v in HELPER_VIEWS}
+    cols = []
+    for stem, _, out in COMPARE_OLD:
+        _, _, _, src, kind = spec[f"{stem}Per{suffix}"]
+        cols.append(_helper_value(src, kind).alias(out))
+    return rollup.filter(F.col("WorkType") == "Pick").select(_helper_key(dim), *cols)
+
+
 def helper_view(rollup: DataFrame, name: str) -> DataFrame:
     """One report helper view over R05 (users) or R06 (ports),
     Pick work only; ports relabel 'Unattributed' to 'No Data'; rates only when
     the denominator is SESSION; minutes rounded to whole numbers."""
     spec = {v[0]: v for v in HELPER_VIEWS}[name]
     _, dim, out, src, kind = spec
-    df = rollup.filter(F.col("WorkType") == "Pick")
-    key = F.col(dim)
-    if dim == "Ports":
-        key = F.when(key == "Unattributed", "No Data").otherwise(key)
-    if kind == "count":
-        val = F.col(src).cast("int" if src != "UnitsCompleted" else "bigint")
-    elif kind == "rate":
-        val = F.when(F.col("RateDenominatorSource") == "SESSION", F.col(src)).cast("double")
-    elif kind == "float":
-        val = F.col(src).cast("double")
-    else:
-        val = F.round(F.col(src), 0).cast("bigint")
-    return df.select(key.alias(dim), val.alias(out))
+    return rollup.filter(F.col("WorkType") == "Pick").select(_helper_key(dim), _helper_value(src, kind).alias(out))
 
 
 # ---- daily KPI views P23-P25 -----------------------------------------------------------
@@ -113,12 +132,6 @@ def distinct_skus_picked(pick: DataFrame) -> DataFrame:
 
 # ---- on-hand inventory P26-P27 -----------------------------------------------------------
 
-def latest_snapshot(df: DataFrame, col: str = "Snapshot_Id") -> DataFrame:
-    """Rows of the greatest snapshot id (equi-join to the one-row max)."""
-    mx = df.agg(F.max(col).alias("_max_snapshot"))
-    return df.join(F.broadcast(mx), F.col(col) == F.col("_max_snapshot"), "inner").drop("_max_snapshot")
-
-
 def on_hand_rows(inventory: DataFrame, containers: DataFrame) -> DataFrame:
     """Latest inventory snapshot rows in a container of the same snapshot,
     not Pending, container not Outside, quantity > 0."""

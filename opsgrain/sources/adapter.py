@@ -189,6 +189,21 @@ class Tables:
             js.alias("JsonData"),
         )
 
+    def reported_metrics(self, priority: int) -> DataFrame:
+        """One raw telemetry source table (PrimaryKey, DataDescription, JsonData, TimeStamp)."""
+        return self.metric_sources.filter(F.col("SourcePriority") == priority).select(
+            F.col("SourcePrimaryKey").alias("PrimaryKey"), "DataDescription", "JsonData",
+            F.col("EventTimestamp").alias("TimeStamp"))
+
+    @cached_property
+    def report_data(self) -> DataFrame:
+        """Report_Data: the live source's rows as loaded by the sync, one batch
+        per 500-key range (the sync appends by primary-key range)."""
+        return self.metric_sources.filter(F.col("SourcePriority") == 1).select(
+            F.col("SourcePrimaryKey").alias("PrimaryKey"), "DataDescription",
+            F.col("EventTimestamp").alias("TimeStamp"),
+            F.floor(F.col("SourcePrimaryKey") / 500).cast("bigint").alias("BatchId"))
+
     # ---- snapshot / master-data tables -----------------------------------------
     @staticmethod
     def _snapshots(df: DataFrame, key: Column) -> DataFrame:
