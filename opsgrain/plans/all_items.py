@@ -8,6 +8,7 @@ MODULES = [
     "opsgrain.plans.items_events",
     "opsgrain.plans.items_pages",
     "opsgrain.plans.items_staging",
+    "opsgrain.plans.items_measures",
 ]
 
 
