@@ -9,6 +9,7 @@ MODULES = [
     "opsgrain.plans.items_pages",
     "opsgrain.plans.items_staging",
     "opsgrain.plans.items_measures",
+    "opsgrain.plans.items_quality",
 ]
 
 
