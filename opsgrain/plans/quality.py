@@ -272,3 +272,84 @@ def helper_counts(views: dict) -> DataFrame:
     for p in parts[1:]:
         res = res.unionByName(p)
     return res
+
+
+# ---- Q15-Q17: helper-view reconciliation and the import-view gate ----------------------------------
+
+def _expected_value(src: str, kind: str) -> Column:
+    """Value of a helper view as the validator recomputes it from the roll-up."""
+    if kind == "rate":
+        return F.when(F.col("RateDenominatorSource") == "SESSION", F.col(src)).cast("double")
+    if kind == "minutes":
+        return F.round(F.col(src), 0)
+    if kind == "float":
+        return F.col(src).cast("double")
+    return F.col(src)
+
+
+def _views_of(dim: str):
+    from opsgrain.plans.pages import HELPER_VIEWS
+    return [v for v in HELPER_VIEWS if v[1] == dim]
+
+
+def reconcile_totals(rollups: dict, helpers_wide: dict, tolerance: float = 0.001) -> DataFrame:
+    """Q15: per helper view, expected rows / value total from the Pick roll-up
+    against the helper view's rows / total.  ``rollups`` maps 'Users'/'Ports'
+    to R05/R06; ``helpers_wide`` maps the dimension to its helper views as
+    columns of one frame (all views of a dimension share one row set), so each
+    side is a single aggregate per dimension."""
+    out = None
+    for dim, grain in (("Users", "User"), ("Ports", "Port")):
+        views = _views_of(dim)
+        pick = rollups[dim].filter(F.col("WorkType") == "Pick")
+        exp = pick.agg(F.count(F.lit(1)).alias("_en"), *[
+            F.coalesce(F.sum(_expected_value(src, kind)), F.lit(0)).alias(f"e_{name}") for name, _, _, src, kind in views])
+        act = helpers_wide[dim].agg(F.count(F.lit(1)).alias("_an"), *[
+            F.coalesce(F.sum(F.col(f"`{name}`")), F.lit(0)).alias(f"a_{name}") for name, *_ in views])
+        pairs = F.array(*[F.struct(
+            F.lit(name).alias("HelperView"), F.col("_en").cast("decimal(19,4)").alias("ExpectedRows"),
+            F.col("_an").cast("decimal(19,4)").alias("ActualRows"), F.col(f"e_{name}").cast("decimal(19,4)").alias("ExpectedValue"),
+            F.col(f"a_{name}").cast("decimal(19,4)").alias("ActualValue")) for name, *_ in views])
+        rows = _one_row_join(exp, act).select(F.lit(grain).alias("Grain"), F.explode(pairs).alias("p")).select("Grain", "p.*")
+        out = rows if out is None else out.unionByName(rows)
+    return out.select(
+        "*", (F.col("ActualRows") - F.col("ExpectedRows")).alias("RowDifference"),
+        (F.col("ActualValue") - F.col("ExpectedValue")).alias("ValueDifference"),
+        F.when((F.abs(F.col("ActualRows") - F.col("ExpectedRows")) <= tolerance)
+               & (F.abs(F.col("ActualValue") - F.col("ExpectedValue")) <= tolerance), "PASS").otherwise("REVIEW").alias("CheckStatus"))
+
+
+def reconcile_rows(rollups: dict, helpers_wide: dict, tolerance: float = 0.001) -> DataFrame:
+    """Q16: per helper view and label, expected (roll-up) against actual
+    (helper) values, NULL-safe.  All views of a dimension share one key set, so
+    one full outer join per dimension feeds all eleven views."""
+    out = None
+    for dim, grain in (("Users", "User"), ("Ports", "Port")):
+        views = _views_of(dim)
+        pick = rollups[dim].filter(F.col("WorkType") == "Pick")
+        key = F.col(dim) if dim == "Users" else F.when(F.col(dim) == "Unattributed", "No Data").otherwise(F.col(dim))
+        exp = pick.select(key.alias("_ek"), *[_expected_value(src, kind).alias(f"e_{name}") for name, _, _, src, kind in views])
+        act = helpers_wide[dim].select(F.col(dim).alias("_ak"), *[F.col(f"`{name}`").alias(f"a_{name}") for name, *_ in views])
+        j = exp.join(act, F.col("_ek") == F.col("_ak"), "full")
+        pairs = F.array(*[F.struct(F.lit(name).alias("HelperView"),
+                                   F.col(f"e_{name}").cast("decimal(19,4)").alias("ExpectedValue"),
+                                   F.col(f"a_{name}").cast("decimal(19,4)").alias("ActualValue")) for name, *_ in views])
+        rows = j.select(F.lit(grain).alias("Grain"), F.coalesce("_ek", "_ak").alias("LabelValue"), F.explode(pairs).alias("p")) \
+            .select("Grain", "p.HelperView", "LabelValue", "p.ExpectedValue", "p.ActualValue")
+        out = rows if out is None else out.unionByName(rows)
+    e, a = F.col("ExpectedValue"), F.col("ActualValue")
+    return out.select("*", (a - e).alias("ValueDifference"), F.when(e.isNull() & a.isNull(), "PASS").when(
+        e.isNotNull() & a.isNotNull() & (F.abs(a - e) <= tolerance), "PASS").otherwise("REVIEW").alias("CheckStatus"))
+
+
+def patch_gate(totals: DataFrame, rows: DataFrame, daily: DataFrame) -> DataFrame:
+    """Q17: the import-view profile and the PASS / REVIEW gate."""
+    ft = totals.agg(_cnt(F.col("CheckStatus") != "PASS").alias("FailedHelperViewChecks"))
+    fr = rows.agg(_cnt(F.col("CheckStatus") != "PASS").alias("FailedHelperViewRowChecks"))
+    prof = daily.agg(F.count(F.lit(1)).alias("DailyAggregateRowsAvailable"), F.min("EventDate").alias("DailyAggregateMinEventDate"),
+                     F.max("EventDate").alias("DailyAggregateMaxEventDate"),
+                     F.count_distinct("WorkType").alias("DailyAggregateWorkTypes"), F.count_distinct("Users").alias("DailyAggregateUsers"),
+                     F.count_distinct("Ports").alias("DailyAggregatePorts"))
+    j = _one_row_join(ft, fr, prof)
+    ok = (F.col("FailedHelperViewChecks") == 0) & (F.col("FailedHelperViewRowChecks") == 0) & (F.col("DailyAggregateRowsAvailable") > 0)
+    return j.select(F.when(ok, "PASS").otherwise("REVIEW").alias("PowerBIPatchValidationGate"), *j.columns)
