@@ -353,3 +353,119 @@ def patch_gate(totals: DataFrame, rows: DataFrame, daily: DataFrame) -> DataFram
     j = _one_row_join(ft, fr, prof)
     ok = (F.col("FailedHelperViewChecks") == 0) & (F.col("FailedHelperViewRowChecks") == 0) & (F.col("DailyAggregateRowsAvailable") > 0)
     return j.select(F.when(ok, "PASS").otherwise("REVIEW").alias("PowerBIPatchValidationGate"), *j.columns)
+
+
+# ---- Q36-Q41: Daily-KPI diagnostics -------------------------------------------------------------------
+
+def _col(df: DataFrame, name: str, typ: str = "timestamp") -> Column:
+    """A column of ``df`` or a typed NULL when the table does not carry it."""
+    return F.col(name) if name in df.columns else F.lit(None).cast(typ)
+
+
+# KPI view source names per matrix metric.
+KPI_SOURCE_NAMES = {
+    "Total SKUs On Hand": "Total_SKUs_On_Hand", "Total Units On Hand": "Total_Units_On_Hand",
+    "Total Locations Occupied": "Total_Locations_Occupied", "Orders Putaway": "Orders_Putaway",
+    "Units Putaway": "Units_Putaway", "Skus Putaway": "Skus_Putaway", "Presentations Putaway": "Presentations_Putaway",
+    "Distinct bins inventory added": "Distinct_bins_inventory_added",
+    "Distinct bin compartments that had inventory": "Distinct_bin_compartments_that_had_inventory",
+    "Customer Orders Picked": "Customer_Orders_Picked", "Customer Order Lines": "Customer_Order_Lines",
+    "Units Picked": "Units_Picked", "Distinct Skus Picked": "Distinct_Skus_Picked",
+}
+
+
+def _kpi_labels(kpi_long: DataFrame) -> DataFrame:
+    from opsgrain.plans.measures import KPI_ROWS
+    m = F.create_map(*[x for g, n, _, _, v in KPI_ROWS for x in (F.lit(v), F.lit(n))])
+    g = F.create_map(*[x for g, n, _, _, v in KPI_ROWS for x in (F.lit(v), F.lit(g))])
+    s = F.create_map(*[x for v, src in KPI_SOURCE_NAMES.items() for x in (F.lit(v), F.lit(src))])
+    return kpi_long.select(g[F.col("Metric")].alias("GroupName"), m[F.col("Metric")].alias("MetricName"),
+                           s[F.col("Metric")].alias("SourceName"), "Date", "Value")
+
+
+def kpi_window(kpi_long: DataFrame, as_of, days: int = 14) -> DataFrame:
+    """Q36: KPI view rows dated on or after ``as_of - days``, long form."""
+    start = F.date_sub(F.lit(as_of), days)
+    k = _kpi_labels(kpi_long).filter(F.col("Date") >= start)
+    return k.select("GroupName", "MetricName", "Date", F.col("Value").cast("decimal(19,4)").alias("MetricValue"))
+
+
+def kpi_coverage(kpi_long: DataFrame, as_of, default_days: int = 7) -> DataFrame:
+    """Q37: per KPI source: rows, date bounds, rows and value in the report's default window."""
+    start = F.date_sub(F.lit(as_of), default_days)
+    k = _kpi_labels(kpi_long)
+    inw = F.col("Date") >= start
+    return k.groupBy("GroupName", "SourceName").agg(
+        F.count(F.lit(1)).alias("TotalRows"), F.min("Date").alias("MinDate"), F.max("Date").alias("MaxDate"),
+        _cnt(inw).alias("RowsInPowerBIDefaultWindow"),
+        F.sum(F.when(inw, F.col("Value")).otherwise(0)).cast("decimal(19,4)").alias("ValueInPowerBIDefaultWindow"))
+
+
+def date_ranges(tables: dict) -> DataFrame:
+    """Q38: snapshot-date and business-date ranges per table."""
+    parts = []
+    for name, df in tables.items():
+        snap, biz = F.to_date(_col(df, "LastUpdatedDate")), F.to_date(_col(df, "LastUpdatedDateInventory"))
+        parts.append(df.agg(F.lit(name).alias("SourceName"), F.count(F.lit(1)).alias("Rows"), F.min(snap).alias("MinSnapshotDate"),
+                            F.max(snap).alias("MaxSnapshotDate"), F.min(biz).alias("MinBusinessLastUpdatedDate"),
+                            F.max(biz).alias("MaxBusinessLastUpdatedDate"),
+                            F.max(_col(df, "Snapshot_Id", "bigint")).cast("bigint").alias("MaxSnapshotId")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def survival_inventory(inventory: DataFrame, containers: DataFrame) -> DataFrame:
+    """Q39: rows left after each Daily-KPI filter, per inventory snapshot date
+    (the join sees every container snapshot, as the diagnostic does)."""
+    c = containers.select(F.col("PrimaryKey").alias("ContainerMatchedPrimaryKey"), F.col("Status").alias("ContainerStatus"),
+                          F.to_date(_col(containers, "LastUpdatedDate")).alias("ContainerSnapshotDate"))
+    i = inventory.select(F.to_date("LastUpdatedDate").alias("InventorySnapshotDate"), "UnitOfMeasurePrimaryKey",
+                         "ContainerPrimaryKey", "ContainerX", "ContainerY", "Quantity", F.col("Status").alias("InventoryStatus"))
+    j = i.join(c, i["ContainerPrimaryKey"] == c["ContainerMatchedPrimaryKey"], "left")
+    np_ = F.col("InventoryStatus") != "Pending"
+    ok = np_ & (F.coalesce(F.col("ContainerStatus"), F.lit("")) != "Outside")
+    ok2 = ok & (F.col("InventorySnapshotDate") == F.col("ContainerSnapshotDate"))
+    return j.groupBy("InventorySnapshotDate").agg(
+        F.count(F.lit(1)).alias("InventoryRows"), _cnt(np_).alias("InventoryNotPendingRows"),
+        _cnt(np_ & F.col("ContainerMatchedPrimaryKey").isNotNull()).alias("NotPendingRowsWithContainerMatch"),
+        _cnt(ok).alias("RowsEligibleBeforeDateMatch"), _cnt(ok2).alias("RowsEligibleAfterDateMatch"),
+        F.count_distinct(F.when(ok2, F.col("UnitOfMeasurePrimaryKey"))).alias("TotalSkusOnHandViewWouldCount"),
+        F.sum(F.when(ok2, F.coalesce(F.col("Quantity"), F.lit(0))).otherwise(0)).cast("bigint").alias("TotalUnitsOnHandViewWouldSum"),
+        F.count_distinct(F.when(ok2, F.struct("ContainerPrimaryKey", "ContainerX", "ContainerY")))
+        .alias("DistinctBinsOrCompartmentsViewWouldCount"))
+
+
+def survival_putaway(pac: DataFrame, lines: DataFrame) -> DataFrame:
+    """Q40: the same for the inbound views, per putaway snapshot date."""
+    p = pac.select(F.to_date("LastUpdatedDate").alias("PutAwaySnapshotDate"),
+                   F.to_date(_col(pac, "LastUpdatedDateInventory")).alias("PutAwayBusinessUpdatedDate"),
+                   F.col("PrimaryKey").alias("PutAwayContainerPrimaryKey"), F.col("Status").alias("PutAwayStatus"))
+    li = lines.select("PutAwayContainerPrimaryKey", F.col("PrimaryKey").alias("LineItemPrimaryKey"), "UnitOfMeasurePrimaryKey",
+                      "ActualQuantity", F.to_date("LastUpdatedDate").alias("LineItemSnapshotDate"))
+    j = p.join(li, "PutAwayContainerPrimaryKey", "left")
+    closed = F.col("PutAwayStatus") == "Closed"
+    pos = closed & (F.col("ActualQuantity") > 0)
+    passing = pos & (F.col("PutAwaySnapshotDate") == F.col("LineItemSnapshotDate")) \
+        & (F.col("PutAwaySnapshotDate") == F.col("PutAwayBusinessUpdatedDate"))
+    return j.groupBy("PutAwaySnapshotDate").agg(
+        F.count_distinct("PutAwayContainerPrimaryKey").alias("PutAwayContainerRows"),
+        F.count_distinct(F.when(closed, F.col("PutAwayContainerPrimaryKey"))).alias("ClosedContainers"),
+        F.count_distinct(F.when(closed & (F.col("PutAwaySnapshotDate") == F.col("PutAwayBusinessUpdatedDate")),
+                                F.col("PutAwayContainerPrimaryKey"))).alias("ClosedContainersPassingOrdersPutawayViewFilter"),
+        _cnt(closed & F.col("LineItemPrimaryKey").isNotNull()).alias("ClosedLineRows"),
+        _cnt(pos).alias("ClosedPositiveQtyLineRows"), _cnt(passing).alias("LinesPassingUnitsAndSkusPutawayViewFilter"),
+        F.sum(F.when(passing, F.col("ActualQuantity")).otherwise(0)).cast("bigint").alias("UnitsPutawayViewWouldSum"),
+        F.count_distinct(F.when(passing, F.col("UnitOfMeasurePrimaryKey"))).alias("SkusPutawayViewWouldCount"))
+
+
+def closed_by_basis(pac: DataFrame) -> DataFrame:
+    """Q41: closed putaway containers per date under three date bases."""
+    c = pac.filter(F.col("Status") == "Closed")
+    parts = []
+    for basis, col in (("SnapshotDate", "LastUpdatedDate"), ("BusinessLastUpdatedDate", "LastUpdatedDateInventory"),
+                       ("CreatedDate", "CreatedDate")):
+        parts.append(c.groupBy(F.to_date(_col(c, col)).alias("Date")).agg(F.count(F.lit(1)).alias("ClosedPutAwayContainers"))
+                     .select(F.lit(basis).alias("DateBasis"), "Date", "ClosedPutAwayContainers"))
+    return parts[0].unionByName(parts[1]).unionByName(parts[2])
