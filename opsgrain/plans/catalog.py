@@ -36,6 +36,25 @@ def add_ctes(ctes: dict[str, str]) -> None:
         CTES[k] = v
 
 
+def materialized(t, key: str, build: Callable[[], DataFrame]) -> DataFrame:
+    """Build an aggregated report table once per table catalogue and write it
+    to the session's checkpoint folder (``spark.checkpoint.dir``, shared
+    storage on a cluster).  Pages and gates that read it again then scan the
+    stored table instead of re-planning and re-running the event pipeline, and
+    a lost executor cannot take the table with it.  Only aggregated tables
+    (daily grain, roll-ups, throughput) go through here; they are a small
+    fraction of the event data."""
+    cached = t.__dict__.get(key)
+    if cached is None:
+        df = build()
+        if getattr(t, "materialize", True):
+            from opsgrain.session import checkpoint_dir
+            checkpoint_dir(df.sparkSession)
+            df = df.checkpoint(eager=True)
+        cached = t.__dict__[key] = df
+    return cached
+
+
 def canon(df: DataFrame) -> DataFrame:
     out = []
     for f in df.schema.fields:

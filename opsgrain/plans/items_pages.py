@@ -9,7 +9,7 @@ from pyspark.sql import functions as F
 from opsgrain.oracle.pages_sql import AS_OF, PAGES_CTES, matrix_sql
 from opsgrain.plans import pages as P
 from opsgrain.plans import rollups as R
-from opsgrain.plans.catalog import add_ctes, canon, register
+from opsgrain.plans.catalog import add_ctes, canon, materialized, register
 from opsgrain.plans.items_events import work_events
 
 add_ctes(PAGES_CTES)
@@ -18,19 +18,13 @@ AS_OF_DATE = dt.date.fromisoformat(AS_OF)
 
 
 def daily_of(t):
-    d = t.__dict__.get("_daily")
-    if d is None:
-        d = t.__dict__["_daily"] = R.daily(work_events(t))
-    return d
+    return materialized(t, "_daily", lambda: R.daily(work_events(t)))
 
 
 def _rollup_of(t, dim):
-    key = "_r05" if dim == "Users" else "_r06"
-    r = t.__dict__.get(key)
-    if r is None:
-        ev = work_events(t)
-        r = t.__dict__[key] = R.by_user_work_type(ev) if dim == "Users" else R.by_port_work_type(ev)
-    return r
+    if dim == "Users":
+        return materialized(t, "_r05", lambda: R.by_user_work_type(work_events(t)))
+    return materialized(t, "_r06", lambda: R.by_port_work_type(work_events(t)))
 
 
 def _helper_sql(dim, out, src, kind):
@@ -118,10 +112,7 @@ for _metric, _sql in _PUTAWAY_SQL.items():
 
 
 def throughput_of(t):
-    d = t.__dict__.get("_throughput")
-    if d is None:
-        d = t.__dict__["_throughput"] = P.throughput(work_events(t), t.pick)
-    return d
+    return materialized(t, "_throughput", lambda: P.throughput(work_events(t), t.pick))
 
 
 @register("P29_throughput", """select strftime(Date, '%Y-%m-%d') as Date, Hour, Ports, cast(OrdersCompleted as bigint) as OrdersCompleted,

@@ -469,3 +469,105 @@ def closed_by_basis(pac: DataFrame) -> DataFrame:
         parts.append(c.groupBy(F.to_date(_col(c, col)).alias("Date")).agg(F.count(F.lit(1)).alias("ClosedPutAwayContainers"))
                      .select(F.lit(basis).alias("DateBasis"), "Date", "ClosedPutAwayContainers"))
     return parts[0].unionByName(parts[1]).unionByName(parts[2])
+
+
+# ---- Q18-Q19: supervisor page checks -----------------------------------------------------------------
+
+PAGE_CHECKS = [
+    ("Historical orders match productivity daily grain", "hist", "orders"),
+    ("Historical lines match productivity daily grain", "hist", "lines"),
+    ("Historical units match productivity daily grain", "hist", "units"),
+    ("Historical bins match productivity daily grain", "hist", "bins"),
+    ("Daily KPI picked orders match productivity daily grain", "kpi", "orders"),
+    ("Daily KPI picked lines match productivity daily grain", "kpi", "lines"),
+    ("Daily KPI picked units match productivity daily grain", "kpi", "units"),
+    ("Daily KPI distinct SKUs match completed pick rows", "kpi", "skus"),
+    ("Throughput orders match productivity daily grain", "thr", "orders"),
+    ("Throughput lines match productivity daily grain", "thr", "lines"),
+    ("Throughput bins match productivity daily grain", "thr", "bins"),
+]
+PLACEHOLDER_CHECK = "Throughput has no blank or raw placeholder report fields"
+
+
+def page_series(daily: DataFrame, pick_skus: DataFrame, historical: dict, kpi: dict, throughput: DataFrame) -> DataFrame:
+    """Every series the page checks compare, long form (Date, Series, Metric, Value).
+    ``historical`` / ``kpi`` map metric ('orders', 'lines', 'units', 'bins',
+    'skus') to a (Date, value) view."""
+    d = daily.filter(F.col("WorkType") == "Pick")
+    parts = [d.select(F.col("EventDate").alias("Date"), F.lit("exp").alias("Series"), F.lit(m).alias("Metric"),
+                      F.col(c).cast("bigint").alias("Value"))
+             for m, c in (("orders", "OrdersCompleted"), ("lines", "LinesCompleted"), ("units", "UnitsCompleted"),
+                          ("bins", "BinPresentationsCompleted"))]
+    parts.append(pick_skus.select("Date", F.lit("exp").alias("Series"), F.lit("skus").alias("Metric"),
+                                  F.col(pick_skus.columns[1]).cast("bigint").alias("Value")))
+    for series, views in (("hist", historical), ("kpi", kpi)):
+        for m, v in views.items():
+            parts.append(v.select("Date", F.lit(series).alias("Series"), F.lit(m).alias("Metric"),
+                                  F.col(f"`{v.columns[1]}`").cast("bigint").alias("Value")))
+    for m, c in (("orders", "OrdersCompleted"), ("lines", "LinesCompleted"), ("bins", "BinPresentationsCompleted")):
+        parts.append(throughput.select("Date", F.lit("thr").alias("Series"), F.lit(m).alias("Metric"),
+                                       F.col(c).cast("bigint").alias("Value")))
+    out = parts[0]
+    for p in parts[1:]:
+        out = out.unionByName(p)
+    return out
+
+
+def placeholder_rows(throughput: DataFrame) -> DataFrame:
+    cond = (F.col("Date").isNull() | (F.nullif(F.col("Hour"), F.lit("")).isNull()) | F.nullif(F.col("Ports"), F.lit("")).isNull()
+            | F.nullif(F.col("OrderCategory"), F.lit("")).isNull() | (F.col("Ports") == "No Data")
+            | F.col("OrderCategory").isin("NO VALUE", "Unknown"))
+    return throughput.filter(cond)
+
+
+def page_checks(series: DataFrame, throughput: DataFrame) -> DataFrame:
+    """Q18: per check, the sum of absolute daily differences and the number of
+    mismatching dates between the daily grain and a page's views (NULL-safe,
+    missing dates count as 0), plus the placeholder check."""
+    per_date = series.groupBy("Date").agg(*[
+        F.sum(F.when((F.col("Series") == s) & (F.col("Metric") == m), F.col("Value"))).alias(f"{s}_{m}")
+        for s in ("exp", "hist", "kpi", "thr") for m in ("orders", "lines", "units", "bins", "skus")])
+    aggs = []
+    for i, (_, series_name, metric) in enumerate(PAGE_CHECKS):
+        e = F.coalesce(F.col(f"exp_{metric}"), F.lit(0))
+        a = F.coalesce(F.col(f"{series_name}_{metric}"), F.lit(0))
+        aggs += [F.coalesce(F.sum(F.abs(e - a)), F.lit(0)).alias(f"d{i}"), _cnt(e != a).alias(f"m{i}")]
+    checks = per_date.agg(*aggs)
+    ph = placeholder_rows(throughput).agg(F.count(F.lit(1)).alias("_ph"))
+    rows = F.array(*[F.struct(F.lit(n).alias("CheckName"), F.col(f"d{i}").cast("decimal(19,3)").alias("Difference"),
+                              F.col(f"m{i}").alias("MismatchDates")) for i, (n, _, _) in enumerate(PAGE_CHECKS)],
+                   F.struct(F.lit(PLACEHOLDER_CHECK).alias("CheckName"), F.col("_ph").cast("decimal(19,3)").alias("Difference"),
+                            F.col("_ph").alias("MismatchDates")))
+    out = _one_row_join(checks, ph).select(F.explode(rows).alias("c")).select("c.*")
+    ok = (F.col("Difference") == 0) & (F.col("MismatchDates") == 0)
+    return out.select("*", F.when(ok, "PASS").otherwise("FAIL").alias("Status"))
+
+
+def supervisor_gate(checks: DataFrame) -> DataFrame:
+    """Q19: PASS when no page check failed."""
+    failed = _cnt(F.col("Status") == "FAIL")
+    return checks.agg(F.when(failed == 0, "PASS").otherwise("FAIL").alias("SupervisorPageValidationGate"),
+                      failed.alias("FailedChecks"), F.count(F.lit(1)).alias("TotalChecks"))
+
+
+def supervisor_summary(series: DataFrame) -> DataFrame:
+    """Q19: per source (expected grain, historical, KPI, throughput): dates and totals."""
+    names = {"exp": "Expected productivity daily grain", "hist": "Historical dashboard views",
+             "kpi": "Daily KPI picking views", "thr": "Throughput page view"}
+    per = series.groupBy("Series", "Date").agg(*[
+        F.sum(F.when(F.col("Metric") == m, F.col("Value"))).alias(m) for m in ("orders", "lines", "units", "bins", "skus")])
+    m = F.create_map(*[x for k, v in names.items() for x in (F.lit(k), F.lit(v))])
+    g = per.groupBy("Series").agg(
+        F.count(F.lit(1)).alias("Rows"), F.min("Date").alias("MinDate"), F.max("Date").alias("MaxDate"),
+        *[F.sum(F.coalesce(F.col(c), F.lit(0))).cast("bigint").alias(o) for c, o in (
+            ("orders", "OrdersCompleted"), ("lines", "LinesCompleted"), ("units", "UnitsPicked"), ("bins", "BinPresented"),
+            ("skus", "DistinctSkusPicked"))])
+    nulls = {"hist": ["DistinctSkusPicked"], "kpi": ["BinPresented"], "thr": ["UnitsPicked", "DistinctSkusPicked"]}
+    cols = []
+    for c in ("OrdersCompleted", "LinesCompleted", "UnitsPicked", "BinPresented", "DistinctSkusPicked"):
+        blank = None
+        for s, cs in nulls.items():
+            if c in cs:
+                blank = (F.col("Series") == s) if blank is None else (blank | (F.col("Series") == s))
+        cols.append((F.when(blank, F.lit(None).cast("bigint")).otherwise(F.col(c)) if blank is not None else F.col(c)).alias(c))
+    return g.select(m[F.col("Series")].alias("SourceName"), "Rows", "MinDate", "MaxDate", *cols)
