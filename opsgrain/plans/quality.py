@@ -571,3 +571,195 @@ def supervisor_summary(series: DataFrame) -> DataFrame:
                 blank = (F.col("Series") == s) if blank is None else (blank | (F.col("Series") == s))
         cols.append((F.when(blank, F.lit(None).cast("bigint")).otherwise(F.col(c)) if blank is not None else F.col(c)).alias(c))
     return g.select(m[F.col("Series")].alias("SourceName"), "Rows", "MinDate", "MaxDate", *cols)
+
+
+# ---- Q20-Q27: all-pages smoke checks ------------------------------------------------------------------
+
+SMOKE_COLUMNS = ["PageName", "CheckName", "RowCount", "MinDate", "MaxDate", "IssueCount", "Status", "Details"]
+
+
+def _iso(d: Column) -> Column:
+    return F.date_format(d, "yyyy-MM-dd")
+
+
+def _smoke(df: DataFrame, page: str, check: str, rows: Column, min_d: Column, max_d: Column, issues: Column,
+           status: Column, details: Column) -> DataFrame:
+    return df.select(F.lit(page).alias("PageName"), F.lit(check).alias("CheckName"), rows.cast("bigint").alias("RowCount"),
+                     min_d.cast("date").alias("MinDate"), max_d.cast("date").alias("MaxDate"), issues.cast("bigint").alias("IssueCount"),
+                     status.alias("Status"), details.alias("Details"))
+
+
+def _s(c: Column) -> Column:
+    return c.cast("string")
+
+
+def smoke_kpi(kpi_long: DataFrame, as_of) -> DataFrame:
+    """Q20: the 13 Daily-KPI sources have recent usable rows; names missing sources."""
+    recent = F.date_sub(F.lit(as_of), 7)
+    k = _kpi_labels(kpi_long)
+    expected = F.array(*[F.lit(v) for v in sorted(KPI_SOURCE_NAMES.values())])
+    s = k.agg(F.count(F.lit(1)).alias("n"), F.min("Date").alias("d0"), F.max("Date").alias("d1"),
+              _cnt(F.col("Date").isNull()).alias("nd"), _cnt(F.col("Value").isNull()).alias("nv"),
+              F.count_distinct("SourceName").alias("sc"), F.collect_set("SourceName").alias("present"))
+    missing = F.array_join(F.array_sort(F.array_except(expected, F.col("present"))), ", ")
+    status = F.when((F.col("n") == 0) | (F.col("nd") > 0) | (F.col("nv") > 0) | (F.col("d1") < recent), "FAIL") \
+        .when(F.col("sc") < 13, "WARN").otherwise("PASS")
+    details = F.concat(F.lit("Expected 13 KPI sources; found "), _s(F.col("sc")),
+                       F.when(missing != "", F.concat(F.lit("; missing sources: "), missing)).otherwise(F.lit("")),
+                       F.lit(". Recent window starts "), _iso(recent), F.lit("."))
+    return _smoke(s, "Daily KPI Summary Report", "KPI source views have recent usable rows", F.col("n"), F.col("d0"),
+                  F.col("d1"), F.col("nd") + F.col("nv") + F.when(F.col("sc") < 13, 1).otherwise(0), status, details)
+
+
+def smoke_productivity(daily: DataFrame, as_of) -> DataFrame:
+    """Q21: the daily productivity grain has recent Pick rows with activity."""
+    recent = F.date_sub(F.lit(as_of), 7)
+    d = daily.filter(F.col("WorkType") == "Pick")
+    basis = sum((F.coalesce(F.col(c), F.lit(0)).cast("decimal(38,4)") for c in (
+        "OrdersCompleted", "BinPresentationsCompleted", "LinesCompleted", "UnitsCompleted", "MachineWaitMinutes",
+        "ActiveHandleMinutes", "TotalLoggedMinutes", "RateDenominatorHours")), F.lit(0).cast("decimal(38,4)"))
+    d = d.withColumn("_b", basis)
+    bad = F.col("EventDate").isNull() | F.nullif(F.col("Users"), F.lit("")).isNull() | F.nullif(F.col("Ports"), F.lit("")).isNull()
+    s = d.agg(F.count(F.lit(1)).alias("n"), _cnt(F.col("_b") > 0).alias("act"),
+              _cnt((F.col("EventDate") >= recent) & (F.col("_b") > 0)).alias("rec"), F.min("EventDate").alias("d0"),
+              F.max("EventDate").alias("d1"), _cnt(bad).alias("bad"), _cnt(F.col("Users") != "Unattributed").alias("wu"),
+              _cnt(F.col("Ports") != "Unattributed").alias("wp"), _cnt(F.col("_b") <= 0).alias("zero"))
+    status = F.when((F.col("n") == 0) | (F.col("bad") > 0) | (F.col("d1") < recent), "FAIL") \
+        .when(F.col("rec") == 0, "WARN").otherwise("PASS")
+    details = F.concat(F.lit("Rows with named user: "), _s(F.col("wu")), F.lit("; rows with named port: "), _s(F.col("wp")),
+                       F.lit("; activity rows: "), _s(F.col("act")), F.lit("; recent activity rows: "), _s(F.col("rec")),
+                       F.lit("; zero-activity rows hidden by PBIX measures: "), _s(F.col("zero")), F.lit("."))
+    return _smoke(s, "Productivity by User / Port", "Daily productivity grain has recent pick rows", F.col("n"), F.col("d0"),
+                  F.col("d1"), F.col("bad") + F.when(F.col("rec") == 0, 1).otherwise(0), status, details)
+
+
+def smoke_throughput(throughput: DataFrame, as_of) -> DataFrame:
+    """Q22: the throughput view has recent rows and no placeholders."""
+    recent = F.date_sub(F.lit(as_of), 7)
+    bad = (F.col("Date").isNull() | F.nullif(F.col("Hour"), F.lit("")).isNull() | F.nullif(F.col("Ports"), F.lit("")).isNull()
+           | F.nullif(F.col("OrderCategory"), F.lit("")).isNull() | (F.col("Ports") == "No Data")
+           | F.col("OrderCategory").isin("NO VALUE", "Unknown"))
+    s = throughput.agg(F.count(F.lit(1)).alias("n"), F.min("Date").alias("d0"), F.max("Date").alias("d1"), _cnt(bad).alias("bad"))
+    status = F.when((F.col("n") == 0) | (F.col("bad") > 0) | (F.col("d1") < recent), "FAIL").otherwise("PASS")
+    return _smoke(s, "Throughput", "Throughput view has recent usable rows", F.col("n"), F.col("d0"), F.col("d1"), F.col("bad"),
+                  status, F.concat(F.lit("Recent window starts "), _iso(recent), F.lit(".")))
+
+
+def smoke_historical(historical: dict, as_of) -> DataFrame:
+    """Q23: the four historical sources have rows within 30 days."""
+    start = F.date_sub(F.lit(as_of), 30)
+    parts = [v.select(F.lit(k).alias("SourceName"), F.col("Date"), F.col(v.columns[1]).alias("Value")) for k, v in historical.items()]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    s = u.agg(F.count(F.lit(1)).alias("n"), F.min("Date").alias("d0"), F.max("Date").alias("d1"),
+              _cnt(F.col("Date").isNull()).alias("nd"), _cnt(F.col("Value").isNull()).alias("nv"),
+              F.count_distinct("SourceName").alias("sc"))
+    status = F.when((F.col("n") == 0) | (F.col("nd") > 0) | (F.col("nv") > 0) | (F.col("d1") < start), "FAIL") \
+        .when(F.col("sc") < 4, "WARN").otherwise("PASS")
+    details = F.concat(F.lit("Expected 4 historical sources; found "), _s(F.col("sc")), F.lit(". History window starts "),
+                       _iso(start), F.lit("."))
+    return _smoke(s, "Historical Dashboard", "Trailing 30-day trend views have usable rows", F.col("n"), F.col("d0"), F.col("d1"),
+                  F.col("nd") + F.col("nv") + F.when(F.col("sc") < 4, 1).otherwise(0), status, details)
+
+
+def matrix_completeness(matrix: DataFrame) -> DataFrame:
+    """Q24: every label carries each of the 18 metrics exactly once, and nothing else.
+    The expected grid is labels × 18 names, built per label with ``explode``."""
+    from opsgrain.plans.pages import MATRIX_METRICS
+    names = F.array(*[F.lit(n) for n in MATRIX_METRICS])
+    counts = matrix.groupBy("CompartmentLabel", "MetricName").agg(F.count(F.lit(1)).alias("c"))
+    grid = matrix.select("CompartmentLabel").distinct().select("CompartmentLabel", F.explode(names).alias("MetricName"))
+    g = grid.join(counts, ["CompartmentLabel", "MetricName"], "left").agg(
+        _cnt(F.col("c").isNull()).alias("missing"), F.coalesce(F.sum(F.when(F.col("c") > 1, F.col("c") - 1)), F.lit(0)).alias("dup"))
+    bad = (F.nullif(F.col("CompartmentLabel"), F.lit("")).isNull() | F.nullif(F.col("MetricName"), F.lit("")).isNull()
+           | F.nullif(F.col("MetricValue"), F.lit("")).isNull())
+    m = matrix.agg(F.count(F.lit(1)).alias("n"), F.count_distinct("MetricName").alias("mc"),
+                   F.count_distinct("CompartmentLabel").alias("lc"), _cnt(bad).alias("bad"),
+                   _cnt(~F.col("MetricName").isin(MATRIX_METRICS)).alias("unexp"))
+    j = _one_row_join(m, g)
+    fail = ((F.col("n") == 0) | (F.col("bad") > 0) | (F.col("mc") != 18) | (F.col("missing") > 0) | (F.col("dup") > 0)
+            | (F.col("unexp") > 0))
+    details = F.concat(F.lit("Labels: "), _s(F.col("lc")), F.lit("; distinct metric names: "), _s(F.col("mc")),
+                       F.lit("; missing metric instances: "), _s(F.col("missing")), F.lit("; duplicate metric rows: "),
+                       _s(F.col("dup")), F.lit("; unexpected metric rows: "), _s(F.col("unexp")), F.lit("."))
+    return _smoke(j, "Inventory & Location Table Summary", "Inventory/location summary has complete metric rows", F.col("n"),
+                  F.lit(None), F.lit(None), F.col("bad") + F.col("missing") + F.col("dup") + F.col("unexp")
+                  + F.when(F.col("mc") != 18, 1).otherwise(0), F.when(fail, "FAIL").otherwise("PASS"), details)
+
+
+def consolidation_quality(report: DataFrame, source: DataFrame | None) -> DataFrame:
+    """Q25: consolidation rows are displayable, non-negative, with fragmentation in 0..1."""
+    q, tc, tu = (F.col(c).try_cast("decimal(19,4)") for c in ("Quantity", "TotalCompartments", "TotalUnrealizedCapacity"))
+    den = tu + q
+    r = report.agg(
+        F.count(F.lit(1)).alias("n"),
+        _cnt(F.nullif(F.col("Sku"), F.lit("")).isNull() | F.nullif(F.col("CompartmentSizeName"), F.lit("")).isNull()
+             | F.col("Quantity").isNull()).alias("miss"),
+        _cnt(F.col("TotalCompartments").isNull() | F.col("TotalUnrealizedCapacity").isNull()).alias("opt"),
+        _cnt((q < 0) | (tc < 0) | (tu < 0)).alias("neg"),
+        _cnt(F.col("Quantity").isNotNull() & F.col("TotalUnrealizedCapacity").isNotNull() & (den <= 0)).alias("bden"),
+        _cnt(F.col("Quantity").isNotNull() & F.col("TotalUnrealizedCapacity").isNotNull() & (den != 0)
+             & ~(tu / den).between(0, 1)).alias("bfrag"),
+        F.count_distinct("Sku").alias("skus"), F.count_distinct("CompartmentSizeName").alias("sizes"))
+    if source is not None:
+        src = source.agg(F.count(F.lit(1)).alias("sr"),
+                         F.sum(F.coalesce(F.col("Quantity").try_cast("decimal(19,4)"), F.lit(0))).cast("decimal(19,4)").alias("sq"))
+    else:
+        src = report.limit(1).select(F.lit(None).cast("bigint").alias("sr"), F.lit(None).cast("decimal(19,4)").alias("sq"))
+    j = _one_row_join(r, src)
+    sr, n = F.col("sr"), F.col("n")
+    status = (F.when((F.col("miss") > 0) | (F.col("neg") > 0) | (F.col("bden") > 0) | (F.col("bfrag") > 0), "FAIL")
+              .when((sr > 0) & (n == 0), "FAIL").when(sr.isNull(), "WARN").when(n == 0, "WARN")
+              .when(F.col("opt") > 0, "WARN").otherwise("PASS"))
+    issues = F.col("miss") + F.col("neg") + F.col("bden") + F.col("bfrag") + F.when((sr > 0) & (n == 0), 1).otherwise(0)
+    details = F.concat(
+        F.lit("Source rows: "), F.coalesce(_s(sr), F.lit("unavailable")), F.lit("; report rows: "), _s(n),
+        F.lit("; source quantity: "), F.coalesce(_s(F.col("sq")), F.lit("unavailable")), F.lit("; distinct SKUs: "),
+        _s(F.col("skus")), F.lit("; compartment sizes: "), _s(F.col("sizes")), F.lit("; missing display rows: "),
+        _s(F.col("miss")), F.lit("; missing optional metric rows: "), _s(F.col("opt")), F.lit("; negative value rows: "),
+        _s(F.col("neg")), F.lit("; bad fragmentation denominators: "), _s(F.col("bden")), F.lit("; bad fragmentation rows: "),
+        _s(F.col("bfrag")),
+        F.lit(". Zero rows can mean no current consolidation candidates only when source rows are also zero."))
+    return _smoke(j, "Consolidation Report", "Consolidation detail has displayable rows", n, F.lit(None), F.lit(None), issues,
+                  status, details)
+
+
+def smoke_open_work_sources(tables: dict, as_of) -> DataFrame:
+    """Q26 (a): the six open-work source tables have dateable rows."""
+    recent = F.date_sub(F.lit(as_of), 7)
+    parts = [df.select(F.lit(k).alias("SourceName"), F.to_date("LastUpdatedDate").alias("SourceDate")) for k, df in tables.items()]
+    u = parts[0]
+    for p in parts[1:]:
+        u = u.unionByName(p)
+    s = u.agg(F.count(F.lit(1)).alias("n"), F.min("SourceDate").alias("d0"), F.max("SourceDate").alias("d1"),
+              _cnt(F.col("SourceDate").isNull()).alias("nd"), F.count_distinct("SourceName").alias("sc"))
+    status = F.when((F.col("n") == 0) | (F.col("nd") > 0), "FAIL").when(F.col("sc") < 6, "WARN") \
+        .when(F.col("d1") < recent, "WARN").otherwise("PASS")
+    details = F.concat(F.lit("Expected 6 source tables; found "), _s(F.col("sc")), F.lit(". Recent window starts "),
+                       _iso(recent), F.lit("."))
+    return _smoke(s, "Open Work History", "Open-work source tables have dateable rows", F.col("n"), F.col("d0"), F.col("d1"),
+                  F.col("nd") + F.when(F.col("sc") < 6, 1).otherwise(0), status, details)
+
+
+def smoke_open_work_counts(open_rows: DataFrame) -> DataFrame:
+    """Q26 (b): current open-work counts per series (from the P33 rows)."""
+    from opsgrain.plans.pages import open_work
+    w = open_work(open_rows)
+    piv = w.agg(*[F.coalesce(F.sum(F.when(F.col("MetricName") == n, F.col("SourceRows"))), F.lit(0)).alias(n.replace(" ", "_"))
+                  for n in ("Orders Pick", "Lines Pick", "Orders Put", "Lines Put", "Orders Cycle Count", "Lines Cycle Count")])
+    c = {k: F.col(k) for k in piv.columns}
+    total = sum(c.values(), F.lit(0))
+    details = F.concat(F.lit("Pick orders/lines: "), _s(c["Orders_Pick"]), F.lit("/"), _s(c["Lines_Pick"]),
+                       F.lit("; Put orders/lines: "), _s(c["Orders_Put"]), F.lit("/"), _s(c["Lines_Put"]),
+                       F.lit("; Cycle count orders/lines: "), _s(c["Orders_Cycle_Count"]), F.lit("/"), _s(c["Lines_Cycle_Count"]),
+                       F.lit(". Zero can be a valid current state."))
+    return _smoke(piv, "Open Work History", "Current open-work measures are queryable", total, F.lit(None), F.lit(None), F.lit(0),
+                  F.when(total == 0, "WARN").otherwise("PASS"), details)
+
+
+def all_pages_gate(smoke: DataFrame) -> DataFrame:
+    """Q27: FAIL when any smoke check failed; counts of failures and warnings."""
+    f, w = _cnt(F.col("Status") == "FAIL"), _cnt(F.col("Status") == "WARN")
+    return smoke.agg(F.when(f == 0, "PASS").otherwise("FAIL").alias("AllPagesSmokeGate"), f.alias("FailedChecks"),
+                     w.alias("WarningChecks"), F.count(F.lit(1)).alias("TotalChecks"))
