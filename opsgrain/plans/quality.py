@@ -763,3 +763,135 @@ def all_pages_gate(smoke: DataFrame) -> DataFrame:
     f, w = _cnt(F.col("Status") == "FAIL"), _cnt(F.col("Status") == "WARN")
     return smoke.agg(F.when(f == 0, "PASS").otherwise("FAIL").alias("AllPagesSmokeGate"), f.alias("FailedChecks"),
                      w.alias("WarningChecks"), F.count(F.lit(1)).alias("TotalChecks"))
+
+
+# ---- Q29-Q35: visible-metric checks ------------------------------------------------------------------
+
+CHECK_COLUMNS = ["PageName", "MetricName", "SourceRows", "ReportRows", "SourceValue", "ReportValue", "SourceMinDate",
+                 "SourceMaxDate", "ReportMinDate", "ReportMaxDate", "Status", "Details"]
+
+# Fixed values: (metric, kind, basis, require positive) of the visible productivity check.
+VISIBLE_PRODUCTIVITY = [
+    ("Orders Completed", "count:OrdersCompleted", "OrdersCompleted", 1),
+    ("Bin Presentations Completed", "count:BinPresentationsCompleted", "BinPresentationsCompleted", 1),
+    ("Lines Completed", "count:LinesCompleted", "LinesCompleted", 1),
+    ("Units Completed", "count:UnitsCompleted", "UnitsCompleted", 1),
+    ("Orders/hr", "rate:OrdersCompleted", "OrdersCompleted", 1),
+    ("Bins/hr", "rate:BinPresentationsCompleted", "BinPresentationsCompleted", 1),
+    ("Units/hr", "rate:UnitsCompleted", "UnitsCompleted", 1),
+    ("Lines/hr", "rate:LinesCompleted", "LinesCompleted", 1),
+    ("Machine Wait Minutes", "dec:MachineWaitMinutes", "EventRows", 0),
+    ("Average Handle Minutes/Presentation", "aht", "BinPresentationsCompleted", 0),
+    ("Total Logged Minutes", "dec:TotalLoggedMinutes", "EventRows", 0),
+    ("Rate Denominator Hours", "dec:RateDenominatorHours", "counts", 1),
+]
+
+
+def _u(c: str) -> Column:
+    return (F.col(c) * 10000).cast("bigint")
+
+
+def _visible_value_units(kind: str) -> Column:
+    """The checked value as an exact count of 1e-4 (decimal(19,4) rounding half up)."""
+    if kind.startswith("count:"):
+        return F.col(kind[6:]).cast("bigint") * 10000
+    if kind.startswith("dec:"):
+        return _u(kind[4:])
+    h = _u("RateDenominatorHours")
+    if kind.startswith("rate:"):
+        n = F.col(kind[5:]).cast("bigint")
+        return F.when(h > 0, F.expr(f"(CAST({kind[5:]} AS BIGINT) * 200000000 + CAST(RateDenominatorHours * 10000 AS BIGINT)) "
+                                    f"div (2 * CAST(RateDenominatorHours * 10000 AS BIGINT))")) if n is not None else None
+    b = F.col("BinPresentationsCompleted")
+    return F.when(b > 0, F.expr("(CAST(ActiveHandleMinutes * 10000 AS BIGINT) * 2 + BinPresentationsCompleted) "
+                                "div (2 * BinPresentationsCompleted)"))
+
+
+def visible_productivity(daily: DataFrame, as_of) -> DataFrame:
+    """Q29: the 12 productivity measures over active Pick rows (long form via
+    ``explode``), recent-window value against the source basis."""
+    recent = F.date_sub(F.lit(as_of), 7)
+    d = daily.filter(F.col("WorkType") == "Pick")
+    act = (sum((F.coalesce(F.col(c), F.lit(0)).cast("bigint") * 10000 for c in
+                ("OrdersCompleted", "BinPresentationsCompleted", "LinesCompleted", "UnitsCompleted")), F.lit(0))
+           + sum((F.coalesce(_u(c), F.lit(0)) for c in ("MachineWaitMinutes", "ActiveHandleMinutes", "TotalLoggedMinutes",
+                                                          "RateDenominatorHours")), F.lit(0)))
+    d = d.filter(act > 0)
+    counts = sum((F.coalesce(F.col(c), F.lit(0)).cast("bigint") for c in
+                  ("OrdersCompleted", "BinPresentationsCompleted", "LinesCompleted", "UnitsCompleted")), F.lit(0))
+    arr = F.array(*[F.struct(F.lit(name).alias("MetricName"), _visible_value_units(kind).alias("v"),
+                             ((counts if basis == "counts" else F.col(basis).cast("bigint")) * 10000).alias("b"),
+                             F.lit(req).alias("req")) for name, kind, basis, req in VISIBLE_PRODUCTIVITY])
+    x = d.select("EventDate", F.explode(arr).alias("m")).select("EventDate", "m.*")
+    rec = F.col("EventDate") >= recent
+    g = x.groupBy("MetricName", "req").agg(
+        F.count(F.lit(1)).alias("SourceRows"), _cnt(rec).alias("ReportRows"), F.sum("b").alias("sv"),
+        F.sum(F.when(rec, F.col("v")).otherwise(0)).alias("rv"), F.sum(F.when(rec, F.col("b")).otherwise(0)).alias("rb"),
+        F.min("EventDate").alias("SourceMinDate"), F.max("EventDate").alias("SourceMaxDate"),
+        F.min(F.when(rec, F.col("EventDate"))).alias("ReportMinDate"), F.max(F.when(rec, F.col("EventDate"))).alias("ReportMaxDate"))
+    status = (F.when(F.col("SourceRows") == 0, "WARN").when(F.col("ReportRows") == 0, "WARN")
+              .when((F.col("req") == 1) & (F.col("rb") > 0) & (F.coalesce(F.col("rv"), F.lit(0)) == 0), "FAIL")
+              .when(F.coalesce(F.col("rv"), F.lit(0)) == 0, "WARN").otherwise("PASS"))
+    return g.select(
+        F.lit("Productivity by User / Port").alias("PageName"), "MetricName", "SourceRows", "ReportRows",
+        (F.col("sv") / F.lit(10000)).alias("SourceValue"), (F.col("rv") / F.lit(10000)).alias("ReportValue"),
+        "SourceMinDate", "SourceMaxDate", "ReportMinDate", "ReportMaxDate", status.alias("Status"),
+        F.lit("Visible user/port productivity measures are compared only for positive pick-activity rows; zero-activity rows "
+              "are hidden by PBIX measures.").alias("Details"))
+
+
+def _visible_compare(series: DataFrame, report_series: str, metrics: list, start, page: str, details: str) -> DataFrame:
+    """Expected (daily grain) vs report per metric over dates >= start; a date
+    exists on a side when that side has a row for it (full outer join semantics)."""
+    per = series.filter(F.col("Series").isin("exp", report_series)).groupBy("Date").agg(
+        F.max(F.when(F.col("Series") == "exp", 1)).alias("_he"), F.max(F.when(F.col("Series") == report_series, 1)).alias("_hr"),
+        *[F.sum(F.when((F.col("Series") == s) & (F.col("Metric") == m), F.col("Value"))).alias(f"{s}_{m}")
+          for s in ("exp", report_series) for _, m in metrics])
+    e_in = F.col("_he").isNotNull() & (F.col("Date") >= start)
+    r_in = F.col("_hr").isNotNull() & (F.col("Date") >= start)
+    arr = F.array(*[F.struct(F.lit(n).alias("MetricName"), F.coalesce(F.col(f"exp_{m}"), F.lit(0)).alias("ev"),
+                             F.coalesce(F.col(f"{report_series}_{m}"), F.lit(0)).alias("rv")) for n, m in metrics])
+    x = per.select("Date", e_in.alias("e_in"), r_in.alias("r_in"), F.explode(arr).alias("m")).select("Date", "e_in", "r_in", "m.*")
+    g = x.groupBy("MetricName").agg(
+        _cnt(F.col("e_in")).alias("SourceRows"), _cnt(F.col("r_in")).alias("ReportRows"),
+        F.sum(F.when(F.col("e_in"), F.col("ev")).otherwise(0)).alias("sv"), F.sum(F.when(F.col("r_in"), F.col("rv")).otherwise(0)).alias("rv"),
+        F.min(F.when(F.col("e_in"), F.col("Date"))).alias("SourceMinDate"), F.max(F.when(F.col("e_in"), F.col("Date"))).alias("SourceMaxDate"),
+        F.min(F.when(F.col("r_in"), F.col("Date"))).alias("ReportMinDate"), F.max(F.when(F.col("r_in"), F.col("Date"))).alias("ReportMaxDate"))
+    status = F.when((F.col("sv") > 0) & (F.col("rv") == 0), "FAIL").when(F.abs(F.col("sv") - F.col("rv")) > 0, "FAIL").otherwise("PASS")
+    return g.select(F.lit(page).alias("PageName"), "MetricName", "SourceRows", "ReportRows", F.col("sv").cast("double").alias("SourceValue"),
+                    F.col("rv").cast("double").alias("ReportValue"), "SourceMinDate", "SourceMaxDate", "ReportMinDate", "ReportMaxDate",
+                    status.alias("Status"), F.lit(details).alias("Details"))
+
+
+def visible_throughput(series: DataFrame, as_of) -> DataFrame:
+    """Q30: throughput totals against the daily grain over the recent window."""
+    return _visible_compare(series, "thr", [("Orders", "orders"), ("Lines", "lines"), ("Bins", "bins")],
+                            F.date_sub(F.lit(as_of), 7), "Throughput",
+                            "Throughput metrics should match the same daily productivity grain as Productivity.")
+
+
+def visible_historical(series: DataFrame, as_of) -> DataFrame:
+    """Q31: historical views against the daily grain over 30 days."""
+    return _visible_compare(series, "hist", [("Orders Completed", "orders"), ("Lines Completed", "lines"),
+                                             ("Units Picked", "units"), ("Bin Presentations", "bins")],
+                            F.date_sub(F.lit(as_of), 30), "Historical Dashboard",
+                            "Historical views should match the same productivity daily grain over 30 days.")
+
+
+def visible_open_work(open_rows: DataFrame) -> DataFrame:
+    """Q33: open work per series with PASS / WARN."""
+    from opsgrain.plans.pages import open_work
+    w = open_work(open_rows)
+    return w.select(
+        F.lit("Open Work History").alias("PageName"), "MetricName", F.col("SourceRows"), F.col("SourceRows").alias("ReportRows"),
+        F.col("SourceRows").cast("double").alias("SourceValue"), F.col("SourceRows").cast("double").alias("ReportValue"),
+        F.col("MinDate").alias("SourceMinDate"), F.col("MaxDate").alias("SourceMaxDate"), F.col("MinDate").alias("ReportMinDate"),
+        F.col("MaxDate").alias("ReportMaxDate"), F.when(F.col("SourceRows") == 0, "WARN").otherwise("PASS").alias("Status"),
+        F.lit("Zero can be valid if no work is currently open.").alias("Details"))
+
+
+def visible_gate(checks: DataFrame) -> DataFrame:
+    """Q35: FAIL when any visible-metric check failed."""
+    f, w = _cnt(F.col("Status") == "FAIL"), _cnt(F.col("Status") == "WARN")
+    return checks.agg(F.when(f == 0, "PASS").otherwise("FAIL").alias("VisibleMetricsValidationGate"), f.alias("FailedChecks"),
+                      w.alias("WarningChecks"), F.count(F.lit(1)).alias("TotalChecks"))
