@@ -168,3 +168,137 @@ def stuck_batches(ledger: DataFrame) -> DataFrame:
     f = ledger.filter(F.col("JobName").like("%Dynamic%") | F.col("JobName").like("%Dyanamic%"))
     return f.groupBy("JobName", "IsStarted", "IsCompleted").agg(
         F.count(F.lit(1)).alias("RowCount"), F.max("SyncStartTime").alias("LastStart"), F.max("SyncEndTime").alias("LastEnd"))
+
+
+# ---- health checks (Y06-Y09) -------------------------------------------------------------------------
+
+def _opt(df: DataFrame, name: str, typ: str) -> "F.Column":
+    return F.col(name) if name in df.columns else F.lit(None).cast(typ)
+
+
+def snapshot_health(targets, default_start: dt.date) -> DataFrame:
+    """Per snapshot table (name, used_by, DataFrame or None): rows,
+    snapshot ids, snapshot date range, rows in the latest snapshot and in the
+    report's default window; a status row when the table is missing."""
+    out = None
+    spark = None
+    for _, _, df in targets:
+        if df is not None:
+            spark = df.sparkSession
+            break
+    for name, used_by, df in targets:
+        if df is None:
+            part = spark.createDataFrame([(used_by, name, "MISSING_OR_INACCESSIBLE")], "UsedBy string, TableName string, ObjectStatus string") \
+                .select("*", *[F.lit(None).cast(t).alias(c) for c, t in (
+                    ("Rows", "bigint"), ("DistinctSnapshotIds", "bigint"), ("MinSnapshotDate", "date"), ("MaxSnapshotDate", "date"),
+                    ("MaxSnapshotId", "bigint"), ("RowsInLatestSnapshot", "bigint"), ("RowsInPowerBIDefaultWindow", "bigint"))])
+        else:
+            d = F.to_date(_opt(df, "Snapshot_Timestamp", "timestamp"))
+            mx = df.agg(F.max("Snapshot_Id").alias("_mx")).withColumn("_one", F.lit(1))
+            j = df.withColumn("_one", F.lit(1)).join(F.broadcast(mx), "_one")
+            part = j.agg(
+                F.lit(used_by).alias("UsedBy"), F.lit(name).alias("TableName"), F.lit("OK").alias("ObjectStatus"),
+                F.count(F.lit(1)).alias("Rows"), F.count_distinct("Snapshot_Id").alias("DistinctSnapshotIds"),
+                F.min(d).alias("MinSnapshotDate"), F.max(d).alias("MaxSnapshotDate"), F.max("_mx").cast("bigint").alias("MaxSnapshotId"),
+                F.sum(F.when(F.col("Snapshot_Id") == F.col("_mx"), 1).otherwise(0)).cast("bigint").alias("RowsInLatestSnapshot"),
+                F.sum(F.when(d >= F.lit(default_start), 1).otherwise(0)).cast("bigint").alias("RowsInPowerBIDefaultWindow"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def source_health(targets, default_start: dt.date) -> DataFrame:
+    """Live source tables (used_by, db, table, DataFrame or None, key
+    column, date column); columns that a table lacks yield NULL measures."""
+    out = None
+    spark = next(t[3].sparkSession for t in targets if t[3] is not None)
+    cols = (("Rows", "bigint"), ("MaxPrimaryKey", "bigint"), ("MinSourceDate", "timestamp"), ("MaxSourceDate", "timestamp"),
+            ("RowsInPowerBIDefaultWindow", "bigint"))
+    for used_by, db, table, df, key, date_col in targets:
+        if df is None:
+            part = spark.createDataFrame([(used_by, db, table, "SOURCE_TABLE_MISSING_OR_INACCESSIBLE")],
+                                         "UsedBy string, SourceDb string, TableName string, ObjectStatus string") \
+                .select("*", *[F.lit(None).cast(t).alias(c) for c, t in cols])
+        else:
+            has_key = key is not None and key in df.columns
+            has_date = date_col is not None and date_col in df.columns
+            ts = F.col(date_col).try_cast("timestamp") if has_date else None
+            sec = F.date_trunc("second", ts + F.expr("INTERVAL 500 MILLISECONDS")) if has_date else None  # datetime2(0) rounds
+            part = df.agg(
+                F.lit(used_by).alias("UsedBy"), F.lit(db).alias("SourceDb"), F.lit(table).alias("TableName"), F.lit("OK").alias("ObjectStatus"),
+                F.count(F.lit(1)).alias("Rows"),
+                (F.max(F.col(key).try_cast("bigint")) if has_key else F.lit(None).cast("bigint")).alias("MaxPrimaryKey"),
+                (F.min(sec) if has_date else F.lit(None).cast("timestamp")).alias("MinSourceDate"),
+                (F.max(sec) if has_date else F.lit(None).cast("timestamp")).alias("MaxSourceDate"),
+                (F.sum(F.when(F.to_date(ts) >= F.lit(default_start), 1).otherwise(0)).cast("bigint") if has_date
+                 else F.lit(None).cast("bigint")).alias("RowsInPowerBIDefaultWindow"))
+        out = part if out is None else out.unionByName(part)
+    return out
+
+
+def _dyn_top(ledger: DataFrame, job: str = "DynamicTableInsert") -> DataFrame:
+    return ledger.filter(F.col("TableName").isNull() & (F.col("JobName") == job))
+
+
+def sync_checks(snap: DataFrame, src: DataFrame, ledger: DataFrame, now: dt.datetime, default_start: dt.date) -> DataFrame:
+    """The five data checks of the sync diagnostic (CheckName, Status, Details).
+    The procedure-text check is catalog introspection and is not reproduced."""
+    ds = F.lit(default_start.isoformat())
+    dyn = _dyn_top(ledger)
+    done = F.coalesce(F.col("IsCompleted"), F.lit(False))
+    led = dyn.agg(
+        F.max(F.when(F.col("IsStarted") & done & (F.col("SyncEndTime") >= F.lit(now - dt.timedelta(hours=4))), 1)).alias("recent"),
+        F.max(F.when(done, F.col("SyncEndTime"))).alias("last_end"),
+        F.sum(F.when(F.col("IsStarted") & ~done, 1).otherwise(0)).cast("bigint").alias("open"))
+    sh = snap.agg(*[x for used in ("Inventory", "Inbound") for x in (
+        F.max(F.when((F.col("UsedBy") == used) & (F.col("ObjectStatus") == "OK") & (F.col("RowsInPowerBIDefaultWindow") > 0), 1))
+        .alias(f"ok_{used}"), F.max(F.when(F.col("UsedBy") == used, F.col("MaxSnapshotDate"))).alias(f"max_{used}"))])
+    so = src.agg(F.max(F.when((F.col("ObjectStatus") == "OK") & (F.col("RowsInPowerBIDefaultWindow") > 0), 1)).alias("src_ok"),
+                 F.max(F.when(F.col("ObjectStatus") == "OK", F.col("MaxSourceDate"))).alias("src_max"))
+    j = led.withColumn("_one", F.lit(1)).join(sh.withColumn("_one", F.lit(1)), "_one").join(so.withColumn("_one", F.lit(1)), "_one")
+    fmt_d = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd"), F.lit("NULL"))
+    fmt_t = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit("NULL"))
+    def check(name, status, details):
+        return F.struct(F.lit(name).alias("CheckName"), status.alias("Status"), details.alias("Details"))
+    rows = F.array(
+        check("Inventory snapshots exist in Power BI default window", F.when(F.col("ok_Inventory") == 1, "PASS").otherwise("WARN"),
+              F.concat(F.lit("Default window starts "), ds, F.lit(". Inventory snapshot max date is "), fmt_d(F.col("max_Inventory")),
+                       F.lit("."))),
+        check("Inbound snapshots exist in Power BI default window", F.when(F.col("ok_Inbound") == 1, "PASS").otherwise("WARN"),
+              F.concat(F.lit("Default window starts "), ds, F.lit(". Inbound snapshot max date is "), fmt_d(F.col("max_Inbound")),
+                       F.lit("."))),
+        check("DynamicTableInsert completed recently", F.when(F.col("recent") == 1, "PASS").otherwise("WARN"),
+              F.concat(F.lit("Latest DynamicTableInsert end time: "), fmt_t(F.col("last_end")), F.lit("."))),
+        check("No open DynamicTableInsert row", F.when(F.coalesce(F.col("open"), F.lit(0)) > 0, "WARN").otherwise("PASS"),
+              F.concat(F.lit("Open DynamicTableInsert rows: "), F.coalesce(F.col("open"), F.lit(0)).cast("string"), F.lit("."))),
+        check("Live source has recent inventory/inbound rows", F.when(F.col("src_ok") == 1, "PASS").otherwise("WARN"),
+              F.concat(F.lit("Max live source date seen: "), fmt_t(F.col("src_max")), F.lit("."))),
+    )
+    return j.select(F.explode(rows).alias("c")).select("c.*")
+
+
+def repair_gate(ledger: DataFrame, inventory_snaps: list, inbound_snaps: list, today: dt.date) -> DataFrame:
+    """After the stuck-batch recovery: no open snapshot batch, today's
+    snapshot load completed, and today's inventory and inbound snapshots."""
+    dyn = _dyn_top(ledger)
+    done = F.coalesce(F.col("IsCompleted"), F.lit(False))
+    led = dyn.agg(F.sum(F.when(F.col("IsStarted") & ~done, 1).otherwise(0)).cast("bigint").alias("open"),
+                  F.max(F.when(F.col("IsStarted") & done, F.col("SyncEndTime"))).alias("last_end"))
+
+    def max_date(dfs):
+        parts = [d.agg(F.max(F.to_date(_opt(d, "Snapshot_Timestamp", "timestamp"))).alias("m")) for d in dfs]
+        u = parts[0]
+        for p in parts[1:]:
+            u = u.unionByName(p)
+        return u.agg(F.max("m").alias("m"))
+    inv = max_date(inventory_snaps).withColumnRenamed("m", "InventoryMaxSnapshotDate")
+    inb = max_date(inbound_snaps).withColumnRenamed("m", "InboundMaxSnapshotDate")
+    j = led.withColumn("_one", F.lit(1)).join(inv.withColumn("_one", F.lit(1)), "_one").join(inb.withColumn("_one", F.lit(1)), "_one")
+    t = F.lit(today)
+    ok = ((F.coalesce(F.col("open"), F.lit(0)) == 0) & (F.to_date("last_end") == t) & (F.col("InventoryMaxSnapshotDate") == t)
+          & (F.col("InboundMaxSnapshotDate") == t))
+    return j.select(
+        F.lit("DailyKpiSyncRepairGate").alias("CheckName"), F.when(ok, "PASS").otherwise("WARN").alias("Status"),
+        F.concat(F.lit("OpenRows="), F.coalesce(F.col("open"), F.lit(0)).cast("string"), F.lit("; LatestDynamicTableInsertEnd="),
+                 F.coalesce(F.date_format("last_end", "yyyy-MM-dd HH:mm:ss"), F.lit("NULL")), F.lit("; InventoryMaxSnapshotDate="),
+                 F.coalesce(F.date_format("InventoryMaxSnapshotDate", "yyyy-MM-dd"), F.lit("NULL")), F.lit("; InboundMaxSnapshotDate="),
+                 F.coalesce(F.date_format("InboundMaxSnapshotDate", "yyyy-MM-dd"), F.lit("NULL"))).alias("Details"))

@@ -120,3 +120,49 @@ def test_recover_stuck_completes_newest_open_row(spark):
     after = Y.apply_corrections(led, fix)
     assert after.filter(F.col("TableName").isNull() & ~F.col("IsCompleted")).count() == 0
     assert after.count() == led.count()
+
+
+def _ledger_rows(spark, rows):
+    return spark.createDataFrame(rows, Y.LEDGER_SCHEMA).drop("RecordedAt")
+
+
+def test_fixture_f15_snapshot_health(spark):
+    day = dt.date(2024, 1, 30)
+    snaps = spark.createDataFrame(
+        [(1, 1, dt.datetime(2024, 1, 20, 5)), (2, 1, dt.datetime(2024, 1, 20, 5)), (1, 2, dt.datetime(2024, 1, 29, 6)),
+         (3, 2, dt.datetime(2024, 1, 29, 6))], "PrimaryKey bigint, Snapshot_Id bigint, Snapshot_Timestamp timestamp")
+    empty = snaps.limit(0)
+    h = Y.snapshot_health([("Inventory_Snapshot", "Inventory", snaps), ("Containers_Snapshot", "Inventory", empty),
+                           ("PutAwayContainers_Snapshot", "Inbound", None)], day - dt.timedelta(days=7))
+    r = {x.TableName: x for x in h.collect()}
+    assert r["Inventory_Snapshot"].RowsInLatestSnapshot == 2 and r["Inventory_Snapshot"].DistinctSnapshotIds == 2
+    assert r["Inventory_Snapshot"].RowsInPowerBIDefaultWindow == 2
+    assert r["Containers_Snapshot"].Rows == 0 and r["Containers_Snapshot"].MaxSnapshotDate is None
+    assert r["PutAwayContainers_Snapshot"].ObjectStatus == "MISSING_OR_INACCESSIBLE"
+
+
+def test_fixture_f14_recover_and_repair_gate(spark):
+    now = dt.datetime(2024, 1, 30, 12)
+    base = dict(DatabaseName=None, TableName=None, StartPrimaryKey=None, EndPrimaryKey=None, TotalRecordSource=0,
+                TotalRecordSynced=0, IsDeleted=False, RecordedAt=None, IsStarted=True, JobName="DynamicTableInsert")
+    rows = [dict(base, Id=1, BatchId=1, SyncStartTime=dt.datetime(2024, 1, 30, 1), SyncEndTime=dt.datetime(2024, 1, 30, 2), IsCompleted=True),
+            dict(base, Id=2, BatchId=2, SyncStartTime=dt.datetime(2024, 1, 30, 3), SyncEndTime=None, IsCompleted=False),
+            dict(base, Id=3, BatchId=3, SyncStartTime=dt.datetime(2024, 1, 30, 4), SyncEndTime=None, IsCompleted=False)]
+    led = _ledger_rows(spark, rows)
+    fix = Y.recover_stuck(led, now)
+    assert [r.Id for r in fix.collect()] == [3]          # newest open row only
+    after = Y.apply_corrections(led, fix)
+    assert after.filter(~F.col("IsCompleted")).count() == 1  # the other open row stays open
+    snap = spark.createDataFrame([(1, dt.datetime(2024, 1, 30, 5))], "Snapshot_Id bigint, Snapshot_Timestamp timestamp")
+    gate = Y.repair_gate(after, [snap], [snap], dt.date(2024, 1, 30)).first()
+    assert gate.Status == "WARN" and gate.Details.startswith("OpenRows=1;")
+    all_done = Y.apply_corrections(after, Y.recover_stuck(after, now))
+    assert Y.repair_gate(all_done, [snap], [snap], dt.date(2024, 1, 30)).first().Status == "PASS"
+    checks = {r.CheckName: r.Status for r in Y.sync_checks(
+        Y.snapshot_health([("Inventory_Snapshot", "Inventory", snap), ("X", "Inbound", snap)], dt.date(2024, 1, 23)),
+        Y.source_health([("Inventory", "db", "Inventory", snap, "Snapshot_Id", "Snapshot_Timestamp")], dt.date(2024, 1, 23)),
+        all_done, now, dt.date(2024, 1, 23)).collect()}
+    assert checks == {"Inventory snapshots exist in Power BI default window": "PASS",
+                      "Inbound snapshots exist in Power BI default window": "PASS",
+                      "DynamicTableInsert completed recently": "PASS", "No open DynamicTableInsert row": "PASS",
+                      "Live source has recent inventory/inbound rows": "PASS"}
