@@ -337,7 +337,10 @@ def inventory_location_metrics(inventory: DataFrame, containers: DataFrame, temp
     tc = template_compartment_labels(templates, compartments, sizes)
     c = latest_snapshot(containers).filter(F.coalesce(F.col("Status"), F.lit("")) != "Outside") \
         .select(F.col("PrimaryKey").alias("ContainerPrimaryKey"), "TemplatePrimaryKey")
-    cc = tc.join(c, "TemplatePrimaryKey").select(
+    # templates × compartments is a dimension (dozens to hundreds of rows); the
+    # join key has only as many values as templates, so a shuffle join would put
+    # all containers of a popular template in one task: broadcast the dimension.
+    cc = c.join(F.broadcast(tc), "TemplatePrimaryKey").select(
         "CompartmentLabel", "ContainerPrimaryKey", "ContainerSide", "XPosition", "YPosition")
     capacity = cc.groupBy("CompartmentLabel").agg(
         F.count_distinct("ContainerPrimaryKey").alias("TotalBins"), F.count(F.lit(1)).alias("TotalLocations"))

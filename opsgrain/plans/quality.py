@@ -895,3 +895,87 @@ def visible_gate(checks: DataFrame) -> DataFrame:
     f, w = _cnt(F.col("Status") == "FAIL"), _cnt(F.col("Status") == "WARN")
     return checks.agg(F.when(f == 0, "PASS").otherwise("FAIL").alias("VisibleMetricsValidationGate"), f.alias("FailedChecks"),
                       w.alias("WarningChecks"), F.count(F.lit(1)).alias("TotalChecks"))
+
+
+# ---- Q28: visible Daily-KPI values against their sources ------------------------------------------------
+
+def _expected(df: DataFrame, name: str, rows: Column, value: Column, d: Column) -> DataFrame:
+    return df.agg(F.lit(name).alias("MetricName"), rows.alias("SourceRows"), value.cast("decimal(19,4)").alias("SourceValue"),
+                  F.min(d).alias("SourceMinDate"), F.max(d).alias("SourceMaxDate"))
+
+
+def visible_kpi_expected(t, daily: DataFrame, as_of) -> DataFrame:
+    """The 13 expected KPI values recomputed from the operational sources over
+    the recent window.  Inventory filters are written as the validator writes
+    them (bare ``<>``: a NULL status drops the row, unlike the views)."""
+    from opsgrain.sources.staging import latest_snapshot
+    recent = F.date_sub(F.lit(as_of), 7)
+    inv = latest_snapshot(t.inventory)
+    c = t.containers.select(F.col("PrimaryKey").alias("ContainerPrimaryKey"), "Snapshot_Id", F.col("Status").alias("_cs"))
+    on = inv.join(c, ["ContainerPrimaryKey", "Snapshot_Id"]).filter(
+        (F.col("Status") != "Pending") & (F.col("_cs") != "Outside") & (F.coalesce(F.col("Quantity"), F.lit(0)) > 0))
+    uom = t.units_of_measure.select(F.col("PrimaryKey").alias("UnitOfMeasurePrimaryKey"), "Snapshot_Id", "ProductPrimaryKey")
+    d_inv = F.to_date("LastUpdatedDate")
+    loc = F.struct("ContainerPrimaryKey", "ContainerX", "ContainerY")
+    parts = [
+        _expected(on.join(uom, ["UnitOfMeasurePrimaryKey", "Snapshot_Id"], "left"), "Total SKUs On Hand", F.count(F.lit(1)),
+                  F.count_distinct(F.coalesce(F.col("ProductPrimaryKey"), F.col("UnitOfMeasurePrimaryKey"))), d_inv),
+        _expected(on, "Total Units On Hand", F.count(F.lit(1)), F.sum(F.coalesce(F.col("Quantity"), F.lit(0))), d_inv),
+        _expected(on, "Total Locations Occupied", F.count(F.lit(1)), F.count_distinct(loc), d_inv),
+    ]
+    pac = t.putaway_containers.filter((F.col("Status") == "Closed") & (F.to_date("LastUpdatedDateInventory") >= recent))
+    d_pac = F.to_date("LastUpdatedDateInventory")
+    parts.append(_expected(pac, "Orders Put Away", F.count(F.lit(1)), F.count_distinct("PrimaryKey"), d_pac))
+    li = pac.select(F.col("PrimaryKey").alias("PutAwayContainerPrimaryKey"), "LastUpdatedDateInventory").join(
+        t.putaway_lines.drop("LastUpdatedDateInventory") if "LastUpdatedDateInventory" in t.putaway_lines.columns else t.putaway_lines,
+        "PutAwayContainerPrimaryKey").filter(F.coalesce(F.col("ActualQuantity"), F.lit(0)) > 0)
+    parts.append(_expected(li, "Units Put Away", F.count(F.lit(1)), F.sum(F.coalesce(F.col("ActualQuantity"), F.lit(0))), d_pac))
+    sku = li.join(uom, ["UnitOfMeasurePrimaryKey", "Snapshot_Id"], "left").groupBy(d_pac.alias("Date")).agg(
+        F.count(F.lit(1)).alias("r"), F.count_distinct(F.coalesce(F.col("ProductPrimaryKey"), F.col("UnitOfMeasurePrimaryKey"))).alias("v"))
+    parts.append(_expected(sku, "SKUs Put Away", F.sum("r"), F.sum("v"), F.col("Date")))
+    itp = t.tasks_putaway.select("PutAwayContainerPrimaryKey", "InventoryTaskPrimaryKey", "LocationPrimaryKey")
+    it = t.inventory_tasks.select(F.col("PrimaryKey").alias("InventoryTaskPrimaryKey"))
+    ita = t.task_actions.select("InventoryTaskPrimaryKey", "NewContainerPrimaryKey")
+    pres = pac.select(F.col("PrimaryKey").alias("PutAwayContainerPrimaryKey"), "LastUpdatedDateInventory").join(
+        itp, "PutAwayContainerPrimaryKey").join(it, "InventoryTaskPrimaryKey").join(ita, "InventoryTaskPrimaryKey")
+    pkey = F.struct(F.col("PutAwayContainerPrimaryKey"), F.coalesce(F.col("LocationPrimaryKey"), F.lit(-1)),
+                    F.coalesce(F.col("NewContainerPrimaryKey"), F.lit(-1)))
+    pg = pres.groupBy(d_pac.alias("Date")).agg(F.count(F.lit(1)).alias("r"), F.count_distinct(pkey).alias("v"))
+    parts.append(_expected(pg, "Bin Presentations Put Away", F.sum("r"), F.sum("v"), F.col("Date")))
+    parts.append(_expected(on, "Distinct Bins With Inventory", F.count(F.lit(1)), F.count_distinct("ContainerPrimaryKey"), d_inv))
+    parts.append(_expected(on, "Distinct Bin Compartments With Inventory", F.count(F.lit(1)), F.count_distinct(loc), d_inv))
+    dp = daily.filter((F.col("WorkType") == "Pick") & (F.col("EventDate") >= recent))
+    for name, col in (("Customer Orders Picked", "OrdersCompleted"), ("Customer Order Lines", "LinesCompleted"),
+                      ("Units Picked", "UnitsCompleted")):
+        parts.append(_expected(dp, name, F.count(F.lit(1)), F.sum(col), F.col("EventDate")))
+    act = F.coalesce(F.col("ActualPickQuantity"), F.lit(0)) >= F.coalesce(F.col("RequiredPickQuantity"), F.lit(0))
+    done = F.to_date(F.coalesce(F.col("PickCompleteDate"), F.col("TimeStamp")))
+    p = t.pick.filter(F.col("Sku").isNotNull() & F.col("UserName").isNotNull()
+                      & F.coalesce(F.col("PickCompleteDate"), F.col("TimeStamp")).isNotNull() & act & (done >= recent))
+    parts.append(_expected(p, "Distinct SKUs Picked", F.count(F.lit(1)), F.count_distinct("Sku"), done))
+    out = parts[0]
+    for x in parts[1:]:
+        out = out.unionByName(x)
+    return out
+
+
+def visible_kpi(expected: DataFrame, kpi_long: DataFrame, as_of) -> DataFrame:
+    """Q28: per KPI row, the expected source value against the report view
+    over the recent window (0-vs-positive is what fails: the source's SKU count
+    is window-wide while the view adds days)."""
+    from opsgrain.plans.measures import KPI_ROWS
+    recent = F.date_sub(F.lit(as_of), 7)
+    names = F.create_map(*[x for _, n, _, _, v in KPI_ROWS for x in (F.lit(v), F.lit(n))])
+    k = kpi_long.select(names[F.col("Metric")].alias("MetricName"), "Date", F.col("Value").cast("decimal(19,4)").alias("Value"))
+    j = expected.join(k, "MetricName", "left")
+    rec = F.col("Date") >= recent
+    g = j.groupBy("MetricName", "SourceRows", "SourceValue", "SourceMinDate", "SourceMaxDate").agg(
+        F.count("Date").alias("ReportRows"), F.count(F.when(rec, 1)).alias("_recent_rows"),
+        F.coalesce(F.sum(F.when(rec, F.col("Value")).otherwise(0)), F.lit(0)).alias("ReportValue"),
+        F.min(F.when(rec, F.col("Date"))).alias("ReportMinDate"), F.max(F.when(rec, F.col("Date"))).alias("ReportMaxDate"))
+    sr, sv = F.coalesce(F.col("SourceRows"), F.lit(0)), F.coalesce(F.col("SourceValue"), F.lit(0))
+    status = (F.when(sr == 0, "WARN").when(F.col("_recent_rows") == 0, "FAIL")
+              .when((F.col("ReportValue") == 0) & (sv > 0), "FAIL").otherwise("PASS"))
+    return g.select(F.lit("Daily KPI Summary Report").alias("PageName"), "MetricName", sr.alias("SourceRows"), "ReportRows",
+                    sv.alias("SourceValue"), "ReportValue", "SourceMinDate", "SourceMaxDate", "ReportMinDate", "ReportMaxDate",
+                    status.alias("Status"), F.concat(F.lit("Recent window starts "), _iso(recent), F.lit(".")).alias("Details"))
