@@ -69,12 +69,21 @@ def _sessions_batch(raw_path: str, sessions_path: str):
         ins = hist.filter(F.col("Side") == "in")
         outs = hist.filter(F.col("Side") == "out")
         s = pair_sessions(ins, outs, SIGN_KEYS).withColumn(
-            "SessionMs", F.unix_millis("SignOutTime") - F.unix_millis("SignInTime"))
-        (s.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
+            "SessionMs", F.unix_millis("SignOutTime") - F.unix_millis("SignInTime")).withColumn("_marker", F.lit(False))
+        # one marker row per touched day: a day whose re-pairing yields no
+        # session still gets its partition replaced (no stale sessions survive)
+        markers = days.select(F.col("_day").alias("SessionDate"), F.lit(True).alias("_marker"))
+        out = s.unionByName(markers, allowMissingColumns=True)
+        (out.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("SessionDate").parquet(sessions_path))
     return run
 
 
+def read_sessions(spark: SparkSession, sessions_path: str) -> DataFrame:
+    """The session table written by ``stream_sessions`` (day markers removed)."""
+    return spark.read.parquet(sessions_path).filter(~F.col("_marker")).drop("_marker")
+
+
 def stream_sessions(sign_events: DataFrame, raw_path: str, sessions_path: str, name: str = "sessions",
                     trigger: dict | None = None) -> StreamingQuery:
     """Start the incremental pairing query.  ``sign_events`` is a stream

@@ -34,7 +34,7 @@ def test_stream_sessions_equals_batch_pairing(spark):
     stream = spark.readStream.schema(sign.schema).option("maxFilesPerTrigger", 1).parquet(src)
     q = T.stream_sessions(stream, os.path.join(d, "raw"), os.path.join(d, "sessions"), name=f"s-{os.path.basename(d)}")
     q.awaitTermination(300)
-    got = spark.read.parquet(os.path.join(d, "sessions"))
+    got = T.read_sessions(spark, os.path.join(d, "sessions"))
     exp = pair_sessions(t.sign_in, t.sign_out, T.SIGN_KEYS)
     key = ["SignInPrimaryKey", "SignOutPrimaryKey"]
     assert sorted(map(tuple, got.select(*key).collect())) == sorted(map(tuple, exp.select(*key).collect()))
