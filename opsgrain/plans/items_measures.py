@@ -318,8 +318,7 @@ def _m90_sql() -> str:
     cols = []
     for name, _, out, _, kind in P.HELPER_VIEWS:
         v = f"coalesce(sum({out}), 0)"
-        if kind in ("rate", "float"):
-            v = f"round(cast({v} as double), 9)"
+        v = f"round(cast({v} as double), 9)" if kind in ("rate", "float") else f"cast({v} as bigint)"
         cols.append(f'(select {v} from hv_{name}) as "{name}"')
     return "select " + ", ".join(cols)
 
