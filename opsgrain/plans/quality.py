@@ -688,12 +688,13 @@ def matrix_completeness(matrix: DataFrame) -> DataFrame:
                   + F.when(F.col("mc") != 18, 1).otherwise(0), F.when(fail, "FAIL").otherwise("PASS"), details)
 
 
-def consolidation_quality(report: DataFrame, source: DataFrame | None) -> DataFrame:
-    """Q25: consolidation rows are displayable, non-negative, with fragmentation in 0..1."""
+def consolidation_counts(report: DataFrame, source: DataFrame | None) -> DataFrame:
+    """One row of consolidation row-quality counts, plus the source's rows and quantity."""
     q, tc, tu = (F.col(c).try_cast("decimal(19,4)") for c in ("Quantity", "TotalCompartments", "TotalUnrealizedCapacity"))
     den = tu + q
     r = report.agg(
         F.count(F.lit(1)).alias("n"),
+        F.sum(F.coalesce(q, F.lit(0))).cast("decimal(19,4)").alias("rq"),
         _cnt(F.nullif(F.col("Sku"), F.lit("")).isNull() | F.nullif(F.col("CompartmentSizeName"), F.lit("")).isNull()
              | F.col("Quantity").isNull()).alias("miss"),
         _cnt(F.col("TotalCompartments").isNull() | F.col("TotalUnrealizedCapacity").isNull()).alias("opt"),
@@ -707,22 +708,35 @@ def consolidation_quality(report: DataFrame, source: DataFrame | None) -> DataFr
                          F.sum(F.coalesce(F.col("Quantity").try_cast("decimal(19,4)"), F.lit(0))).cast("decimal(19,4)").alias("sq"))
     else:
         src = report.limit(1).select(F.lit(None).cast("bigint").alias("sr"), F.lit(None).cast("decimal(19,4)").alias("sq"))
-    j = _one_row_join(r, src)
+    return _one_row_join(r, src)
+
+
+def _consolidation_status() -> Column:
+    sr, n = F.col("sr"), F.col("n")
+    return (F.when((F.col("miss") > 0) | (F.col("neg") > 0) | (F.col("bden") > 0) | (F.col("bfrag") > 0), "FAIL")
+            .when((sr > 0) & (n == 0), "FAIL").when(sr.isNull(), "WARN").when(n == 0, "WARN")
+            .when(F.col("opt") > 0, "WARN").otherwise("PASS"))
+
+
+def _row_quality_text() -> Column:
+    return F.concat(
+        F.lit("; missing display rows: "), _s(F.col("miss")), F.lit("; missing optional metric rows: "), _s(F.col("opt")),
+        F.lit("; negative value rows: "), _s(F.col("neg")), F.lit("; bad fragmentation denominators: "), _s(F.col("bden")),
+        F.lit("; bad fragmentation rows: "), _s(F.col("bfrag")))
+
+
+def consolidation_quality(report: DataFrame, source: DataFrame | None) -> DataFrame:
+    """Q25: consolidation rows are displayable, non-negative, with fragmentation in 0..1."""
+    j = consolidation_counts(report, source)
     sr, n = F.col("sr"), F.col("n")
-    status = (F.when((F.col("miss") > 0) | (F.col("neg") > 0) | (F.col("bden") > 0) | (F.col("bfrag") > 0), "FAIL")
-              .when((sr > 0) & (n == 0), "FAIL").when(sr.isNull(), "WARN").when(n == 0, "WARN")
-              .when(F.col("opt") > 0, "WARN").otherwise("PASS"))
     issues = F.col("miss") + F.col("neg") + F.col("bden") + F.col("bfrag") + F.when((sr > 0) & (n == 0), 1).otherwise(0)
     details = F.concat(
         F.lit("Source rows: "), F.coalesce(_s(sr), F.lit("unavailable")), F.lit("; report rows: "), _s(n),
         F.lit("; source quantity: "), F.coalesce(_s(F.col("sq")), F.lit("unavailable")), F.lit("; distinct SKUs: "),
-        _s(F.col("skus")), F.lit("; compartment sizes: "), _s(F.col("sizes")), F.lit("; missing display rows: "),
-        _s(F.col("miss")), F.lit("; missing optional metric rows: "), _s(F.col("opt")), F.lit("; negative value rows: "),
-        _s(F.col("neg")), F.lit("; bad fragmentation denominators: "), _s(F.col("bden")), F.lit("; bad fragmentation rows: "),
-        _s(F.col("bfrag")),
+        _s(F.col("skus")), F.lit("; compartment sizes: "), _s(F.col("sizes")), _row_quality_text(),
         F.lit(". Zero rows can mean no current consolidation candidates only when source rows are also zero."))
     return _smoke(j, "Consolidation Report", "Consolidation detail has displayable rows", n, F.lit(None), F.lit(None), issues,
-                  status, details)
+                  _consolidation_status(), details)
 
 
 def smoke_open_work_sources(tables: dict, as_of) -> DataFrame:
@@ -979,3 +993,68 @@ def visible_kpi(expected: DataFrame, kpi_long: DataFrame, as_of) -> DataFrame:
     return g.select(F.lit("Daily KPI Summary Report").alias("PageName"), "MetricName", sr.alias("SourceRows"), "ReportRows",
                     sv.alias("SourceValue"), "ReportValue", "SourceMinDate", "SourceMaxDate", "ReportMinDate", "ReportMaxDate",
                     status.alias("Status"), F.concat(F.lit("Recent window starts "), _iso(recent), F.lit(".")).alias("Details"))
+
+
+# ---- Q32 / Q34: visible inventory matrix and consolidation --------------------------------------------
+
+def visible_inventory(matrix: DataFrame, inventory: DataFrame, containers: DataFrame, templates: DataFrame,
+                      compartments: DataFrame, sizes: DataFrame) -> DataFrame:
+    """Q32: the matrix re-derived from sources: labels, expected metric rows
+    (labels × 18), expected total locations, completeness, unexpected rows and
+    the '% of Total Bin(s)' sum (≈ 100 ± 0.5 when there are several labels)."""
+    from opsgrain.plans.pages import MATRIX_METRICS, template_compartment_labels
+    from opsgrain.sources.staging import latest_snapshot
+    tc = template_compartment_labels(templates, compartments, sizes)
+    c = latest_snapshot(containers).filter(F.coalesce(F.col("Status"), F.lit("")) != "Outside") \
+        .select("TemplatePrimaryKey")
+    cc = c.join(F.broadcast(tc.select("TemplatePrimaryKey")), "TemplatePrimaryKey")
+    labels = tc.select("CompartmentLabel").distinct()
+    src = _one_row_join(latest_snapshot(inventory).agg(F.count(F.lit(1)).alias("inv")),
+                        labels.agg(F.count(F.lit(1)).alias("el")), cc.agg(F.count(F.lit(1)).alias("etl")))
+    num = lambda c_: F.regexp_replace(c_, ",", "").try_cast("decimal(19,4)")
+    rep = matrix.agg(
+        F.count(F.lit(1)).alias("rr"), F.count_distinct("CompartmentLabel").alias("rl"), F.count_distinct("MetricName").alias("rm"),
+        F.sum(F.when(F.col("MetricName") == "Total Locations", F.coalesce(num(F.col("MetricValue")), F.lit(0))).otherwise(0))
+        .cast("decimal(19,4)").alias("rtl"),
+        F.sum(F.when(F.col("MetricName") == "% of Total Bin(s)",
+                     F.coalesce(num(F.regexp_replace(F.col("MetricValue"), "%", "")), F.lit(0)))).alias("pct"))
+    names = F.array(*[F.lit(n) for n in MATRIX_METRICS])
+    counts = matrix.groupBy("CompartmentLabel", "MetricName").agg(F.count(F.lit(1)).alias("c"))
+    comp = labels.select("CompartmentLabel", F.explode(names).alias("MetricName")).join(
+        counts, ["CompartmentLabel", "MetricName"], "left").agg(
+        _cnt(F.col("c").isNull()).alias("miss"), F.coalesce(F.sum(F.when(F.col("c") > 1, F.col("c") - 1)), F.lit(0)).alias("dup"))
+    unexp = matrix.join(labels.withColumn("_known", F.lit(True)), "CompartmentLabel", "left").agg(
+        _cnt(F.col("_known").isNull() | ~F.col("MetricName").isin(MATRIX_METRICS)).alias("unexp"))
+    j = _one_row_join(src, rep, comp, unexp)
+    em = F.col("el") * 18
+    pct = F.coalesce(F.col("pct"), F.lit(0)).cast("decimal(19,4)")
+    status = (F.when((F.col("inv") > 0) & (F.col("el") == 0), "FAIL").when((em > 0) & (F.col("rr") != em), "FAIL")
+              .when((F.col("el") > 0) & (F.col("rl") != F.col("el")), "FAIL").when((em > 0) & (F.col("rm") < 18), "FAIL")
+              .when(F.col("miss") > 0, "FAIL").when(F.col("dup") > 0, "FAIL").when(F.col("unexp") > 0, "FAIL")
+              .when(F.col("etl") != F.coalesce(F.col("rtl"), F.lit(0)), "FAIL")
+              .when((F.col("el") > 1) & (F.abs(pct - 100) > 0.5), "FAIL").otherwise("PASS"))
+    details = F.concat(
+        F.lit("Expected labels: "), _s(F.col("el")), F.lit("; report labels: "), _s(F.col("rl")), F.lit("; expected metric rows: "),
+        _s(em), F.lit("; report rows: "), _s(F.col("rr")), F.lit("; expected total locations: "), _s(F.col("etl")),
+        F.lit("; report total locations: "), _s(F.coalesce(F.col("rtl"), F.lit(0).cast("decimal(19,4)"))),
+        F.lit("; missing metric instances: "), _s(F.col("miss")), F.lit("; duplicate metric rows: "), _s(F.col("dup")),
+        F.lit("; unexpected rows: "), _s(F.col("unexp")), F.lit("; % total bins sum: "), _s(pct), F.lit("."))
+    return j.select(
+        F.lit("Inventory & Location Table Summary").alias("PageName"), F.lit("Inventory/location matrix metrics").alias("MetricName"),
+        em.cast("bigint").alias("SourceRows"), F.col("rr").alias("ReportRows"), F.col("etl").cast("decimal(19,4)").alias("SourceValue"),
+        F.coalesce(F.col("rtl"), F.lit(0)).cast("decimal(19,4)").alias("ReportValue"),
+        *[F.lit(None).cast("date").alias(c) for c in ("SourceMinDate", "SourceMaxDate", "ReportMinDate", "ReportMaxDate")],
+        status.alias("Status"), details.alias("Details"))
+
+
+def visible_consolidation(report: DataFrame, source: DataFrame | None) -> DataFrame:
+    """Q34: consolidation report rows and quantity against the source view."""
+    j = consolidation_counts(report, source)
+    details = F.concat(
+        F.lit("Zero rows can mean no current consolidation candidates only when source rows are also zero. Source rows: "),
+        F.coalesce(_s(F.col("sr")), F.lit("unavailable")), F.lit("; report rows: "), _s(F.col("n")), _row_quality_text(), F.lit("."))
+    return j.select(
+        F.lit("Consolidation Report").alias("PageName"), F.lit("Consolidation rows").alias("MetricName"), F.col("sr").alias("SourceRows"),
+        F.col("n").alias("ReportRows"), F.col("sq").alias("SourceValue"), F.col("rq").alias("ReportValue"),
+        *[F.lit(None).cast("date").alias(c) for c in ("SourceMinDate", "SourceMaxDate", "ReportMinDate", "ReportMaxDate")],
+        _consolidation_status().alias("Status"), details.alias("Details"))
