@@ -334,3 +334,17 @@ def m95(t):
     from pyspark.sql import functions as F
     h = P.helper_view(_rollup_of(t, "Ports"), "OrdersCompletedPerPort")
     return canon(h.select("Ports", M.older_port_sort(F.col("Ports")).alias("SortOrder")).distinct())
+
+
+@register("M36_test_customer_orders_picked", """select count(*) as "test Customer Orders Picked" from fulfillment_orders
+where lower(Status) = 'completed' and coalesce(strftime(LastUpdatedDate, '%Y-%m-%d'), '') = ''""")
+def m36(t):
+    return canon(M.test_customer_orders_picked(model_of(t)))
+
+
+@register("M93_older_cycle_count_open", """select count(distinct t.TaskGroupPrimaryKey) as "DistinctTaskGroupCount (Orders)",
+  count(*) as "CycleCountOpenTasks (Lines)"
+from tasks_cyclecount cc join inventory_tasks t on t.PrimaryKey = cc.InventoryTaskPrimaryKey
+  and cast(t.LastUpdatedDate as date) = cast(cc.LastUpdatedDate as date) where not t.IsClosed""")
+def m93(t):
+    return canon(M.older_cycle_count_open(model_of(t)))

@@ -608,3 +608,25 @@ class Model:
             "ContainerPrimaryKey", "ContainerSide", "XPosition", "YPosition",
             F.concat_ws("-", F.col("ContainerPrimaryKey").cast("string"), F.col("XPosition").cast("string"),
                         F.col("YPosition").cast("string")).alias("Barcode"))
+
+
+def test_customer_orders_picked(m) -> DataFrame:
+    """Completed fulfillment orders whose LastUpdatedDate and
+    LastUpdatedDateInventory fall on the same day (BLANK formats as '')."""
+    fo = m.fulfillment_orders
+    if "LastUpdatedDateInventory" not in fo.columns:
+        fo = fo.withColumn("LastUpdatedDateInventory", F.lit(None).cast("timestamp"))
+    f = fo.filter((F.lower("Status") == "completed") & _same_day_text("LastUpdatedDate", "LastUpdatedDateInventory"))
+    return _scalar(f, F.count(F.lit(1)), "test Customer Orders Picked")
+
+
+def older_cycle_count_open(m) -> DataFrame:
+    """The older model's DistinctTaskGroupCount and CycleCountOpenTasks:
+    cycle-count rows joined to open tasks on the task key and the same
+    LastUpdatedDate day (the model's cross join + filter is this equi-join)."""
+    t = m.inventory_tasks.filter(F.col("IsClosed") == F.lit(False)).select(
+        F.col("PrimaryKey").alias("InventoryTaskPrimaryKey"), "TaskGroupPrimaryKey", F.to_date("LastUpdatedDate").alias("_d"))
+    cc = m.tasks_cyclecount.select("InventoryTaskPrimaryKey", F.to_date("LastUpdatedDate").alias("_d"))
+    j = cc.join(t, ["InventoryTaskPrimaryKey", "_d"])
+    return j.agg(F.count_distinct("TaskGroupPrimaryKey").alias("DistinctTaskGroupCount (Orders)"),
+                 F.count(F.lit(1)).alias("CycleCountOpenTasks (Lines)"))
