@@ -140,10 +140,6 @@ select coalesce(case when u is null or u + q = 0 then null else u / (u + q) end,
 }
 
 
-def _cast_for(name: str) -> str:
-    return "varchar" if name.startswith("%") and "Units" not in name and "Total Bin(s)" not in name else None
-
-
 for _key, (_name, _fn, _sql) in _SCALAR.items():
     def _q(t, _fn=_fn):
         return canon(_fn(model_of(t)))
@@ -193,11 +189,6 @@ def m42(t):
 
 # ---- daily KPI sums (M52, M54-M65) --------------------------------------------------------
 
-_KPI_SUM_SQL = {
-    "Presentations Putaway": ("M52", "select sum(cast(v as bigint)) from (select v from ({p28}) x)"),
-}
-
-
 def _kpi_view_sql(metric: str) -> str:
     """Per-date SQL of one KPI view, from the P oracles."""
     from opsgrain.plans.catalog import REGISTRY

@@ -12,7 +12,7 @@ from opsgrain.oracle.staging_sql import STAGING_CTES
 from opsgrain.plans import pages as P
 from opsgrain.plans import rollups as R
 from opsgrain.plans.catalog import add_ctes, canon, register, sel
-from opsgrain.plans.items_events import EVENT_SPEC, ROLLUP_SPEC, work_events
+from opsgrain.plans.items_events import ROLLUP_SPEC, work_events
 from opsgrain.plans.items_pages import _rollup_of, daily_of
 from opsgrain.sources import staging as S
 

@@ -813,9 +813,8 @@ def _visible_value_units(kind: str) -> Column:
         return _u(kind[4:])
     h = _u("RateDenominatorHours")
     if kind.startswith("rate:"):
-        n = F.col(kind[5:]).cast("bigint")
         return F.when(h > 0, F.expr(f"(CAST({kind[5:]} AS BIGINT) * 200000000 + CAST(RateDenominatorHours * 10000 AS BIGINT)) "
-                                    f"div (2 * CAST(RateDenominatorHours * 10000 AS BIGINT))")) if n is not None else None
+                                    f"div (2 * CAST(RateDenominatorHours * 10000 AS BIGINT))"))
     b = F.col("BinPresentationsCompleted")
     return F.when(b > 0, F.expr("(CAST(ActiveHandleMinutes * 10000 AS BIGINT) * 2 + BinPresentationsCompleted) "
                                 "div (2 * BinPresentationsCompleted)"))

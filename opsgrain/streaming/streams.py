@@ -27,7 +27,7 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from opsgrain.operators.temporal import pair_sessions
-from opsgrain.plans.pages import category_label, port_label  # noqa: F401  (labels shared with the batch page)
+from opsgrain.plans.pages import port_label  # the batch page's port labels
 from opsgrain.session import checkpoint_dir
 from opsgrain.sources.staging import event_hash
 
