@@ -37,20 +37,26 @@ def add_ctes(ctes: dict[str, str]) -> None:
 
 
 def materialized(t, key: str, build: Callable[[], DataFrame]) -> DataFrame:
-    """Build an aggregated report table once per table catalogue and write it
-    to the session's checkpoint folder (``spark.checkpoint.dir``, shared
-    storage on a cluster).  Pages and gates that read it again then scan the
-    stored table instead of re-planning and re-running the event pipeline, and
-    a lost executor cannot take the table with it.  Only aggregated tables
-    (daily grain, roll-ups, throughput) go through here; they are a small
-    fraction of the event data."""
+    """Build a derived table once per table catalogue, write it as parquet
+    under the session's ``spark.checkpoint.dir`` (shared storage on a cluster),
+    and return a reader of that table.
+
+    Used for the grains that many pages, measures and gates read (the event
+    grains, the daily grain, the roll-ups, throughput, de-duplicated
+    telemetry): readers scan a columnar table with column pruning and
+    statistics-based filtering instead of re-running the matching pipeline,
+    the lineage is cut, and a lost executor cannot lose the table."""
     cached = t.__dict__.get(key)
     if cached is None:
         df = build()
         if getattr(t, "materialize", True):
+            import os
+            import uuid
             from opsgrain.session import checkpoint_dir
-            checkpoint_dir(df.sparkSession)
-            df = df.checkpoint(eager=True)
+            spark = df.sparkSession
+            path = os.path.join(checkpoint_dir(spark), "opsgrain-tables", f"{key.strip('_')}-{uuid.uuid4().hex}")
+            df.write.mode("overwrite").parquet(path)
+            df = spark.read.parquet(path)
         cached = t.__dict__[key] = df
     return cached
 

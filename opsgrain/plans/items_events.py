@@ -8,7 +8,7 @@ from opsgrain.functions.tsql import clock_ms
 from opsgrain.operators import events as E
 from opsgrain.oracle.core_sql import CORE_CTES, ROLLUP_CTES, clock_ms_sql
 from opsgrain.plans import rollups as R
-from opsgrain.plans.catalog import add_ctes, canon, register, sel
+from opsgrain.plans.catalog import add_ctes, canon, materialized, register, sel
 
 add_ctes(CORE_CTES)
 add_ctes(ROLLUP_CTES)
@@ -34,12 +34,8 @@ def _sessions(t):
 
 
 def work_events(t):
-    """The v2 work-event stream for a table catalogue (memoised per catalogue)."""
-    ev = t.__dict__.get("_work_events")
-    if ev is None:
-        ev = E.work_events(t)
-        t.__dict__["_work_events"] = ev
-    return ev
+    """The v2 work-event stream for a table catalogue, materialised once."""
+    return materialized(t, "_work_events", lambda: E.work_events(t))
 
 
 @register("E07_location_map", f"select LocationPrimaryKey, LocationBarcode from locmap")

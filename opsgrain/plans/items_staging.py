@@ -11,7 +11,7 @@ from opsgrain.operators import events as E
 from opsgrain.oracle.staging_sql import STAGING_CTES
 from opsgrain.plans import pages as P
 from opsgrain.plans import rollups as R
-from opsgrain.plans.catalog import add_ctes, canon, register, sel
+from opsgrain.plans.catalog import add_ctes, canon, materialized, register, sel
 from opsgrain.plans.items_events import ROLLUP_SPEC, work_events
 from opsgrain.plans.items_pages import _rollup_of, daily_of
 from opsgrain.sources import staging as S
@@ -26,10 +26,7 @@ def sources_of(t):
 
 
 def dedup_of(t):
-    d = t.__dict__.get("_dedup")
-    if d is None:
-        d = t.__dict__["_dedup"] = S.dedupe_metrics(sources_of(t))
-    return d
+    return materialized(t, "_dedup", lambda: S.dedupe_metrics(sources_of(t)))
 
 
 @register("S01_metric_sources", f"select {sel(METRIC_SPEC)} from metric_sources")
@@ -105,10 +102,7 @@ V1_SPEC = ("EventType, EventKey, UserName, Port, EventDate:D, StartTime:T, EndTi
 
 
 def ev1_of(t):
-    d = t.__dict__.get("_ev1")
-    if d is None:
-        d = t.__dict__["_ev1"] = E.work_events_v1(t)
-    return d
+    return materialized(t, "_ev1", lambda: E.work_events_v1(t))
 
 
 @register("E05_pick_sessions_v1", "select " + sel(
