@@ -17,6 +17,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opsgrain.functions.frames import beside
 from opsgrain.plans import pages as P
 
 # ---- DAX filter helpers ----------------------------------------------------------------
@@ -77,9 +78,8 @@ def total_bins(m) -> DataFrame:
 
 
 def _pair(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Two one-row results side by side (a join of one-row tables on a
-    constant key, not a cross join of data)."""
-    return a.withColumn("_one", F.lit(1)).join(b.withColumn("_one", F.lit(1)), "_one").drop("_one")
+    """Two one-row results side by side (scalar subquery, no join)."""
+    return beside(a, b)
 
 
 def pct_bins(m, empty: bool = False) -> DataFrame:

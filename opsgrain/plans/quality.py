@@ -1,7 +1,7 @@
 """Coverage, reconciliation and gates (Q items) as DataFrames.
 
 Gates are one-row aggregates; several one-row results are placed side by side
-with a constant-key join of single-row tables (bounded, never data-sized).
+with scalar subqueries (``functions.frames.beside``), never with a join.
 """
 
 from __future__ import annotations
@@ -9,14 +9,13 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from opsgrain.functions.frames import beside
 from opsgrain.sources.staging import EVENT_DESCRIPTIONS
 
 
 def _one_row_join(*dfs: DataFrame) -> DataFrame:
-    out = dfs[0].withColumn("_one", F.lit(1))
-    for d in dfs[1:]:
-        out = out.join(d.withColumn("_one", F.lit(1)), "_one")
-    return out.drop("_one")
+    """One-row aggregates side by side (scalar subqueries, no join)."""
+    return beside(*dfs)
 
 
 def _cnt(cond: Column) -> Column:

@@ -17,6 +17,8 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from opsgrain.functions.frames import beside
+
 LEDGER_SCHEMA = T.StructType([
     T.StructField("Id", T.LongType()), T.StructField("JobName", T.StringType()),
     T.StructField("DatabaseName", T.StringType()), T.StructField("TableName", T.StringType()),
@@ -96,8 +98,7 @@ def ledger_from_batches(report_data: DataFrame, job: str = "TableSync", database
     b = report_data.groupBy("BatchId").agg(
         F.min("PrimaryKey").alias("StartPrimaryKey"), F.max("PrimaryKey").alias("EndPrimaryKey"),
         F.min("TimeStamp").alias("SyncStartTime"), F.max("TimeStamp").alias("_end"), F.count(F.lit(1)).alias("_n"))
-    last = b.agg(F.max("BatchId").alias("_last")).withColumn("_one", F.lit(1))  # one row, broadcast
-    b = b.withColumn("_one", F.lit(1)).join(F.broadcast(last), "_one").withColumn("IsCompleted", F.col("BatchId") < F.col("_last"))
+    b = b.withColumn("IsCompleted", F.col("BatchId") < b.agg(F.max("BatchId")).scalar())
     def rows(top: bool) -> DataFrame:
         return b.select(
             (F.col("BatchId") * 2 + (0 if top else 1)).alias("Id"), F.lit(job).alias("JobName"),
@@ -194,8 +195,7 @@ def snapshot_health(targets, default_start: dt.date) -> DataFrame:
                     ("MaxSnapshotId", "bigint"), ("RowsInLatestSnapshot", "bigint"), ("RowsInPowerBIDefaultWindow", "bigint"))])
         else:
             d = F.to_date(_opt(df, "Snapshot_Timestamp", "timestamp"))
-            mx = df.agg(F.max("Snapshot_Id").alias("_mx")).withColumn("_one", F.lit(1))
-            j = df.withColumn("_one", F.lit(1)).join(F.broadcast(mx), "_one")
+            j = df.withColumn("_mx", df.agg(F.max("Snapshot_Id")).scalar())
             part = j.agg(
                 F.lit(used_by).alias("UsedBy"), F.lit(name).alias("TableName"), F.lit("OK").alias("ObjectStatus"),
                 F.count(F.lit(1)).alias("Rows"), F.count_distinct("Snapshot_Id").alias("DistinctSnapshotIds"),
@@ -254,7 +254,7 @@ def sync_checks(snap: DataFrame, src: DataFrame, ledger: DataFrame, now: dt.date
         .alias(f"ok_{used}"), F.max(F.when(F.col("UsedBy") == used, F.col("MaxSnapshotDate"))).alias(f"max_{used}"))])
     so = src.agg(F.max(F.when((F.col("ObjectStatus") == "OK") & (F.col("RowsInPowerBIDefaultWindow") > 0), 1)).alias("src_ok"),
                  F.max(F.when(F.col("ObjectStatus") == "OK", F.col("MaxSourceDate"))).alias("src_max"))
-    j = led.withColumn("_one", F.lit(1)).join(sh.withColumn("_one", F.lit(1)), "_one").join(so.withColumn("_one", F.lit(1)), "_one")
+    j = beside(led, sh, so)
     fmt_d = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd"), F.lit("NULL"))
     fmt_t = lambda c: F.coalesce(F.date_format(c, "yyyy-MM-dd HH:mm:ss"), F.lit("NULL"))
     def check(name, status, details):
@@ -292,7 +292,7 @@ def repair_gate(ledger: DataFrame, inventory_snaps: list, inbound_snaps: list, t
         return u.agg(F.max("m").alias("m"))
     inv = max_date(inventory_snaps).withColumnRenamed("m", "InventoryMaxSnapshotDate")
     inb = max_date(inbound_snaps).withColumnRenamed("m", "InboundMaxSnapshotDate")
-    j = led.withColumn("_one", F.lit(1)).join(inv.withColumn("_one", F.lit(1)), "_one").join(inb.withColumn("_one", F.lit(1)), "_one")
+    j = beside(led, inv, inb)
     t = F.lit(today)
     ok = ((F.coalesce(F.col("open"), F.lit(0)) == 0) & (F.to_date("last_end") == t) & (F.col("InventoryMaxSnapshotDate") == t)
           & (F.col("InboundMaxSnapshotDate") == t))

@@ -82,10 +82,10 @@ def parse_events(df: DataFrame, description: str, schema: T.StructType) -> DataF
 
 
 def latest_snapshot(df: DataFrame, col: str = "Snapshot_Id") -> DataFrame:
-    """Rows of the greatest snapshot id (equi-join to the one-row max;
-    with snapshot-partitioned storage this prunes to one partition)."""
-    mx = df.agg(F.max(col).alias("_max_snapshot"))
-    return df.join(F.broadcast(mx), F.col(col) == F.col("_max_snapshot"), "inner").drop("_max_snapshot")
+    """Rows of the greatest snapshot id.  The max is a scalar subquery
+    (evaluated once, no join); on snapshot-partitioned storage the filter
+    becomes a partition filter and prunes to one partition."""
+    return df.filter(F.col(col) == df.agg(F.max(col)).scalar())
 
 
 def latest_by_day(df: DataFrame, keys: Sequence[str], day: Column, snapshot: str = "Snapshot_Id") -> DataFrame:
