@@ -123,3 +123,29 @@ def test_pair_sessions_fixture_f2(spark):
     # stray sign-out (11) takes rank 1 against sign-in 1 but is earlier -> dropped; rank 2: 2 with 12;
     # the session over midnight and NULL location / user never pair
     assert sorted((r.SignInPrimaryKey, r.SignOutPrimaryKey) for r in got) == [(2, 12)]
+
+
+def test_hot_key_split_by_bucket_matches_brute_force(spark):
+    """One container holds most rows across two days of hourly buckets, with
+    long gaps (carry-over across many empty buckets)."""
+    rnd = random.Random(11)
+    lrows, rrows = [], []
+    for i in range(300):
+        k = "HOT" if i % 10 else "cold"
+        lrows.append((i, k, None, _ts(rnd.randrange(60 * 48))))
+    for j in range(40):
+        k = "HOT" if j % 8 else "cold"
+        rrows.append((1000 + j, k, None, _ts(rnd.choice([5, 700, 701, 1500, 2800, 2879]) + rnd.random()), f"v{j}"))
+    left = spark.createDataFrame(lrows, "pk bigint, k string, loc bigint, ts timestamp")
+    right = spark.createDataFrame(rrows, "rpk bigint, k string, loc bigint, rts timestamp, v string")
+    got = nearest_after(left, right, ["k"], "ts", "rts", ["rpk"], ["v"], "m", bucket_seconds=3600)
+    res = {r.pk: ((r.m.ts, r.m.rpk) if r.m is not None else None) for r in got.collect()}
+    assert res == _brute_after(lrows, rrows)
+
+
+def test_as_of_window_partitions_by_key_and_bucket(spark):
+    left = spark.createDataFrame([(1, "a", None, _ts(0))], "pk bigint, k string, loc bigint, ts timestamp")
+    right = spark.createDataFrame([(2, "a", None, _ts(1), "x")], "rpk bigint, k string, loc bigint, rts timestamp, v string")
+    plan = nearest_after(left, right, ["k"], "ts", "rts", ["rpk"], ["v"], "m")._jdf.queryExecution().executedPlan().toString()
+    # the row-level window is hash-partitioned by the key and the time bucket
+    assert any("hashpartitioning(k#" in line and "_b#" in line for line in plan.splitlines())
