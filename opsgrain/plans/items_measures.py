@@ -339,3 +339,9 @@ from tasks_cyclecount cc join inventory_tasks t on t.PrimaryKey = cc.InventoryTa
   and cast(t.LastUpdatedDate as date) = cast(cc.LastUpdatedDate as date) where not t.IsClosed""")
 def m93(t):
     return canon(M.older_cycle_count_open(model_of(t)))
+
+
+@register("M37_test_customer_order_lines", """select count(*) as "test Customer Order Lines" from fulfillment_lines
+where coalesce(strftime(LastUpdatedDate, '%Y-%m-%d'), '') = ''""")
+def m37(t):
+    return canon(M.test_customer_order_lines(model_of(t)))

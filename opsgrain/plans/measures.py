@@ -630,3 +630,15 @@ def older_cycle_count_open(m) -> DataFrame:
     j = cc.join(t, ["InventoryTaskPrimaryKey", "_d"])
     return j.agg(F.count_distinct("TaskGroupPrimaryKey").alias("DistinctTaskGroupCount (Orders)"),
                  F.count(F.lit(1)).alias("CycleCountOpenTasks (Lines)"))
+
+
+def test_customer_order_lines(m) -> DataFrame:
+    """Fulfillment order lines whose LastUpdatedDate and
+    LastUpdatedDateInventory fall on the same day.  The model's filter on
+    FulfillmentOrders does not reach the lines: no relationship joins the two
+    tables, so only the lines' own date condition applies."""
+    li = m.fulfillment_lines
+    if "LastUpdatedDateInventory" not in li.columns:
+        li = li.withColumn("LastUpdatedDateInventory", F.lit(None).cast("timestamp"))
+    return _scalar(li.filter(_same_day_text("LastUpdatedDate", "LastUpdatedDateInventory")), F.count(F.lit(1)),
+                   "test Customer Order Lines")
