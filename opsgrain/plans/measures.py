@@ -407,26 +407,22 @@ def kpi_views_long(m, as_of: dt.date) -> DataFrame:
     """The 13 daily KPI views in long form (Metric, Date, Value)."""
     t = m
     parts = [
-        P.on_hand(t.inventory, t.containers, t.units_of_measure, "Total SKUs On Hand", as_of),
-        P.on_hand(t.inventory, t.containers, t.units_of_measure, "Total Units On Hand", as_of),
-        P.on_hand(t.inventory, t.containers, t.units_of_measure, "Total Locations Occupied", as_of),
         P.putaway("Orders Putaway", t.putaway_containers),
         P.putaway("Units Putaway", t.putaway_containers, t.putaway_lines),
         P.putaway("Skus Putaway", t.putaway_containers, t.putaway_lines, t.units_of_measure),
         P.putaway("Presentations Putaway", t.putaway_containers, tasks_putaway=t.tasks_putaway,
                   tasks=t.inventory_tasks, actions=t.task_actions),
-        P.on_hand(t.inventory, t.containers, t.units_of_measure, "Distinct bins inventory added", as_of),
-        P.on_hand(t.inventory, t.containers, t.units_of_measure, "Distinct bin compartments that had inventory", as_of),
         P.historical(m.daily, "Customer_Orders_Picked"),
         P.historical(m.daily, "Customer_Order_Lines"),
         P.historical(m.daily, "Units_Picked"),
         P.distinct_skus_picked(t.pick),
     ]
-    out = None
+    # the five on-hand views share one join and one aggregate
+    out = P.on_hand_all(t.inventory, t.containers, t.units_of_measure, as_of)
     for df in parts:
         metric = df.columns[1]
         d = df.select(F.lit(metric).alias("Metric"), F.col("Date"), F.col(f"`{metric}`").cast("bigint").alias("Value"))
-        out = d if out is None else out.unionByName(d)
+        out = out.unionByName(d)
     return out
 
 

@@ -176,6 +176,29 @@ def on_hand(inventory: DataFrame, containers: DataFrame, units_of_measure: DataF
     return rows.agg(value.cast("bigint").alias(metric)).select(F.lit(as_of).alias("Date"), metric)
 
 
+ON_HAND_METRICS = ["Total SKUs On Hand", "Total Units On Hand", "Total Locations Occupied",
+                   "Distinct bins inventory added", "Distinct bin compartments that had inventory"]
+
+
+def on_hand_all(inventory: DataFrame, containers: DataFrame, units_of_measure: DataFrame,
+                as_of: dt.date | None = None) -> DataFrame:
+    """P26 + P27 in one pass: the five on-hand KPIs from a single join and a
+    single aggregate, in long form (Metric, Date, Value)."""
+    as_of = as_of or dt.date.today()
+    uom = units_of_measure.select(F.col("PrimaryKey").alias("UnitOfMeasurePrimaryKey"), "Snapshot_Id",
+                                  F.col("ProductPrimaryKey"))
+    rows = on_hand_rows(inventory, containers).join(uom, on=["UnitOfMeasurePrimaryKey", "Snapshot_Id"], how="left")
+    a = rows.agg(
+        F.count_distinct(F.coalesce(F.col("ProductPrimaryKey"), F.col("UnitOfMeasurePrimaryKey"))).cast("bigint").alias("m0"),
+        F.sum(F.coalesce(F.col("Quantity"), F.lit(0))).cast("bigint").alias("m1"),
+        F.count_distinct(location_key()).cast("bigint").alias("m2"),
+        F.count_distinct(F.col("ContainerPrimaryKey")).cast("bigint").alias("m3"),
+    )
+    vals = [F.col("m0"), F.col("m1"), F.col("m2"), F.col("m3"), F.col("m2")]
+    arr = F.array(*[F.struct(F.lit(n).alias("Metric"), v.alias("Value")) for n, v in zip(ON_HAND_METRICS, vals)])
+    return a.select(F.explode(arr).alias("k")).select("k.Metric", F.lit(as_of).alias("Date"), "k.Value")
+
+
 # ---- inbound P28 ---------------------------------------------------------------------------
 
 def _closed_containers(pac: DataFrame) -> DataFrame:
