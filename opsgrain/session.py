@@ -3,7 +3,6 @@ library relies on."""
 
 from __future__ import annotations
 
-import os
 import tempfile
 
 from pyspark.sql import SparkSession
@@ -37,17 +36,18 @@ def ensure_utc(spark: SparkSession) -> None:
 
 
 def checkpoint_dir(spark: SparkSession) -> str:
-    """The shared checkpoint folder named by ``spark.checkpoint.dir``.
+    """The shared folder for intermediate tables, named by ``spark.checkpoint.dir``.
 
-    On a cluster the setting must point at shared storage and is only read.
-    When it is unset (local tests) a scratch folder is created and registered.
+    On a cluster the setting must point at shared storage and is only read; a
+    missing setting is an error there.  With a ``local`` master the driver and
+    the tasks are one process on one machine, so a scratch folder serves.
     """
     configured = spark.conf.get("spark.checkpoint.dir", None) or spark.sparkContext.getCheckpointDir()
-    if configured:
-        if not spark.sparkContext.getCheckpointDir():
-            spark.sparkContext.setCheckpointDir(configured)
-        return configured
-    path = tempfile.mkdtemp(prefix="opsgrain-ckpt-", dir=os.environ.get("TMPDIR", "/tmp"))
-    spark.conf.set("spark.checkpoint.dir", path)
-    spark.sparkContext.setCheckpointDir(path)
-    return path
+    if not configured:
+        master = spark.sparkContext.master
+        if master != "local" and not master.startswith("local["):
+            raise RuntimeError("spark.checkpoint.dir must name a folder that the driver and all executors share")
+        configured = tempfile.mkdtemp(prefix="opsgrain-ckpt-")
+    if not spark.sparkContext.getCheckpointDir():
+        spark.sparkContext.setCheckpointDir(configured)
+    return configured
