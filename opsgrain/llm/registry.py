@@ -5,12 +5,18 @@ from __future__ import annotations
 from collections.abc import Callable
 
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
-from opsgrain.llm import host_rules, url_filter, warc
+from opsgrain.llm import host_rules, packing, token_counts, token_files, url_filter, warc
 from opsgrain.llm.common import load
 from opsgrain.llm.oracle import ORACLES
 
 
+def op1_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    counts = token_counts.token_counts(load(spark, sf_dir, "documents"))
+    return counts.withColumn("over_limit", F.col("n_tokens") > 1024)
+
+
 def op2_quality_rules(spark: SparkSession, sf_dir: str) -> DataFrame:
     return host_rules.apply_host_rules(load(spark, sf_dir, "documents")).select(
         "doc_id", "n_words", "word_chars", "n_symbols", "n_dup_lines", "n_repeat_words", "base_failed", "kept")
@@ -20,12 +26,20 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve_revisits(warc.captures(load(spark, sf_dir, "pages")))
 
 
+def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return packing.pack(load(spark, sf_dir, "documents"), payload=F.crc32("ids").alias("ids_crc32"))
+
+
+def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return token_files.round_trip(load(spark, sf_dir, "documents"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(load(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op2_quality_rules, op3_warc, op10_url_filters)
+    f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_warc, op6_packing, op7_token_files, op10_url_filters)
 }
 
 
