@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsgrain.llm import host_rules, packing, token_counts, token_files, url_filter, warc
+from opsgrain.llm import host_rules, packing, simhash, token_counts, token_files, url_filter, warc
 from opsgrain.llm.common import load
 from opsgrain.llm.oracle import ORACLES
 
@@ -26,6 +26,11 @@ def op3_warc(spark: SparkSession, sf_dir: str) -> DataFrame:
     return warc.resolve_revisits(warc.captures(load(spark, sf_dir, "pages")))
 
 
+def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = simhash.near_duplicates(load(spark, sf_dir, "documents"))
+    return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), payload=F.crc32("ids").alias("ids_crc32"))
 
@@ -39,7 +44,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_warc, op6_packing, op7_token_files, op10_url_filters)
+    f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_warc, op4_simhash, op6_packing, op7_token_files, op10_url_filters)
 }
 
 
