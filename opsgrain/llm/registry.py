@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsgrain.llm import host_rules, packing, simhash, token_counts, token_files, url_filter, warc
+from opsgrain.llm import decontaminate, host_rules, packing, simhash, token_counts, token_files, url_filter, warc
 from opsgrain.llm.common import load
 from opsgrain.llm.oracle import ORACLES
 
@@ -39,12 +39,17 @@ def op7_token_files(spark: SparkSession, sf_dir: str) -> DataFrame:
     return token_files.round_trip(load(spark, sf_dir, "documents"))
 
 
+def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One row for each document and benchmark item that a passage of it holds."""
+    return decontaminate.contaminated(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
     return url_filter.judge_urls(load(spark, sf_dir, "pages")).select("page_id", "host", "path", "rule", "verdict")
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_warc, op4_simhash, op6_packing, op7_token_files, op10_url_filters)
+    f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_warc, op4_simhash, op6_packing, op7_token_files, op8_decontamination, op10_url_filters)
 }
 
 
