@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsgrain.llm import decontaminate, host_rules, packing, simhash, token_counts, token_files, toxicity, url_filter, warc
+from opsgrain.llm import decontaminate, host_rules, packing, perplexity, simhash, token_counts, token_files, toxicity, url_filter, warc
 from opsgrain.llm.common import load
 from opsgrain.llm.oracle import ORACLES
 
@@ -31,6 +31,11 @@ def op4_simhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return found.select("doc_id", F.lower(F.lpad(F.hex("fp"), 16, "0")).alias("fingerprint"), "component_id")
 
 
+def op5_quality_classifier(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = load(spark, sf_dir, "documents").select("doc_id", "text", "lang")
+    return perplexity.judge(docs, load(spark, sf_dir, "labels")).select("doc_id", "perplexity", "shrunk", "threshold", "kept")
+
+
 def op6_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     return packing.pack(load(spark, sf_dir, "documents"), payload=F.crc32("ids").alias("ids_crc32"))
 
@@ -55,7 +60,7 @@ def op10_url_filters(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_warc, op4_simhash, op6_packing, op7_token_files, op8_decontamination, op9_toxicity, op10_url_filters)
+    f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_warc, op4_simhash, op5_quality_classifier, op6_packing, op7_token_files, op8_decontamination, op9_toxicity, op10_url_filters)
 }
 
 
