@@ -38,7 +38,8 @@ BEGIN, END = 0xFF, 0xFE  # bytes that UTF-8 never has
 SYMBOLS = 258
 SHARD = 4_000_000
 BINS = 1000  # steps of a nat in which quantiles are taken
-COLUMNS = ("loss", "grams", "trusted", "threshold")
+#: Columns that the operator adds; those of the same name are replaced.
+COLUMNS = ("loss", "grams", "trusted", "mean", "threshold", "shrunk", "perplexity", "kept")
 
 
 def grams(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarray]:
