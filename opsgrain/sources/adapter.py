@@ -1,9 +1,10 @@
 """Reference-shaped input tables derived from the driver's synthetic tables.
 
 Each method returns one input table of the reporting layer (FIXTURES.md §2)
-as a lazy DataFrame over the parquet files.  Every source row is assigned to
-one role by a deterministic rule on its id (for example clicks with an even id
-are close-bin events, odd ones open-bin events); nothing is sampled away.
+as a lazy DataFrame over the parquet files.  Every source row is used: where a
+source table plays two roles, a deterministic rule on its id splits it (clicks
+with an even id are close-bin events, odd ones open-bin events), and special
+cases are values (an older snapshot, a missing date), never missing rows.
 Snapshot copies and source copies are produced with ``explode`` over a
 literal array, which is a bounded per-row fan-out and not a join.
 
@@ -147,7 +148,7 @@ class Tables:
     def order_rows(self) -> DataFrame:
         eid = F.col("event_id")
         to = F.floor(eid / 7).cast("bigint")
-        return self._events_of("signup").filter(eid % 3 == 0).select(
+        return self._events_of("signup").select(
             eid.alias("PrimaryKey"),
             F.col("ts").alias("TimeStamp"),
             to.alias("OrderPrimaryKey"),
@@ -174,17 +175,24 @@ class Tables:
     def metric_sources(self) -> DataFrame:
         eid = F.col("event_id")
         copies = F.filter(F.array(*[F.lit(i) for i in (1, 2, 3, 4)]), lambda s: (s == 1) | (eid % s == 0))
-        e = self._events_of("signup", "error").withColumn("sid", F.explode(copies))
+        e = self.ev.withColumn("sid", F.explode(copies))
         js = F.concat(
             F.lit('{"User":"'), F.col("usr"), F.lit('","LocationPrimaryKey":"'), _s(F.col("loc")),
-            F.lit('","LocationBarcode":"'), F.col("port"), F.lit('"}'),
+            F.lit('","LocationBarcode":"'), F.col("port"), F.lit('","ContainerBarcode":"'), F.col("bin"),
+            F.lit('","Quantity":"'), _s(F.floor(F.col("value")).cast("bigint")), F.lit('"}'),
+        )
+        kind, wt = F.col("event_type"), F.col("wt")
+        description = (
+            F.when(kind == "signup", F.concat(wt, F.lit("-SignIn"))).when(kind == "error", F.concat(wt, F.lit("-SignOut")))
+            .when(kind == "view", "BinPresented").when((kind == "click") & (eid % 2 == 0), "CloseBin").when(kind == "click", "OpenBin")
+            .when(wt == "PutAway", "PutAway").when(wt == "CycleCount", "CycleCountService").when(wt == "OnDemand", "Order").otherwise("Pick")
         )
         return e.select(
             F.col("sid").alias("SourcePriority"),
             F.concat(F.lit("db"), _s(F.col("sid"))).alias("SourceDatabase"),
             F.lit("ReportedMetrics").alias("SourceTable"),
             (eid + F.col("sid")).alias("SourcePrimaryKey"),
-            F.concat(F.col("wt"), F.when(F.col("event_type") == "signup", "-SignIn").otherwise("-SignOut")).alias("DataDescription"),
+            description.alias("DataDescription"),
             F.col("ts").alias("EventTimestamp"),
             js.alias("JsonData"),
         )
@@ -243,11 +251,11 @@ class Tables:
     @cached_property
     def units_of_measure(self) -> DataFrame:
         p = self.raw("part").select("p_partkey", "p_size")
-        return p.filter(F.col("p_partkey") % 10 != 9).select(
+        return p.select(
             F.col("p_partkey").alias("PrimaryKey"),
             (F.col("p_partkey") % 500).alias("ProductPrimaryKey"),
             (F.col("p_size") % 4).alias("BaseMultiple"),
-            F.lit(2).alias("Snapshot_Id"),
+            F.when(F.col("p_partkey") % 10 == 9, 1).otherwise(2).alias("Snapshot_Id"),
         )
 
     @cached_property
@@ -290,7 +298,7 @@ class Tables:
 
     @cached_property
     def putaway_containers(self) -> DataFrame:
-        o = self.raw("orders").select("o_orderkey", "o_orderstatus", "o_orderdate").filter(F.col("o_orderkey") % 3 == 0)
+        o = self.raw("orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
         closed = F.col("o_orderstatus") == "F"
         od = F.col("o_orderdate").cast("timestamp")
         return o.select(
@@ -307,7 +315,7 @@ class Tables:
 
     @cached_property
     def putaway_lines(self) -> DataFrame:
-        li = self._lines("l_partkey", "l_quantity", "l_shipdate").filter(F.col("l_orderkey") % 3 == 0)
+        li = self._lines("l_partkey", "l_quantity", "l_shipdate")
         ln = F.col("l_linenumber")
         q = F.col("l_quantity").cast("bigint")
         return li.select(
@@ -323,7 +331,7 @@ class Tables:
 
     @cached_property
     def inventory_tasks(self) -> DataFrame:
-        li = self._lines("l_suppkey", "l_linestatus", "l_shipdate").filter(F.col("l_orderkey") % 3 < 2)
+        li = self._lines("l_suppkey", "l_linestatus", "l_shipdate")
         return li.select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("PrimaryKey"),
             F.col("l_suppkey").alias("TaskGroupPrimaryKey"),
@@ -334,7 +342,7 @@ class Tables:
 
     @cached_property
     def tasks_putaway(self) -> DataFrame:
-        li = self._lines("l_suppkey").filter(F.col("l_orderkey") % 3 == 0)
+        li = self._lines("l_suppkey")
         return li.select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("InventoryTaskPrimaryKey"),
             F.col("l_orderkey").alias("PutAwayContainerPrimaryKey"),
@@ -343,7 +351,7 @@ class Tables:
 
     @cached_property
     def task_actions(self) -> DataFrame:
-        li = self._lines("l_partkey").filter(F.col("l_orderkey") % 3 < 2)
+        li = self._lines("l_partkey")
         return li.select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("InventoryTaskPrimaryKey"),
             _ifnull_when(F.col("l_linenumber") == 4, F.col("l_partkey") % 100).alias("NewContainerPrimaryKey"),
@@ -351,7 +359,7 @@ class Tables:
 
     @cached_property
     def tasks_cyclecount(self) -> DataFrame:
-        li = self._lines("l_shipdate").filter(F.col("l_orderkey") % 3 == 1)
+        li = self._lines("l_shipdate")
         return li.select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("InventoryTaskPrimaryKey"),
             F.col("l_orderkey").alias("ContainerPrimaryKey"),
