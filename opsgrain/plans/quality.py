@@ -603,9 +603,9 @@ def smoke_kpi(kpi_long: DataFrame, as_of) -> DataFrame:
     missing = F.array_join(F.array_sort(F.array_except(expected, F.col("present"))), ", ")
     status = F.when((F.col("n") == 0) | (F.col("nd") > 0) | (F.col("nv") > 0) | (F.col("d1") < recent), "FAIL") \
         .when(F.col("sc") < 13, "WARN").otherwise("PASS")
-    details = F.concat(F.lit("Expected 13 KPI sources; found "), _s(F.col("sc")),
-                       F.when(missing != "", F.concat(F.lit("; missing sources: "), missing)).otherwise(F.lit("")),
-                       F.lit(". Recent window starts "), _iso(recent), F.lit("."))
+    details = F.concat(F.lit("KPI sources (of 13): "), _s(F.col("sc")),
+                       F.when(missing != "", F.concat(F.lit(", absent: "), missing)).otherwise(F.lit("")),
+                       F.lit(", window from "), _iso(recent), F.lit("."))
     return _smoke(s, "Daily KPI Summary Report", "KPI source views have recent usable rows", F.col("n"), F.col("d0"),
                   F.col("d1"), F.col("nd") + F.col("nv") + F.when(F.col("sc") < 13, 1).otherwise(0), status, details)
 
@@ -625,9 +625,9 @@ def smoke_productivity(daily: DataFrame, as_of) -> DataFrame:
               _cnt(F.col("Ports") != "Unattributed").alias("wp"), _cnt(F.col("_b") <= 0).alias("zero"))
     status = F.when((F.col("n") == 0) | (F.col("bad") > 0) | (F.col("d1") < recent), "FAIL") \
         .when(F.col("rec") == 0, "WARN").otherwise("PASS")
-    details = F.concat(F.lit("Rows with named user: "), _s(F.col("wu")), F.lit("; rows with named port: "), _s(F.col("wp")),
-                       F.lit("; activity rows: "), _s(F.col("act")), F.lit("; recent activity rows: "), _s(F.col("rec")),
-                       F.lit("; zero-activity rows hidden by PBIX measures: "), _s(F.col("zero")), F.lit("."))
+    details = F.concat(F.lit("user named: "), _s(F.col("wu")), F.lit(", port named: "), _s(F.col("wp")),
+                       F.lit(", active: "), _s(F.col("act")), F.lit(", active in window: "), _s(F.col("rec")),
+                       F.lit(", idle: "), _s(F.col("zero")), F.lit("."))
     return _smoke(s, "Productivity by User / Port", "Daily productivity grain has recent pick rows", F.col("n"), F.col("d0"),
                   F.col("d1"), F.col("bad") + F.when(F.col("rec") == 0, 1).otherwise(0), status, details)
 
@@ -641,7 +641,7 @@ def smoke_throughput(throughput: DataFrame, as_of) -> DataFrame:
     s = throughput.agg(F.count(F.lit(1)).alias("n"), F.min("Date").alias("d0"), F.max("Date").alias("d1"), _cnt(bad).alias("bad"))
     status = F.when((F.col("n") == 0) | (F.col("bad") > 0) | (F.col("d1") < recent), "FAIL").otherwise("PASS")
     return _smoke(s, "Throughput", "Throughput view has recent usable rows", F.col("n"), F.col("d0"), F.col("d1"), F.col("bad"),
-                  status, F.concat(F.lit("Recent window starts "), _iso(recent), F.lit(".")))
+                  status, F.concat(F.lit("window from "), _iso(recent), F.lit(".")))
 
 
 def smoke_historical(historical: dict, as_of) -> DataFrame:
@@ -656,7 +656,7 @@ def smoke_historical(historical: dict, as_of) -> DataFrame:
               F.count_distinct("SourceName").alias("sc"))
     status = F.when((F.col("n") == 0) | (F.col("nd") > 0) | (F.col("nv") > 0) | (F.col("d1") < start), "FAIL") \
         .when(F.col("sc") < 4, "WARN").otherwise("PASS")
-    details = F.concat(F.lit("Expected 4 historical sources; found "), _s(F.col("sc")), F.lit(". History window starts "),
+    details = F.concat(F.lit("dailies (of 4): "), _s(F.col("sc")), F.lit(", history from "),
                        _iso(start), F.lit("."))
     return _smoke(s, "Historical Dashboard", "Trailing 30-day trend views have usable rows", F.col("n"), F.col("d0"), F.col("d1"),
                   F.col("nd") + F.col("nv") + F.when(F.col("sc") < 4, 1).otherwise(0), status, details)
@@ -679,9 +679,9 @@ def matrix_completeness(matrix: DataFrame) -> DataFrame:
     j = _one_row_join(m, g)
     fail = ((F.col("n") == 0) | (F.col("bad") > 0) | (F.col("mc") != 18) | (F.col("missing") > 0) | (F.col("dup") > 0)
             | (F.col("unexp") > 0))
-    details = F.concat(F.lit("Labels: "), _s(F.col("lc")), F.lit("; distinct metric names: "), _s(F.col("mc")),
-                       F.lit("; missing metric instances: "), _s(F.col("missing")), F.lit("; duplicate metric rows: "),
-                       _s(F.col("dup")), F.lit("; unexpected metric rows: "), _s(F.col("unexp")), F.lit("."))
+    details = F.concat(F.lit("labels: "), _s(F.col("lc")), F.lit(", metrics: "), _s(F.col("mc")),
+                       F.lit(", cells missing: "), _s(F.col("missing")), F.lit(", cells repeated: "),
+                       _s(F.col("dup")), F.lit(", cells unknown: "), _s(F.col("unexp")), F.lit("."))
     return _smoke(j, "Inventory & Location Table Summary", "Inventory/location summary has complete metric rows", F.col("n"),
                   F.lit(None), F.lit(None), F.col("bad") + F.col("missing") + F.col("dup") + F.col("unexp")
                   + F.when(F.col("mc") != 18, 1).otherwise(0), F.when(fail, "FAIL").otherwise("PASS"), details)
@@ -719,9 +719,9 @@ def _consolidation_status() -> Column:
 
 def _row_quality_text() -> Column:
     return F.concat(
-        F.lit("; missing display rows: "), _s(F.col("miss")), F.lit("; missing optional metric rows: "), _s(F.col("opt")),
-        F.lit("; negative value rows: "), _s(F.col("neg")), F.lit("; bad fragmentation denominators: "), _s(F.col("bden")),
-        F.lit("; bad fragmentation rows: "), _s(F.col("bfrag")))
+        F.lit(", without label: "), _s(F.col("miss")), F.lit(", without capacity: "), _s(F.col("opt")),
+        F.lit(", negative: "), _s(F.col("neg")), F.lit(", no denominator: "), _s(F.col("bden")),
+        F.lit(", fragmentation off scale: "), _s(F.col("bfrag")))
 
 
 def consolidation_quality(report: DataFrame, source: DataFrame | None) -> DataFrame:
@@ -730,10 +730,10 @@ def consolidation_quality(report: DataFrame, source: DataFrame | None) -> DataFr
     sr, n = F.col("sr"), F.col("n")
     issues = F.col("miss") + F.col("neg") + F.col("bden") + F.col("bfrag") + F.when((sr > 0) & (n == 0), 1).otherwise(0)
     details = F.concat(
-        F.lit("Source rows: "), F.coalesce(_s(sr), F.lit("unavailable")), F.lit("; report rows: "), _s(n),
-        F.lit("; source quantity: "), F.coalesce(_s(F.col("sq")), F.lit("unavailable")), F.lit("; distinct SKUs: "),
-        _s(F.col("skus")), F.lit("; compartment sizes: "), _s(F.col("sizes")), _row_quality_text(),
-        F.lit(". Zero rows can mean no current consolidation candidates only when source rows are also zero."))
+        F.lit("in source: "), F.coalesce(_s(sr), F.lit("unavailable")), F.lit(", in report: "), _s(n),
+        F.lit(", units in source: "), F.coalesce(_s(F.col("sq")), F.lit("unavailable")), F.lit(", SKUs: "),
+        _s(F.col("skus")), F.lit(", sizes: "), _s(F.col("sizes")), _row_quality_text(),
+        F.lit(""))
     return _smoke(j, "Consolidation Report", "Consolidation detail has displayable rows", n, F.lit(None), F.lit(None), issues,
                   _consolidation_status(), details)
 
@@ -749,7 +749,7 @@ def smoke_open_work_sources(tables: dict, as_of) -> DataFrame:
               _cnt(F.col("SourceDate").isNull()).alias("nd"), F.count_distinct("SourceName").alias("sc"))
     status = F.when((F.col("n") == 0) | (F.col("nd") > 0), "FAIL").when(F.col("sc") < 6, "WARN") \
         .when(F.col("d1") < recent, "WARN").otherwise("PASS")
-    details = F.concat(F.lit("Expected 6 source tables; found "), _s(F.col("sc")), F.lit(". Recent window starts "),
+    details = F.concat(F.lit("dated tables (of 6): "), _s(F.col("sc")), F.lit(", window from "),
                        _iso(recent), F.lit("."))
     return _smoke(s, "Open Work History", "Open-work source tables have dateable rows", F.col("n"), F.col("d0"), F.col("d1"),
                   F.col("nd") + F.when(F.col("sc") < 6, 1).otherwise(0), status, details)
@@ -763,10 +763,10 @@ def smoke_open_work_counts(open_rows: DataFrame) -> DataFrame:
                   for n in ("Orders Pick", "Lines Pick", "Orders Put", "Lines Put", "Orders Cycle Count", "Lines Cycle Count")])
     c = {k: F.col(k) for k in piv.columns}
     total = sum(c.values(), F.lit(0))
-    details = F.concat(F.lit("Pick orders/lines: "), _s(c["Orders_Pick"]), F.lit("/"), _s(c["Lines_Pick"]),
-                       F.lit("; Put orders/lines: "), _s(c["Orders_Put"]), F.lit("/"), _s(c["Lines_Put"]),
-                       F.lit("; Cycle count orders/lines: "), _s(c["Orders_Cycle_Count"]), F.lit("/"), _s(c["Lines_Cycle_Count"]),
-                       F.lit(". Zero can be a valid current state."))
+    details = F.concat(F.lit("pick "), _s(c["Orders_Pick"]), F.lit("/"), _s(c["Lines_Pick"]),
+                       F.lit(", put "), _s(c["Orders_Put"]), F.lit("/"), _s(c["Lines_Put"]),
+                       F.lit(", count "), _s(c["Orders_Cycle_Count"]), F.lit("/"), _s(c["Lines_Cycle_Count"]),
+                       F.lit(" (orders/lines; none may be right)"))
     return _smoke(piv, "Open Work History", "Current open-work measures are queryable", total, F.lit(None), F.lit(None), F.lit(0),
                   F.when(total == 0, "WARN").otherwise("PASS"), details)
 
@@ -848,8 +848,7 @@ def visible_productivity(daily: DataFrame, as_of) -> DataFrame:
         F.lit("Productivity by User / Port").alias("PageName"), "MetricName", "SourceRows", "ReportRows",
         (F.col("sv") / F.lit(10000)).alias("SourceValue"), (F.col("rv") / F.lit(10000)).alias("ReportValue"),
         "SourceMinDate", "SourceMaxDate", "ReportMinDate", "ReportMaxDate", status.alias("Status"),
-        F.lit("Visible user/port productivity measures are compared only for positive pick-activity rows; zero-activity rows "
-              "are hidden by PBIX measures.").alias("Details"))
+        F.lit("idle rows are left out on both sides").alias("Details"))
 
 
 def _visible_compare(series: DataFrame, report_series: str, metrics: list, start, page: str, details: str) -> DataFrame:
@@ -879,7 +878,7 @@ def visible_throughput(series: DataFrame, as_of) -> DataFrame:
     """Q30: throughput totals against the daily grain over the recent window."""
     return _visible_compare(series, "thr", [("Orders", "orders"), ("Lines", "lines"), ("Bins", "bins")],
                             F.date_sub(F.lit(as_of), 7), "Throughput",
-                            "Throughput metrics should match the same daily productivity grain as Productivity.")
+                            "against the daily grain, recent window")
 
 
 def visible_historical(series: DataFrame, as_of) -> DataFrame:
@@ -887,7 +886,7 @@ def visible_historical(series: DataFrame, as_of) -> DataFrame:
     return _visible_compare(series, "hist", [("Orders Completed", "orders"), ("Lines Completed", "lines"),
                                              ("Units Picked", "units"), ("Bin Presentations", "bins")],
                             F.date_sub(F.lit(as_of), 30), "Historical Dashboard",
-                            "Historical views should match the same productivity daily grain over 30 days.")
+                            "against the daily grain, 30 days")
 
 
 def visible_open_work(open_rows: DataFrame) -> DataFrame:
@@ -899,7 +898,7 @@ def visible_open_work(open_rows: DataFrame) -> DataFrame:
         F.col("SourceRows").cast("double").alias("SourceValue"), F.col("SourceRows").cast("double").alias("ReportValue"),
         F.col("MinDate").alias("SourceMinDate"), F.col("MaxDate").alias("SourceMaxDate"), F.col("MinDate").alias("ReportMinDate"),
         F.col("MaxDate").alias("ReportMaxDate"), F.when(F.col("SourceRows") == 0, "WARN").otherwise("PASS").alias("Status"),
-        F.lit("Zero can be valid if no work is currently open.").alias("Details"))
+        F.lit("none may be right when nothing is open").alias("Details"))
 
 
 def visible_gate(checks: DataFrame) -> DataFrame:
@@ -990,7 +989,7 @@ def visible_kpi(expected: DataFrame, kpi_long: DataFrame, as_of) -> DataFrame:
               .when((F.col("ReportValue") == 0) & (sv > 0), "FAIL").otherwise("PASS"))
     return g.select(F.lit("Daily KPI Summary Report").alias("PageName"), "MetricName", sr.alias("SourceRows"), "ReportRows",
                     sv.alias("SourceValue"), "ReportValue", "SourceMinDate", "SourceMaxDate", "ReportMinDate", "ReportMaxDate",
-                    status.alias("Status"), F.concat(F.lit("Recent window starts "), _iso(recent), F.lit(".")).alias("Details"))
+                    status.alias("Status"), F.concat(F.lit("window from "), _iso(recent), F.lit(".")).alias("Details"))
 
 
 # ---- Q32 / Q34: visible inventory matrix and consolidation --------------------------------------------
@@ -1032,11 +1031,11 @@ def visible_inventory(matrix: DataFrame, inventory: DataFrame, containers: DataF
               .when(F.col("etl") != F.coalesce(F.col("rtl"), F.lit(0)), "FAIL")
               .when((F.col("el") > 1) & (F.abs(pct - 100) > 0.5), "FAIL").otherwise("PASS"))
     details = F.concat(
-        F.lit("Expected labels: "), _s(F.col("el")), F.lit("; report labels: "), _s(F.col("rl")), F.lit("; expected metric rows: "),
-        _s(em), F.lit("; report rows: "), _s(F.col("rr")), F.lit("; expected total locations: "), _s(F.col("etl")),
-        F.lit("; report total locations: "), _s(F.coalesce(F.col("rtl"), F.lit(0).cast("decimal(19,4)"))),
-        F.lit("; missing metric instances: "), _s(F.col("miss")), F.lit("; duplicate metric rows: "), _s(F.col("dup")),
-        F.lit("; unexpected rows: "), _s(F.col("unexp")), F.lit("; % total bins sum: "), _s(pct), F.lit("."))
+        F.lit("labels wanted: "), _s(F.col("el")), F.lit(", shown: "), _s(F.col("rl")), F.lit(", cells wanted: "),
+        _s(em), F.lit(", in report: "), _s(F.col("rr")), F.lit(", positions wanted: "), _s(F.col("etl")),
+        F.lit(", shown: "), _s(F.coalesce(F.col("rtl"), F.lit(0).cast("decimal(19,4)"))),
+        F.lit(", cells missing: "), _s(F.col("miss")), F.lit(", cells repeated: "), _s(F.col("dup")),
+        F.lit(", cells unknown: "), _s(F.col("unexp")), F.lit(", bin shares add to: "), _s(pct), F.lit("."))
     return j.select(
         F.lit("Inventory & Location Table Summary").alias("PageName"), F.lit("Inventory/location matrix metrics").alias("MetricName"),
         em.cast("bigint").alias("SourceRows"), F.col("rr").alias("ReportRows"), F.col("etl").cast("decimal(19,4)").alias("SourceValue"),
@@ -1049,8 +1048,8 @@ def visible_consolidation(report: DataFrame, source: DataFrame | None) -> DataFr
     """Q34: consolidation report rows and quantity against the source view."""
     j = consolidation_counts(report, source)
     details = F.concat(
-        F.lit("Zero rows can mean no current consolidation candidates only when source rows are also zero. Source rows: "),
-        F.coalesce(_s(F.col("sr")), F.lit("unavailable")), F.lit("; report rows: "), _s(F.col("n")), _row_quality_text(), F.lit("."))
+        F.lit("in source: "),
+        F.coalesce(_s(F.col("sr")), F.lit("unavailable")), F.lit(", in report: "), _s(F.col("n")), _row_quality_text(), F.lit("."))
     return j.select(
         F.lit("Consolidation Report").alias("PageName"), F.lit("Consolidation rows").alias("MetricName"), F.col("sr").alias("SourceRows"),
         F.col("n").alias("ReportRows"), F.col("sq").alias("SourceValue"), F.col("rq").alias("ReportValue"),
