@@ -13,6 +13,16 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 
+#: A side with at most so many rows may be broadcast.
+BROADCAST_ROWS = 200_000
+
+
+def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
+    """``df`` with a broadcast hint if it has at most ``max_rows`` rows; a
+    larger one is left to a shuffle join."""
+    return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
+
+
 def beside(*dfs: DataFrame) -> DataFrame:
     """The columns of several one-row frames as one row (the first frame's
     row carries the others as scalar subqueries)."""

@@ -119,17 +119,10 @@ def attribute_bins(bin_presented: DataFrame, sessions: DataFrame, pick: DataFram
         "LocationPrimaryKey", "SignInTime", "SignOutTime", "SignInPrimaryKey",
         F.col("UserName").alias("s_user"), F.col("WorkType").alias("s_wt"),
     )
-    if any_task_type:
-        cond, point_cols = None, ()
-    else:
-        cond = F.col("LocationTaskType").isNull() | (F.col("s_wt") == F.col("LocationTaskType"))
-        point_cols = ("LocationTaskType",)
     by_session = interval_lookup(
         bin_presented, iv, point_id="PrimaryKey", keys=[("LocationPrimaryKey", "LocationPrimaryKey")],
-        ts="TimeStamp", start="SignInTime", end="SignOutTime",
-        rank=F.struct(F.col("SignInTime"), -F.col("SignInPrimaryKey")),
-        values=["s_user"], out="_sm", condition=cond, point_cols=point_cols, interval_cols=("s_wt",),
-        matches_only=True,
+        ts="TimeStamp", start="SignInTime", end="SignOutTime", tiebreak="SignInPrimaryKey", stream=["s_wt", "s_user"],
+        values=["s_user"], out="_sm", match=None if any_task_type else ("LocationTaskType", "s_wt"), matches_only=True,
     )
     picks = pick.filter(F.col("UserName").isNotNull()).select(
         "ContainerBarcode", "TimeStamp", "PrimaryKey", F.col("UserName").alias("p_user"))

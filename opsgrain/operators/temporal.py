@@ -151,58 +151,59 @@ def interval_lookup(
     ts: str,
     start: str,
     end: str,
-    rank: Column,
+    tiebreak: str,
+    stream: Sequence[str],
     values: Sequence[str],
     out: str,
-    condition: Column | None = None,
-    point_cols: Sequence[str] = (),
-    interval_cols: Sequence[str] = (),
+    match: tuple[str, str] | None = None,
     bucket_seconds: int = DEFAULT_BUCKET_SECONDS,
     matches_only: bool = False,
 ) -> DataFrame:
-    """For each point, the interval on the same keys with
-    ``start <= ts <= end`` (and ``condition``), keeping the one with the
-    greatest ``rank``.  Adds struct column ``out`` of ``values`` (NULL if none).
-
-    Intervals are exploded into the time buckets they span and equi-joined on
-    (keys, bucket); the candidate set is exact and uncapped.  ``condition`` may
-    reference point columns listed in ``point_cols`` and interval columns listed
-    in ``interval_cols`` (names must not clash).  ``matches_only`` returns just
-    (point_id, out) for points that found an interval.
-    """
-    iv = intervals
-    for (_, ik) in keys:
-        iv = iv.filter(F.col(ik).isNotNull())
-    iv = iv.select(
-        *[F.col(ik).alias(f"_k{i}") for i, (_, ik) in enumerate(keys)],
-        F.col(start).alias("_s"),
-        F.col(end).alias("_e"),
-        rank.alias("_rank"),
-        F.struct(*[F.col(v) for v in values]).alias("_v"),
-        *[F.col(c) for c in interval_cols],
-    ).withColumn(
-        "_b",
-        F.explode(F.sequence(_bucket(F.col("_s"), bucket_seconds), _bucket(F.col("_e"), bucket_seconds))),
-    )
+    """For each point, the interval on the same ``keys`` with
+    ``start <= ts <= end``, the latest-starting one (ties: smallest
+    ``tiebreak``).  Adds struct column ``out`` of ``values`` (NULL if none).
+
+    Intervals of one (keys, ``stream``) must have ends that rise with their
+    starts, as rank-paired sessions of one user have.  Then only the last one
+    started before a point can contain it.  Each point gets one row per stream
+    active in its (keys, time bucket), a running ``last`` finds that interval,
+    and the point keeps the best of its streams: the work follows points times
+    streams present, not points times intervals.
+
+    ``match`` is (point column, interval column): a point with a value meets
+    streams of that value only, a point without one meets all.  The interval
+    column must belong to ``stream``."""
+    n = range(len(keys))
+    k = [f"_k{i}" for i in n]
+    st = [f"_s{i}" for i in range(len(stream))]
+    rank = F.struct(F.col("_s"), (-F.col("_tb")).alias("t"))
+    iv = intervals.select(
+        *[F.col(ik).alias(f"_k{i}") for i, (_, ik) in enumerate(keys)], *[F.col(c).alias(a) for c, a in zip(stream, st)],
+        F.col(start).alias("_s"), F.col(end).alias("_e"), F.col(tiebreak).alias("_tb"), F.struct(*values).alias("_v"),
+    ).dropna(subset=k).withColumn(
+        "_b", F.explode(F.sequence(_bucket(F.col("_s"), bucket_seconds), _bucket(F.col("_e"), bucket_seconds))))
+    # intervals of one stream that start together stand in one row
+    held = iv.groupBy(*k, "_b", *st, "_s").agg(F.collect_list(F.struct(rank.alias("r"), F.col("_e").alias("e"), F.col("_v").alias("v"))).alias("_iv"))
+    active = iv.select(*k, "_b", *st).distinct()
     p = points.select(
-        F.col(point_id).alias("_pid"),
-        *[F.col(pk).alias(f"_k{i}") for i, (pk, _) in enumerate(keys)],
-        F.col(ts).alias("_t"),
-        *[F.col(c) for c in point_cols],
+        F.col(point_id).alias("_pid"), *[F.col(pk).alias(f"_k{i}") for i, (pk, _) in enumerate(keys)], F.col(ts).alias("_t"),
+        *([F.col(match[0]).alias("_m")] if match else []),
     ).withColumn("_b", _bucket(F.col("_t"), bucket_seconds))
-    cond = (F.col("_t") >= F.col("_s")) & (F.col("_t") <= F.col("_e"))
-    if condition is not None:
-        cond = cond & condition
-    best = (
-        p.join(iv, on=[*[f"_k{i}" for i in range(len(keys))], "_b"], how="inner")
-        .filter(cond)
-        .groupBy("_pid")
-        .agg(F.max_by(F.col("_v"), F.col("_rank")).alias(out))
-        .withColumnRenamed("_pid", point_id)
-    )
-    if matches_only:
-        return best
-    return points.join(best, on=point_id, how="left")
+    if match:
+        own = st[list(stream).index(match[1])]
+        typed = p.filter(F.col("_m").isNotNull()).join(active, [*[p[c] == active[c] for c in k], p["_b"] == active["_b"], p["_m"] == active[own]]) \
+            .select("_pid", "_t", *[active[c] for c in k], active["_b"], *st)
+        p = typed.unionByName(p.filter(F.col("_m").isNull()).drop("_m").join(active, [*k, "_b"]).select("_pid", "_t", *k, "_b", *st))
+    else:
+        p = p.join(active, [*k, "_b"])
+    none = F.lit(None)
+    both = p.select(*k, "_b", *st, F.col("_t").alias("_at"), F.lit(1).alias("_o"), "_pid", none.cast(held.schema["_iv"].dataType).alias("_iv")).unionByName(
+        held.select(*k, "_b", *st, F.col("_s").alias("_at"), F.lit(0).alias("_o"), none.cast(p.schema["_pid"].dataType).alias("_pid"), "_iv"))
+    w = Window.partitionBy(*k, "_b", *st).orderBy("_at", "_o").rowsBetween(Window.unboundedPreceding, Window.currentRow)
+    found = both.withColumn("_last", F.last("_iv", ignorenulls=True).over(w)).filter("_o = 1") \
+        .withColumn("_hit", F.array_max(F.filter("_last", lambda x: x["e"] >= F.col("_at")))).filter("_hit is not null")
+    best = found.groupBy("_pid").agg(F.max("_hit")["v"].alias(out)).withColumnRenamed("_pid", point_id)
+    return best if matches_only else points.join(best, on=point_id, how="left")
 
 
 def pair_sessions(

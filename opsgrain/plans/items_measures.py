@@ -27,7 +27,7 @@ from cont1 c join template_compartments k on k.TemplatePrimaryKey = c.TemplatePr
 def model_of(t):
     m = t.__dict__.get("_model")
     if m is None:
-        m = t.__dict__["_model"] = M.Model(t, daily_of(t), throughput_of(t))
+        m = t.__dict__["_model"] = M.Model(t, lambda: daily_of(t), lambda: throughput_of(t))
     return m
 
 

@@ -123,8 +123,8 @@ def p29(t):
 
 
 def matrix_of(t):
-    return P.inventory_location_summary(t.inventory, t.containers, t.container_templates, t.template_compartments,
-                                        t.compartment_sizes, t.units_of_measure)
+    return materialized(t, "_matrix", lambda: P.inventory_location_summary(
+        t.inventory, t.containers, t.container_templates, t.template_compartments, t.compartment_sizes, t.units_of_measure))
 
 
 @register("P30_inventory_location_summary", matrix_sql())

@@ -14,10 +14,12 @@ depend on floating-point evaluation order.
 from __future__ import annotations
 
 import datetime as dt
+from collections.abc import Callable
+from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsgrain.functions.frames import beside
+from opsgrain.functions.frames import beside, broadcast_if_small
 from opsgrain.plans import pages as P
 
 # ---- DAX filter helpers ----------------------------------------------------------------
@@ -403,32 +405,41 @@ KPI_ROWS = [
 ]
 
 
+# Report name of each daily KPI view that is not on-hand, and how it is built.
+KPI_VIEWS = {
+    "Orders Putaway": lambda m: P.putaway("Orders Putaway", m.putaway_containers),
+    "Units Putaway": lambda m: P.putaway("Units Putaway", m.putaway_containers, m.putaway_lines),
+    "Skus Putaway": lambda m: P.putaway("Skus Putaway", m.putaway_containers, m.putaway_lines, m.units_of_measure),
+    "Presentations Putaway": lambda m: P.putaway("Presentations Putaway", m.putaway_containers, tasks_putaway=m.tasks_putaway,
+                                                 tasks=m.inventory_tasks, actions=m.task_actions),
+    "Customer Orders Picked": lambda m: P.historical(m.daily, "Customer_Orders_Picked"),
+    "Customer Order Lines": lambda m: P.historical(m.daily, "Customer_Order_Lines"),
+    "Units Picked": lambda m: P.historical(m.daily, "Units_Picked"),
+    "Distinct Skus Picked": lambda m: P.distinct_skus_picked(m.pick),
+}
+
+
+def _long(df: DataFrame) -> DataFrame:
+    metric = df.columns[1]
+    return df.select(F.lit(metric).alias("Metric"), F.col("Date"), F.col(f"`{metric}`").cast("bigint").alias("Value"))
+
+
 def kpi_views_long(m, as_of: dt.date) -> DataFrame:
-    """The 13 daily KPI views in long form (Metric, Date, Value)."""
-    t = m
-    parts = [
-        P.putaway("Orders Putaway", t.putaway_containers),
-        P.putaway("Units Putaway", t.putaway_containers, t.putaway_lines),
-        P.putaway("Skus Putaway", t.putaway_containers, t.putaway_lines, t.units_of_measure),
-        P.putaway("Presentations Putaway", t.putaway_containers, tasks_putaway=t.tasks_putaway,
-                  tasks=t.inventory_tasks, actions=t.task_actions),
-        P.historical(m.daily, "Customer_Orders_Picked"),
-        P.historical(m.daily, "Customer_Order_Lines"),
-        P.historical(m.daily, "Units_Picked"),
-        P.distinct_skus_picked(t.pick),
-    ]
-    # the five on-hand views share one join and one aggregate
-    out = P.on_hand_all(t.inventory, t.containers, t.units_of_measure, as_of)
-    for df in parts:
-        metric = df.columns[1]
-        d = df.select(F.lit(metric).alias("Metric"), F.col("Date"), F.col(f"`{metric}`").cast("bigint").alias("Value"))
-        out = out.unionByName(d)
+    """The 13 daily KPI views in long form (Metric, Date, Value); the five
+    on-hand views share one join and one aggregate."""
+    out = P.on_hand_all(m.inventory, m.containers, m.units_of_measure, as_of)
+    for view in KPI_VIEWS.values():
+        out = out.unionByName(_long(view(m)))
     return out
 
 
 def kpi_sum(m, metric: str, as_of: dt.date) -> DataFrame:
-    """SUM(view[metric]) + 0 over all dates."""
-    v = kpi_views_long(m, as_of).filter(F.col("Metric") == metric)
+    """SUM(view[metric]) + 0 over all dates, from that view alone."""
+    if metric in P.ON_HAND_METRICS:
+        v = P.on_hand(m.inventory, m.containers, m.units_of_measure, metric, as_of)
+    else:
+        v = KPI_VIEWS[metric](m)
+    v = _long(v)
     return _scalar(v, F.coalesce(F.sum("Value"), F.lit(0)).cast("bigint"), metric)
 
 
@@ -584,10 +595,17 @@ class Model:
     """The semantic model's tables: the input catalogue plus the derived report
     tables the measures read (daily grain, throughput, compartment barcodes)."""
 
-    def __init__(self, tables, daily: DataFrame, throughput: DataFrame):
+    def __init__(self, tables, daily: Callable[[], DataFrame], throughput: Callable[[], DataFrame]):
         self._t = tables
-        self.daily = daily
-        self.throughput = throughput
+        self._daily, self._throughput = daily, throughput
+
+    @cached_property
+    def daily(self) -> DataFrame:
+        return self._daily()
+
+    @cached_property
+    def throughput(self) -> DataFrame:
+        return self._throughput()
 
     def __getattr__(self, name):
         return getattr(self._t, name)
@@ -600,7 +618,7 @@ class Model:
         from opsgrain.sources.staging import latest_snapshot
         c = latest_snapshot(self._t.containers).select(F.col("PrimaryKey").alias("ContainerPrimaryKey"), "TemplatePrimaryKey")
         k = self._t.template_compartments.select("TemplatePrimaryKey", "ContainerSide", "XPosition", "YPosition")
-        return c.join(k, "TemplatePrimaryKey").select(
+        return c.join(broadcast_if_small(k), "TemplatePrimaryKey").select(
             "ContainerPrimaryKey", "ContainerSide", "XPosition", "YPosition",
             F.concat_ws("-", F.col("ContainerPrimaryKey").cast("string"), F.col("XPosition").cast("string"),
                         F.col("YPosition").cast("string")).alias("Barcode"))

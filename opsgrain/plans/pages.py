@@ -15,6 +15,7 @@ import datetime as dt
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from opsgrain.functions.frames import broadcast_if_small
 from opsgrain.functions.tsql import hour_label, nullif_blank, trimmed, weeknum_sunday
 from opsgrain.operators.temporal import nearest_after
 from opsgrain.sources.staging import latest_snapshot
@@ -356,52 +357,43 @@ def template_compartment_labels(templates: DataFrame, compartments: DataFrame, s
 
 def inventory_location_metrics(inventory: DataFrame, containers: DataFrame, templates: DataFrame,
                                compartments: DataFrame, sizes: DataFrame, uom: DataFrame) -> DataFrame:
-    """Per compartment label: the numeric inputs of the P30 matrix (wide)."""
-    tc = template_compartment_labels(templates, compartments, sizes)
-    c = latest_snapshot(containers).filter(F.coalesce(F.col("Status"), F.lit("")) != "Outside") \
+    """Per compartment label: the numeric inputs of the P30 matrix (wide).
+
+    Capacity is arithmetic: containers per template times the label's positions
+    in that template, so no container is multiplied by its compartments.  Stock
+    is one pass over inventory, reduced to one row per (label, position, SKU);
+    all stock figures are counts over that grain."""
+    kinds = template_compartment_labels(templates, compartments, sizes)
+    boxes = latest_snapshot(containers).filter(F.coalesce(F.col("Status"), F.lit("")) != "Outside") \
         .select(F.col("PrimaryKey").alias("ContainerPrimaryKey"), "TemplatePrimaryKey")
-    # templates × compartments is a dimension (dozens to hundreds of rows); the
-    # join key has only as many values as templates, so a shuffle join would put
-    # all containers of a popular template in one task: broadcast the dimension.
-    cc = c.join(F.broadcast(tc), "TemplatePrimaryKey").select(
-        "CompartmentLabel", "ContainerPrimaryKey", "ContainerSide", "XPosition", "YPosition")
-    capacity = cc.groupBy("CompartmentLabel").agg(
-        F.count_distinct("ContainerPrimaryKey").alias("TotalBins"), F.count(F.lit(1)).alias("TotalLocations"))
-    inv = latest_snapshot(inventory).filter(
-        (F.coalesce(F.col("Status"), F.lit("")) != "Pending") & (F.coalesce(F.col("Quantity"), F.lit(0)) > 0))
-    u = latest_snapshot(uom).select(F.col("PrimaryKey").alias("UnitOfMeasurePrimaryKey"), "ProductPrimaryKey", "BaseMultiple")
-    rows = (
-        cc.join(inv.select("ContainerPrimaryKey", F.col("ContainerSide"), F.col("ContainerX").alias("XPosition"),
-                           F.col("ContainerY").alias("YPosition"), "UnitOfMeasurePrimaryKey", "Quantity"),
-                ["ContainerPrimaryKey", "ContainerSide", "XPosition", "YPosition"])
-        .join(u, "UnitOfMeasurePrimaryKey", "left")
-        .select(
-            "CompartmentLabel", "ContainerPrimaryKey",
-            F.struct("ContainerPrimaryKey", "ContainerSide", "XPosition", "YPosition").alias("_loc"),
-            F.coalesce(F.col("ProductPrimaryKey"), F.col("UnitOfMeasurePrimaryKey")).alias("SkuKey"),
-            (F.col("Quantity") * F.coalesce(F.nullif(F.col("BaseMultiple"), F.lit(0)), F.lit(1))).alias("Units"),
-        )
+    spots = kinds.groupBy("CompartmentLabel", "TemplatePrimaryKey").agg(F.count(F.lit(1)).alias("_spots"))
+    per_template = boxes.groupBy("TemplatePrimaryKey").agg(F.count_distinct("ContainerPrimaryKey").alias("_boxes"))
+    capacity = spots.join(per_template, "TemplatePrimaryKey", "left").groupBy("CompartmentLabel").agg(
+        F.coalesce(F.sum("_boxes"), F.lit(0)).alias("TotalBins"),
+        F.coalesce(F.sum(F.col("_boxes") * F.col("_spots")), F.lit(0)).alias("TotalLocations"))
+    place = ["TemplatePrimaryKey", "ContainerSide", "XPosition", "YPosition"]
+    stocked = latest_snapshot(inventory).filter((F.coalesce(F.col("Status"), F.lit("")) != "Pending") & (F.col("Quantity") > 0)).select(
+        "ContainerPrimaryKey", "ContainerSide", F.col("ContainerX").alias("XPosition"), F.col("ContainerY").alias("YPosition"),
+        "UnitOfMeasurePrimaryKey", "Quantity")
+    units = latest_snapshot(uom).select(F.col("PrimaryKey").alias("UnitOfMeasurePrimaryKey"), "ProductPrimaryKey", "BaseMultiple")
+    grain = (
+        stocked.join(boxes, "ContainerPrimaryKey")
+        .join(broadcast_if_small(kinds.select("CompartmentLabel", *place)), place)
+        .join(units, "UnitOfMeasurePrimaryKey", "left")
+        .groupBy("CompartmentLabel", "ContainerPrimaryKey", *place[1:],
+                 F.coalesce("ProductPrimaryKey", "UnitOfMeasurePrimaryKey").alias("SkuKey"))
+        .agg(F.sum(F.col("Quantity") * F.coalesce(F.nullif(F.col("BaseMultiple"), F.lit(0)), F.lit(1))).alias("Units"))
     )
-    stock = rows.groupBy("CompartmentLabel").agg(
+    stock = grain.groupBy("CompartmentLabel").agg(
         F.count_distinct("ContainerPrimaryKey").alias("BinsWithStock"),
-        F.count_distinct("_loc").alias("LocationsOccupied"),
+        F.count_distinct(F.struct("ContainerPrimaryKey", *place[1:])).alias("LocationsOccupied"),
         F.count_distinct("SkuKey").alias("DistinctSkusStocked"),
         F.sum("Units").alias("UnitsStocked"),
-    )
-    per_sku = rows.filter(F.col("SkuKey").isNotNull()).groupBy("CompartmentLabel", "SkuKey") \
-        .agg(F.count_distinct("_loc").alias("n"))
-    sku_avg = per_sku.groupBy("CompartmentLabel").agg(F.sum("n").alias("_loc_sum"), F.count(F.lit(1)).alias("_sku_n"))
-    labels = tc.select("CompartmentLabel").distinct()
-    base = (
-        labels.join(capacity, "CompartmentLabel", "left").join(stock, "CompartmentLabel", "left")
-        .join(sku_avg, "CompartmentLabel", "left").na.fill(0)
-    )
-    everything = Window.partitionBy()  # labels only: bounded by templates × sizes
-    return base.select(
-        "*",
-        F.sum("UnitsStocked").over(everything).alias("AllUnitsStocked"),
-        F.sum("TotalBins").over(everything).alias("AllDisplayedBins"),
-    )
+        F.count("SkuKey").alias("_loc_sum"),  # the grain has each SKU once a position
+    ).withColumn("_sku_n", F.col("DistinctSkusStocked"))
+    base = capacity.join(stock, "CompartmentLabel", "left").na.fill(0)
+    return base.select("*", base.agg(F.sum("UnitsStocked")).scalar().alias("AllUnitsStocked"),
+                       capacity.agg(F.sum("TotalBins")).scalar().alias("AllDisplayedBins"))
 
 
 def inventory_location_summary(inventory: DataFrame, containers: DataFrame, templates: DataFrame,

@@ -910,60 +910,61 @@ def visible_gate(checks: DataFrame) -> DataFrame:
 
 # ---- Q28: visible Daily-KPI values against their sources ------------------------------------------------
 
-def _expected(df: DataFrame, name: str, rows: Column, value: Column, d: Column) -> DataFrame:
-    return df.agg(F.lit(name).alias("MetricName"), rows.alias("SourceRows"), value.cast("decimal(19,4)").alias("SourceValue"),
-                  F.min(d).alias("SourceMinDate"), F.max(d).alias("SourceMaxDate"))
+def _listed(df: DataFrame, rows: str, metrics: dict[str, str], first: str = "d0", last: str = "d1") -> DataFrame:
+    """A one-row frame of aggregates as one row per metric."""
+    items = [F.struct(F.lit(name).alias("MetricName"), F.col(rows).cast("bigint").alias("SourceRows"), F.col(c).cast("decimal(19,4)").alias("SourceValue"),
+                      F.col(first).alias("SourceMinDate"), F.col(last).alias("SourceMaxDate")) for name, c in metrics.items()]
+    return df.select(F.explode(F.array(*items)).alias("m")).select("m.*")
 
 
 def visible_kpi_expected(t, daily: DataFrame, as_of) -> DataFrame:
     """The 13 expected KPI values recomputed from the operational sources over
-    the recent window.  Inventory filters are written as the validator writes
-    them (bare ``<>``: a NULL status drops the row, unlike the views)."""
+    the recent window, one aggregate per group of sources.  Inventory filters
+    drop rows with a NULL status, unlike the views."""
     from opsgrain.sources.staging import latest_snapshot
     recent = F.date_sub(F.lit(as_of), 7)
-    inv = latest_snapshot(t.inventory)
-    c = t.containers.select(F.col("PrimaryKey").alias("ContainerPrimaryKey"), "Snapshot_Id", F.col("Status").alias("_cs"))
-    on = inv.join(c, ["ContainerPrimaryKey", "Snapshot_Id"]).filter(
-        (F.col("Status") != "Pending") & (F.col("_cs") != "Outside") & (F.coalesce(F.col("Quantity"), F.lit(0)) > 0))
+    n = F.count(F.lit(1)).alias("n")
+
+    def span(c: Column) -> list[Column]:
+        return [F.min(c).alias("d0"), F.max(c).alias("d1")]
+
     uom = t.units_of_measure.select(F.col("PrimaryKey").alias("UnitOfMeasurePrimaryKey"), "Snapshot_Id", "ProductPrimaryKey")
-    d_inv = F.to_date("LastUpdatedDate")
-    loc = F.struct("ContainerPrimaryKey", "ContainerX", "ContainerY")
+    unit = ["UnitOfMeasurePrimaryKey", "Snapshot_Id"]
+    sku = F.coalesce("ProductPrimaryKey", "UnitOfMeasurePrimaryKey")
+    boxes = t.containers.filter(F.col("Status") != "Outside").select(F.col("PrimaryKey").alias("ContainerPrimaryKey"), "Snapshot_Id")
+    stock = latest_snapshot(t.inventory).filter((F.col("Status") != "Pending") & (F.col("Quantity") > 0)).join(
+        boxes, ["ContainerPrimaryKey", "Snapshot_Id"], "left_semi").join(uom, unit, "left").agg(
+        n, F.count_distinct(sku).alias("skus"), F.sum("Quantity").alias("units"),
+        F.count_distinct(F.struct("ContainerPrimaryKey", "ContainerX", "ContainerY")).alias("places"),
+        F.count_distinct("ContainerPrimaryKey").alias("bins"), *span(F.to_date("LastUpdatedDate")))
+    closed = t.putaway_containers.filter((F.col("Status") == "Closed") & (F.to_date("LastUpdatedDateInventory") >= recent)).select(
+        F.col("PrimaryKey").alias("PutAwayContainerPrimaryKey"), F.to_date("LastUpdatedDateInventory").alias("d"))
+    boxes_in = closed.agg(n, F.count_distinct("PutAwayContainerPrimaryKey").alias("orders"), *span(F.col("d")))
+    lines_in = closed.join(
+        t.putaway_lines.filter(F.col("ActualQuantity") > 0).select("PutAwayContainerPrimaryKey", "ActualQuantity", *unit), "PutAwayContainerPrimaryKey"
+    ).join(uom, unit, "left").groupBy("d").agg(n, F.sum("ActualQuantity").alias("units"), F.count_distinct(sku).alias("skus")).agg(
+        F.sum("n").alias("n"), F.sum("units").alias("units"), F.sum("skus").alias("skus"), *span(F.col("d")))
+    shown = F.struct("PutAwayContainerPrimaryKey", F.coalesce("LocationPrimaryKey", F.lit(-1)), F.coalesce("NewContainerPrimaryKey", F.lit(-1)))
+    tasks_in = (
+        closed.join(t.tasks_putaway.select("PutAwayContainerPrimaryKey", "InventoryTaskPrimaryKey", "LocationPrimaryKey"), "PutAwayContainerPrimaryKey")
+        .join(t.inventory_tasks.select(F.col("PrimaryKey").alias("InventoryTaskPrimaryKey")), "InventoryTaskPrimaryKey", "left_semi")
+        .join(t.task_actions.select("InventoryTaskPrimaryKey", "NewContainerPrimaryKey"), "InventoryTaskPrimaryKey")
+        .groupBy("d").agg(n, F.count_distinct(shown).alias("shown")).agg(F.sum("n").alias("n"), F.sum("shown").alias("shown"), *span(F.col("d")))
+    )
+    picked = daily.filter((F.col("WorkType") == "Pick") & (F.col("EventDate") >= recent)).agg(
+        n, F.sum("OrdersCompleted").alias("orders"), F.sum("LinesCompleted").alias("lines"), F.sum("UnitsCompleted").alias("units"), *span(F.col("EventDate")))
+    done = F.to_date(F.coalesce("PickCompleteDate", "TimeStamp"))
+    full = F.coalesce("ActualPickQuantity", F.lit(0)) >= F.coalesce("RequiredPickQuantity", F.lit(0))
+    skus = t.pick.filter(F.col("Sku").isNotNull() & F.col("UserName").isNotNull() & full & (done >= recent)).agg(n, F.count_distinct("Sku").alias("skus"), *span(done))
     parts = [
-        _expected(on.join(uom, ["UnitOfMeasurePrimaryKey", "Snapshot_Id"], "left"), "Total SKUs On Hand", F.count(F.lit(1)),
-                  F.count_distinct(F.coalesce(F.col("ProductPrimaryKey"), F.col("UnitOfMeasurePrimaryKey"))), d_inv),
-        _expected(on, "Total Units On Hand", F.count(F.lit(1)), F.sum(F.coalesce(F.col("Quantity"), F.lit(0))), d_inv),
-        _expected(on, "Total Locations Occupied", F.count(F.lit(1)), F.count_distinct(loc), d_inv),
+        _listed(stock, "n", {"Total SKUs On Hand": "skus", "Total Units On Hand": "units", "Total Locations Occupied": "places",
+                             "Distinct Bins With Inventory": "bins", "Distinct Bin Compartments With Inventory": "places"}),
+        _listed(boxes_in, "n", {"Orders Put Away": "orders"}),
+        _listed(lines_in, "n", {"Units Put Away": "units", "SKUs Put Away": "skus"}),
+        _listed(tasks_in, "n", {"Bin Presentations Put Away": "shown"}),
+        _listed(picked, "n", {"Customer Orders Picked": "orders", "Customer Order Lines": "lines", "Units Picked": "units"}),
+        _listed(skus, "n", {"Distinct SKUs Picked": "skus"}),
     ]
-    pac = t.putaway_containers.filter((F.col("Status") == "Closed") & (F.to_date("LastUpdatedDateInventory") >= recent))
-    d_pac = F.to_date("LastUpdatedDateInventory")
-    parts.append(_expected(pac, "Orders Put Away", F.count(F.lit(1)), F.count_distinct("PrimaryKey"), d_pac))
-    li = pac.select(F.col("PrimaryKey").alias("PutAwayContainerPrimaryKey"), "LastUpdatedDateInventory").join(
-        t.putaway_lines.drop("LastUpdatedDateInventory") if "LastUpdatedDateInventory" in t.putaway_lines.columns else t.putaway_lines,
-        "PutAwayContainerPrimaryKey").filter(F.coalesce(F.col("ActualQuantity"), F.lit(0)) > 0)
-    parts.append(_expected(li, "Units Put Away", F.count(F.lit(1)), F.sum(F.coalesce(F.col("ActualQuantity"), F.lit(0))), d_pac))
-    sku = li.join(uom, ["UnitOfMeasurePrimaryKey", "Snapshot_Id"], "left").groupBy(d_pac.alias("Date")).agg(
-        F.count(F.lit(1)).alias("r"), F.count_distinct(F.coalesce(F.col("ProductPrimaryKey"), F.col("UnitOfMeasurePrimaryKey"))).alias("v"))
-    parts.append(_expected(sku, "SKUs Put Away", F.sum("r"), F.sum("v"), F.col("Date")))
-    itp = t.tasks_putaway.select("PutAwayContainerPrimaryKey", "InventoryTaskPrimaryKey", "LocationPrimaryKey")
-    it = t.inventory_tasks.select(F.col("PrimaryKey").alias("InventoryTaskPrimaryKey"))
-    ita = t.task_actions.select("InventoryTaskPrimaryKey", "NewContainerPrimaryKey")
-    pres = pac.select(F.col("PrimaryKey").alias("PutAwayContainerPrimaryKey"), "LastUpdatedDateInventory").join(
-        itp, "PutAwayContainerPrimaryKey").join(it, "InventoryTaskPrimaryKey").join(ita, "InventoryTaskPrimaryKey")
-    pkey = F.struct(F.col("PutAwayContainerPrimaryKey"), F.coalesce(F.col("LocationPrimaryKey"), F.lit(-1)),
-                    F.coalesce(F.col("NewContainerPrimaryKey"), F.lit(-1)))
-    pg = pres.groupBy(d_pac.alias("Date")).agg(F.count(F.lit(1)).alias("r"), F.count_distinct(pkey).alias("v"))
-    parts.append(_expected(pg, "Bin Presentations Put Away", F.sum("r"), F.sum("v"), F.col("Date")))
-    parts.append(_expected(on, "Distinct Bins With Inventory", F.count(F.lit(1)), F.count_distinct("ContainerPrimaryKey"), d_inv))
-    parts.append(_expected(on, "Distinct Bin Compartments With Inventory", F.count(F.lit(1)), F.count_distinct(loc), d_inv))
-    dp = daily.filter((F.col("WorkType") == "Pick") & (F.col("EventDate") >= recent))
-    for name, col in (("Customer Orders Picked", "OrdersCompleted"), ("Customer Order Lines", "LinesCompleted"),
-                      ("Units Picked", "UnitsCompleted")):
-        parts.append(_expected(dp, name, F.count(F.lit(1)), F.sum(col), F.col("EventDate")))
-    act = F.coalesce(F.col("ActualPickQuantity"), F.lit(0)) >= F.coalesce(F.col("RequiredPickQuantity"), F.lit(0))
-    done = F.to_date(F.coalesce(F.col("PickCompleteDate"), F.col("TimeStamp")))
-    p = t.pick.filter(F.col("Sku").isNotNull() & F.col("UserName").isNotNull()
-                      & F.coalesce(F.col("PickCompleteDate"), F.col("TimeStamp")).isNotNull() & act & (done >= recent))
-    parts.append(_expected(p, "Distinct SKUs Picked", F.count(F.lit(1)), F.count_distinct("Sku"), done))
     out = parts[0]
     for x in parts[1:]:
         out = out.unionByName(x)
@@ -1004,10 +1005,11 @@ def visible_inventory(matrix: DataFrame, inventory: DataFrame, containers: DataF
     tc = template_compartment_labels(templates, compartments, sizes)
     c = latest_snapshot(containers).filter(F.coalesce(F.col("Status"), F.lit("")) != "Outside") \
         .select("TemplatePrimaryKey")
-    cc = c.join(F.broadcast(tc.select("TemplatePrimaryKey")), "TemplatePrimaryKey")
+    per = c.groupBy("TemplatePrimaryKey").agg(F.count(F.lit(1)).alias("boxes"))
+    cc = per.join(tc.select("TemplatePrimaryKey"), "TemplatePrimaryKey")
     labels = tc.select("CompartmentLabel").distinct()
     src = _one_row_join(latest_snapshot(inventory).agg(F.count(F.lit(1)).alias("inv")),
-                        labels.agg(F.count(F.lit(1)).alias("el")), cc.agg(F.count(F.lit(1)).alias("etl")))
+                        labels.agg(F.count(F.lit(1)).alias("el")), cc.agg(F.coalesce(F.sum("boxes"), F.lit(0)).alias("etl")))
     num = lambda c_: F.regexp_replace(c_, ",", "").try_cast("decimal(19,4)")
     rep = matrix.agg(
         F.count(F.lit(1)).alias("rr"), F.count_distinct("CompartmentLabel").alias("rl"), F.count_distinct("MetricName").alias("rm"),

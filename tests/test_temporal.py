@@ -100,10 +100,7 @@ def test_interval_lookup_latest_start_fixture_f4(spark):
         [(7, _ts(0), _ts(60), 100, "u1", "Pick"), (7, _ts(20), _ts(40), 101, "u2", "Pick"),
          (7, _ts(25), _ts(90), 102, "u3", "PutAway")],
         "loc bigint, s timestamp, e timestamp, spk bigint, usr string, wt string")
-    got = interval_lookup(points, sessions, "pk", [("loc", "loc")], "ts", "s", "e",
-                          F.struct(F.col("s"), -F.col("spk")), ["usr"], "m",
-                          condition=F.col("tt").isNull() | (F.col("wt") == F.col("tt")),
-                          point_cols=("tt",), interval_cols=("wt",))
+    got = interval_lookup(points, sessions, "pk", [("loc", "loc")], "ts", "s", "e", "spk", ["wt", "usr"], ["usr"], "m", match=("tt", "wt"))
     res = {r.pk: (r.m.usr if r.m is not None else None) for r in got.collect()}
     # 1: u2 (latest start among Pick sessions); 2: NULL type matches any, end inclusive -> u3;
     # 3: '' matches no session; 4: other location
@@ -149,3 +146,58 @@ def test_as_of_window_partitions_by_key_and_bucket(spark):
     plan = nearest_after(left, right, ["k"], "ts", "rts", ["rpk"], ["v"], "m")._jdf.queryExecution().executedPlan().toString()
     # the row-level window is hash-partitioned by the key and the time bucket
     assert any("hashpartitioning(k#" in line and "_b#" in line for line in plan.splitlines())
+
+
+def _rising_sessions(rnd, n, users, hot=False):
+    """Sessions as pairing makes them: starts and ends of a user rise together."""
+    rows = []
+    for loc in (1, 2):
+        for u in range(users):
+            starts = sorted(rnd.randrange(60 * 20) for _ in range(n if loc == 1 or not hot else 2))
+            ends = sorted(s + rnd.randrange(1, 90) for s in starts)
+            rows += [(loc, _ts(s), _ts(max(s, e)), 1000 * loc + 100 * u + i, f"u{u}", ["Pick", "Put"][u % 2]) for i, (s, e) in enumerate(zip(starts, ends))]
+    return rows
+
+
+def test_interval_lookup_matches_brute_force(spark):
+    rnd = random.Random(8)
+    sessions = _rising_sessions(rnd, 25, 4)
+    points = [(i, rnd.choice([1, 1, 2, None]), _ts(rnd.randrange(60 * 22)), rnd.choice(["Pick", "Put", None, ""])) for i in range(400)]
+    p = spark.createDataFrame(points, "pk bigint, loc bigint, ts timestamp, tt string")
+    iv = spark.createDataFrame(sessions, "loc bigint, s timestamp, e timestamp, spk bigint, usr string, wt string")
+    for bucket in (600, 3600, 86400):
+        got = {r.pk: r.m and r.m.spk for r in interval_lookup(
+            p, iv, "pk", [("loc", "loc")], "ts", "s", "e", "spk", ["wt", "usr"], ["spk"], "m", match=("tt", "wt"), bucket_seconds=bucket).collect()}
+        for pk, loc, t, tt in points:
+            fit = [(s, -k) for l, s, e, k, _, wt in sessions if l == loc and s <= t <= e and (tt is None or tt == wt)]
+            assert got[pk] == (-max(fit)[1] if fit else None)
+
+
+def test_interval_lookup_candidates_follow_points_times_streams(spark):
+    """Ten times the sessions of one location give no more candidate rows."""
+    rnd = random.Random(2)
+    p = spark.createDataFrame([(i, 1, _ts(rnd.randrange(60 * 20)), None) for i in range(300)], "pk bigint, loc bigint, ts timestamp, tt string")
+
+    def joined(n):
+        iv = spark.createDataFrame(_rising_sessions(random.Random(3), n, 4, hot=True), "loc bigint, s timestamp, e timestamp, spk bigint, usr string, wt string")
+        active = iv.filter("loc = 1").select("usr").distinct().count()
+        df = interval_lookup(p, iv, "pk", [("loc", "loc")], "ts", "s", "e", "spk", ["wt", "usr"], ["spk"], "m", match=("tt", "wt"), matches_only=True)
+        df.collect()
+        plan = df._jdf.queryExecution().executedPlan()
+        rows, stack = [], [plan]
+        while stack:
+            node = stack.pop()
+            if "Join" in node.nodeName():
+                rows.append(node.metrics().apply("numOutputRows").value())
+            if node.nodeName() == "AdaptiveSparkPlan":
+                stack.append(node.executedPlan())
+            elif "QueryStage" in node.nodeName():
+                stack.append(node.plan())
+            else:
+                kids = node.children()
+                stack += [kids.apply(i) for i in range(kids.size())]
+        return max(rows), active
+
+    for n in (20, 200):
+        most, active = joined(n)
+        assert most <= 300 * active
