@@ -59,6 +59,8 @@ class Splitter:
             raise ValueError("special tokens that take their surroundings are not handled")
         self.special_ids = [i for _, i in specials]
         self._special = {s: chr(DOC_END + 1 + k) for k, (s, _) in enumerate(specials)}
+        #: No pre-token looks like a special string, so it can stand for itself.
+        self.special_of = {c: s for s, c in self._special.items()}
         longest_first = sorted(self._special, key=len, reverse=True)
         self._find_special = re.compile("|".join(map(re.escape, longest_first))) if specials else None
         self.kind = np.full(0x110000, UNKNOWN, np.uint8)

@@ -1,9 +1,9 @@
 """Operator 1, token counts without ids.
 
 Per block of documents, the frequencies of each distinct pre-token are one row:
-the pre-token and its postings (place of the document in the block, count).  A
-pre-token's pieces are counted once, over all blocks; the counts are joined to
-the frequencies by pre-token and summed per document.
+the pre-token and its postings (place of the document in the block, count).  After
+one exchange and a sort by pre-token, its pieces are counted once and joined to
+its rows from all blocks; the products are summed per document.
 
 Defined results: null and empty texts have no bytes and no tokens; repeated
 rows and repeated or null doc_ids are counted row by row; no rows, no result.
@@ -15,17 +15,15 @@ from __future__ import annotations
 from collections.abc import Iterator
 
 import numpy as np
-import pandas as pd
 import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from opsgrain.llm.common import stored
 from opsgrain.llm.pretokens import DOC_END, slices, splitter_of, tokenizer_path
 
 #: A block ends beyond so many characters or documents (places are 16 bits).
-BLOCK_CHARS = 24_000_000
+BLOCK_CHARS = 32_000_000
 BLOCK_DOCS = 60_000
 POSTING = np.dtype([("place", "<u2"), ("n", "u1")])
 
@@ -46,6 +44,8 @@ class _Block:
     def add(self, splitter, ids: list, texts: list[str]) -> None:
         joined, bounds, codes, first = splitter.split(texts)
         pieces = [joined[a:b] for a, b in zip(bounds[first].tolist(), bounds[first + 1].tolist(), strict=True)]
+        names = splitter.special_of
+        pieces = [names.get(p, p) for p in pieces]
         known = self.codes
         own = np.fromiter((known.setdefault(p, len(known)) for p in pieces), np.int64, len(pieces))
         is_end = np.array([p == chr(DOC_END) for p in pieces])[codes]
@@ -105,75 +105,88 @@ def frequencies(documents: DataFrame, path: str) -> DataFrame:
     return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, FREQUENCIES)
 
 
-def piece_counts(pieces: DataFrame, path: str) -> DataFrame:
-    """``n``: how many ids the library gives each (distinct) ``piece``."""
+class _Sums:
+    """Pieces per document, for the documents of many blocks at a time."""
 
-    @F.pandas_udf("bigint")
-    def count(piece: pd.Series) -> pd.Series:
-        s = splitter_of(path)
-        special = {c: 1 for c in s._special.values()}
-        return pd.Series([special.get(p) or int(s.encode_pieces([p])[1][0]) for p in piece], dtype="int64")
+    def __init__(self) -> None:
+        self.held: dict[int, np.ndarray] = {}
 
-    return pieces.withColumn("n", count("piece"))
+    def add(self, block: np.ndarray, posts: pa.Array, pieces: np.ndarray) -> None:
+        offsets = np.frombuffer(posts.buffers()[1], np.int32)[posts.offset:posts.offset + len(posts) + 1]
+        flat = np.frombuffer(posts.buffers()[2], POSTING, count=(offsets[-1] - offsets[0]) // POSTING.itemsize, offset=offsets[0])
+        size = np.diff(offsets) // POSTING.itemsize
+        weight = np.repeat(pieces, size) * flat["n"]
+        of = np.repeat(block, size)
+        for b in np.unique(block).tolist():
+            own = of == b
+            v = np.bincount(flat["place"][own], weights=weight[own]).astype(np.int64)
+            old = self.held.get(b)
+            if old is None or len(old) < len(v):
+                self.held[b], v = v, old
+            if v is not None:
+                self.held[b][:len(v)] += v
+
+    def size(self) -> int:
+        return sum(map(len, self.held.values()))
+
+    def rows(self) -> Iterator[pa.RecordBatch]:
+        """One row a block: the sums of its documents, packed."""
+        for block, v in self.held.items():
+            yield pa.RecordBatch.from_arrays([pa.array([block]), pa.array([v.astype("<i8").tobytes()], pa.binary()), pa.nulls(1, pa.list_(_DOC))], names=_SUMS)
+        self.held.clear()
 
 
-def _sums(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-    """Sum of postings x pieces for each document of each block seen; sums leave
-    when those held reach some MB."""
-    held: dict[int, np.ndarray] = {}
+_SUMS = ["block", "sums", "docs"]
 
-    def out() -> Iterator[pa.RecordBatch]:
-        for block, v in held.items():
-            at = np.flatnonzero(v)
-            if len(at):
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.full(len(at), block)), pa.array(at.astype(np.int32)), pa.array(v[at])], names=["block", "place", "tokens"])
-        held.clear()
 
+def _count_and_join(path: str):
+    """For frequencies sorted by pre-token: rows of one pre-token stand
+    together, so its pieces are counted once and joined to all its postings."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        splitter, sums = splitter_of(path), _Sums()
+        special = dict.fromkeys(splitter.special_of.values(), 1)
+        last: tuple[str | None, int] = (None, 0)
+        for batch in batches:
+            docs = batch.filter(batch.column("docs").is_valid())
+            if docs.num_rows:
+                yield pa.RecordBatch.from_arrays([docs.column("block"), pa.nulls(docs.num_rows, pa.binary()), docs.column("docs")], names=_SUMS)
+            freq = batch.filter(batch.column("piece").is_valid())
+            if not freq.num_rows:
+                continue
+            pieces = freq.column("piece").to_pylist()
+            counts = np.empty(len(pieces), np.int64)
+            for k, p in enumerate(pieces):
+                if p != last[0]:
+                    last = p, special.get(p) or int(splitter.encode_pieces([p])[1][0])
+                counts[k] = last[1]
+            sums.add(freq.column("block").to_numpy(), freq.column("postings"), counts)
+            if sums.size() > 4_000_000:
+                yield from sums.rows()
+        yield from sums.rows()
+
+    return run
+
+
+def _per_document(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+    """One block: its documents, and the sums from all partitions, added up as
+    they come."""
+    total, docs = np.zeros(BLOCK_DOCS, np.int64), None
     for batch in batches:
-        if not batch.num_rows:
-            continue
-        block, pieces = batch.column(0).to_numpy(), batch.column(2).to_numpy()
-        posts = batch.column(1)
-        offsets = np.frombuffer(posts.buffers()[1], np.int32)[posts.offset:posts.offset + len(posts) + 1]
-        flat = np.frombuffer(posts.buffers()[2], POSTING, count=(offsets[-1] - offsets[0]) // POSTING.itemsize, offset=offsets[0])
-        size = np.diff(offsets) // POSTING.itemsize
-        which, of = np.unique(block, return_inverse=True)
-        weight = np.repeat(pieces, size) * flat["n"].astype(np.int64)
-        key = np.repeat(of, size) * BLOCK_DOCS + flat["place"]
-        sums = np.bincount(key, weights=weight, minlength=len(which) * BLOCK_DOCS).astype(np.int64) if len(which) * BLOCK_DOCS < 8_000_000 else None
-        for k, b in enumerate(which.tolist()):
-            if sums is not None:
-                v = sums[k * BLOCK_DOCS:(k + 1) * BLOCK_DOCS]
-            else:
-                own = key // BLOCK_DOCS == k
-                v = np.bincount(key[own] - k * BLOCK_DOCS, weights=weight[own], minlength=BLOCK_DOCS).astype(np.int64)
-            v = v[:int(np.flatnonzero(v).max(initial=0)) + 1]
-            old = held.get(b)
-            if old is None or len(old) < len(v):
-                new = v.copy()
-                if old is not None:
-                    new[:len(old)] += old
-                held[b] = new
-            else:
-                old[:len(v)] += v
-        if sum(map(len, held.values())) > 4_000_000:
-            yield from out()
-    yield from out()
+        for sums in batch.column("sums"):
+            if sums.is_valid:
+                v = np.frombuffer(sums.as_buffer(), "<i8")
+                total[:len(v)] += v
+        own = batch.column("docs").drop_null()
+        docs = own[0].values if len(own) else docs
+    place, doc_id, n_bytes = docs.flatten()
+    yield pa.RecordBatch.from_arrays([doc_id, n_bytes, pa.array(total[place.to_numpy()])], names=["doc_id", "n_bytes", "n_tokens"])
 
 
 def token_counts(documents: DataFrame, path: str | None = None) -> DataFrame:
     """Each row's ``doc_id``, ``n_bytes`` (UTF-8) and ``n_tokens``."""
     path = path or tokenizer_path("byte_bpe_50k.json")
-    freq = stored(frequencies(documents, path), "pretokens")
-    by_piece = freq.where("piece is not null").select("block", "piece", "postings").repartition("piece")
-    # One exchange serves both sides, as both read all its columns: the row per
-    # distinct pre-token (with its last block and the bytes of its postings),
-    # and the join.
-    pieces = by_piece.groupBy("piece").agg(F.max("block").alias("last"), F.sum(F.octet_length("postings")).alias("bytes"))
-    pieces = piece_counts(pieces, path)
-    joined = by_piece.join(pieces, "piece").where((F.col("block") <= F.col("last")) & (F.octet_length("postings") <= F.col("bytes")))
-    sums = joined.select("block", "postings", "n").mapInArrow(_sums, "block bigint, place int, tokens bigint")
-    sums = sums.groupBy("block", "place").agg(F.sum("tokens").alias("tokens"))
-    docs = freq.where("docs is not null").select("block", F.inline("docs"))
-    return docs.join(sums, ["block", "place"], "left").select("doc_id", "n_bytes", F.coalesce("tokens", F.lit(0)).cast("bigint").alias("n_tokens"))
+    # one exchange brings each pre-token's rows together; a block's documents travel under the block's number
+    freq = frequencies(documents, path).repartition(F.coalesce("piece", F.col("block").cast("string"))).sortWithinPartitions("piece")
+    sums = freq.mapInArrow(_count_and_join(path), "block bigint, sums binary, docs array<struct<place:int,doc_id:bigint,n_bytes:bigint>>")
+    return sums.groupBy("block").applyInArrow(_per_document, "doc_id bigint, n_bytes bigint, n_tokens bigint")
