@@ -180,6 +180,12 @@ def m31(t):
     return canon(M.pick_owh(model_of(t), "Orders"))
 
 
+for _name, _choice, _what in [("lines", "Lines", "PercentOfOrderLine"), ("bins", "Bins", "PrimaryKey"), ("all", "All", "*")]:
+    def _owh(t, _choice=_choice):
+        return canon(M.pick_owh(model_of(t), _choice))
+    register(f"M31_pick_owh_{_name}", f'select count({_what}) as "Pick OWH" from pick')(_owh)
+
+
 @register("M42_kpi_selected_owh", """select cast(count(*) as bigint) as KPI_Selected_OWH from putaway_lines
 where coalesce(ActualQuantity, 0) + coalesce(MissingQuantity, 0) < coalesce(Quantity, 0)
   and PutAwayContainerPrimaryKey in (select PrimaryKey from putaway_containers where not IsClosed)""")
@@ -328,7 +334,7 @@ def m95(t):
 
 
 @register("M36_test_customer_orders_picked", """select count(*) as "test Customer Orders Picked" from fulfillment_orders
-where lower(Status) = 'completed' and coalesce(strftime(LastUpdatedDate, '%Y-%m-%d'), '') = ''""")
+where lower(Status) = 'completed' and cast(LastUpdatedDate as date) is not distinct from cast(LastUpdatedDateInventory as date)""")
 def m36(t):
     return canon(M.test_customer_orders_picked(model_of(t)))
 
@@ -342,6 +348,6 @@ def m93(t):
 
 
 @register("M37_test_customer_order_lines", """select count(*) as "test Customer Order Lines" from fulfillment_lines
-where coalesce(strftime(LastUpdatedDate, '%Y-%m-%d'), '') = ''""")
+where cast(LastUpdatedDate as date) is not distinct from cast(LastUpdatedDateInventory as date)""")
 def m37(t):
     return canon(M.test_customer_order_lines(model_of(t)))

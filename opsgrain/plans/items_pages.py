@@ -144,10 +144,10 @@ def p31(t):
 
 @register("P32_consolidation", """select Sku, cast(UnitOfMeasurePrimaryKey as bigint) as UnitOfMeasurePrimaryKey, CompartmentSizeName,
   cast(Quantity as bigint) as Quantity, cast(TotalCompartments as bigint) as TotalCompartments,
-  cast(TotalUnrealizedCapacity as bigint) as TotalUnrealizedCapacity, cast(null as double) as PercentFragmentation,
-  cast(null as double) as AverageUnrealizedCapacity, cast(null as double) as StandardDeviationUnrealizedCapacity,
-  cast(CompartmentSizeCapacity as bigint) as CompartmentSizeCapacity, cast(null as bigint) as IdealizedCompartmentUsage,
-  cast(null as bigint) as IdealizedUnrealizedCapacity, cast(null as bigint) as IdealizedPercentFragmentation
+  cast(TotalUnrealizedCapacity as bigint) as TotalUnrealizedCapacity, PercentFragmentation,
+  AverageUnrealizedCapacity, StandardDeviationUnrealizedCapacity,
+  cast(CompartmentSizeCapacity as bigint) as CompartmentSizeCapacity, cast(IdealizedCompartmentUsage as bigint) as IdealizedCompartmentUsage,
+  cast(IdealizedUnrealizedCapacity as bigint) as IdealizedUnrealizedCapacity, cast(IdealizedPercentFragmentation as bigint) as IdealizedPercentFragmentation
 from defrag_detail""")
 def p32(t):
     return canon(P.consolidation(t.defrag_detail))

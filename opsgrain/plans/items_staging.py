@@ -34,7 +34,13 @@ def s01(t):
     return canon(sources_of(t))
 
 
-@register("S02_event_hash")
+# UTF-16LE of an ASCII text: every byte followed by a zero byte
+_HASHED = ("DataDescription || '|' || strftime(EventTimestamp, '%Y-%m-%dT%H:%M:%S') || case when epoch_us(EventTimestamp) % 1000000 = 0 then '' "
+           "else '.' || strftime(EventTimestamp, '%f') || '0' end || '|' || JsonData")
+
+
+@register("S02_event_hash", f"""select SourceDatabase, SourcePrimaryKey,
+  sha256(unhex(regexp_replace(hex(cast({_HASHED} as blob)), '(..)', '\\100', 'g'))) as EventHash from metric_sources""")
 def s02(t):
     return canon(S.event_hash(sources_of(t)).select("SourceDatabase", "SourcePrimaryKey", "EventHash"))
 
@@ -56,6 +62,24 @@ def s04(t):
     return canon(S.parse_events(dedup_of(t), "Pick-SignIn", SIGN_SCHEMA))
 
 
+EVENT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
+                             ("User", "LocationPrimaryKey", "LocationBarcode", "ContainerBarcode", "Quantity")])
+
+
+@register("S04_parse_all_events", """select DataDescription, SourcePrimaryKey as PrimaryKey, strftime(EventTimestamp, '%Y-%m-%d %H:%M:%S.%f') as TimeStamp,
+  json_extract_string(JsonData, '$.User') as "User", json_extract_string(JsonData, '$.LocationPrimaryKey') as LocationPrimaryKey,
+  json_extract_string(JsonData, '$.LocationBarcode') as LocationBarcode, json_extract_string(JsonData, '$.ContainerBarcode') as ContainerBarcode,
+  json_extract_string(JsonData, '$.Quantity') as Quantity
+from dedup""")
+def s04_all(t):
+    """Each of the fifteen descriptions as its typed event table, one under the other."""
+    out = None
+    for d in S.EVENT_DESCRIPTIONS:
+        part = S.parse_events(dedup_of(t), d, EVENT_SCHEMA).withColumn("DataDescription", F.lit(d))
+        out = part if out is None else out.unionByName(part)
+    return canon(out)
+
+
 INV_SPEC = ("PrimaryKey:i, UnitOfMeasurePrimaryKey:i, ContainerPrimaryKey:i, Status, ContainerSide:i, ContainerX:i, "
             "ContainerY:i, Quantity:i, LastUpdatedDate:T, Snapshot_Id:i")
 

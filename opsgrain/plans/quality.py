@@ -416,23 +416,29 @@ def date_ranges(tables: dict) -> DataFrame:
 
 
 def survival_inventory(inventory: DataFrame, containers: DataFrame) -> DataFrame:
-    """Q39: rows left after each Daily-KPI filter, per inventory snapshot date
-    (the join sees every container snapshot, as the diagnostic does)."""
-    c = containers.select(F.col("PrimaryKey").alias("ContainerMatchedPrimaryKey"), F.col("Status").alias("ContainerStatus"),
-                          F.to_date(_col(containers, "LastUpdatedDate")).alias("ContainerSnapshotDate"))
-    i = inventory.select(F.to_date("LastUpdatedDate").alias("InventorySnapshotDate"), "UnitOfMeasurePrimaryKey",
-                         "ContainerPrimaryKey", "ContainerX", "ContainerY", "Quantity", F.col("Status").alias("InventoryStatus"))
-    j = i.join(c, i["ContainerPrimaryKey"] == c["ContainerMatchedPrimaryKey"], "left")
-    np_ = F.col("InventoryStatus") != "Pending"
-    ok = np_ & (F.coalesce(F.col("ContainerStatus"), F.lit("")) != "Outside")
-    ok2 = ok & (F.col("InventorySnapshotDate") == F.col("ContainerSnapshotDate"))
+    """Q39: rows left after each Daily-KPI filter, per inventory snapshot date.
+    Every inventory row counts once per container snapshot, as in the
+    diagnostic; container snapshots are counted per key, status side and date
+    first, so the rows are weighted and not multiplied."""
+    outside = F.coalesce(F.col("Status"), F.lit("")) == "Outside"
+    c = containers.groupBy(F.col("PrimaryKey").alias("ContainerPrimaryKey"), outside.alias("_outside"),
+                           F.to_date(_col(containers, "LastUpdatedDate")).alias("_date")).agg(F.count(F.lit(1)).alias("_times"))
+    i = inventory.select(F.to_date("LastUpdatedDate").alias("InventorySnapshotDate"), "UnitOfMeasurePrimaryKey", "ContainerPrimaryKey",
+                         "ContainerX", "ContainerY", "Quantity", (F.col("Status") != "Pending").alias("_settled"))
+    j = i.join(c, "ContainerPrimaryKey", "left").withColumn("_n", F.coalesce("_times", F.lit(1)))
+    inside = F.col("_settled") & ~F.coalesce("_outside", F.lit(False))
+    same = inside & (F.col("InventorySnapshotDate") == F.col("_date"))
+
+    def rows(cond: Column) -> Column:
+        return F.coalesce(F.sum(F.when(cond, F.col("_n"))), F.lit(0)).cast("bigint")
+
     return j.groupBy("InventorySnapshotDate").agg(
-        F.count(F.lit(1)).alias("InventoryRows"), _cnt(np_).alias("InventoryNotPendingRows"),
-        _cnt(np_ & F.col("ContainerMatchedPrimaryKey").isNotNull()).alias("NotPendingRowsWithContainerMatch"),
-        _cnt(ok).alias("RowsEligibleBeforeDateMatch"), _cnt(ok2).alias("RowsEligibleAfterDateMatch"),
-        F.count_distinct(F.when(ok2, F.col("UnitOfMeasurePrimaryKey"))).alias("TotalSkusOnHandViewWouldCount"),
-        F.sum(F.when(ok2, F.coalesce(F.col("Quantity"), F.lit(0))).otherwise(0)).cast("bigint").alias("TotalUnitsOnHandViewWouldSum"),
-        F.count_distinct(F.when(ok2, F.struct("ContainerPrimaryKey", "ContainerX", "ContainerY")))
+        F.sum("_n").alias("InventoryRows"), rows(F.col("_settled")).alias("InventoryNotPendingRows"),
+        rows(F.col("_settled") & F.col("_times").isNotNull()).alias("NotPendingRowsWithContainerMatch"),
+        rows(inside).alias("RowsEligibleBeforeDateMatch"), rows(same).alias("RowsEligibleAfterDateMatch"),
+        F.count_distinct(F.when(same, F.col("UnitOfMeasurePrimaryKey"))).alias("TotalSkusOnHandViewWouldCount"),
+        F.coalesce(F.sum(F.when(same, F.coalesce("Quantity", F.lit(0)) * F.col("_n"))), F.lit(0)).cast("bigint").alias("TotalUnitsOnHandViewWouldSum"),
+        F.count_distinct(F.when(same, F.struct("ContainerPrimaryKey", "ContainerX", "ContainerY")))
         .alias("DistinctBinsOrCompartmentsViewWouldCount"))
 
 

@@ -29,6 +29,23 @@ def _ifnull_when(cond: Column, value: Column) -> Column:
     return F.when(cond, F.lit(None)).otherwise(value)
 
 
+#: Days that bring the latest order and ship dates of the test data to the end of its event period.
+ORDER_SHIFT, SHIP_SHIFT = 8217, 8122
+
+
+def _ordered(c: str = "o_orderdate") -> Column:
+    return F.col(c).cast("timestamp") + F.expr(f"INTERVAL {ORDER_SHIFT} DAYS")
+
+
+def _shipped(c: str = "l_shipdate") -> Column:
+    return F.col(c).cast("timestamp") + F.expr(f"INTERVAL {SHIP_SHIFT} DAYS")
+
+
+def _later(c: Column, cond: Column) -> Column:
+    """A day later where ``cond`` holds."""
+    return F.when(cond, c + F.expr("INTERVAL 1 DAYS")).otherwise(c)
+
+
 class Tables:
     """Lazy catalogue of the reporting inputs for one scale-factor folder."""
 
@@ -131,6 +148,7 @@ class Tables:
             eid.alias("PrimaryKey"),
             F.col("ts").alias("TimeStamp"),
             eid.alias("PickPrimaryKey"),
+            _ifnull_when(eid % 10 == 0, F.lit(100).cast("bigint")).alias("PercentOfOrderLine"),
             to.alias("TransportOrderPrimaryKey"),
             F.col("port").alias("LocationBarcode"),
             F.col("bin").alias("ContainerBarcode"),
@@ -221,12 +239,13 @@ class Tables:
 
     @cached_property
     def containers(self) -> DataFrame:
-        o = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderstatus")
+        o = self.raw("orders").select("o_orderkey", "o_custkey", "o_orderstatus", "o_orderdate")
         st = F.col("o_orderstatus")
         return self._snapshots(o, F.col("o_orderkey")).select(
             F.col("o_orderkey").alias("PrimaryKey"),
             (F.col("o_custkey") % 6 + 1).alias("TemplatePrimaryKey"),
             F.when(st == "P", "Outside").when(st == "O", "Stored").otherwise(F.lit(None).cast("string")).alias("Status"),
+            _ordered().alias("LastUpdatedDate"),
             F.col("Snapshot_Id").cast("int").alias("Snapshot_Id"),
         )
 
@@ -244,7 +263,7 @@ class Tables:
             ((ln - 1) % 4).alias("ContainerX"),
             F.floor((ln - 1) / 4).cast("bigint").alias("ContainerY"),
             F.when(F.col("l_partkey") % 12 == 0, F.lit(0).cast("bigint")).otherwise(F.col("l_quantity").cast("bigint")).alias("Quantity"),
-            F.col("l_shipdate").cast("timestamp").alias("LastUpdatedDate"),
+            _shipped().alias("LastUpdatedDate"),
             F.col("Snapshot_Id").cast("int").alias("Snapshot_Id"),
         )
 
@@ -300,13 +319,14 @@ class Tables:
     def putaway_containers(self) -> DataFrame:
         o = self.raw("orders").select("o_orderkey", "o_orderstatus", "o_orderdate")
         closed = F.col("o_orderstatus") == "F"
-        od = F.col("o_orderdate").cast("timestamp")
+        od = _ordered()
         return o.select(
             F.col("o_orderkey").alias("PrimaryKey"),
             F.when(closed, "Closed").otherwise("Open").alias("Status"),
             closed.alias("IsClosed"),
             _ifnull_when(F.col("o_orderkey") % 10 == 0, od).alias("LastUpdatedDateInventory"),
             od.alias("LastUpdatedDate"),
+            (od - F.expr("INTERVAL 2 DAYS")).alias("CreatedDate"),
             F.lit(2).alias("Snapshot_Id"),
         )
 
@@ -325,7 +345,7 @@ class Tables:
             q.alias("Quantity"),
             _ifnull_when(ln == 7, q - ln % 3).alias("ActualQuantity"),
             (ln % 2).cast("bigint").alias("MissingQuantity"),
-            F.col("l_shipdate").cast("timestamp").alias("LastUpdatedDate"),
+            _shipped().alias("LastUpdatedDate"),
             F.lit(2).alias("Snapshot_Id"),
         )
 
@@ -336,7 +356,7 @@ class Tables:
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("PrimaryKey"),
             F.col("l_suppkey").alias("TaskGroupPrimaryKey"),
             (F.col("l_linestatus") == "F").alias("IsClosed"),
-            F.col("l_shipdate").cast("timestamp").alias("LastUpdatedDate"),
+            _shipped().alias("LastUpdatedDate"),
             F.lit(2).alias("Snapshot_Id"),
         )
 
@@ -363,7 +383,7 @@ class Tables:
         return li.select(
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("InventoryTaskPrimaryKey"),
             F.col("l_orderkey").alias("ContainerPrimaryKey"),
-            F.col("l_shipdate").cast("timestamp").alias("LastUpdatedDate"),
+            _shipped().alias("LastUpdatedDate"),
         )
 
     @cached_property
@@ -375,7 +395,8 @@ class Tables:
             F.concat(F.lit("SO"), _s(F.col("o_orderkey"))).alias("ExternalOrderNumber"),
             F.when(pr == "1-URGENT", "Active").when(pr == "2-HIGH", "allocated").when(pr == "3-MEDIUM", "Completed")
             .when(pr == "5-LOW", "falied allocation").otherwise("Shorted").alias("Status"),
-            F.col("o_orderdate").cast("timestamp").alias("LastUpdatedDate"),
+            _ordered().alias("LastUpdatedDate"),
+            _later(_ordered(), F.col("o_orderkey") % 4 == 0).alias("LastUpdatedDateInventory"),
         )
 
     @cached_property
@@ -386,7 +407,8 @@ class Tables:
             (F.col("l_orderkey") * 10 + F.col("l_linenumber")).alias("PrimaryKey"),
             F.col("l_orderkey").alias("FulfillmentOrderPrimaryKey"),
             F.when(rf == "A", "Active").when(rf == "N", "pending").otherwise("Completed").alias("Status"),
-            F.col("l_shipdate").cast("timestamp").alias("LastUpdatedDate"),
+            _shipped().alias("LastUpdatedDate"),
+            _later(_shipped(), F.col("l_linenumber") % 3 == 0).alias("LastUpdatedDateInventory"),
         )
 
     @cached_property
@@ -403,4 +425,10 @@ class Tables:
             F.col("n").alias("TotalCompartments"),
             F.col("unreal").cast("bigint").alias("TotalUnrealizedCapacity"),
             F.lit(60).alias("CompartmentSizeCapacity"),
+            (F.col("unreal") * 100 / 4096).cast("double").alias("PercentFragmentation"),
+            F.expr("cast(cast(unreal as bigint) div n as double)").alias("AverageUnrealizedCapacity"),
+            (F.col("n") / 8).cast("double").alias("StandardDeviationUnrealizedCapacity"),
+            F.expr("(cast(q as bigint) + 59) div 60").alias("IdealizedCompartmentUsage"),
+            F.expr("((cast(q as bigint) + 59) div 60) * 60 - cast(q as bigint)").alias("IdealizedUnrealizedCapacity"),
+            F.expr("100 * (((cast(q as bigint) + 59) div 60) * 60 - cast(q as bigint)) div greatest(((cast(q as bigint) + 59) div 60) * 60, 1)").alias("IdealizedPercentFragmentation"),
         )
