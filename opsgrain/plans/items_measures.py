@@ -351,3 +351,80 @@ def m93(t):
 where cast(LastUpdatedDate as date) is not distinct from cast(LastUpdatedDateInventory as date)""")
 def m37(t):
     return canon(M.test_customer_order_lines(model_of(t)))
+
+
+# ---- measures under filters and grouping -------------------------------------------------------------
+
+def _sliced(key: str, sql: str, fn, by=(), where=None, **options):
+    register(key, sql)(lambda t: canon(M.measure(fn, model_of(t), by, where, **options)))
+
+
+_IN_OK = "ContainerPrimaryKey in (select PrimaryKey from cont_ok)"
+_sliced("M01_by_position", f"""select cast(ContainerX as bigint) as ContainerX, cast(ContainerY as bigint) as ContainerY, count(distinct ContainerPrimaryKey) as "Total Bin(s) w/ Inventory"
+from inv_np where Quantity > 0 and {_IN_OK} group by all""", M.total_bins_with_inventory, ["ContainerX", "ContainerY"])
+_sliced("M01_of_template", """select count(distinct ContainerPrimaryKey) as "Total Bin(s) w/ Inventory" from inv_np i where Quantity > 0
+and exists (select 1 from containers c where c.PrimaryKey = i.ContainerPrimaryKey and c.TemplatePrimaryKey = 2 and c.Status is distinct from 'Outside')""",
+        M.total_bins_with_inventory, where={"container_templates": "PrimaryKey = 2"})
+_sliced("M03_by_template", """select TemplatePrimaryKey, count(distinct PrimaryKey) as "Total Bin(s)" from containers
+where Status is distinct from 'Outside' and TemplatePrimaryKey in (select PrimaryKey from gtp_tmpl) group by all""", M.total_bins, ["TemplatePrimaryKey"])
+_sliced("M04_of_snapshot", f"""select {pct_text_sql('n', 'd')} as "% of Bin(s) w/ Inventory" from (select
+  (select count(distinct ContainerPrimaryKey) from inv_np where Quantity > 0 and ContainerPrimaryKey in (select PrimaryKey from containers where Snapshot_Id = 1 and Status is distinct from 'Outside')) as n,
+  (select count(distinct PrimaryKey) from containers where Snapshot_Id = 1 and Status is distinct from 'Outside' and TemplatePrimaryKey in (select PrimaryKey from gtp_tmpl)) as d) r""",
+        M.pct_bins, where={"containers": "Snapshot_Id = 1"})
+_sliced("M06_by_position", """select cast(ContainerX as bigint) as ContainerX, cast(ContainerY as bigint) as ContainerY, count(distinct (ContainerPrimaryKey, ContainerX, ContainerY)) as "Total Locations Occupied 2"
+from inv_np where ContainerPrimaryKey in (select PrimaryKey from cont_all) group by all""", M.locations_occupied_2, ["ContainerX", "ContainerY"])
+_sliced("M11_by_status", f"""select Status, count(distinct UnitOfMeasurePrimaryKey) as "Distinct SKUs Stocked" from inv_np where {_IN_OK} group by all""",
+        M.distinct_skus_stocked, ["Status"])
+_sliced("M12_by_unit", """select UnitOfMeasurePrimaryKey, cast(sum(Quantity) as bigint) as "Units Stocked"
+from (select distinct PrimaryKey, Quantity, UnitOfMeasurePrimaryKey from inv_np) x group by all""", M.units_stocked, ["UnitOfMeasurePrimaryKey"])
+_sliced("M13_by_unit", f"""select UnitOfMeasurePrimaryKey, cast(sum(Quantity) as bigint) / cast(({M12}) as bigint) as "% Units Stocked"
+from (select distinct PrimaryKey, Quantity, UnitOfMeasurePrimaryKey from inv_np) x group by all""", M.pct_units_stocked, ["UnitOfMeasurePrimaryKey"])
+_sliced("M13_of_product", f"""select (select cast(coalesce(sum(Quantity), 0) as bigint) from (select distinct PrimaryKey, Quantity from inv_np where UnitOfMeasurePrimaryKey in
+  (select PrimaryKey from units_of_measure where ProductPrimaryKey = 7)) x) / cast(({M12}) as bigint) as "% Units Stocked" """,
+        M.pct_units_stocked, where={"products": "PrimaryKey = 7"})
+_sliced("M46_by_template_of_container", """select ContainerX, cast(sum(Quantity) as bigint) as Quantity from inventory
+where ContainerPrimaryKey in (select PrimaryKey from containers where TemplatePrimaryKey in (1, 3)) group by all""",
+        M.quantity, ["ContainerX"], {"container_templates": "PrimaryKey in (1, 3)"})
+_sliced("M53_by_position", f"""select cast(ContainerX as bigint) as ContainerX, count(distinct ContainerPrimaryKey) as "_DistinctTotalInducted" from inv_np where {_IN_OK} group by all""",
+        M.distinct_total_inducted, ["ContainerX"])
+_THR_SUMS = """cast(sum(BinPresentationsCompleted) as bigint) as Bins, cast(sum(OrdersCompleted) as bigint) as Orders, cast(sum(LinesCompleted) as bigint) as Lines,
+  cast(sum(OrdersCompleted) + sum(LinesCompleted) + sum(BinPresentationsCompleted) as bigint) as "All_Orders+Lines+Bins" """
+_sliced("M19_M21_M22_M49_by_port", f"select Ports, {_THR_SUMS} from throughput group by all", M.throughput_sums, ["Ports"])
+_sliced("M19_M21_M22_M49_of_category", f"select Hour, {_THR_SUMS} from throughput where OrderCategory = 'Web' group by all",
+        M.throughput_sums, ["Hour"], {"throughput": "OrderCategory = 'Web'"})
+_sliced("M24_by_user", 'select UserName, count(*) as "Pick" from pick group by all', M.pick_count, ["UserName"])
+_sliced("M27_M29_by_port", """select Port, count(distinct OrderNumber) as "Orders HD", count(*) as "Lines HD", cast(sum(EachUnitCount) as bigint) as "Units HD"
+from order_rows group by all""", M.order_measures, ["Port"])
+_sliced("M38_by_status", """select Status, count(*) as "FulfillmentOrderLinesCount (Lines)" from fulfillment_lines
+where lower(Status) in ('active', 'allocated', 'allocating', 'new', 'pending') group by all""", M.open_pick_lines, ["Status"])
+_sliced("M39_of_recent_containers", f"""select count(*) as "PutAwayLineItemsCount (Lines)" from putaway_lines where coalesce(ActualQuantity, 0) + coalesce(MissingQuantity, 0) < coalesce(Quantity, 0)
+and PutAwayContainerPrimaryKey in (select PrimaryKey from putaway_containers where not IsClosed and LastUpdatedDate >= timestamp '2023-01-01')""",
+        M.open_putaway_lines, where={"putaway_containers": "LastUpdatedDate >= timestamp '2023-01-01'"})
+_sliced("M44_by_group_day", """select strftime(LastUpdatedDate, '%Y-%m-%d %H:%M:%S.%f') as LastUpdatedDate, count(distinct TaskGroupPrimaryKey) as "DistinctTaskGroupCount (Orders)"
+from inventory_tasks where not IsClosed group by all""", M.distinct_task_groups, ["LastUpdatedDate"])
+_sliced("M47_by_size", """select CompartmentSizeName, cast(sum(TotalUnrealizedCapacity) as bigint) / cast(sum(TotalUnrealizedCapacity) + sum(Quantity) as bigint) as Fragmentation
+from defrag_detail group by all""", M.fragmentation, ["CompartmentSizeName"])
+for _metric in ("Units Picked", "Orders Putaway", "Total Units On Hand"):
+    _key = next(k for k, name in _KPI_MEASURES if name == _metric)
+    _sliced(f"{_key}_by_date", f"""select strftime(cast(Date as date), '%Y-%m-%d') as Date, cast(sum("{_metric}") as bigint) as "{_metric}"
+from ({_kpi_view_sql(_metric)}) v group by 1""",
+            M.kpi_sum, ["Date"], metric=_metric, as_of=AS_OF_DATE)
+
+# the selected-metric measures for every choice
+_SUM_OF = {"Orders": "sum(OrdersCompleted)", "Lines": "sum(LinesCompleted)", "Bins": "sum(BinPresentationsCompleted)",
+           "All": "sum(OrdersCompleted) + sum(LinesCompleted) + sum(BinPresentationsCompleted)"}
+for _choice, _sum in _SUM_OF.items():
+    _sliced(f"M23_kpi_selected_{_choice.lower()}_by_category", f"select OrderCategory, cast({_sum} as bigint) as KPI_Selected from throughput group by all",
+            M.kpi_selected, ["OrderCategory"], metric=_choice)
+    _sliced(f"M34_selected_metric_{_choice.lower()}", f"select cast({_sum} as bigint) as SelectedMetricValue from throughput",
+            M.kpi_selected, metric=_choice, name="SelectedMetricValue")
+for _series in M.OWH_SERIES:
+    _of = f"select ItemKey from open_rows where MetricName = '{_series}'"
+    _count = "count(distinct ItemKey)" if _series == "Orders Cycle Count" else "count(*)"
+    if _series == "Orders Cycle Count":  # the measure counts task groups of all open tasks
+        _of = "select TaskGroupPrimaryKey as ItemKey from inventory_tasks where not IsClosed"
+    if _series == "Lines Cycle Count":
+        _of = "select 1 as ItemKey from tasks_cyclecount where InventoryTaskPrimaryKey in (select PrimaryKey from inventory_tasks where not IsClosed)"
+    for _choice in ("All", _series.split()[0]):
+        _sliced(f"M42_{_choice.lower()}_{_series.lower().replace(' ', '_')}", f"select cast({_count} as bigint) as KPI_Selected_OWH from ({_of}) r",
+                M.kpi_selected_owh, metric=_choice, series=_series)

@@ -179,6 +179,16 @@ def p36(t):
     return canon(P.throughput_chart(throughput_of(t), "Orders", "Ports"))
 
 
+_CHART = {"Orders": "sum(OrdersCompleted)", "Lines": "sum(LinesCompleted)", "Bins": "sum(BinPresentationsCompleted)",
+          "All": "sum(OrdersCompleted) + sum(LinesCompleted) + sum(BinPresentationsCompleted)"}
+for _metric, _sum in _CHART.items():
+    for _series in ("Ports", "OrderCategory"):
+        def _chart(t, _metric=_metric, _series=_series):
+            return canon(P.throughput_chart(throughput_of(t), _metric, _series))
+        register(f"P36_chart_{_metric.lower()}_{_series.lower()}", f"""select Hour, {_series}, cast({_sum} as bigint) as KPI_Selected
+from throughput where {_series} not in ('No Data', 'Unknown') group by Hour, {_series}""")(_chart)
+
+
 @register("P39_date_hierarchy", """select strftime(d, '%Y-%m-%d') as Date, cast(year(d) as bigint) as Year, cast(month(d) as bigint) as MonthNo,
   strftime(d, '%B') as Month, cast(floor((month(d) + 2) / 3) as bigint) as QuarterNo,
   'Qtr ' || cast(cast(floor((month(d) + 2) / 3) as bigint) as varchar) as Quarter, cast(day(d) as bigint) as Day

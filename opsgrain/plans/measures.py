@@ -14,7 +14,7 @@ depend on floating-point evaluation order.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Callable
+from collections.abc import Callable, Sequence
 from functools import cached_property
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -40,8 +40,23 @@ def _keys(df: DataFrame, col: str, alias: str) -> DataFrame:
     return df.select(F.col(col).alias(alias)).dropna().dropDuplicates()
 
 
-def _scalar(df: DataFrame, value: Column, name: str) -> DataFrame:
-    return df.agg(value.alias(name))
+def _slices(m, df: DataFrame) -> list[str]:
+    """The model's grouping columns that ``df`` has."""
+    return [c for c in m.by if c in df.columns]
+
+
+def _agg(m, df: DataFrame, *aggs: Column) -> DataFrame:
+    """One row, or one per slice where ``df`` has the grouping columns."""
+    keys = _slices(m, df)
+    return df.groupBy(*keys).agg(*aggs) if keys else df.agg(*aggs)
+
+
+def _scalar(m, df: DataFrame, value: Column, name: str) -> DataFrame:
+    return _agg(m, df, value.alias(name))
+
+
+def _value(m, df: DataFrame, *values: Column) -> DataFrame:
+    return df.select(*_slices(m, df), *values)
 
 
 def pct_text(num: str, den: str) -> Column:
@@ -69,19 +84,23 @@ def total_bins_with_inventory(m, empty: bool = False) -> DataFrame:
     cond = (qty() == 0) if empty else (qty() > 0)
     inv = m.inventory.filter(not_pending() & cond).join(valid_container_keys(m), "ContainerPrimaryKey", "left_semi")
     name = "Total Bin(s) w/ No Inventory" if empty else "Total Bin(s) w/ Inventory"
-    return _scalar(inv, F.count_distinct("ContainerPrimaryKey").cast("bigint"), name)
+    return _scalar(m, inv, F.count_distinct("ContainerPrimaryKey").cast("bigint"), name)
 
 
 def total_bins(m) -> DataFrame:
     """Distinct goods-to-person containers not Outside."""
     gtp = _keys(m.container_templates.filter(F.col("IsGoodsToPerson") == F.lit(True)), "PrimaryKey", "TemplatePrimaryKey")
     c = m.containers.filter(not_outside()).join(gtp, "TemplatePrimaryKey", "left_semi")
-    return _scalar(c, F.count_distinct("PrimaryKey").cast("bigint"), "Total Bin(s)")
+    return _scalar(m, c, F.count_distinct("PrimaryKey").cast("bigint"), "Total Bin(s)")
 
 
-def _pair(a: DataFrame, b: DataFrame) -> DataFrame:
-    """Two one-row results side by side (scalar subquery, no join)."""
-    return beside(a, b)
+def _pair(m, a: DataFrame, b: DataFrame) -> DataFrame:
+    """Two results side by side: slice by slice (a missing slice counts 0), or
+    a one-row result beside every row of the other."""
+    keys = [c for c in _slices(m, a) if c in b.columns]
+    if keys:
+        return a.join(b, keys, "full").na.fill(0)
+    return beside(b, a) if _slices(m, b) else beside(a, b)
 
 
 def pct_bins(m, empty: bool = False) -> DataFrame:
@@ -90,13 +109,13 @@ def pct_bins(m, empty: bool = False) -> DataFrame:
         "Total Bin(s) w/ No Inventory" if empty else "Total Bin(s) w/ Inventory", "_n")
     d = total_bins(m).withColumnRenamed("Total Bin(s)", "_d")
     name = "% of Bin(s) w/ No Inventory" if empty else "% of Bin(s) w/ Inventory"
-    return _pair(n, d).select(pct_text("_n", "_d").alias(name))
+    return _value(m, _pair(m, n, d), pct_text("_n", "_d").alias(name))
 
 
 def locations_occupied_2(m) -> DataFrame:
     """Distinct (container, x, y) of non-Pending inventory in known containers."""
     inv = m.inventory.filter(not_pending()).join(all_container_keys(m), "ContainerPrimaryKey", "left_semi")
-    return _scalar(inv, F.count_distinct(F.struct("ContainerPrimaryKey", "ContainerX", "ContainerY")).cast("bigint"),
+    return _scalar(m, inv, F.count_distinct(F.struct("ContainerPrimaryKey", "ContainerX", "ContainerY")).cast("bigint"),
                    "Total Locations Occupied 2")
 
 
@@ -119,43 +138,44 @@ def locations_empty(m) -> DataFrame:
     occupied = cont.join(occ, "ContainerPrimaryKey").agg(F.coalesce(F.sum("_w"), F.lit(0)).alias("_occ"))
     n_cont = cont.agg(F.count(F.lit(1)).alias("_nc"))
     n_comp = comp.agg(F.count(F.lit(1)).alias("_nk"))
-    return _pair(_pair(n_cont, n_comp), occupied).select(
+    return _pair(m, _pair(m, n_cont, n_comp), occupied).select(
         (F.col("_nc") * F.col("_nk") - F.col("_occ")).cast("bigint").alias("Total Locations Empty"))
 
 
 def total_locations(m) -> DataFrame:
     """Distinct (container, x, y) of compartment barcodes of known containers."""
     b = m.compartment_barcodes.join(all_container_keys(m), "ContainerPrimaryKey", "left_semi")
-    return _scalar(b, F.count_distinct(F.struct("ContainerPrimaryKey", "XPosition", "YPosition")).cast("bigint"),
+    return _scalar(m, b, F.count_distinct(F.struct("ContainerPrimaryKey", "XPosition", "YPosition")).cast("bigint"),
                    "Total Locations")
 
 
 def pct_locations(m, empty: bool = False) -> DataFrame:
     """M09 / M10."""
     n = (locations_empty(m) if empty else locations_occupied_2(m))
-    n = n.withColumnRenamed(n.columns[0], "_n")
+    n = n.withColumnRenamed(n.columns[-1], "_n")
     d = total_locations(m).withColumnRenamed("Total Locations", "_d")
-    return _pair(n, d).select(pct_text("_n", "_d").alias("% Locations Empty" if empty else "% Locations Occupied"))
+    return _value(m, _pair(m, n, d), pct_text("_n", "_d").alias("% Locations Empty" if empty else "% Locations Occupied"))
 
 
 def distinct_skus_stocked(m) -> DataFrame:
     """Distinct unit-of-measure keys, not Pending, container not Outside."""
     inv = m.inventory.filter(not_pending()).join(valid_container_keys(m), "ContainerPrimaryKey", "left_semi")
-    return _scalar(inv, F.count_distinct("UnitOfMeasurePrimaryKey").cast("bigint"), "Distinct SKUs Stocked")
+    return _scalar(m, inv, F.count_distinct("UnitOfMeasurePrimaryKey").cast("bigint"), "Distinct SKUs Stocked")
 
 
 def units_stocked(m, name: str = "Units Stocked") -> DataFrame:
     """M12 (and M20 Total_Units, the same with all filters removed): sum of
     quantity over distinct (PrimaryKey, Quantity), not Pending."""
-    u = m.inventory.filter(not_pending()).select("PrimaryKey", "Quantity").dropDuplicates()
-    return _scalar(u, F.coalesce(F.sum("Quantity"), F.lit(0)).cast("bigint"), name)
+    u = m.inventory.filter(not_pending()).select("PrimaryKey", "Quantity", *_slices(m, m.inventory)).dropDuplicates()
+    return _scalar(m, u, F.coalesce(F.sum("Quantity"), F.lit(0)).cast("bigint"), name)
 
 
 def pct_units_stocked(m) -> DataFrame:
-    """DIVIDE(Units Stocked, Total_Units, 0)."""
+    """DIVIDE(Units Stocked, Total_Units, 0); the total is that of the
+    whole model, without the caller's filters and grouping."""
     a = units_stocked(m).withColumnRenamed("Units Stocked", "_a")
-    b = units_stocked(m, "Total_Units").withColumnRenamed("Total_Units", "_b")
-    return _pair(a, b).select(F.when(F.col("_b") == 0, F.lit(0.0)).otherwise(F.col("_a") / F.col("_b")).alias("% Units Stocked"))
+    b = units_stocked(m.all(), "Total_Units").withColumnRenamed("Total_Units", "_b")
+    return _value(m, _pair(m, a, b), F.when(F.col("_b") == 0, F.lit(0.0)).otherwise(F.col("_a") / F.col("_b")).alias("% Units Stocked"))
 
 
 def pct_total_bins(m) -> DataFrame:
@@ -163,9 +183,9 @@ def pct_total_bins(m) -> DataFrame:
     a = total_bins_with_inventory(m).withColumnRenamed("Total Bin(s) w/ Inventory", "_a")
     b = total_bins_with_inventory(m, True).withColumnRenamed("Total Bin(s) w/ No Inventory", "_b")
     c = total_bins(m).withColumnRenamed("Total Bin(s)", "_c")
-    j = _pair(_pair(a, b), c)
-    return j.select(F.when(F.col("_c") == 0, F.lit(0.0)).otherwise((F.col("_a") + F.col("_b")) / F.col("_c"))
-                    .alias("% of Total Bin(s)"))
+    j = _pair(m, _pair(m, a, b), c)
+    return _value(m, j, F.when(F.col("_c") == 0, F.lit(0.0)).otherwise((F.col("_a") + F.col("_b")) / F.col("_c"))
+                  .alias("% of Total Bin(s)"))
 
 
 def avg_units_per_location(m) -> DataFrame:
@@ -178,10 +198,10 @@ def avg_units_per_location(m) -> DataFrame:
     inv = m.inventory.join(cont, "ContainerPrimaryKey", "left_semi").join(xs, "ContainerX", "left_semi") \
         .join(ys, "ContainerY", "left_semi")
     total = inv.agg(F.coalesce(F.sum("Quantity"), F.lit(0)).alias("_t"))
-    n = _pair(_pair(cont.agg(F.count(F.lit(1)).alias("_c")), xs.agg(F.count(F.lit(1)).alias("_x"))),
+    n = _pair(m, _pair(m, cont.agg(F.count(F.lit(1)).alias("_c")), xs.agg(F.count(F.lit(1)).alias("_x"))),
               ys.agg(F.count(F.lit(1)).alias("_y")))
     d = F.col("_c") * F.col("_x") * F.col("_y")
-    return _pair(total, n).select(F.when(d == 0, F.lit(0.0)).otherwise(F.col("_t") / d).alias("Avg Units Stocked Per Location"))
+    return _pair(m, total, n).select(F.when(d == 0, F.lit(0.0)).otherwise(F.col("_t") / d).alias("Avg Units Stocked Per Location"))
 
 
 def avg_units_per_bin(m) -> DataFrame:
@@ -211,55 +231,55 @@ def avg_locations_per_sku(m) -> DataFrame:
     inv = m.inventory.join(_keys(uom, "PrimaryKey", "UnitOfMeasurePrimaryKey"), "UnitOfMeasurePrimaryKey", "left_semi")
     a = inv.agg(F.count(F.lit(1)).alias("_r"))
     b = m.products.agg(F.count(F.lit(1)).alias("_p"))
-    return _pair(a, b).select(F.when(F.col("_p") == 0, F.lit(0.0)).otherwise(F.col("_r") / F.col("_p"))
+    return _pair(m, a, b).select(F.when(F.col("_p") == 0, F.lit(0.0)).otherwise(F.col("_r") / F.col("_p"))
                               .alias("Avg Locations Stocked per SKU"))
 
 
 def quantity(m) -> DataFrame:
     """M46."""
-    return _scalar(m.inventory, F.coalesce(F.sum("Quantity"), F.lit(0)).cast("bigint"), "Quantity")
+    return _scalar(m, m.inventory, F.coalesce(F.sum("Quantity"), F.lit(0)).cast("bigint"), "Quantity")
 
 
 def distinct_locations_occupied(m) -> DataFrame:
     """Distinct (container, x, y) of non-Pending inventory."""
     inv = m.inventory.filter(not_pending())
-    return _scalar(inv, F.count_distinct(F.struct("ContainerPrimaryKey", "ContainerX", "ContainerY")).cast("bigint"),
+    return _scalar(m, inv, F.count_distinct(F.struct("ContainerPrimaryKey", "ContainerX", "ContainerY")).cast("bigint"),
                    "_DistinctLocationsOccupied")
 
 
 def distinct_total_inducted(m) -> DataFrame:
     """Distinct containers of non-Pending inventory whose container is not Outside."""
     inv = m.inventory.filter(not_pending()).join(valid_container_keys(m), "ContainerPrimaryKey", "left_semi")
-    return _scalar(inv, F.count_distinct("ContainerPrimaryKey").cast("bigint"), "_DistinctTotalInducted")
+    return _scalar(m, inv, F.count_distinct("ContainerPrimaryKey").cast("bigint"), "_DistinctTotalInducted")
 
 
 # ---- throughput measures (M19, M21-M23, M34, M49) ----------------------------------------------
 
 def throughput_sums(m) -> DataFrame:
     """M19 Bins, M21 Orders, M49 Lines and M22 All_Orders+Lines+Bins in one pass."""
-    t = m.throughput.agg(F.sum("BinPresentationsCompleted").alias("Bins"), F.sum("OrdersCompleted").alias("Orders"),
-                         F.sum("LinesCompleted").alias("Lines"))
-    return t.select("Bins", "Orders", "Lines", (F.col("Orders") + F.col("Lines") + F.col("Bins")).alias("All_Orders+Lines+Bins"))
+    t = _agg(m, m.throughput, F.sum("BinPresentationsCompleted").alias("Bins"), F.sum("OrdersCompleted").alias("Orders"),
+             F.sum("LinesCompleted").alias("Lines"))
+    return t.withColumn("All_Orders+Lines+Bins", F.col("Orders") + F.col("Lines") + F.col("Bins"))
 
 
 def kpi_selected(m, metric: str, name: str = "KPI_Selected") -> DataFrame:
     """The throughput total for the slicer's metric (NULL otherwise)."""
     col = {"Orders": "Orders", "Lines": "Lines", "Bins": "Bins", "All": "All_Orders+Lines+Bins"}.get(metric)
     t = throughput_sums(m)
-    return t.select((F.col(f"`{col}`") if col else F.lit(None).cast("bigint")).alias(name))
+    return _value(m, t, (F.col(f"`{col}`") if col else F.lit(None).cast("bigint")).alias(name))
 
 
 # ---- row counts on event tables (M24, M27-M29, M31) ------------------------------------------------
 
 def pick_count(m) -> DataFrame:
     """M24."""
-    return _scalar(m.pick, F.count(F.lit(1)), "Pick")
+    return _scalar(m, m.pick, F.count(F.lit(1)), "Pick")
 
 
 def order_measures(m) -> DataFrame:
     """M27 Orders HD, M28 Lines HD, M29 Units HD."""
-    return m.order_rows.agg(F.count_distinct("OrderNumber").alias("Orders HD"), F.count(F.lit(1)).alias("Lines HD"),
-                            F.sum("EachUnitCount").cast("bigint").alias("Units HD"))
+    return _agg(m, m.order_rows, F.count_distinct("OrderNumber").alias("Orders HD"), F.count(F.lit(1)).alias("Lines HD"),
+                F.sum("EachUnitCount").cast("bigint").alias("Units HD"))
 
 
 def pick_owh(m, metric: str) -> DataFrame:
@@ -275,7 +295,7 @@ def pick_owh(m, metric: str) -> DataFrame:
         v = F.lit(None).cast("bigint")
     else:
         v = F.count(F.col(col))
-    return _scalar(p, v, "Pick OWH")
+    return _scalar(m, p, v, "Pick OWH")
 
 
 # ---- putaway / open-work measures (M35-M45, M91-M92) ------------------------------------------------
@@ -290,13 +310,13 @@ def _same_day_text(a: str, b: str) -> Column:
 def test_orders_putaway(m) -> DataFrame:
     """Closed putaway containers whose two dates fall on the same day."""
     c = m.putaway_containers.filter((F.col("Status") == "Closed") & _same_day_text("LastUpdatedDate", "LastUpdatedDateInventory"))
-    return _scalar(c, F.count("PrimaryKey"), "test Orders Putaway")
+    return _scalar(m, c, F.count("PrimaryKey"), "test Orders Putaway")
 
 
 def open_pick_lines(m) -> DataFrame:
     """M38 (status list compared case-insensitively, as DAX does)."""
     li = m.fulfillment_lines.filter(F.lower("Status").isin(P.OPEN_LINE_STATUSES))
-    return _scalar(li, F.count(F.lit(1)), "FulfillmentOrderLinesCount (Lines)")
+    return _scalar(m, li, F.count(F.lit(1)), "FulfillmentOrderLinesCount (Lines)")
 
 
 def open_putaway_lines(m, require_open_container: bool = True) -> DataFrame:
@@ -306,7 +326,7 @@ def open_putaway_lines(m, require_open_container: bool = True) -> DataFrame:
     if require_open_container:
         open_c = _keys(m.putaway_containers.filter(F.col("IsClosed") == F.lit(False)), "PrimaryKey", "PutAwayContainerPrimaryKey")
         li = li.join(open_c, "PutAwayContainerPrimaryKey", "left_semi")
-    return _scalar(li, F.count(F.lit(1)), "PutAwayLineItemsCount (Lines)")
+    return _scalar(m, li, F.count(F.lit(1)), "PutAwayLineItemsCount (Lines)")
 
 
 # The older model's open-order status list (8 statuses).
@@ -318,12 +338,12 @@ def open_pick_orders(m, statuses=None) -> DataFrame:
     """M40 (and M92 with the older status list)."""
     st = statuses or P.OPEN_ORDER_STATUSES
     o = m.fulfillment_orders.filter(F.lower("Status").isin(st))
-    return _scalar(o, F.count(F.lit(1)), "FulfillmentOrdersCount (Orders)")
+    return _scalar(m, o, F.count(F.lit(1)), "FulfillmentOrdersCount (Orders)")
 
 
 def open_putaway_containers(m) -> DataFrame:
     """M41."""
-    return _scalar(m.putaway_containers.filter(F.col("IsClosed") == F.lit(False)), F.count(F.lit(1)),
+    return _scalar(m, m.putaway_containers.filter(F.col("IsClosed") == F.lit(False)), F.count(F.lit(1)),
                    "PutAwayContainersOpenCount (Orders)")
 
 
@@ -335,19 +355,19 @@ def test_open_cycle_count_tasks(m) -> DataFrame:
     """Cycle-count rows whose task looks up as not closed (a missing task
     looks up as BLANK, which equals 0/FALSE in DAX)."""
     closed = _keys(m.inventory_tasks.filter(F.col("IsClosed") == F.lit(True)), "PrimaryKey", "InventoryTaskPrimaryKey")
-    return _scalar(m.tasks_cyclecount.join(closed, "InventoryTaskPrimaryKey", "left_anti"), F.count(F.lit(1)),
+    return _scalar(m, m.tasks_cyclecount.join(closed, "InventoryTaskPrimaryKey", "left_anti"), F.count(F.lit(1)),
                    "test OpenCycleCountTasks (Lines)")
 
 
 def distinct_task_groups(m) -> DataFrame:
     """Distinct task groups of open tasks."""
-    return _scalar(_open_tasks(m), F.count_distinct("TaskGroupPrimaryKey"), "DistinctTaskGroupCount (Orders)")
+    return _scalar(m, _open_tasks(m), F.count_distinct("TaskGroupPrimaryKey"), "DistinctTaskGroupCount (Orders)")
 
 
 def cycle_count_open_tasks(m) -> DataFrame:
     """Cycle-count rows of open tasks (relationship filter)."""
     open_keys = _keys(_open_tasks(m), "PrimaryKey", "InventoryTaskPrimaryKey")
-    return _scalar(m.tasks_cyclecount.join(open_keys, "InventoryTaskPrimaryKey", "left_semi"), F.count(F.lit(1)),
+    return _scalar(m, m.tasks_cyclecount.join(open_keys, "InventoryTaskPrimaryKey", "left_semi"), F.count(F.lit(1)),
                    "CycleCountOpenTasks (Lines)")
 
 
@@ -362,26 +382,26 @@ def kpi_selected_owh(m, metric: str, series: str) -> DataFrame:
     allowed = {"Orders": [s for s in OWH_SERIES if s.startswith("Orders")],
                "Lines": [s for s in OWH_SERIES if s.startswith("Lines")], "All": list(OWH_SERIES)}.get(metric, [])
     if series not in allowed:
-        return m.fulfillment_orders.limit(1).select(F.lit(None).cast("bigint").alias("KPI_Selected_OWH"))
+        return m.fulfillment_orders.sparkSession.range(1).select(F.lit(None).cast("bigint").alias("KPI_Selected_OWH"))
     r = OWH_SERIES[series](m)
-    return r.select(F.col(f"`{r.columns[0]}`").cast("bigint").alias("KPI_Selected_OWH"))
+    return _value(m, r, F.col(f"`{r.columns[-1]}`").cast("bigint").alias("KPI_Selected_OWH"))
 
 
 # ---- fragmentation (M47, M48, M94) ---------------------------------------------------------------------
 
 def fragmentation(m, blank_as_zero: bool = False) -> DataFrame:
     """M47 (M94: the older model returns 0 instead of BLANK)."""
-    d = m.defrag_detail.agg(F.sum("TotalUnrealizedCapacity").alias("_u"), F.sum("Quantity").alias("_q"))
+    d = _agg(m, m.defrag_detail, F.sum("TotalUnrealizedCapacity").alias("_u"), F.sum("Quantity").alias("_q"))
     v = F.when(F.col("_u").isNull() | (F.col("_u") + F.col("_q") == 0), F.lit(None).cast("double")) \
         .otherwise(F.col("_u") / (F.col("_u") + F.col("_q")))
     if blank_as_zero:
         v = F.coalesce(v, F.lit(0.0))
-    return d.select(v.alias("Fragmentation"))
+    return _value(m, d, v.alias("Fragmentation"))
 
 
 def total_compartments(m) -> DataFrame:
     """M48."""
-    return _scalar(m.defrag_detail, F.sum("TotalCompartments").cast("bigint"), "Total Compartments")
+    return _scalar(m, m.defrag_detail, F.sum("TotalCompartments").cast("bigint"), "Total Compartments")
 
 
 # ---- daily KPI sums (M52, M54-M65) and the KPI matrix (M50 / P35) ------------------------------------------
@@ -440,7 +460,7 @@ def kpi_sum(m, metric: str, as_of: dt.date) -> DataFrame:
     else:
         v = KPI_VIEWS[metric](m)
     v = _long(v)
-    return _scalar(v, F.coalesce(F.sum("Value"), F.lit(0)).cast("bigint"), metric)
+    return _scalar(m, v, F.coalesce(F.sum("Value"), F.lit(0)).cast("bigint"), metric)
 
 
 def kpi_matrix(m, start: dt.date, end: dt.date, as_of: dt.date) -> DataFrame:
@@ -582,7 +602,7 @@ def older_helper_sums(rollup_users: DataFrame, rollup_ports: DataFrame) -> DataF
                 v = F.round(v.cast("double"), 9)
             aggs.append(v.alias(name))
         out.append(roll.filter(F.col("WorkType") == "Pick").agg(*aggs))
-    return _pair(out[0], out[1])
+    return beside(out[0], out[1])
 
 
 def older_port_sort(c: Column) -> Column:
@@ -591,10 +611,64 @@ def older_port_sort(c: Column) -> Column:
     return F.substring(t, 2, 1 << 20).try_cast("double")
 
 
+# The model's relationships, as fact: (key in the fact, dimension, key there).
+RELATIONSHIPS = {
+    "inventory": [("ContainerPrimaryKey", "containers", "PrimaryKey"), ("UnitOfMeasurePrimaryKey", "units_of_measure", "PrimaryKey")],
+    "containers": [("TemplatePrimaryKey", "container_templates", "PrimaryKey")],
+    "units_of_measure": [("ProductPrimaryKey", "products", "PrimaryKey")],
+    "compartment_barcodes": [("ContainerPrimaryKey", "containers", "PrimaryKey")],
+    "putaway_lines": [("PutAwayContainerPrimaryKey", "putaway_containers", "PrimaryKey")],
+    "fulfillment_lines": [("FulfillmentOrderPrimaryKey", "fulfillment_orders", "PrimaryKey")],
+    "tasks_cyclecount": [("InventoryTaskPrimaryKey", "inventory_tasks", "PrimaryKey")],
+}
+
+
+class Slice:
+    """A model under a caller's filters and grouping.
+
+    ``where`` maps a table to a condition; a filtered dimension is semi-joined
+    into the facts it relates to.  ``by`` names columns: a measure gives a row
+    per value where its fact has them, and its plain total where not."""
+
+    def __init__(self, model, by: Sequence[str] = (), where: dict[str, Column | str] | None = None):
+        self._model, self.by, self._where = model, list(by), dict(where or {})
+        self._tables: dict[str, DataFrame] = {}
+
+    def all(self):
+        """The model without filters and grouping."""
+        return self._model
+
+    def _filtered(self, name: str) -> bool:
+        return name in self._where or any(self._filtered(dim) for _, dim, _ in RELATIONSHIPS.get(name, ()))
+
+    def __getattr__(self, name):
+        if name in self._tables:
+            return self._tables[name]
+        df = getattr(self._model, name)
+        if isinstance(df, DataFrame):
+            if name in self._where:
+                df = df.filter(self._where[name])
+            for fk, dim, pk in RELATIONSHIPS.get(name, ()):
+                if self._filtered(dim):
+                    df = df.join(getattr(self, dim).select(F.col(pk).alias(fk)).distinct(), fk, "left_semi")
+            self._tables[name] = df
+        return df
+
+
+def measure(fn: Callable, m, by: Sequence[str] = (), where: dict[str, Column | str] | None = None, **options) -> DataFrame:
+    """Evaluate a measure function under filters, per value of ``by``."""
+    return fn(Slice(m, by, where), **options)
+
+
 class Model:
     """The semantic model's tables: the input catalogue plus the derived report
     tables the measures read (daily grain, throughput, compartment barcodes)."""
 
+    by: Sequence[str] = ()
+
+    def all(self):
+        return self
+
     def __init__(self, tables, daily: Callable[[], DataFrame], throughput: Callable[[], DataFrame]):
         self._t = tables
         self._daily, self._throughput = daily, throughput
@@ -631,7 +705,7 @@ def test_customer_orders_picked(m) -> DataFrame:
     if "LastUpdatedDateInventory" not in fo.columns:
         fo = fo.withColumn("LastUpdatedDateInventory", F.lit(None).cast("timestamp"))
     f = fo.filter((F.lower("Status") == "completed") & _same_day_text("LastUpdatedDate", "LastUpdatedDateInventory"))
-    return _scalar(f, F.count(F.lit(1)), "test Customer Orders Picked")
+    return _scalar(m, f, F.count(F.lit(1)), "test Customer Orders Picked")
 
 
 def older_cycle_count_open(m) -> DataFrame:
@@ -654,5 +728,5 @@ def test_customer_order_lines(m) -> DataFrame:
     li = m.fulfillment_lines
     if "LastUpdatedDateInventory" not in li.columns:
         li = li.withColumn("LastUpdatedDateInventory", F.lit(None).cast("timestamp"))
-    return _scalar(li.filter(_same_day_text("LastUpdatedDate", "LastUpdatedDateInventory")), F.count(F.lit(1)),
+    return _scalar(m, li.filter(_same_day_text("LastUpdatedDate", "LastUpdatedDateInventory")), F.count(F.lit(1)),
                    "test Customer Order Lines")
