@@ -712,7 +712,7 @@ def consolidation_counts(report: DataFrame, source: DataFrame | None) -> DataFra
         src = source.agg(F.count(F.lit(1)).alias("sr"),
                          F.sum(F.coalesce(F.col("Quantity").try_cast("decimal(19,4)"), F.lit(0))).cast("decimal(19,4)").alias("sq"))
     else:
-        src = report.limit(1).select(F.lit(None).cast("bigint").alias("sr"), F.lit(None).cast("decimal(19,4)").alias("sq"))
+        src = report.sparkSession.range(1).select(F.lit(None).cast("bigint").alias("sr"), F.lit(None).cast("decimal(19,4)").alias("sq"))
     return _one_row_join(r, src)
 
 

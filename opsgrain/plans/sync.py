@@ -13,6 +13,7 @@ from __future__ import annotations
 
 import datetime as dt
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -33,9 +34,13 @@ LEDGER_COLUMNS = [f.name for f in LEDGER_SCHEMA.fields if f.name != "RecordedAt"
 
 
 def _read_or_empty(spark: SparkSession, path: str, schema: T.StructType) -> DataFrame:
+    """The table, or an empty one where the path does not exist; any other
+    failure to read it is an error."""
     try:
         return spark.read.schema(schema).parquet(path)
-    except Exception:  # noqa: BLE001 - a missing table is an empty ledger
+    except AnalysisException as e:
+        if e.getCondition() != "PATH_NOT_FOUND":
+            raise
         return spark.createDataFrame([], schema)
 
 
@@ -48,23 +53,30 @@ def current_ledger(ledger: DataFrame) -> DataFrame:
 def sync_increment(spark: SparkSession, src: DataFrame, target: str, ledger_path: str, job: str, database: str,
                    table: str, now: dt.datetime, key: str = "PrimaryKey") -> dict:
     """Append the source rows with ``key`` above the last synced key,
-    then append a completed ledger row for the batch.  Returns the ledger row."""
+    then append a completed ledger row for the batch.  Returns the ledger row.
+
+    The batch is the key range up to the largest key seen at the start, so rows
+    that arrive meanwhile belong to the next one.  It is written to the
+    partition ``SyncBatch`` of its number, replacing what a run that failed
+    before its ledger row may have left there."""
     led = current_ledger(_read_or_empty(spark, ledger_path, LEDGER_SCHEMA))
     mine = led.filter((F.col("JobName") == job) & (F.col("TableName") == table) & F.col("IsCompleted"))
-    wm = mine.agg(F.max("EndPrimaryKey").alias("k"), F.max("BatchId").alias("b"), F.max("Id").alias("i")).first()
-    all_ids = led.agg(F.max("Id").alias("i")).first()
-    last_key = wm["k"] if wm and wm["k"] is not None else -(1 << 62)
+    wm = mine.agg(F.max("EndPrimaryKey").alias("k"), F.max("BatchId").alias("b")).first()
+    last_id = led.agg(F.max("Id").alias("i")).first()["i"] or 0
     batch = (wm["b"] or 0) + 1
-    new_id = (all_ids["i"] or 0) + 1
-    inc = src.filter(F.col(key) > F.lit(last_key))
-    stats = inc.agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("k0"), F.max(key).alias("k1")).first()
-    if stats["n"]:
-        inc.write.mode("append").parquet(target)
+    above = src if wm["k"] is None else src.filter(F.col(key) > F.lit(wm["k"]))
+    k1 = above.agg(F.max(key).alias("k1")).first()["k1"]
+    k0, n = None, 0
+    if k1 is not None:
+        (above.filter(F.col(key) <= F.lit(k1)).withColumn("SyncBatch", F.lit(batch).cast("bigint")).write.mode("overwrite")
+         .option("partitionOverwriteMode", "dynamic").partitionBy("SyncBatch").parquet(target))
+        written = spark.read.parquet(target).filter(F.col("SyncBatch") == batch).agg(F.count(F.lit(1)).alias("n"), F.min(key).alias("k0")).first()
+        k0, n = written["k0"], written["n"]
     row = {
-        "Id": new_id, "JobName": job, "DatabaseName": database, "TableName": table, "BatchId": batch,
-        "StartPrimaryKey": stats["k0"], "EndPrimaryKey": stats["k1"] if stats["n"] else last_key if wm["k"] is not None else None,
+        "Id": last_id + 1, "JobName": job, "DatabaseName": database, "TableName": table, "BatchId": batch,
+        "StartPrimaryKey": k0, "EndPrimaryKey": wm["k"] if k1 is None else k1,
         "SyncStartTime": now, "SyncEndTime": now, "IsStarted": True, "IsCompleted": True,
-        "TotalRecordSource": int(stats["n"]), "TotalRecordSynced": int(stats["n"]), "IsDeleted": False, "RecordedAt": now,
+        "TotalRecordSource": n, "TotalRecordSynced": n, "IsDeleted": False, "RecordedAt": now,
     }
     spark.createDataFrame([row], LEDGER_SCHEMA).write.mode("append").parquet(ledger_path)
     return row
@@ -84,6 +96,7 @@ def purge(spark: SparkSession, target: str, keep: int, new_target: str) -> str:
     (write to a new path, then switch readers), never rewriting in place."""
     df = spark.read.parquet(target)
     ids = df.select("Snapshot_Id").distinct().orderBy(F.col("Snapshot_Id").desc()).limit(keep)
+    # at most `keep` rows are broadcast
     df.join(F.broadcast(ids), "Snapshot_Id", "left_semi").write.mode("overwrite").partitionBy("Snapshot_Id").parquet(new_target)
     return new_target
 
@@ -261,17 +274,17 @@ def sync_checks(snap: DataFrame, src: DataFrame, ledger: DataFrame, now: dt.date
         return F.struct(F.lit(name).alias("CheckName"), status.alias("Status"), details.alias("Details"))
     rows = F.array(
         check("Inventory snapshots exist in Power BI default window", F.when(F.col("ok_Inventory") == 1, "PASS").otherwise("WARN"),
-              F.concat(F.lit("Default window starts "), ds, F.lit(". Inventory snapshot max date is "), fmt_d(F.col("max_Inventory")),
+              F.concat(F.lit("window from "), ds, F.lit(", newest inventory snapshot "), fmt_d(F.col("max_Inventory")),
                        F.lit("."))),
         check("Inbound snapshots exist in Power BI default window", F.when(F.col("ok_Inbound") == 1, "PASS").otherwise("WARN"),
-              F.concat(F.lit("Default window starts "), ds, F.lit(". Inbound snapshot max date is "), fmt_d(F.col("max_Inbound")),
+              F.concat(F.lit("window from "), ds, F.lit(", newest inbound snapshot "), fmt_d(F.col("max_Inbound")),
                        F.lit("."))),
         check("DynamicTableInsert completed recently", F.when(F.col("recent") == 1, "PASS").otherwise("WARN"),
-              F.concat(F.lit("Latest DynamicTableInsert end time: "), fmt_t(F.col("last_end")), F.lit("."))),
+              F.concat(F.lit("last insert ended "), fmt_t(F.col("last_end")), F.lit("."))),
         check("No open DynamicTableInsert row", F.when(F.coalesce(F.col("open"), F.lit(0)) > 0, "WARN").otherwise("PASS"),
-              F.concat(F.lit("Open DynamicTableInsert rows: "), F.coalesce(F.col("open"), F.lit(0)).cast("string"), F.lit("."))),
+              F.concat(F.lit("open insert rows: "), F.coalesce(F.col("open"), F.lit(0)).cast("string"), F.lit("."))),
         check("Live source has recent inventory/inbound rows", F.when(F.col("src_ok") == 1, "PASS").otherwise("WARN"),
-              F.concat(F.lit("Max live source date seen: "), fmt_t(F.col("src_max")), F.lit("."))),
+              F.concat(F.lit("newest live row: "), fmt_t(F.col("src_max")), F.lit("."))),
     )
     return j.select(F.explode(rows).alias("c")).select("c.*")
 

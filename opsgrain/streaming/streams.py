@@ -95,6 +95,10 @@ def stream_sessions(sign_events: DataFrame, raw_path: str, sessions_path: str, n
     return w.start()
 
 
+#: Ledger ids of streamed batches start here, apart from those of the batch sync.
+STREAM_IDS = 1 << 40
+
+
 def _sync_batch(target: str, ledger_path: str, job: str, database: str, table: str, key: str):
     from opsgrain.plans.sync import LEDGER_SCHEMA
 
@@ -104,7 +108,7 @@ def _sync_batch(target: str, ledger_path: str, job: str, database: str, table: s
         (batch.withColumn("_batch", F.lit(batch_id).cast("bigint")).write.mode("overwrite")
          .option("partitionOverwriteMode", "dynamic").partitionBy("_batch").parquet(target))
         now = dt.datetime.now(dt.timezone.utc).replace(tzinfo=None)
-        row = {"Id": int(batch_id), "JobName": job, "DatabaseName": database, "TableName": table, "BatchId": int(batch_id),
+        row = {"Id": STREAM_IDS + int(batch_id), "JobName": job, "DatabaseName": database, "TableName": table, "BatchId": int(batch_id),
                "StartPrimaryKey": stats["k0"], "EndPrimaryKey": stats["k1"], "SyncStartTime": now, "SyncEndTime": now,
                "IsStarted": True, "IsCompleted": True, "TotalRecordSource": int(stats["n"]),
                "TotalRecordSynced": int(stats["n"]), "IsDeleted": False, "RecordedAt": now}

@@ -8,6 +8,8 @@ import tempfile
 
 from pyspark.sql import functions as F
 
+import pytest
+
 from opsgrain.operators.temporal import pair_sessions
 from opsgrain.plans import sync as Y
 from opsgrain.sources.adapter import Tables
@@ -100,6 +102,27 @@ def test_sync_increment_appends_only_new_keys(spark):
     assert r3["TotalRecordSynced"] == 0 and r2["BatchId"] == 2
 
 
+def test_increment_survives_a_crash_before_its_ledger_row(spark):
+    rd = Tables(spark, SF).report_data
+    d = _scratch()
+    args = (os.path.join(d, "tgt"), os.path.join(d, "led"), "TableSync", "db1", "ReportedMetrics", dt.datetime(2024, 1, 31))
+    Y.sync_increment(spark, rd.filter("PrimaryKey <= 300"), *args)
+    # a run that wrote its data and died: the next one has the same batch number and replaces it
+    rd.filter("PrimaryKey > 300 and PrimaryKey <= 500").withColumn("SyncBatch", F.lit(2).cast("bigint")).write.mode("append").partitionBy("SyncBatch").parquet(args[0])
+    Y.sync_increment(spark, rd, *args)
+    assert spark.read.parquet(args[0]).count() == rd.count()
+
+
+def test_unreadable_ledger_is_an_error(spark):
+    d = _scratch()
+    path = os.path.join(d, "led")
+    os.makedirs(path)
+    with open(os.path.join(path, "part-0.parquet"), "wb") as f:
+        f.write(b"not parquet")
+    with pytest.raises(Exception, match="(?i)parquet|read"):
+        Y.sync_increment(spark, Tables(spark, SF).report_data, os.path.join(d, "tgt"), path, "j", "db", "t", dt.datetime(2024, 1, 31))
+
+
 def test_snapshot_append_and_purge(spark):
     t = Tables(spark, SF)
     d = _scratch()
