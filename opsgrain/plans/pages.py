@@ -392,8 +392,9 @@ def inventory_location_metrics(inventory: DataFrame, containers: DataFrame, temp
         F.count("SkuKey").alias("_loc_sum"),  # the grain has each SKU once a position
     ).withColumn("_sku_n", F.col("DistinctSkusStocked"))
     base = capacity.join(stock, "CompartmentLabel", "left").na.fill(0)
-    return base.select("*", base.agg(F.sum("UnitsStocked")).scalar().alias("AllUnitsStocked"),
-                       capacity.agg(F.sum("TotalBins")).scalar().alias("AllDisplayedBins"))
+    everything = Window.partitionBy()  # a row per label, bounded by templates x sizes; a sub-query would scan inventory again
+    return base.select("*", F.sum("UnitsStocked").over(everything).alias("AllUnitsStocked"),
+                       F.sum("TotalBins").over(everything).alias("AllDisplayedBins"))
 
 
 def inventory_location_summary(inventory: DataFrame, containers: DataFrame, templates: DataFrame,
