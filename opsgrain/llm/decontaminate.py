@@ -12,7 +12,8 @@ one.  The index is dealt out in shards of at most ``max_items`` items, one pass
 each.
 
 Words are lower-cased and lose punctuation at both ends; words of punctuation
-alone are left out.  Defined results: null and empty texts and items without
+alone are left out.  Shingles are those of question and answer together; each
+counts once, for the question or for the answer.  Defined results: null and empty texts and items without
 words have no hits; items of fewer than five words are one shingle; repeated
 items and rows are judged one by one; a null doc_id is returned as such; without
 items no document is touched.  Other columns are ignored.
@@ -102,7 +103,8 @@ class Index:
             threshold = max(threshold, 1e-9)
             cut = len(q)
             whole = shingles(x)
-            in_q = shingles(x[:cut]) if cut else set()
+            # by place: the question's lie whole in it, or, of a shorter question, the first shingle; the others are the answer's
+            in_q = {tuple(x[j:j + SHINGLE]) for j in range(max(cut - SHINGLE + 1, min(cut, 1)))}
             self.items.append(Item(item_id, x, in_q, whole - in_q, threshold))
             for t, w in weight.items():
                 postings[t].append((k, w))
