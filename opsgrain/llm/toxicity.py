@@ -1,24 +1,26 @@
 """Operator 9, toxicity by nearest labelled examples.
 
-Texts become TF-IDF vectors over terms (words and word beginnings) that
-separate the labels, with one more component for the text's length.  Labelled
-examples form an inverted index in blocks with maxima; a text finds its ``k``
-nearest by exact cosine, best blocks first, until no block's bound can reach
-the k-th.  Distance-weighted votes are calibrated by isotonic regression on the
-examples' own leave-one-out votes.
+Texts become TF-IDF vectors over all terms (words and word beginnings) of the
+labelled examples, with one more component for the text's length.  Terms that
+separate the labels weigh more, by chi-squared; none is left out.  The examples
+form an inverted index whose terms are ordered by weight; a text finds its
+``k`` nearest by exact cosine, heaviest terms first, until the norms of what is
+left bound the others below the k-th.  Distance-weighted votes are calibrated
+by isotonic regression on the examples' own leave-one-out votes.
 
 The labels are learnt from a hash sample of about ``max_train`` labelled rows
 (all of them where there are fewer); document frequencies cover all documents.
 Rows whose crc32(doc_id as text) mod 5 is 0 are never learnt from.
 
-Defined results: null and empty texts, and texts without such terms, get the
-toxic share of the labelled rows without such terms; a null doc_id is never
+Defined results: null and empty texts, and texts without a term of any
+example, get the toxic share of the labelled rows without terms; a null doc_id is never
 held out; of several labels of one doc_id the highest holds, null labels are
 ignored; without labels every score is 0.  Repeated rows are scored alike.
 """
 
 from __future__ import annotations
 
+import hashlib
 import math
 import re
 from collections import Counter
@@ -36,7 +38,9 @@ from opsgrain.llm.common import stored
 WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6, 7)
 FOLDS = 5
-BLOCK = 64
+BLOCK = 64  # candidates whose cosines are finished at a time, at first
+TIERS = (1 / 32, 1 / 8, 1 / 3, 1)  # shares of all entries up to which the index is read at a time
+FLOOR = 0.05  # weight of a term that does not separate the labels
 LENGTH_WEIGHT = 0.5
 EVIDENCE = 3
 
@@ -53,44 +57,113 @@ def terms_of(word: str) -> list[str]:
     return [word] + [word[:k] + "*" for k in PREFIXES if len(word) > k]
 
 
-class _Vocabulary(dict):
-    """Term numbers of words; words are kept up to ``limit``."""
+def hash_of(term: str) -> int:
+    """The bytes of a term of at most eight, else 64 bits of their hash."""
+    raw = term.encode()
+    return int.from_bytes(raw if len(raw) <= 8 else hashlib.blake2b(raw, digest_size=8).digest(), "big", signed=True)
 
-    def __init__(self, numbers: dict[str, int], limit: int = 500_000):
-        self.numbers, self.limit = numbers, limit
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        if len(self) >= self.limit:
-            self.clear()
-        t = self[word] = tuple(self.numbers[x] for x in terms_of(word) if x in self.numbers)
-        return t
+class _Hashes(dict):
+    """64-bit hashes of the terms of words; words are kept up to ``limit``."""
+
+    def __init__(self, limit: int = 200_000):
+        self.limit = limit
 
-    def count(self, text: str | None) -> tuple[Counter, int]:
+    def learn(self, words: list[str]) -> None:
+        terms = [tuple(map(hash_of, terms_of(w))) for w in words]
+        self.update(zip(words, self.look_up(terms), strict=True))
+
+    def look_up(self, terms: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
+        return terms
+
+    def count(self, text: str | None) -> tuple[dict, int]:
         """Frequencies of the known terms, and the number of words."""
         words = WORD.findall((text or "").lower())
-        got: Counter = Counter()
-        for t in filter(None, map(self.__getitem__, words)):
-            got.update(t)
+        own = Counter(words)
+        if len(self) >= self.limit:
+            self.clear()
+        new = [w for w in own if w not in self]
+        if new:
+            self.learn(new)
+        got: dict[int, int] = {}
+        for w, c in own.items():
+            for t in self[w]:
+                got[t] = got.get(t, 0) + c
         return got, len(words)
 
 
+class _Vocabulary(_Hashes):
+    """Term numbers of words, by the sorted hashes of known terms."""
+
+    def __init__(self, keys: np.ndarray, numbers: np.ndarray):
+        super().__init__()
+        self.keys, self.numbers = keys, numbers
+
+    def look_up(self, terms: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
+        if not len(self.keys):
+            return [()] * len(terms)
+        flat = np.array([h for t in terms for h in t], np.int64)
+        at = np.minimum(np.searchsorted(self.keys, flat), len(self.keys) - 1)
+        number = np.where(self.keys[at] == flat, self.numbers[at], -1).tolist()
+        out, a = [], 0
+        for t in terms:
+            out.append(tuple(x for x in number[a:a + len(t)] if x >= 0))
+            a += len(t)
+        return out
+
+
+class Postings(NamedTuple):
+    """Inverted index of the examples over all terms but the length."""
+
+    start: np.ndarray  # first entry of each term in place / value
+    place: np.ndarray
+    value: np.ndarray
+    edges: np.ndarray  # first term of each tier, and the end
+    norms: np.ndarray  # tiers x examples: norm of the example's entries from this tier on
+    length: np.ndarray  # examples' length components
+
+    @staticmethod
+    def of(row: np.ndarray, term: np.ndarray, value: np.ndarray, n_terms: int) -> Postings:
+        n = len(row) - 1
+        start = np.append(0, np.cumsum(np.bincount(term, minlength=n_terms + 1)[:n_terms]))
+        edges = np.append(0, np.searchsorted(start, np.array(TIERS) * start[-1]))
+        edges[-1] = n_terms
+        length, squares = np.zeros(n), np.zeros((len(TIERS), n))
+        for a in range(0, n, 1000):  # by parts, which bounds the memory
+            b = min(a + 1000, n)
+            own, x = term[row[a]:row[b]], value[row[a]:row[b]].astype(float)
+            of = np.repeat(np.arange(b - a), np.diff(row[a:b + 1]))
+            length[a:b] = np.bincount(of, weights=x * (own == n_terms), minlength=b - a)
+            for j, e in enumerate(edges[:-1]):
+                squares[j, a:b] = np.bincount(of, weights=x * x * ((own >= e) & (own < n_terms)), minlength=b - a)
+        order = np.argsort(term, kind="stable")[:start[-1]]  # the length's entries come last
+        place = np.repeat(np.arange(n, dtype=np.int32), np.diff(row))[order]
+        return Postings(start, place, value[order].astype(np.float32), edges, np.sqrt(squares), length)
+
+
+def _cells(first: np.ndarray, size: np.ndarray) -> np.ndarray:
+    """The numbers of the ranges of ``size`` from ``first`` on."""
+    return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
+
+
 class Model(NamedTuple):
-    """All that scoring needs; its size is bounded by ``max_train`` and
-    ``max_terms``."""
+    """All that scoring needs; its size grows with the terms of at most about
+    ``max_train`` examples."""
 
-    numbers: dict[str, int]
-    idf: np.ndarray
-    ids: np.ndarray  # examples, by block
+    numbers: tuple[np.ndarray, np.ndarray]  # sorted hashes of the terms, and their numbers
+    idf: np.ndarray  # times the terms' weights
+    ids: np.ndarray
     toxic: np.ndarray
     row: np.ndarray  # first entry of each example in term / value
     term: np.ndarray
     value: np.ndarray
-    block_max: np.ndarray  # terms x blocks
+    block_max: np.ndarray  # terms x blocks (one for all): largest values
     prior: float
     empty: float
     raw: np.ndarray  # calibration: votes and the share of toxic rows there
     share: np.ndarray
     k: int
+    postings: Postings | None = None  # made from the examples where it is missing
 
     def vector(self, counts: dict, n_words: int) -> tuple[np.ndarray, np.ndarray]:
         """Unit vector: terms (the length's comes last) and values."""
@@ -103,27 +176,46 @@ class Model(NamedTuple):
     def nearest(self, t: np.ndarray, v: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places of the ``k`` nearest examples that share a term, nearest
         first (ties: lower place), and their cosines."""
-        known = t < len(self.idf)
-        if not len(self.ids):
+        n = len(self.ids)
+        if not n:
             return np.zeros(0, np.int64), np.zeros(0)
-        bound = v @ self.block_max[t]
-        shares = (self.block_max[t[known]] > 0).any(axis=0)
-        order = np.argsort(-bound, kind="stable")
-        order = order[shares[order]]
+        index = self.postings or Postings.of(self.row, self.term, self.value, len(self.idf))
+        own, weight = t[:-1], v[:-1]
+        cut = np.searchsorted(own, index.edges)
+        first, size = index.start[own], index.start[own + 1] - index.start[own]
+        ahead = np.append(np.cumsum(size[::-1])[::-1], 0)
+        square = np.append(np.cumsum(weight[::-1] ** 2)[::-1], 0)
+        linear = np.append(np.cumsum((weight * self.block_max[own].max(axis=1))[::-1])[::-1], 0)
+        entries = len(self.term) / n
+        found, length = np.zeros(n), v[-1] * index.length
+        for j, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
+            if b > a:
+                cell = _cells(first[a:b], size[a:b])
+                found += np.bincount(index.place[cell], weights=index.value[cell] * np.repeat(weight[a:b], size[a:b]), minlength=n)
+            # what the entries not yet read can add: by their norms, or by the terms' largest values
+            more = np.minimum(math.sqrt(square[b]) * index.norms[j + 1], linear[b]) if ahead[b] else np.zeros(n)
+            bound = found + length + more
+            left = np.flatnonzero(found + more > 0)
+            touched = np.flatnonzero(found > 0)
+            if len(touched) > self.k:  # one of these may be ``skip``
+                least = np.partition(found[touched] + length[touched], -self.k - 1)[-self.k - 1]
+                left = left[bound[left] >= least - 1e-5]
+            if not ahead[b] or len(left) * entries <= ahead[b]:
+                break
+        order = left[np.argsort(-bound[left], kind="stable")]
+        order = order[order != skip]
         query = np.zeros(len(self.idf) + 1)
         query[t] = v
-        wanted = np.zeros(len(self.idf) + 1, bool)
-        wanted[t[known]] = True
         place, cosine = np.zeros(0, np.int64), np.zeros(0)
-        at, step = 0, 4
-        while at < len(order) and (len(place) < self.k or bound[order[at]] >= cosine[self.k - 1] - 1e-9):
-            rows = np.concatenate([np.arange(b * BLOCK, min((b + 1) * BLOCK, len(self.ids))) for b in order[at:at + step].tolist()])
+        at, step = 0, BLOCK
+        while at < len(order) and (len(place) < self.k or bound[order[at]] >= cosine[self.k - 1] - 1e-5):
+            rows = order[at:at + step]
             size = self.row[rows + 1] - self.row[rows]
-            cell = np.repeat(self.row[rows] - (np.cumsum(size) - size), size) + np.arange(size.sum())
+            cell = _cells(self.row[rows], size)
             of = np.repeat(np.arange(len(rows)), size)
-            c = np.bincount(of, weights=self.value[cell] * query[self.term[cell]], minlength=len(rows))
-            near = np.bincount(of, weights=wanted[self.term[cell]], minlength=len(rows)) > 0
-            near &= rows != skip
+            term = self.term[cell]
+            c = np.bincount(of, weights=self.value[cell] * query[term], minlength=len(rows))
+            near = np.bincount(of, weights=(query[term] > 0) & (term < len(self.idf)), minlength=len(rows)) > 0
             place, cosine = np.concatenate([place, rows[near]]), np.concatenate([cosine, c[near]])
             best = np.lexsort((place, -cosine))[:self.k]
             place, cosine = place[best], cosine[best]
@@ -177,101 +269,123 @@ def training_rows(documents: DataFrame, labels: DataFrame, max_train: int) -> Da
     return docs.join(F.broadcast(sample), "doc_id")
 
 
-def _term_table(rows: DataFrame) -> DataFrame:
-    """Per term: training texts with it (``n``), and toxic ones (``t``)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        n, t = Counter(), Counter()
-        for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                own = {x for w in set(WORD.findall((text or "").lower())) for x in terms_of(w)}
-                own.add("")  # counts the texts
-                n.update(own)
-                if toxic:
-                    t.update(own)
-        terms = list(n)
-        for a in range(0, len(terms), 50_000):
-            part = terms[a:a + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.string()), pa.array([n[x] for x in part], pa.int64()), pa.array([t[x] for x in part], pa.int64())], names=["term", "n", "t"])
-
-    return rows.select("text", "toxic").mapInArrow(run, "term string, n bigint, t bigint").groupBy("term").agg(F.sum("n").alias("n"), F.sum("t").alias("t"))
-
-
-def _document_frequencies(documents: DataFrame, numbers: dict[str, int]) -> np.ndarray:
+def _document_frequencies(documents: DataFrame, keys: np.ndarray) -> np.ndarray:
     """Texts with each term, over all documents; the last number is all texts."""
+    known = documents.sparkSession.sparkContext.broadcast(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, got = _Vocabulary(numbers), np.zeros(len(numbers) + 1, np.int64)
+        vocabulary, got = _Vocabulary(known.value, np.arange(len(known.value))), np.zeros(len(known.value) + 1, np.int64)
         for batch in batches:
             for text in batch.column(0).to_pylist():
-                for t in vocabulary.count(text)[0]:
-                    got[t] += 1
+                t = vocabulary.count(text)[0]
+                got[np.fromiter(t, np.int64, len(t))] += 1
             got[-1] += batch.num_rows
         at = np.flatnonzero(got)
-        yield pa.RecordBatch.from_arrays([pa.array(at), pa.array(got[at])], names=["term", "n"])
+        for a in range(0, len(at), 100_000):
+            yield pa.RecordBatch.from_arrays([pa.array(at[a:a + 100_000]), pa.array(got[at[a:a + 100_000]])], names=["term", "n"])
 
-    out = np.zeros(len(numbers) + 1, np.int64)
-    for r in documents.select("text").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).collect():
-        out[r["term"]] = r["n"]
+    out = np.zeros(len(keys) + 1, np.int64)
+    got = documents.select("text").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
+    out[got["term"].to_numpy()] = got["n"].to_numpy()
     return out
 
 
-def _example_rows(rows: DataFrame, numbers: dict[str, int]) -> list:
-    """Known terms, their counts and the words of each training text."""
+def _term_table(rows: DataFrame) -> pa.Table:
+    """Per term's hash: training texts with it (``n``), and toxic ones (``t``)."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _Vocabulary(numbers)
+        hashes, n, t = _Hashes(), Counter(), Counter()
         for batch in batches:
-            got = [vocabulary.count(t) for t in batch.column("text").to_pylist()]
-            yield pa.RecordBatch.from_arrays(
-                [batch.column("doc_id"), batch.column("toxic"), pa.array([sorted(c) for c, _ in got], pa.list_(pa.int32())),
-                 pa.array([[c[t] for t in sorted(c)] for c, _ in got], pa.list_(pa.int32())), pa.array([n for _, n in got], pa.int32())],
-                names=["doc_id", "toxic", "terms", "counts", "words"])
+            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
+                own = hashes.count(text)[0].keys()
+                n.update(own)
+                if toxic:
+                    t.update(own)
+        terms = list(n)
+        for a in range(0, len(terms), 50_000):
+            part = terms[a:a + 50_000]
+            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([n[x] for x in part], pa.int64()), pa.array([t[x] for x in part], pa.int64())], names=["term", "n", "t"])
 
-    return rows.select("doc_id", "text", "toxic").mapInArrow(run, "doc_id bigint, toxic int, terms array<int>, counts array<int>, words int").collect()
+    return rows.select("text", "toxic").mapInArrow(run, "term bigint, n bigint, t bigint").groupBy("term").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).toArrow()
 
 
-def fit(documents: DataFrame, labels: DataFrame, max_train: int = 20_000, max_terms: int = 4096, k: int = 15,
-        min_chi2: float = 25.0, min_phi2: float = 0.004, min_texts: int = 5) -> Model:
-    """Choose terms, gather examples and statistics, and calibrate."""
+def _example_vectors(rows: DataFrame, blank: Model) -> DataFrame:
+    """The vector of each training text; empty for texts without terms."""
+    known = rows.sparkSession.sparkContext.broadcast(blank)
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        blank = known.value
+        vocabulary = _Vocabulary(*blank.numbers)
+        for batch in batches:
+            for a in range(0, batch.num_rows, 500):
+                part = batch.slice(a, 500)
+                got = [blank.vector(c, n) if c else (np.zeros(0, np.int64), np.zeros(0)) for c, n in map(vocabulary.count, part.column("text").to_pylist())]
+                edges = pa.array(np.append(0, np.cumsum([len(t) for t, _ in got])), pa.int32())
+                term, value = (pa.ListArray.from_arrays(edges, pa.array(np.concatenate([x[i] for x in got]).astype(kind))) for i, kind in ((0, np.int32), (1, np.float32)))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), term, value], names=["doc_id", "toxic", "term", "value"])
+
+    return rows.select("doc_id", "text", "toxic").mapInArrow(run, "doc_id bigint, toxic int, term array<int>, value array<float>")
+
+
+def _gathered(vectors: DataFrame, parts: int = 8) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+    """Ids, labels, entries per example, terms and values, part by part."""
+    got = []
+    for s in range(parts):
+        t = vectors.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) == s).toArrow().combine_chunks()
+        if len(t):
+            term, value = (t[c].combine_chunks() for c in ("term", "value"))
+            ids, size, first = t["doc_id"].to_numpy(), np.diff(term.offsets.to_numpy()), term.offsets.to_numpy()[:-1].astype(np.int64)
+            order = np.argsort(ids, kind="stable")
+            cell = _cells(first[order], size[order])
+            got.append((ids[order], t["toxic"].to_numpy()[order], size[order], term.values.to_numpy()[cell], value.values.to_numpy()[cell]))
+    if not got:
+        return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32)
+    return tuple(np.concatenate([x[i] for x in got]) for i in range(5))
+
+
+def _weights(n: np.ndarray, t: np.ndarray, p: float, full_chi2: float, prior_texts: int) -> np.ndarray:
+    """Weights of terms with ``n`` examples, ``t`` of them toxic: chi-squared
+    with continuity correction, less for few examples, as a share of
+    ``full_chi2``, from ``FLOOR`` to 1."""
+    if not 0 < p < 1:
+        return np.full(len(n), FLOOR)
+    chi2 = np.maximum(np.abs(t - n * p) - 0.5, 0) ** 2 / (n * p * (1 - p))
+    return np.clip(chi2 * n / (n + prior_texts) / full_chi2, FLOOR, 1)
+
+
+def fit(documents: DataFrame, labels: DataFrame, max_train: int = 20_000, k: int = 15, full_chi2: float = 25.0, prior_texts: int = 5) -> Model:
+    """Gather examples and statistics, weigh terms, and calibrate."""
     rows = stored(training_rows(documents, labels, max_train), "toxicity-training")
-    table = _term_table(rows)
-    total = table.where("term = ''").first()
-    n, p = (total["n"], total["t"] / total["n"]) if total else (0, 0.0)
-    chosen = []
-    if 0 < p < 1:
-        expected = F.col("n") * p
-        chi2 = (F.col("t") - expected) ** 2 / (expected * (1 - p))
-        chosen = [r["term"] for r in table.where(f"term <> '' and n >= {min_texts}").withColumn("chi2", chi2)
-                  .where(F.col("chi2") >= max(min_chi2, min_phi2 * n)).orderBy(F.desc("chi2"), "term").limit(max_terms).collect()]
-    numbers = {x: i for i, x in enumerate(sorted(chosen))}
-    df = _document_frequencies(documents, numbers)
-    idf = np.log((df[-1] + 1) / (df[:-1] + 1)) + 1e-6
-    examples = _example_rows(rows, numbers)
-    bare = [r["toxic"] for r in examples if not r["terms"]]
-    empty = (sum(bare) + p) / (len(bare) + 1) if n else 0.0
-    blank = Model(numbers, idf, np.zeros(0, np.int64), np.zeros(0), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0),
-                  np.zeros((len(idf) + 1, 0)), p, empty, np.array([0.0, 1.0]), np.array([0.0, 1.0]), k)
-    # like examples share blocks: by label and strongest term
-    full = []
-    for r in examples:
-        if r["terms"]:
-            t, v = blank.vector(dict(zip(r["terms"], r["counts"], strict=True)), r["words"])
-            full.append((r["toxic"], int(t[:-1][np.argmax(v[:-1])]), r["doc_id"], t, v))
-    full.sort(key=lambda x: x[:3])
-    row = np.cumsum([0, *(len(x[3]) for x in full)])
-    term = np.concatenate([x[3] for x in full]) if full else np.zeros(0, np.int64)
-    value = np.concatenate([x[4] for x in full]) if full else np.zeros(0)
-    block_max = np.zeros((len(idf) + 1, -(-len(full) // BLOCK)))
-    np.maximum.at(block_max, (term, np.repeat(np.arange(len(full)), np.diff(row)) // BLOCK), value)
-    model = blank._replace(ids=np.array([x[2] for x in full], np.int64), toxic=np.array([x[0] for x in full], float), row=row, term=term, value=value, block_max=block_max)
+    n, t = rows.agg(F.count("*"), F.sum("toxic")).first()
+    p = t / n if n else 0.0
+    table = _term_table(rows).sort_by("term")
+    keys, held, held_toxic = (table[c].to_numpy() for c in ("term", "n", "t"))
+    df = _document_frequencies(documents, keys)
+    idf = (np.log((df[-1] + 1) / (df[:-1] + 1)) + 1e-6) * _weights(held, held_toxic, p, full_chi2, prior_texts)
+    order = np.argsort(-idf, kind="stable")  # heaviest terms first
+    number = np.empty(len(keys), np.int64)
+    number[order] = np.arange(len(keys))
+    idf = idf[order]
+    blank = Model((keys, number), idf, np.zeros(0, np.int64), np.zeros(0), np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32),
+                  np.zeros((len(idf) + 1, 1)), p, 0.0, np.array([0.0, 1.0]), np.array([0.0, 1.0]), k)
+    ids, toxic, per, term, value = _gathered(stored(_example_vectors(rows, blank), "toxicity-vectors"))
+    bare, full = toxic[per == 0], per > 0
+    empty = float((bare.sum() + p) / (len(bare) + 1)) if n else 0.0
+    row = np.append(0, np.cumsum(per[full]))
+    largest = np.zeros((len(idf) + 1, 1))
+    np.maximum.at(largest[:, 0], term, value)
+    model = blank._replace(empty=empty, ids=ids[full], toxic=toxic[full].astype(float), row=row, term=term, value=value, block_max=largest,
+                           postings=Postings.of(row, term, value, len(idf)))
     return model._replace(**_calibration(documents.sparkSession, model))
 
 
 def _calibration(spark, model: Model) -> dict:
     """Leave-one-out votes of the examples, and their isotonic fit."""
 
+    known = spark.sparkContext.broadcast(model)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        model = known.value
         for batch in batches:
             got = []
             for p in batch.column(0).to_pylist():
@@ -294,8 +408,11 @@ def score(documents: DataFrame, model: Model) -> DataFrame:
     schema = T.StructType([f for f in documents.schema.fields if f.name not in ("score", "predicted", "evidence")])
     out = T.StructType([*schema.fields, *T.StructType.fromDDL(f"score double, predicted int, evidence {EVIDENCE_TYPE}").fields])
 
+    known = documents.sparkSession.sparkContext.broadcast(model)
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary = _Vocabulary(model.numbers)
+        model = known.value
+        vocabulary = _Vocabulary(*model.numbers)
         for batch in batches:
             got = [model.score(*vocabulary.count(t)) for t in batch.column("text").to_pylist()]
             s = np.array([x for x, _ in got], float)

@@ -202,3 +202,16 @@ def test_toxicity_accuracy(spark):
     hit = np.mean([got[r["doc_id"]]["predicted"] for r in known if r["toxic"]])
     false = np.mean([got[r["doc_id"]]["predicted"] for r in known if not r["toxic"]])
     assert hit > 0.8 and false < 0.01
+
+
+def test_toxic_texts_with_rare_words_are_found(spark):
+    # 40 kinds of toxic texts with words of their own, each 0.2 % of all rows
+    rows = [(k, prose(k, 40), 0) for k in range(1600)]
+    rows += [(2000 + 4 * g + c, f"{prose(90_000 + g, 12)} zq{chr(97 + g // 8)}{chr(97 + g % 8)}xv kw{chr(97 + g // 8)}{chr(97 + g % 8)}yj {prose(90_000 + g, 20)}", 1) for g in range(40) for c in range(4)]
+    learnt = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 5]
+    toxic = [r for r in learnt if r[2]]
+    copies = [(10_000 + k, r[1]) for k, r in enumerate(toxic)]
+    docs = spark.createDataFrame([*(r[:2] for r in rows), *copies], "doc_id long, text string")
+    got = {r["doc_id"]: r for r in toxicity.score(docs, toxicity.fit(docs, labels(spark, [(k, 1, t) for k, _, t in rows]))).collect()}
+    assert all(got[k]["predicted"] == 1 and got[k]["evidence"][0]["similarity"] > 0.999 for k, _ in copies)
+    assert np.mean([got[k]["predicted"] for k, _, t in rows if not t]) < 0.01
