@@ -9,13 +9,17 @@ finished table is dealt out to the scoring tasks in shards of at most
 ``SHARD`` n-grams, one pass over the texts each.
 
 A document is kept if its loss per byte is at most its language's threshold:
-a quantile of the trusted documents' losses plus a margin.  Losses of short
-texts are drawn towards their language's mean by ``shrink`` pseudo-bytes.
+a quantile of the trusted documents' losses plus a margin.  These losses are
+out of sample: trusted documents are dealt by text to ``FOLDS`` folds, and each
+fold's are taken under the model of the other folds.  A language's quantile is
+its mean plus a distance from it, which is drawn towards that of all languages
+by ``min_trusted`` pseudo-documents.  Losses of short texts are drawn towards
+their language's mean by ``shrink`` pseudo-bytes.
 
 Defined results: null and empty texts consist of the end mark and are judged
-like others; null languages, and languages with fewer than ``min_trusted``
-trusted documents, get the threshold of all; without trusted documents all are
-kept.  Repeated rows are scored alike; of several labels of one doc_id the
+like others; null languages, and languages without trusted documents, get the
+threshold of all; without trusted documents all are kept, and where all trusted
+texts are in one fold its model knows no text.  Repeated rows are scored alike; of several labels of one doc_id the
 lowest holds, null labels are not trusted; a null doc_id is never trusted.
 """
 
@@ -23,6 +27,7 @@ from __future__ import annotations
 
 import math
 from collections.abc import Iterator
+from functools import reduce
 
 import numpy as np
 import pyarrow as pa
@@ -37,6 +42,7 @@ ORDER = 5
 BEGIN, END = 0xFF, 0xFE  # bytes that UTF-8 never has
 SYMBOLS = 258
 SHARD = 4_000_000
+FOLDS = 4
 BINS = 1000  # steps of a nat in which quantiles are taken
 #: Columns that the operator adds; those of the same name are replaced.
 COLUMNS = ("loss", "grams", "trusted", "mean", "threshold", "shrunk", "perplexity", "kept")
@@ -204,11 +210,9 @@ def _add_losses(documents: DataFrame, shard: DataFrame, order: int) -> DataFrame
     return documents.mapInArrow(run, documents.schema)
 
 
-def with_losses(documents: DataFrame, labels: DataFrame, order: int = ORDER) -> DataFrame:
-    """``documents`` with ``trusted``, ``loss`` (nats, whole text) and
-    ``grams`` (bytes scored, the end mark included)."""
-    docs = _trusted(documents, labels)
-    table = stored(log_probabilities(stored(count_grams(docs, order), f"grams-{order}"), order), "log-probabilities")
+def _scored(docs: DataFrame, counts: DataFrame, order: int) -> DataFrame:
+    """``docs`` with ``loss`` and ``grams`` under the model of ``counts``."""
+    table = stored(log_probabilities(counts, order), "log-probabilities")
     shards = max(1, -(-table.count() // SHARD))
     docs = docs.withColumn("loss", F.lit(0.0)).withColumn("grams", F.lit(0).cast("bigint"))
     docs = docs.select(*(F.col(f"`{c}`") for c in docs.columns))
@@ -219,17 +223,48 @@ def with_losses(documents: DataFrame, labels: DataFrame, order: int = ORDER) ->
     return docs
 
 
-def thresholds(scored: DataFrame, quantile: float, margin: float, shrink: float, min_trusted: int) -> DataFrame:
+def with_losses(documents: DataFrame, labels: DataFrame, order: int = ORDER) -> DataFrame:
+    """``documents`` with ``trusted``, ``loss`` (nats, whole text) and
+    ``grams`` (bytes scored, the end mark included)."""
+    docs = _trusted(documents, labels)
+    return _scored(docs, stored(count_grams(docs, order), f"grams-{order}"), order)
+
+
+def out_of_sample(documents: DataFrame, counts: DataFrame, order: int = ORDER) -> DataFrame:
+    """``lang``, ``loss`` and ``grams`` of the trusted ones of ``documents``,
+    each under the model of the other folds.  ``counts`` are those of all."""
+    good = stored(documents.where("trusted").select("lang", "text", "trusted", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).alias("fold")), "trusted-texts")
+    out = []
+    for f in range(FOLDS):
+        fold = good.where(F.col("fold") == f)
+        own = count_grams(fold, order).withColumnRenamed("raw", "own")
+        # other folds' counts of every n-gram
+        rest = counts.join(own, "code", "left").select("code", (F.col("raw") - F.coalesce("own", F.lit(0))).alias("raw"))
+        out.append(_scored(fold, stored(rest, f"grams-without-{f}"), order).select("lang", "loss", "grams"))
+    return reduce(DataFrame.unionAll, out)
+
+
+def thresholds(losses: DataFrame, quantile: float, margin: float, shrink: float, min_trusted: int) -> DataFrame:
     """Per language (null: of all together): mean and threshold of the loss per
-    byte, from an exact histogram of the trusted documents' losses."""
-    t = scored.where("trusted").select("lang", "loss", "grams")
+    byte, from an exact histogram of trusted documents' ``losses``."""
+    t = losses.select("lang", "loss", "grams")
     t = t.where("lang is not null").unionAll(t.withColumn("lang", F.lit(None).cast("string")))
-    means = stored(t.groupBy("lang").agg((F.sum("loss") / F.sum("grams")).alias("mean"), F.count("*").alias("n")).where(f"n >= {min_trusted} or lang is null"), "language-means")
-    of = t.join(broadcast_if_small(means), t["lang"].eqNullSafe(means["lang"])).select(means["lang"], "mean", "n", shrunk_loss(shrink).alias("x"))
-    bins = of.groupBy("lang", "mean", "n", F.floor(F.col("x") * BINS).alias("bin")).agg(F.count("*").alias("c"))
-    up_to = F.sum("c").over(Window.partitionBy("lang").orderBy("bin"))
-    reached = bins.withColumn("up_to", up_to).where(F.col("up_to") >= F.lit(quantile) * F.col("n"))
-    return reached.groupBy("lang", "mean").agg(((F.min("bin") + 1) / BINS + margin).alias("threshold"))
+    means = stored(t.groupBy("lang").agg((F.sum("loss") / F.sum("grams")).alias("mean"), F.count("*").alias("n")), "language-means")
+    of = t.join(broadcast_if_small(means), t["lang"].eqNullSafe(means["lang"])).select(means["lang"], "mean", "n", (shrunk_loss(shrink) - F.col("mean")).alias("x"))
+    bins = stored(of.groupBy("lang", "mean", "n", F.floor(F.col("x") * BINS).alias("bin")).agg(F.count("*").alias("c")), "loss-bins")
+
+    def distances(b: DataFrame) -> DataFrame:
+        up_to = F.sum("c").over(Window.partitionBy("lang").orderBy("bin"))
+        reached = b.withColumn("up_to", up_to).where(F.col("up_to") >= F.lit(quantile) * F.col("n"))
+        return reached.groupBy("lang", "mean", "n").agg(((F.min("bin") + 1) / BINS).alias("distance"))
+
+    own = bins.where("lang is not null")
+    every = own.groupBy("bin").agg(F.sum("c").alias("c"))
+    total = every.agg(F.sum("c")).first()[0] or 0
+    every = distances(every.select(F.lit("").alias("lang"), F.lit(0.0).alias("mean"), F.lit(total).alias("n"), "bin", "c")).first()
+    drawn = (F.col("n") * F.col("distance") + F.lit(min_trusted * (every["distance"] if every else 0.0))) / (F.col("n") + min_trusted)
+    distance = F.when(F.col("lang").isNull(), F.col("distance")).otherwise(drawn)
+    return distances(bins).select("lang", "mean", (F.col("mean") + distance + margin).alias("threshold"))
 
 
 def shrunk_loss(shrink: float) -> Column:
@@ -241,9 +276,10 @@ def judge(documents: DataFrame, labels: DataFrame, order: int = ORDER, quantile:
           shrink: float = 100.0, min_trusted: int = 50) -> DataFrame:
     """``documents`` with ``perplexity`` (per byte), ``threshold`` (on the
     shrunk loss per byte, ``shrunk``) and ``kept``."""
-    scored = with_losses(documents, labels, order)
-    narrow = stored(scored.select("lang", "trusted", "loss", "grams"), "losses")
-    limit = stored(thresholds(narrow, quantile, margin, shrink, min_trusted), "thresholds")
+    docs = _trusted(documents, labels)
+    counts = stored(count_grams(docs, order), f"grams-{order}")
+    scored = _scored(docs, counts, order)
+    limit = stored(thresholds(stored(out_of_sample(docs, counts, order), "losses"), quantile, margin, shrink, min_trusted), "thresholds")
     overall = limit.where("lang is null").first()
     mean, most = (overall["mean"], overall["threshold"]) if overall else (0.0, math.inf)
     by_lang = broadcast_if_small(limit.where("lang is not null").select(F.col("lang").alias("_lang"), "mean", "threshold"))

@@ -144,6 +144,19 @@ def test_quality_accuracy(spark):
     assert np.mean(good) >= 0.98 and np.mean(bad) <= 0.2
 
 
+def test_thresholds_hold_for_documents_the_model_has_not_seen(spark):
+    # a large language, and a small one of harder texts; a quarter of each is clean but not trusted
+    def hard(k):
+        rnd = np.random.default_rng(k)
+        return " ".join("".join(rnd.choice(list("qwxyzjkéèüöß"), rnd.integers(2, 9))) for _ in range(60))
+
+    rows = [(k, prose(k, 60), "en") for k in range(400)] + [(1000 + k, hard(k), "xx") for k in range(40)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string, lang string")
+    got = {r["doc_id"]: r for r in perplexity.judge(docs, labels(spark, [(k, 1, 0) for k, _, _ in rows if k % 4])).collect()}
+    for lang in ("en", "xx"):
+        assert np.mean([got[k]["kept"] for k, _, x in rows if x == lang and k % 4 == 0]) >= 0.9
+
+
 # --- operator 9 -----------------------------------------------------------------
 
 def test_nearest_equals_exhaustive_search():
