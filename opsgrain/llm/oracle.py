@@ -86,4 +86,26 @@ WITH RECURSIVE crc AS (
 SELECT f.word, form, (SELECT arg_max(root, k) FROM path WHERE path.word = f.word) AS root, n, n_near::BIGINT AS n_near, form_n FROM f
 """
 
-ORACLES = {"op2_quality_rules": OP2, "op3_warc": OP3, "op11_spelling_variants": OP11}
+OP12 = """
+WITH d AS (
+  SELECT row_number() OVER () AS rid, doc_id,
+         regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+') AS t
+  FROM documents
+), s AS (
+  SELECT count(*) AS docs, sum(len(t))::BIGINT AS l FROM d WHERE len(t) > 0
+), q AS (
+  SELECT DISTINCT qid, item_id, unnest(regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[^\\x00-\\x2F\\x3A-\\x40\\x5B-\\x60\\x7B-\\x7F]+')) AS term
+  FROM (SELECT row_number() OVER () AS qid, item_id, text FROM benchmark)
+), p AS (
+  SELECT rid, term, count(*) AS tf FROM (SELECT rid, unnest(t) AS term FROM d) GROUP BY rid, term
+), w AS (
+  SELECT term, floor(1000 * ln((2 * docs + 2)::DOUBLE / (2 * df + 1)))::BIGINT AS w FROM (SELECT term, count(*) AS df FROM p GROUP BY term), s
+), hit AS (
+  SELECT qid, any_value(item_id) AS item_id, any_value(doc_id) AS doc_id, sum(w * ((1000000000 * tf) // (1000 * tf + 20 * (50 + (50 * len(t) * docs) // l))))::BIGINT AS score
+  FROM q JOIN w USING (term) JOIN p USING (term) JOIN d USING (rid), s GROUP BY qid, rid
+)
+SELECT item_id, row_number() OVER (PARTITION BY qid ORDER BY score DESC, doc_id)::INT AS rank, doc_id, score
+FROM hit WHERE score > 0 QUALIFY rank <= 50
+"""
+
+ORACLES = {"op2_quality_rules": OP2, "op3_warc": OP3, "op11_spelling_variants": OP11, "op12_lexical_search": OP12}

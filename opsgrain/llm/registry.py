@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsgrain.llm import decontaminate, host_rules, packing, perplexity, simhash, spelling, token_counts, token_files, toxicity, url_filter, warc
+from opsgrain.llm import decontaminate, host_rules, lexical, packing, perplexity, simhash, spelling, token_counts, token_files, toxicity, url_filter, warc
 from opsgrain.llm.common import load
 from opsgrain.llm.oracle import ORACLES
 
@@ -63,8 +63,12 @@ def op11_spelling_variants(spark: SparkSession, sf_dir: str) -> DataFrame:
     return spelling.spelling_variants(load(spark, sf_dir, "documents"))
 
 
+def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return lexical.lexical_search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_warc, op4_simhash, op5_quality_classifier, op6_packing, op7_token_files, op8_decontamination, op9_toxicity, op10_url_filters, op11_spelling_variants)
+    f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_warc, op4_simhash, op5_quality_classifier, op6_packing, op7_token_files, op8_decontamination, op9_toxicity, op10_url_filters, op11_spelling_variants, op12_lexical_search)
 }
 
 
