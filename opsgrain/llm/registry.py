@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from opsgrain.llm import decontaminate, host_rules, lexical, packing, perplexity, simhash, spelling, token_counts, token_files, toxicity, url_filter, warc
+from opsgrain.llm import decontaminate, host_rules, lexical, packing, perplexity, pii, simhash, spelling, token_counts, token_files, toxicity, url_filter, warc
 from opsgrain.llm.common import load
 from opsgrain.llm.oracle import ORACLES
 
@@ -67,8 +67,14 @@ def op12_lexical_search(spark: SparkSession, sf_dir: str) -> DataFrame:
     return lexical.lexical_search(load(spark, sf_dir, "documents"), load(spark, sf_dir, "benchmark"))
 
 
+def op13_personal_data(spark: SparkSession, sf_dir: str) -> DataFrame:
+    found = pii.find_personal_data(load(spark, sf_dir, "documents"))
+    counts = [pii.count_of("base", k).alias(f"n_{k}") for k in pii.KINDS]
+    return found.select("doc_id", *counts, F.sha2(pii.digest(F.col("base")), 256).alias("base_sha256"), pii.digest(F.col("spans")).alias("spans"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
-    f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_warc, op4_simhash, op5_quality_classifier, op6_packing, op7_token_files, op8_decontamination, op9_toxicity, op10_url_filters, op11_spelling_variants, op12_lexical_search)
+    f.__name__: f for f in (op1_token_counts, op2_quality_rules, op3_warc, op4_simhash, op5_quality_classifier, op6_packing, op7_token_files, op8_decontamination, op9_toxicity, op10_url_filters, op11_spelling_variants, op12_lexical_search, op13_personal_data)
 }
 
 
