@@ -158,8 +158,8 @@ def _windows(measured: DataFrame) -> DataFrame:
         i.alias("first"),
         (F.col("start") + F.element_at("_o", i) + F.length(F.element_at("_s", i))).alias("at"),
         F.slice("_d", i, GROUPS).alias("d"), F.slice("_s", i, GROUPS + 1).alias("s"),
-        F.when(i == 1, F.col("before")).otherwise(F.concat(F.element_at("_s", i))).alias("before"),
-        F.col("after").alias("after")))
+        F.when(i == 1, F.col("before")).otherwise(F.element_at("_s", i)).alias("before"),
+        F.col("before").alias("context"), F.col("after").alias("after")))
     one = groups.select("row", "region", F.explode(cut).alias("g")).select("row", "region", "g.*")
     n = F.col("n")
     w = one.withColumn("n", F.explode(F.sequence(F.lit(1), F.size("d"))))
@@ -187,13 +187,13 @@ def candidates(measured: DataFrame) -> DataFrame:
     prefix = F.when(F.col("kind") == 4, F.col("lead")).otherwise("")
     numbers = w.select(
         "row", "region", "kind", "first", "last", (F.col("at") - F.length(prefix)).alias("start"), (F.col("at") + F.length("body")).alias("end"), F.col("body").alias("match"),
-        "before", F.when(F.col("next") == "", F.col("after")).otherwise(F.col("next")).alias("after"),
+        "before", "context", F.when(F.col("next") == "", F.col("after")).otherwise(F.col("next")).alias("after"),
         F.col("total").alias("n_digits"), F.col("n").alias("n_groups"), size.alias("sizes"))
     mail = measured.select("row", F.posexplode("addresses").alias("region", "x")).select("row", "region", "x.*")
     labels = F.split(F.regexp_extract("match", rf"(?i){AT}(.*)$", 1), rf"(?i){DOT}")
     mail = mail.select(
         "row", (-1 - F.col("region")).alias("region"), F.lit(1).alias("kind"), F.lit(1).alias("first"), F.lit(1).alias("last"), "start",
-        (F.col("start") + F.length("match")).alias("end"), "match", "before", "after", F.regexp_count("match", F.lit("[0-9]")).alias("n_digits"), F.size(labels).alias("n_groups"),
+        (F.col("start") + F.length("match")).alias("end"), F.regexp_replace(F.regexp_replace("match", rf"(?i){AT}", "@"), rf"(?i){DOT}", ".").alias("match"), "before", F.col("before").alias("context"), "after", F.regexp_count("match", F.lit("[0-9]")).alias("n_digits"), F.size(labels).alias("n_groups"),
         F.transform(labels, lambda x: F.length(x)).alias("sizes"))
     c = numbers.unionByName(mail)
     count = {"n_space": r"\x20", "n_dash": "-", "n_dot": r"\.", "n_slash": "/", "n_paren": r"[()]"}
@@ -201,7 +201,7 @@ def candidates(measured: DataFrame) -> DataFrame:
         **{f"is_{k}": F.col("kind") == i + 1 for i, k in enumerate(KINDS)},
         "n_chars": F.length("match"), "n_digits": F.col("n_digits"), "n_groups": F.col("n_groups"), "first_len": F.element_at("sizes", 1), "last_len": F.element_at("sizes", -1),
         "longest": F.array_max("sizes"), "shortest": F.array_min("sizes"), **{k: F.regexp_count("match", F.lit(p)) for k, p in count.items()},
-        "letter_before": F.col("before").rlike(r"\p{L}$"), "letter_after": F.col("after").rlike(r"^\p{L}"), "keyword": F.col("before").rlike(KEYWORDS),
+        "letter_before": F.col("before").rlike(r"\p{L}$"), "letter_after": F.col("after").rlike(r"^\p{L}"), "keyword": F.col("context").rlike(KEYWORDS),
     }
     right = F.when(F.col("kind") == 2, passes("ip", F.col("match"))).when(F.col("kind") == 3, luhn(digits_of(F.col("match")))).otherwise(True)
     return c.select("row", "region", "kind", "first", "last", "start", "end", right.alias("passes"), *(v.cast("double").alias(k) for k, v in values.items()))
