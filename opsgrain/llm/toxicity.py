@@ -1,21 +1,31 @@
 """Operator 9, toxicity by nearest labelled examples.
 
-Texts become TF-IDF vectors over all terms (words and word beginnings) of the
-labelled examples, with one more component for the text's length.  Terms that
-separate the labels weigh more, by chi-squared; none is left out.  The examples
-form an inverted index whose terms are ordered by weight; a text finds its
-``k`` nearest by exact cosine, heaviest terms first, until the norms of what is
-left bound the others below the k-th.  Distance-weighted votes are calibrated
-by isotonic regression on the examples' own leave-one-out votes.
+Texts become vectors over all terms (words and word beginnings) of the labelled
+examples, with one more component for the text's length.  A term's weight is
+its IDF times a weight by chi-squared, from ``FLOOR`` to 1, so this is a cosine
+of label-weighted TF-IDF, not of plain TF-IDF: terms that separate the labels
+weigh more, and none is left out.  Frequencies saturate at 255.
+
+The examples form one block-max inverted index.  A text reads the posting lists
+of its rarer terms.  The long lists of frequent terms, which weigh little, are
+read for no example at first: each block of ``BLOCK`` examples (similar ones
+stand together) holds every frequent term's maximum, and only the examples that
+these block maxima let reach the ``k``-th best so far are looked up in those
+lists.  The bounds are exact, so the ``k`` nearest are those of an exhaustive
+search.  Distance-weighted votes are calibrated by isotonic regression on the
+examples' own leave-one-out votes.
 
 The labels are learnt from a hash sample of about ``max_train`` labelled rows
 (all of them where there are fewer); document frequencies cover all documents.
-Rows whose crc32(doc_id as text) mod 5 is 0 are never learnt from.
+Rows whose crc32(doc_id as text) mod 5 is 0 are never learnt from.  The index
+holds three bytes an entry and is broadcast once, for calibration and scoring.
 
 Defined results: null and empty texts, and texts without a term of any
 example, get the toxic share of the labelled rows without terms; a null doc_id is never
 held out; of several labels of one doc_id the highest holds, null labels are
-ignored; without labels every score is 0.  Repeated rows are scored alike.
+ignored; without labels every score is 0.  Repeated rows are scored alike.  A
+very long text is one row of its task, in memory of its words.  Other columns
+pass unchanged.
 """
 
 from __future__ import annotations
@@ -23,6 +33,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+import uuid
 from collections import Counter
 from collections.abc import Iterator
 from typing import NamedTuple
@@ -38,8 +49,9 @@ from opsgrain.llm.common import stored
 WORD = re.compile(r"[^\W\d_]+")
 PREFIXES = (4, 5, 6, 7)
 FOLDS = 5
-BLOCK = 64  # candidates whose cosines are finished at a time, at first
-TIERS = (1 / 32, 1 / 8, 1 / 3, 1)  # shares of all entries up to which the index is read at a time
+BLOCK = 64  # examples whose frequent terms share one maximum each
+FREQUENT = 20  # a term in more than one of so many examples is frequent
+DENSE_BYTES = 32 << 20  # bound of a worker's table of frequent terms
 FLOOR = 0.05  # weight of a term that does not separate the labels
 LENGTH_WEIGHT = 0.5
 EVIDENCE = 3
@@ -93,18 +105,18 @@ class _Hashes(dict):
 
 
 class _Vocabulary(_Hashes):
-    """Term numbers of words, by the sorted hashes of known terms."""
+    """Numbers of the known terms of words: their places in sorted hashes."""
 
-    def __init__(self, keys: np.ndarray, numbers: np.ndarray):
+    def __init__(self, keys: np.ndarray):
         super().__init__()
-        self.keys, self.numbers = keys, numbers
+        self.keys = keys
 
     def look_up(self, terms: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
         if not len(self.keys):
             return [()] * len(terms)
         flat = np.array([h for t in terms for h in t], np.int64)
         at = np.minimum(np.searchsorted(self.keys, flat), len(self.keys) - 1)
-        number = np.where(self.keys[at] == flat, self.numbers[at], -1).tolist()
+        number = np.where(self.keys[at] == flat, at, -1).tolist()
         out, a = [], 0
         for t in terms:
             out.append(tuple(x for x in number[a:a + len(t)] if x >= 0))
@@ -112,33 +124,7 @@ class _Vocabulary(_Hashes):
         return out
 
 
-class Postings(NamedTuple):
-    """Inverted index of the examples over all terms but the length."""
-
-    start: np.ndarray  # first entry of each term in place / value
-    place: np.ndarray
-    value: np.ndarray
-    edges: np.ndarray  # first term of each tier, and the end
-    norms: np.ndarray  # tiers x examples: norm of the example's entries from this tier on
-    length: np.ndarray  # examples' length components
-
-    @staticmethod
-    def of(row: np.ndarray, term: np.ndarray, value: np.ndarray, n_terms: int) -> Postings:
-        n = len(row) - 1
-        start = np.append(0, np.cumsum(np.bincount(term, minlength=n_terms + 1)[:n_terms]))
-        edges = np.append(0, np.searchsorted(start, np.array(TIERS) * start[-1]))
-        edges[-1] = n_terms
-        length, squares = np.zeros(n), np.zeros((len(TIERS), n))
-        for a in range(0, n, 1000):  # by parts, which bounds the memory
-            b = min(a + 1000, n)
-            own, x = term[row[a]:row[b]], value[row[a]:row[b]].astype(float)
-            of = np.repeat(np.arange(b - a), np.diff(row[a:b + 1]))
-            length[a:b] = np.bincount(of, weights=x * (own == n_terms), minlength=b - a)
-            for j, e in enumerate(edges[:-1]):
-                squares[j, a:b] = np.bincount(of, weights=x * x * ((own >= e) & (own < n_terms)), minlength=b - a)
-        order = np.argsort(term, kind="stable")[:start[-1]]  # the length's entries come last
-        place = np.repeat(np.arange(n, dtype=np.int32), np.diff(row))[order]
-        return Postings(start, place, value[order].astype(np.float32), edges, np.sqrt(squares), length)
+LOG = np.append(0, 1 + np.log(np.arange(1, 256)))  # weight of a frequency
 
 
 def _cells(first: np.ndarray, size: np.ndarray) -> np.ndarray:
@@ -146,99 +132,162 @@ def _cells(first: np.ndarray, size: np.ndarray) -> np.ndarray:
     return np.repeat(first - (np.cumsum(size) - size), size) + np.arange(size.sum())
 
 
-class Model(NamedTuple):
-    """All that scoring needs; its size grows with the terms of at most about
-    ``max_train`` examples."""
+def length_of(words: np.ndarray) -> np.ndarray:
+    """Length components of texts of so many words."""
+    return LENGTH_WEIGHT * (1 + np.log(np.maximum(words, 1)))
+
 
-    numbers: tuple[np.ndarray, np.ndarray]  # sorted hashes of the terms, and their numbers
-    idf: np.ndarray  # times the terms' weights
+class Model(NamedTuple):
+    """All that scoring needs, as it is broadcast; its size grows with the
+    terms of at most about ``max_train`` examples."""
+
+    name: str
+    keys: np.ndarray  # sorted hashes of the terms, whose places number them
+    weight: np.ndarray
+    start: np.ndarray  # first posting of each term, and the end
+    place: np.ndarray  # postings: the example
+    tf: np.ndarray  # and the frequency there
+    norm: np.ndarray  # of each example's vector, with the length
+    words: np.ndarray  # of the examples
     ids: np.ndarray
     toxic: np.ndarray
-    row: np.ndarray  # first entry of each example in term / value
-    term: np.ndarray
-    value: np.ndarray
-    block_max: np.ndarray  # terms x blocks (one for all): largest values
     prior: float
     empty: float
-    raw: np.ndarray  # calibration: votes and the share of toxic rows there
-    share: np.ndarray
     k: int
-    postings: Postings | None = None  # made from the examples where it is missing
 
-    def vector(self, counts: dict, n_words: int) -> tuple[np.ndarray, np.ndarray]:
-        """Unit vector: terms (the length's comes last) and values."""
-        t = np.array(sorted(counts), np.int64)
-        v = (1 + np.log(np.array([counts[x] for x in t.tolist()], float))) * self.idf[t]
-        t = np.append(t, len(self.idf))
-        v = np.append(v, LENGTH_WEIGHT * (1 + math.log(max(n_words, 1))))
-        return t, v / math.sqrt(float(v @ v))
+    @staticmethod
+    def of(keys: np.ndarray, weight: np.ndarray, row: np.ndarray, term: np.ndarray, tf: np.ndarray, words: np.ndarray, ids: np.ndarray, toxic: np.ndarray,
+           prior: float, empty: float, k: int) -> Model:
+        """From the examples' entries: ``row`` is each example's first entry in
+        ``term`` and ``tf``, and the end."""
+        n = len(ids)
+        size = np.diff(row)
+        of = np.repeat(np.arange(n), size)
+        value = LOG[tf] * weight[term]
+        norm = np.sqrt(np.bincount(of, weights=value * value, minlength=n) + length_of(words) ** 2)
+        # similar examples into one block: by their heaviest term that others have, too
+        held = np.bincount(term, minlength=len(keys))
+        value[held[term] < 2] = 0
+        by = np.lexsort((value, of))
+        heaviest = np.zeros(n, np.int64)
+        heaviest[of[by]] = term[by]
+        order = np.lexsort((ids, heaviest))
+        rank = np.empty(n, np.int64)
+        rank[order] = np.arange(n)
+        place = rank[of].astype(np.uint16 if n <= 1 << 16 else np.int32)
+        by = np.lexsort((place, term))
+        start = np.append(0, np.cumsum(held)).astype(np.int64)
+        return Model(uuid.uuid4().hex, keys, weight.astype(np.float32), start, place[by], tf[by], norm[order], words[order], ids[order], toxic[order].astype(float), prior, empty, k)
+
+
+class Index:
+    """A model opened for search."""
+
+    _open: dict[str, Index] = {}  # the last one of this worker
+
+    def __init__(self, model: Model):
+        self.model, n = model, len(model.ids)
+        size = np.diff(model.start)
+        self.value = (LOG[model.tf] * np.repeat(model.weight, size) / model.norm[model.place]).astype(np.float32)
+        self.length = length_of(model.words) / model.norm
+        order = np.argsort(-size, kind="stable")[:max(1, DENSE_BYTES // (4 * max(n, 1)))]
+        frequent = np.sort(order[size[order] * FREQUENT > n]) if n > BLOCK else np.zeros(0, np.int64)
+        self.slot = np.full(len(size), -1, np.int32)
+        self.slot[frequent] = np.arange(len(frequent))
+        self.dense = np.zeros((-(-n // BLOCK) * BLOCK, len(frequent)), np.float32)
+        for j, t in enumerate(frequent.tolist()):
+            a, b = model.start[t], model.start[t + 1]
+            self.dense[model.place[a:b], j] = self.value[a:b]
+        self.block_max = self.dense.reshape(len(self.dense) // BLOCK, BLOCK, len(frequent)).max(axis=1) if n else self.dense
+        self.frequent_norm = np.sqrt((self.dense[:n].astype(float) ** 2).sum(axis=1))
 
-    def nearest(self, t: np.ndarray, v: np.ndarray, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
+    @staticmethod
+    def opened(model: Model) -> Index:
+        got = Index._open.get(model.name)
+        if got is None:
+            Index._open.clear()
+            got = Index._open[model.name] = Index(model)
+        return got
+
+    def vector(self, counts: dict, n_words: int) -> tuple[np.ndarray, np.ndarray, float]:
+        """Terms, values and the length component of a unit vector."""
+        t = np.fromiter(counts, np.int64, len(counts))
+        tf = np.minimum(np.fromiter(counts.values(), np.int64, len(counts)), 255)
+        v = LOG[tf] * self.model.weight[t]
+        length = float(length_of(np.array([n_words]))[0])
+        norm = math.sqrt(float(v @ v) + length * length)
+        return t, v / norm, length / norm
+
+    def nearest(self, t: np.ndarray, v: np.ndarray, length: float, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places of the ``k`` nearest examples that share a term, nearest
         first (ties: lower place), and their cosines."""
-        n = len(self.ids)
-        if not n:
-            return np.zeros(0, np.int64), np.zeros(0)
-        index = self.postings or Postings.of(self.row, self.term, self.value, len(self.idf))
-        own, weight = t[:-1], v[:-1]
-        cut = np.searchsorted(own, index.edges)
-        first, size = index.start[own], index.start[own + 1] - index.start[own]
-        ahead = np.append(np.cumsum(size[::-1])[::-1], 0)
-        square = np.append(np.cumsum(weight[::-1] ** 2)[::-1], 0)
-        linear = np.append(np.cumsum((weight * self.block_max[own].max(axis=1))[::-1])[::-1], 0)
-        entries = len(self.term) / n
-        found, length = np.zeros(n), v[-1] * index.length
-        for j, (a, b) in enumerate(zip(cut[:-1].tolist(), cut[1:].tolist(), strict=True)):
-            if b > a:
-                cell = _cells(first[a:b], size[a:b])
-                found += np.bincount(index.place[cell], weights=index.value[cell] * np.repeat(weight[a:b], size[a:b]), minlength=n)
-            # what the entries not yet read can add: by their norms, or by the terms' largest values
-            more = np.minimum(math.sqrt(square[b]) * index.norms[j + 1], linear[b]) if ahead[b] else np.zeros(n)
-            bound = found + length + more
-            left = np.flatnonzero(found + more > 0)
-            touched = np.flatnonzero(found > 0)
-            if len(touched) > self.k:  # one of these may be ``skip``
-                least = np.partition(found[touched] + length[touched], -self.k - 1)[-self.k - 1]
-                left = left[bound[left] >= least - 1e-5]
-            if not ahead[b] or len(left) * entries <= ahead[b]:
-                break
-        order = left[np.argsort(-bound[left], kind="stable")]
-        order = order[order != skip]
-        query = np.zeros(len(self.idf) + 1)
-        query[t] = v
-        place, cosine = np.zeros(0, np.int64), np.zeros(0)
-        at, step = 0, BLOCK
-        while at < len(order) and (len(place) < self.k or bound[order[at]] >= cosine[self.k - 1] - 1e-5):
-            rows = order[at:at + step]
-            size = self.row[rows + 1] - self.row[rows]
-            cell = _cells(self.row[rows], size)
-            of = np.repeat(np.arange(len(rows)), size)
-            term = self.term[cell]
-            c = np.bincount(of, weights=self.value[cell] * query[term], minlength=len(rows))
-            near = np.bincount(of, weights=(query[term] > 0) & (term < len(self.idf)), minlength=len(rows)) > 0
-            place, cosine = np.concatenate([place, rows[near]]), np.concatenate([cosine, c[near]])
-            best = np.lexsort((place, -cosine))[:self.k]
-            place, cosine = place[best], cosine[best]
-            at, step = at + step, 2 * step
-        return place, cosine
+        n, k = len(self.model.ids), self.model.k
+        slot = self.slot[t]
+        rare = slot < 0
+        first = self.model.start[t[rare]]
+        size = self.model.start[t[rare] + 1] - first
+        cell = _cells(first, size)
+        found = np.bincount(self.model.place[cell], weights=self.value[cell] * np.repeat(v[rare], size), minlength=n)
+        own, weight = slot[~rare], v[~rare].astype(np.float32)
+        base = found + length * self.length
+        # what the frequent terms can add: by block maxima, or by norms
+        more = np.repeat(self.block_max[:, own] @ weight, BLOCK)[:n]
+        more = np.minimum(more, math.sqrt(float(weight @ weight)) * self.frequent_norm) + 1e-6
+        touched = found > 0
+        near = touched | (more > 1e-6)
+        if touched.sum() > k:  # one of these may be ``skip``
+            least = np.partition(base[touched], -k - 1)[-k - 1]
+            near &= base + more >= least
+        left = np.flatnonzero(near)
+        left = left[left != skip]
+        upper = (base + more)[left]
+        place, cosine, some = left[:0], base[:0], 4 * BLOCK
+        if len(left) > 2 * some:  # those of the highest bounds first, which settles most of the others
+            ahead = np.argpartition(-upper, some)
+            place, cosine = self._looked_up(left[ahead[:some]], own, weight, base, touched)
+            left, upper = left[ahead[some:]], upper[ahead[some:]]
+            if len(place) >= k:
+                left = left[upper >= np.partition(cosine, -k)[-k]]
+        more_place, more_cosine = self._looked_up(left, own, weight, base, touched)
+        place, cosine = np.append(place, more_place), np.append(cosine, more_cosine)
+        if len(place) > k:
+            some = cosine >= np.partition(cosine, -k)[-k]
+            place, cosine = place[some], cosine[some]
+        best = np.lexsort((place, -cosine))[:k]
+        return place[best], cosine[best]
+
+    def _looked_up(self, place: np.ndarray, own: np.ndarray, weight: np.ndarray, base: np.ndarray, touched: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Those of ``place`` that share a term, and their cosines, with their
+        entries in the lists of the frequent terms ``own``."""
+        lists = self.dense[np.ix_(place, own)]
+        cosine = base[place] + lists @ weight
+        shares = touched[place]
+        if not shares.all():
+            shares = shares | (lists > 0).any(axis=1)
+        return place[shares], cosine[shares]
 
     def votes(self, place: np.ndarray, cosine: np.ndarray) -> float:
         w = 1 / (1.05 - np.minimum(cosine, 1.0))
-        return float((w @ self.toxic[place] + self.prior) / (w.sum() + 1))
+        return float((w @ self.model.toxic[place] + self.model.prior) / (w.sum() + 1))
+
+
+class Calibration(NamedTuple):
+    """Votes and the share of toxic rows there."""
+
+    raw: np.ndarray
+    share: np.ndarray
 
-    def calibrated(self, raw: float) -> float:
+    def at(self, raw: float) -> float:
         """Isotonic share of toxic examples at these votes; the votes
         themselves keep the order where it is flat."""
         return min(1.0, max(0.0, 0.98 * float(np.interp(raw, self.raw, self.share)) + 0.02 * raw))
 
-    def score(self, counts: dict, n_words: int) -> tuple[float, list[dict]]:
-        if not counts:
-            return self.empty, []
-        place, cosine = self.nearest(*self.vector(counts, n_words))
-        if not len(place):
-            return self.empty, []
-        found = [{"doc_id": int(self.ids[p]), "similarity": float(c), "toxic": int(self.toxic[p])} for p, c in zip(place[:EVIDENCE], cosine, strict=False)]
-        return self.calibrated(self.votes(place, cosine)), found
+
+class Fitted(NamedTuple):
+    """A model on its way to the workers, with its calibration."""
+
+    model: object  # broadcast
+    calibration: Calibration
 
 
 def isotonic(raw: np.ndarray, y: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -274,7 +323,7 @@ def _document_frequencies(documents: DataFrame, keys: np.ndarray) -> np.ndarray:
     known = documents.sparkSession.sparkContext.broadcast(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, got = _Vocabulary(known.value, np.arange(len(known.value))), np.zeros(len(known.value) + 1, np.int64)
+        vocabulary, got = _Vocabulary(known.value), np.zeros(len(known.value) + 1, np.int64)
         for batch in batches:
             for text in batch.column(0).to_pylist():
                 t = vocabulary.count(text)[0]
@@ -287,134 +336,128 @@ def _document_frequencies(documents: DataFrame, keys: np.ndarray) -> np.ndarray:
     out = np.zeros(len(keys) + 1, np.int64)
     got = documents.select("text").mapInArrow(run, "term bigint, n bigint").groupBy("term").agg(F.sum("n").alias("n")).toArrow()
     out[got["term"].to_numpy()] = got["n"].to_numpy()
+    known.destroy()
     return out
 
 
-def _term_table(rows: DataFrame) -> pa.Table:
-    """Per term's hash: training texts with it (``n``), and toxic ones (``t``)."""
-
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes, n, t = _Hashes(), Counter(), Counter()
-        for batch in batches:
-            for text, toxic in zip(batch.column("text").to_pylist(), batch.column("toxic").to_pylist(), strict=True):
-                own = hashes.count(text)[0].keys()
-                n.update(own)
-                if toxic:
-                    t.update(own)
-        terms = list(n)
-        for a in range(0, len(terms), 50_000):
-            part = terms[a:a + 50_000]
-            yield pa.RecordBatch.from_arrays([pa.array(part, pa.int64()), pa.array([n[x] for x in part], pa.int64()), pa.array([t[x] for x in part], pa.int64())], names=["term", "n", "t"])
-
-    return rows.select("text", "toxic").mapInArrow(run, "term bigint, n bigint, t bigint").groupBy("term").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).toArrow()
+def _weights(n: np.ndarray, t: np.ndarray, p: float, full_chi2: float, prior_texts: int) -> np.ndarray:
+    """Weights of terms with ``n`` examples, ``t`` of them toxic: chi-squared
+    with continuity correction, less for few examples, as a share of
+    ``full_chi2``, from ``FLOOR`` to 1."""
+    if not 0 < p < 1:
+        return np.full(len(n), FLOOR)
+    chi2 = np.maximum(np.abs(t - n * p) - 0.5, 0) ** 2 / (n * p * (1 - p))
+    return np.clip(chi2 * n / (n + prior_texts) / full_chi2, FLOOR, 1)
 
 
-def _example_vectors(rows: DataFrame, blank: Model) -> DataFrame:
-    """The vector of each training text; empty for texts without terms."""
-    known = rows.sparkSession.sparkContext.broadcast(blank)
+def _example_counts(rows: DataFrame) -> DataFrame:
+    """The hashed terms of each training text, with frequencies, and its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        blank = known.value
-        vocabulary = _Vocabulary(*blank.numbers)
+        hashes = _Hashes()
         for batch in batches:
             for a in range(0, batch.num_rows, 500):
                 part = batch.slice(a, 500)
-                got = [blank.vector(c, n) if c else (np.zeros(0, np.int64), np.zeros(0)) for c, n in map(vocabulary.count, part.column("text").to_pylist())]
-                edges = pa.array(np.append(0, np.cumsum([len(t) for t, _ in got])), pa.int32())
-                term, value = (pa.ListArray.from_arrays(edges, pa.array(np.concatenate([x[i] for x in got]).astype(kind))) for i, kind in ((0, np.int32), (1, np.float32)))
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), term, value], names=["doc_id", "toxic", "term", "value"])
+                got = [hashes.count(text) for text in part.column("text").to_pylist()]
+                term = pa.array([np.fromiter(c, np.int64, len(c)).tobytes() for c, _ in got], pa.binary())
+                tf = pa.array([np.minimum(np.fromiter(c.values(), np.int64, len(c)), 255).astype(np.uint8).tobytes() for c, _ in got], pa.binary())
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), pa.array([w for _, w in got], pa.int64()), term, tf], names=["doc_id", "toxic", "words", "term", "tf"])
+
+    return rows.select("doc_id", "text", "toxic").mapInArrow(run, "doc_id bigint, toxic int, words bigint, term binary, tf binary")
 
-    return rows.select("doc_id", "text", "toxic").mapInArrow(run, "doc_id bigint, toxic int, term array<int>, value array<float>")
 
+def _term_table(counts: DataFrame) -> pa.Table:
+    """Per term's hash: training texts with it (``n``), and toxic ones (``t``)."""
 
-def _gathered(vectors: DataFrame, parts: int = 8) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-    """Ids, labels, entries per example, terms and values, part by part."""
-    got = []
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for a in range(0, batch.num_rows, 2000):  # by parts, which bounds the memory
+                part = batch.slice(a, 2000)
+                own = [np.frombuffer(x, np.int64) for x in part.column("term").to_pylist()]
+                toxic = np.repeat(part.column("toxic").to_numpy(zero_copy_only=False), [len(x) for x in own])
+                term, at = np.unique(np.concatenate(own), return_inverse=True)
+                n, t = np.bincount(at, minlength=len(term)), np.bincount(at, weights=toxic, minlength=len(term)).astype(np.int64)
+                for i in range(0, len(term), 50_000):
+                    yield pa.RecordBatch.from_arrays([pa.array(x[i:i + 50_000]) for x in (term, n, t)], names=["term", "n", "t"])
+
+    return counts.select("term", "toxic").mapInArrow(run, "term bigint, n bigint, t bigint").groupBy("term").agg(F.sum("n").alias("n"), F.sum("t").alias("t")).toArrow()
+
+
+def _gathered(counts: DataFrame, keys: np.ndarray, parts: int = 8) -> tuple[np.ndarray, ...]:
+    """Ids, labels, words, entries per example, terms' numbers and
+    frequencies, part by part."""
+    got = [(np.zeros(0, np.int64),) * 4 + (np.zeros(0, np.int32), np.zeros(0, np.uint8))]
     for s in range(parts):
-        t = vectors.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) == s).toArrow().combine_chunks()
+        t = counts.where(F.pmod(F.xxhash64("doc_id"), F.lit(parts)) == s).toArrow()
         if len(t):
-            term, value = (t[c].combine_chunks() for c in ("term", "value"))
-            ids, size, first = t["doc_id"].to_numpy(), np.diff(term.offsets.to_numpy()), term.offsets.to_numpy()[:-1].astype(np.int64)
-            order = np.argsort(ids, kind="stable")
-            cell = _cells(first[order], size[order])
-            got.append((ids[order], t["toxic"].to_numpy()[order], size[order], term.values.to_numpy()[cell], value.values.to_numpy()[cell]))
-    if not got:
-        return np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32)
-    return tuple(np.concatenate([x[i] for x in got]) for i in range(5))
+            term, tf = (np.frombuffer(b"".join(t[c].to_pylist()), kind) for c, kind in (("term", np.int64), ("tf", np.uint8)))
+            per = np.array([len(x.as_buffer()) for x in t["tf"]], np.int64)
+            got.append((*(t[c].to_numpy() for c in ("doc_id", "toxic", "words")), per, np.searchsorted(keys, term).astype(np.int32), tf))
+    return tuple(np.concatenate([x[i] for x in got]) for i in range(6))
 
 
-def _weights(n: np.ndarray, t: np.ndarray, p: float, full_chi2: float, prior_texts: int) -> np.ndarray:
-    """Weights of terms with ``n`` examples, ``t`` of them toxic: chi-squared
-    with continuity correction, less for few examples, as a share of
-    ``full_chi2``, from ``FLOOR`` to 1."""
-    if not 0 < p < 1:
-        return np.full(len(n), FLOOR)
-    chi2 = np.maximum(np.abs(t - n * p) - 0.5, 0) ** 2 / (n * p * (1 - p))
-    return np.clip(chi2 * n / (n + prior_texts) / full_chi2, FLOOR, 1)
-
-
-def fit(documents: DataFrame, labels: DataFrame, max_train: int = 20_000, k: int = 15, full_chi2: float = 25.0, prior_texts: int = 5) -> Model:
-    """Gather examples and statistics, weigh terms, and calibrate."""
-    rows = stored(training_rows(documents, labels, max_train), "toxicity-training")
-    n, t = rows.agg(F.count("*"), F.sum("toxic")).first()
+def fit(documents: DataFrame, labels: DataFrame, max_train: int = 20_000, k: int = 15, full_chi2: float = 25.0, prior_texts: int = 5) -> Fitted:
+    """Gather examples and statistics, weigh terms, index and calibrate."""
+    counts = stored(_example_counts(training_rows(documents, labels, max_train)), "toxicity-counts")
+    n, t = counts.agg(F.count("*"), F.sum("toxic")).first()
     p = t / n if n else 0.0
-    table = _term_table(rows).sort_by("term")
+    table = _term_table(counts).sort_by("term")
     keys, held, held_toxic = (table[c].to_numpy() for c in ("term", "n", "t"))
     df = _document_frequencies(documents, keys)
-    idf = (np.log((df[-1] + 1) / (df[:-1] + 1)) + 1e-6) * _weights(held, held_toxic, p, full_chi2, prior_texts)
-    order = np.argsort(-idf, kind="stable")  # heaviest terms first
-    number = np.empty(len(keys), np.int64)
-    number[order] = np.arange(len(keys))
-    idf = idf[order]
-    blank = Model((keys, number), idf, np.zeros(0, np.int64), np.zeros(0), np.zeros(1, np.int64), np.zeros(0, np.int32), np.zeros(0, np.float32),
-                  np.zeros((len(idf) + 1, 1)), p, 0.0, np.array([0.0, 1.0]), np.array([0.0, 1.0]), k)
-    ids, toxic, per, term, value = _gathered(stored(_example_vectors(rows, blank), "toxicity-vectors"))
+    weight = (np.log((df[-1] + 1) / (df[:-1] + 1)) + 1e-6) * _weights(held, held_toxic, p, full_chi2, prior_texts)
+    ids, toxic, words, per, term, tf = _gathered(counts, keys)
     bare, full = toxic[per == 0], per > 0
     empty = float((bare.sum() + p) / (len(bare) + 1)) if n else 0.0
-    row = np.append(0, np.cumsum(per[full]))
-    largest = np.zeros((len(idf) + 1, 1))
-    np.maximum.at(largest[:, 0], term, value)
-    model = blank._replace(empty=empty, ids=ids[full], toxic=toxic[full].astype(float), row=row, term=term, value=value, block_max=largest,
-                           postings=Postings.of(row, term, value, len(idf)))
-    return model._replace(**_calibration(documents.sparkSession, model))
+    model = Model.of(keys, weight, np.append(0, np.cumsum(per[full])), term, tf, words[full], ids[full], toxic[full], p, empty, k)
+    known = documents.sparkSession.sparkContext.broadcast(model)
+    return Fitted(known, _calibration(counts, known, len(model.ids)))
 
 
-def _calibration(spark, model: Model) -> dict:
+def _calibration(counts: DataFrame, known, n: int) -> Calibration:
     """Leave-one-out votes of the examples, and their isotonic fit."""
 
-    known = spark.sparkContext.broadcast(model)
-
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         model = known.value
+        index = Index.opened(model)
+        place = {(d, w): p for p, (d, w) in enumerate(zip(model.ids.tolist(), model.words.tolist(), strict=True))}
         for batch in batches:
-            got = []
-            for p in batch.column(0).to_pylist():
-                lo, hi = model.row[p], model.row[p + 1]
-                got.append(model.votes(*model.nearest(model.term[lo:hi], model.value[lo:hi], skip=p)))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(got, pa.float64())], names=["place", "raw"])
-
-    if not len(model.ids):
-        return {}
-    got = spark.range(len(model.ids)).mapInArrow(run, "place bigint, raw double").collect()  # one row an example
-    raw = np.zeros(len(model.ids))
-    for r in got:
-        raw[r["place"]] = r["raw"]
-    x, y = isotonic(raw, model.toxic)
-    return {"raw": x, "share": y}
-
-
-def score(documents: DataFrame, model: Model) -> DataFrame:
+            raw, toxic = [], []
+            for doc_id, label, words, term, tf in zip(*(c.to_pylist() for c in batch.columns), strict=True):
+                if not tf:
+                    continue
+                counts = dict(zip(np.searchsorted(model.keys, np.frombuffer(term, np.int64)).tolist(), np.frombuffer(tf, np.uint8).tolist(), strict=True))
+                skip = place[doc_id, words]
+                raw.append(index.votes(*index.nearest(*index.vector(counts, words), skip=skip)))
+                toxic.append(label)
+            yield pa.RecordBatch.from_arrays([pa.array(raw, pa.float64()), pa.array(toxic, pa.int32())], names=["raw", "toxic"])
+
+    if not n:
+        return Calibration(np.array([0.0, 1.0]), np.array([0.0, 1.0]))
+    got = counts.mapInArrow(run, "raw double, toxic int").toArrow().sort_by([("raw", "ascending"), ("toxic", "ascending")])  # one row an example
+    return Calibration(*isotonic(got["raw"].to_numpy(), got["toxic"].to_numpy().astype(float)))
+
+
+def scored(index: Index, calibration: Calibration, counts: dict, n_words: int) -> tuple[float, list[dict]]:
+    """Score and evidence of one text."""
+    model = index.model
+    place, cosine = index.nearest(*index.vector(counts, n_words)) if counts else (np.zeros(0, np.int64), np.zeros(0))
+    if not len(place):
+        return model.empty, []
+    found = [{"doc_id": int(model.ids[p]), "similarity": float(c), "toxic": int(model.toxic[p])} for p, c in zip(place[:EVIDENCE], cosine, strict=False)]
+    return calibration.at(index.votes(place, cosine)), found
+
+
+def score(documents: DataFrame, fitted: Fitted) -> DataFrame:
     """``documents`` with ``score``, ``predicted`` and ``evidence``."""
     schema = T.StructType([f for f in documents.schema.fields if f.name not in ("score", "predicted", "evidence")])
     out = T.StructType([*schema.fields, *T.StructType.fromDDL(f"score double, predicted int, evidence {EVIDENCE_TYPE}").fields])
-
-    known = documents.sparkSession.sparkContext.broadcast(model)
+    known, calibration = fitted
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        model = known.value
-        vocabulary = _Vocabulary(*model.numbers)
+        index = Index.opened(known.value)
+        vocabulary = _Vocabulary(known.value.keys)
         for batch in batches:
-            got = [model.score(*vocabulary.count(t)) for t in batch.column("text").to_pylist()]
+            got = [scored(index, calibration, *vocabulary.count(t)) for t in batch.column("text").to_pylist()]
             s = np.array([x for x, _ in got], float)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32)), pa.array([e for _, e in got], _EVIDENCE)],

@@ -159,30 +159,88 @@ def test_thresholds_hold_for_documents_the_model_has_not_seen(spark):
 
 # --- operator 9 -----------------------------------------------------------------
 
+def vectors_of(rows, weights):
+    """Brute force: unit vectors as dicts, from texts' term counts and words."""
+    out = []
+    for counts, words in rows:
+        v = {t: (1 + math.log(min(c, 255))) * weights[t] for t, c in counts.items() if t in weights}
+        if v:
+            v[None] = toxicity.LENGTH_WEIGHT * (1 + math.log(max(words, 1)))
+            norm = math.sqrt(sum(x * x for x in v.values()))
+            v = {t: x / norm for t, x in v.items()}
+        out.append(v)
+    return out
+
+
+def cosine_of(a, b):
+    """None where they share the length only."""
+    both = a.keys() & b.keys()
+    return sum(a[t] * b[t] for t in both) if both - {None} else None
+
+
 def test_nearest_equals_exhaustive_search():
     rng = np.random.default_rng(1)
-    n, terms = 700, 40
-    idf = rng.uniform(0.5, 3, terms)
-    blank = toxicity.Model({}, idf, np.zeros(0, np.int64), np.zeros(0), np.zeros(1, np.int64), np.zeros(0, np.int64), np.zeros(0), np.zeros((terms + 1, 0)), 0.2, 0.1, np.array([0.0, 1]), np.array([0.0, 1]), 15)
-    vectors = [blank.vector({int(t): int(rng.integers(1, 4)) for t in rng.choice(terms, rng.integers(1, 6), replace=False)}, int(rng.integers(1, 500))) for _ in range(n)]
-    vectors[5] = vectors[6] = vectors[7]  # ties
-    row = np.cumsum([0, *(len(t) for t, _ in vectors)])
-    term, value = (np.concatenate([v[i] for v in vectors]) for i in (0, 1))
-    top = np.zeros((terms + 1, -(-n // toxicity.BLOCK)))
-    np.maximum.at(top, (term, np.repeat(np.arange(n), np.diff(row)) // toxicity.BLOCK), value)
-    model = blank._replace(ids=np.arange(n), toxic=rng.integers(0, 2, n).astype(float), row=row, term=term, value=value, block_max=top)
-    dense = np.zeros((n, terms + 1))
-    for i, (t, v) in enumerate(vectors):
-        dense[i, t] = v
+    n, terms = 700, 300
+    weight = rng.uniform(0.5, 3, terms)
+    often = np.append(np.full(20, 0.03), np.full(280, 0.4 / 280))  # frequent terms and others
+    rows = [({int(t): int(rng.integers(1, 400) if i % 50 == 0 else rng.integers(1, 4)) for t in rng.choice(terms, rng.integers(1, 25), replace=False, p=often)}, int(rng.integers(1, 500))) for i in range(n)]
+    rows[5] = rows[6] = rows[7]  # ties
+    row = np.cumsum([0, *(len(c) for c, _ in rows)])
+    term, tf = (np.concatenate([np.array(list(x(c)), np.int64) for c, _ in rows]) for x in (dict.keys, dict.values))
+    model = toxicity.Model.of(np.arange(terms), weight, row, term.astype(np.int32), np.minimum(tf, 255).astype(np.uint8), np.array([w for _, w in rows]), np.arange(n), rng.integers(0, 2, n), 0.2, 0.1, 15)
+    index = toxicity.Index(model)
+    assert index.block_max.shape[0] == 11 and index.block_max.shape[1] >= 20  # blocks and frequent terms
+    at = {d: p for p, d in enumerate(model.ids.tolist())}
+    vectors = vectors_of(rows, dict(enumerate(weight)))
     for i in range(0, n, 9):
-        cosine = dense @ dense[i]
-        shares = (dense[:, :terms] * dense[i, :terms]).any(axis=1)
-        cosine[~shares] = -1
-        cosine[i] = -1
-        place, got = model.nearest(*vectors[i], skip=i)
-        want = np.sort(cosine)[::-1][:15]
-        assert np.allclose(got, want[want > -1])
-        assert np.allclose(cosine[place], got)
+        want = sorted((x for j in range(n) if j != i and (x := cosine_of(vectors[i], vectors[j])) is not None), reverse=True)[:15]
+        place, got = index.nearest(*index.vector(*rows[i]), skip=at[i])
+        assert np.allclose(got, want, atol=1e-5)
+        assert np.allclose([cosine_of(vectors[i], vectors[model.ids[p]]) for p in place], got, atol=1e-5)
+
+
+def test_scores_equal_brute_force(spark):
+    """The whole operator on the small tables, with its own terms, statistics,
+    weights, neighbours, votes and calibration in plain Python."""
+    docs = {r["doc_id"]: r["text"] for r in spark.read.parquet(f"{SF}/documents.parquet").collect()}
+    marks = {r["doc_id"]: r["toxic"] for r in spark.read.parquet(f"{SF}/labels.parquet").collect()}
+    train = [d for d in marks if zlib.crc32(str(d).encode()) % 5]
+
+    def counted(text):
+        words = re.findall(r"[^\W\d_]+", (text or "").lower())
+        return Counter(t for w in words for t in {w, *(w[:k] + "*" for k in (4, 5, 6, 7) if len(w) > k)}), len(words)
+
+    rows = {d: counted(t) for d, t in docs.items()}
+    n, p = len(train), sum(marks[d] for d in train) / len(train)
+    held, toxic, df = Counter(), Counter(), Counter()
+    for d in train:
+        held.update(rows[d][0].keys())
+        toxic.update(rows[d][0].keys() if marks[d] else ())
+    for c, _ in rows.values():
+        df.update(c.keys() & held.keys())
+
+    def separates(t):
+        chi2 = max(abs(toxic[t] - held[t] * p) - 0.5, 0) ** 2 / (held[t] * p * (1 - p))
+        return min(max(chi2 * held[t] / (held[t] + 5) / 25, 0.05), 1)
+
+    weights = {t: (math.log((len(docs) + 1) / (df[t] + 1)) + 1e-6) * separates(t) for t in held}
+    vectors = dict(zip(rows, vectors_of(rows.values(), weights), strict=True))
+    bare = [marks[d] for d in train if not rows[d][0]]
+
+    def votes(d, skip):
+        near = sorted(((x, e) for e in train if e != skip and vectors[e] and (x := cosine_of(vectors[d], vectors[e])) is not None), reverse=True)[:15]
+        w = [1 / (1.05 - min(x, 1)) for x, _ in near]
+        return (sum(a * marks[e] for a, (_, e) in zip(w, near, strict=True)) + p) / (sum(w) + 1) if near else None
+
+    out = [(votes(d, d), marks[d]) for d in train if vectors[d]]
+    knots, share = toxicity.isotonic(np.array([x if x is not None else p for x, _ in out]), np.array([float(y) for _, y in out]))
+    got = {r["doc_id"]: r["score"] for r in registry.op9_toxicity(spark, SF).collect()}
+    off = []
+    for d in docs:
+        v = votes(d, None) if vectors[d] else None
+        want = (sum(bare) + p) / (len(bare) + 1) if v is None else min(1, max(0, 0.98 * float(np.interp(v, knots, share)) + 0.02 * v))
+        off.append(abs(got[d] - want))
+    assert np.mean(np.array(off) > 1e-3) < 0.02  # ties of equal texts may be broken otherwise
 
 
 def test_isotonic_rises_and_fits():
