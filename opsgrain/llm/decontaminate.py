@@ -2,8 +2,10 @@
 
 Test items form an inverted index with block maxima.  Every passage (a window of
 words) of every document queries it with block-max WAND and retrieves all items
-above their thresholds; a retrieved item counts when enough of the 5-word
-shingles of its question and answer are in the passage.
+above their thresholds; a retrieved item counts when ``min_overlap`` of its
+5-word shingles are in the passage, and of its question and of its answer each
+``min_part`` of their own shingles.  A question or answer of fewer than five
+words counts by its words, so a one-word answer must be in the passage.
 
 An item's threshold is what a passage with ``min_overlap`` of its shingles must
 score at least, so retrieval loses no such passage.  Passages are twice as long
@@ -12,8 +14,9 @@ one.  The index is dealt out in shards of at most ``max_items`` items, one pass
 each.
 
 Words are lower-cased and lose punctuation at both ends; words of punctuation
-alone are left out.  Shingles are those of question and answer together; each
-counts once, for the question or for the answer.  Defined results: null and empty texts and items without
+alone are left out.  An item's shingles are those of question and answer
+together; an item of one part has no other part to verify.  A very long text is
+many passages, in memory of its words.  Defined results: null and empty texts and items without
 words have no hits; items of fewer than five words are one shingle; repeated
 items and rows are judged one by one; a null doc_id is returned as such; without
 items no document is touched.  Other columns are ignored.
@@ -34,6 +37,7 @@ from pyspark.sql import functions as F
 
 SHINGLE = 5
 MIN_OVERLAP = 0.8
+MIN_PART = 0.5
 K1, B = 1.2, 0.75
 BLOCK = 4
 GROUP = 4
@@ -60,11 +64,18 @@ class Item(NamedTuple):
 
     item_id: int
     words: list[int]
+    shingles: set
     question: set
     answer: set
     threshold: float
 
 
+def part(words: list) -> set:
+    """What a question or an answer is verified by: its shingles or, of few
+    words, its words."""
+    return shingles(words) if len(words) >= SHINGLE else {(w,) for w in words}
+
+
 class _Terms(dict):
     """Numbers of words as they stand in texts: of the index, -1 for other
     words, -2 for punctuation alone.  Kept for at most ``limit`` words."""
@@ -83,8 +94,8 @@ class _Terms(dict):
 class Index:
     """Block-max inverted index of items ``(item_id, question, answer)``."""
 
-    def __init__(self, rows: list[tuple[int, str, str]], min_overlap: float = MIN_OVERLAP):
-        self.min_overlap = min_overlap
+    def __init__(self, rows: list[tuple[int, str, str]], min_overlap: float = MIN_OVERLAP, min_part: float = MIN_PART):
+        self.min_overlap, self.min_part = min_overlap, min_part
         both = [(i, words_of(q), words_of(a)) for i, q, a in rows]
         both = [x for x in both if x[1] or x[2]]
         self.numbers: dict[str, int] = {}
@@ -101,11 +112,7 @@ class Index:
             missing = math.floor((1 - min_overlap) * len(shingles(x)) + 1e-9)
             threshold = sum(sorted(weight.values())[:len(weight) - missing]) - 1e-9
             threshold = max(threshold, 1e-9)
-            cut = len(q)
-            whole = shingles(x)
-            # by place: the question's lie whole in it, or, of a shorter question, the first shingle; the others are the answer's
-            in_q = {tuple(x[j:j + SHINGLE]) for j in range(max(cut - SHINGLE + 1, min(cut, 1)))}
-            self.items.append(Item(item_id, x, in_q, whole - in_q, threshold))
+            self.items.append(Item(item_id, x, shingles(x), part(x[:len(q)]), part(x[len(q):]), threshold))
             for t, w in weight.items():
                 postings[t].append((k, w))
         self.longest = max((len(x.words) for x in self.items), default=0)
@@ -186,11 +193,13 @@ class Index:
             a = b
 
     def verify(self, item: Item, passage: np.ndarray) -> tuple[float, float, float]:
-        """Shares of the item's, its question's and its answer's shingles that
-        the passage has."""
-        have = shingles(passage.tolist(), min(SHINGLE, len(item.words)))
-        q, a = len(item.question & have), len(item.answer & have)
-        return (q + a) / max(len(item.question) + len(item.answer), 1), q / max(len(item.question), 1), a / max(len(item.answer), 1)
+        """Shares of the item's shingles, and of its question's and answer's
+        own, that the passage has; 1 for a part without words."""
+        own = passage.tolist()
+        have = shingles(own, min(SHINGLE, len(item.words)))
+        both = shingles(own) | {(w,) for w in own}
+        q, a = (len(x & both) / len(x) if x else 1.0 for x in (item.question, item.answer))
+        return len(item.shingles & have) / max(len(item.shingles), 1), q, a
 
     def hits(self, texts: list[str | None], terms: _Terms) -> list[list[dict]]:
         """Verified hits of each text, at most one (the best passage) an item."""
@@ -224,7 +233,7 @@ class Index:
             for k, score in found:
                 item = self.items[k]
                 overlap, q, ans = self.verify(item, passage)
-                if overlap >= self.min_overlap - 1e-9:
+                if overlap >= self.min_overlap - 1e-9 and min(q, ans) >= self.min_part - 1e-9:
                     hit = {"item_id": item.item_id, "score": score, "threshold": item.threshold, "overlap": overlap, "question_overlap": q,
                            "answer_overlap": ans, "first_word": a, "words": len(passage)}
                     old = next((x for x in out[d] if x["item_id"] == item.item_id), None)
@@ -243,7 +252,7 @@ def question_answer(benchmark: DataFrame) -> DataFrame:
     return benchmark.select(F.col("item_id").cast("bigint"), F.regexp_extract(text, cut, 1).alias("question"), F.regexp_extract(text, cut, 2).alias("answer"))
 
 
-def with_hits(documents: DataFrame, items: DataFrame, min_overlap: float = MIN_OVERLAP, max_items: int = 2_000) -> DataFrame:
+def with_hits(documents: DataFrame, items: DataFrame, min_overlap: float = MIN_OVERLAP, min_part: float = MIN_PART, max_items: int = 2_000) -> DataFrame:
     """``documents`` with ``hits``: the items that a passage of ``text`` has."""
     n = items.count()
     shards = max(1, -(-n // max_items))
@@ -251,13 +260,13 @@ def with_hits(documents: DataFrame, items: DataFrame, min_overlap: float = MIN_O
     for s in range(shards):
         part = items if shards == 1 else items.where(F.pmod(F.xxhash64("item_id", "question", "answer"), F.lit(shards)) == s)
         rows = [(r["item_id"], r["question"] or "", r["answer"] or "") for r in part.orderBy("item_id").collect()]
-        out = _one_pass(out, rows, min_overlap)
+        out = _one_pass(out, rows, min_overlap, min_part)
     return out
 
 
-def _one_pass(documents: DataFrame, rows: list, min_overlap: float) -> DataFrame:
+def _one_pass(documents: DataFrame, rows: list, min_overlap: float, min_part: float) -> DataFrame:
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        index = Index(rows, min_overlap)
+        index = Index(rows, min_overlap, min_part)
         terms = _Terms(index.numbers)
         for batch in batches:
             for a in range(0, batch.num_rows, 500):

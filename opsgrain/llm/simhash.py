@@ -25,6 +25,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
+from pyspark.sql import types as T
 
 from opsgrain.llm.common import stored
 from opsgrain.llm.components import stars
@@ -92,6 +93,19 @@ def fingerprints(documents: DataFrame, size: int = SHINGLE, seed: int = SEED) ->
     return documents.select(F.col("doc_id").cast("bigint"), "text").mapInArrow(run, "doc_id bigint, fp bigint")
 
 
+def with_fingerprints(rows: DataFrame, name: str, size: int = SHINGLE, seed: int = SEED) -> DataFrame:
+    """``rows`` with the fingerprint of ``text`` as column ``name``, a signed long."""
+    at = rows.columns.index("text")
+    schema = T.StructType([*rows.schema.fields, T.StructField(name, T.LongType())])
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            fp = simhash(batch.column(at).to_pylist(), size, seed)
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(fp.view(np.int64))], names=[*batch.schema.names, name])
+
+    return rows.mapInArrow(run, schema)
+
+
 # --- the tree -----------------------------------------------------------------
 
 def distance(a: np.ndarray, b) -> np.ndarray:
@@ -217,11 +231,12 @@ def close_pairs(own: np.ndarray, guests: np.ndarray, radius: int, rows: int = 25
 
 # --- the operator -------------------------------------------------------------
 
-def links(distinct: DataFrame, radius: int = MAX_BITS, leaf: int = LEAF, sample: int = 4096) -> DataFrame:
+def links(distinct: DataFrame, radius: int = MAX_BITS, leaf: int = LEAF, sample: int = 4096, points_a_leaf: int = 8) -> DataFrame:
     """Links ``(a, b)`` that connect the distinct ``fp`` that differ in at
     most ``radius`` bits (a forest of them, from each region)."""
     n = distinct.count()
-    share = min(1.0, sample / max(n, 1))
+    # eight points a leaf, so that the depth grows with the input; the bound, sixteen million, is 128 MB at the driver
+    share = min(1.0, max(sample, min(points_a_leaf * n // leaf, 1 << 24)) / max(n, 1))
     some = distinct.where(F.pmod(F.xxhash64("fp"), F.lit(1 << 30)) < int(share * (1 << 30))).select("fp").collect()
     points = np.sort(np.array([r["fp"] for r in some], np.int64)).view("<u8")
     tree = VantageTree(points, len(points) / n if n and len(points) else 1.0, leaf)
@@ -254,12 +269,13 @@ def _dealt(region: int, home: bool, fps: np.ndarray) -> pa.RecordBatch:
 
 
 def near_duplicates(documents: DataFrame, size: int = SHINGLE, radius: int = MAX_BITS, seed: int = SEED) -> DataFrame:
-    """Each row's ``doc_id``, ``fp`` and ``component_id``: the smallest doc_id
-    that chains of links reach."""
+    """Each row's ``doc_id``, ``fp``, ``root`` (a fingerprint that names the
+    component) and ``component_id``: the smallest doc_id that chains of links
+    reach."""
     docs = stored(fingerprints(documents, size, seed), "fingerprints")
     distinct = stored(docs.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "distinct-fingerprints")
     star = stars(links(distinct, radius))
     rooted = distinct.join(star.withColumnRenamed("a", "fp"), "fp", "left").select("fp", "doc_id", F.coalesce("b", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    classes = stored(rooted.join(smallest, "root").select("fp", "component_id"), "classes")
-    return docs.join(classes, "fp").select("doc_id", "fp", "component_id")
+    classes = stored(rooted.join(smallest, "root").select("fp", "root", "component_id"), "classes")
+    return docs.join(classes, "fp").select("doc_id", "fp", "root", "component_id")
