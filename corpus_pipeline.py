@@ -7,13 +7,13 @@ writes each stage's result as Parquet to the shared folder and reads it back.
 
 Defined results: an empty table passes every stage as an empty one; extra
 columns pass unchanged, whatever their names; rows without a doc_id are judged
-by their text, but near-dedup cannot tell them apart and keeps them; of rows
-with one doc_id near-dedup keeps one.
+by their text, and so are rows that share one: near-dedup keeps one row of each
+group of near-copies, and every row that is near nothing.
 """
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession, Window
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsgrain.llm import decontaminate, packing, perplexity, simhash, toxicity
@@ -45,16 +45,26 @@ def toxicity_filter(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFr
 
 
 def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Operator 4: of each component the document with the smallest doc_id stays."""
+    """Operator 4: of each component the row with the smallest doc_id stays.
+    Rows that share a doc_id, or have none, are told apart by fingerprint: of a
+    component that begins with one of them, the smallest text stays."""
     plain = _plain(docs)
-    found = stored(simhash.near_duplicates(plain), "near-duplicates").where("doc_id is not null")
+    found = stored(simhash.near_duplicates(plain), "near-duplicates")
+    several = stored(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
     gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "duplicate-ids")
-    kept = plain.join(broadcast_if_small(gone), "doc_id", "left_anti")
-    repeated = stored(found.where("doc_id = component_id").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
-    if not repeated.isEmpty():
-        one = Window.partitionBy("doc_id").orderBy("text")
-        several = kept.join(broadcast_if_small(repeated), "doc_id", "left_semi").withColumn("_n", F.row_number().over(one)).where("_n = 1").drop("_n")
-        kept = kept.join(broadcast_if_small(repeated), "doc_id", "left_anti").unionByName(several)
+    kept = plain.where("doc_id is not null").join(broadcast_if_small(gone), "doc_id", "left_anti")
+    bare = not found.where("doc_id is null").isEmpty()
+    if bare or not several.isEmpty():
+        several = broadcast_if_small(several)
+        kept = kept.join(several, "doc_id", "left_anti")
+        unclear = plain.join(several, "doc_id", "left_semi").select(*plain.columns).unionByName(plain.where("doc_id is null"))
+        unclear = stored(simhash.with_fingerprints(unclear, "_fp"), "repeated-rows")
+        # rows that begin their component, one for each component
+        first = found.where("doc_id <=> component_id").select(F.col("doc_id").alias("_id"), F.col("fp").alias("_fp"), F.col("root").alias("_root")).distinct()
+        begin = unclear.join(first, (F.col("doc_id").eqNullSafe(F.col("_id"))) & (unclear["_fp"] == first["_fp"])).drop(first["_fp"])
+        row = F.struct(*(F.col(c).alias(f"c{i}") for i, c in enumerate(plain.columns)))
+        one = begin.groupBy("_root").agg(F.min_by(row, F.struct(F.coalesce("text", F.lit("")), "_fp")).alias("x"))
+        kept = kept.unionByName(one.select("x.*").toDF(*plain.columns))
     return _restored(kept, docs)
 
 
