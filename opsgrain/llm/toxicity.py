@@ -47,14 +47,16 @@ from pyspark.sql import types as T
 from opsgrain.llm.common import stored
 
 WORD = re.compile(r"[^\W\d_]+")
-PREFIXES = (4, 5, 6, 7)
+PREFIXES = (5, 7)
 FOLDS = 5
 BLOCK = 64  # examples whose frequent terms share one maximum each
 FREQUENT = 20  # a term in more than one of so many examples is frequent
-DENSE_BYTES = 32 << 20  # bound of a worker's table of frequent terms
+DENSE_BYTES = 4 << 20  # bound of a worker's table of frequent terms
+AHEAD = 8  # blocks whose examples are looked up at a time, at first
 FLOOR = 0.05  # weight of a term that does not separate the labels
 LENGTH_WEIGHT = 0.5
 EVIDENCE = 3
+PART = 250  # texts whose terms are counted at a time
 
 EVIDENCE_TYPE = "array<struct<doc_id:bigint,similarity:double,toxic:int>>"
 _EVIDENCE = pa.list_(pa.struct([("doc_id", pa.int64()), ("similarity", pa.float64()), ("toxic", pa.int32())]))
@@ -75,53 +77,58 @@ def hash_of(term: str) -> int:
     return int.from_bytes(raw if len(raw) <= 8 else hashlib.blake2b(raw, digest_size=8).digest(), "big", signed=True)
 
 
-class _Hashes(dict):
-    """64-bit hashes of the terms of words; words are kept up to ``limit``."""
-
-    def __init__(self, limit: int = 200_000):
-        self.limit = limit
-
-    def learn(self, words: list[str]) -> None:
-        terms = [tuple(map(hash_of, terms_of(w))) for w in words]
-        self.update(zip(words, self.look_up(terms), strict=True))
-
-    def look_up(self, terms: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
-        return terms
-
-    def count(self, text: str | None) -> tuple[dict, int]:
-        """Frequencies of the known terms, and the number of words."""
-        words = WORD.findall((text or "").lower())
-        own = Counter(words)
-        if len(self) >= self.limit:
-            self.clear()
-        new = [w for w in own if w not in self]
+class Terms:
+    """Terms of many texts at a time, as 64-bit hashes or, with ``keys``
+    (sorted hashes), as places in them, unknown ones left out.  The terms of up
+    to ``limit`` words are kept."""
+
+    def __init__(self, keys: np.ndarray | None = None, limit: int = 300_000):
+        self.keys, self.limit = keys, limit
+        self._forget()
+
+    def _forget(self) -> None:
+        self.rows: dict[str, int] = {}
+        self.size, self.flat = np.zeros(0, np.int64), np.zeros(0, np.int64)
+
+    def _learn(self, words: list[str]) -> None:
+        terms = [terms_of(w) for w in words]
+        size = np.array([len(t) for t in terms], np.int64)
+        flat = np.array([hash_of(x) for t in terms for x in t], np.int64)
+        if self.keys is not None:
+            at = np.minimum(np.searchsorted(self.keys, flat), max(len(self.keys) - 1, 0))
+            known = self.keys[at] == flat if len(self.keys) else np.zeros(len(flat), bool)
+            size = np.bincount(np.repeat(np.arange(len(words)), size)[known], minlength=len(words))
+            flat = at[known]
+        self.rows.update(zip(words, range(len(self.rows), len(self.rows) + len(words)), strict=True))
+        self.size, self.flat = np.append(self.size, size), np.append(self.flat, flat)
+
+    def count(self, texts: list[str | None]) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
+        """Edges of each text's terms, the terms (rising), their frequencies
+        (up to 255), and the texts' numbers of words."""
+        words, n, per, total = [], [], [], []
+        for text in texts:
+            own = Counter(WORD.findall((text or "").lower()))
+            words += own
+            n += own.values()
+            per.append(len(own))
+            total.append(own.total())
+        new = list(set(words) - self.rows.keys())
         if new:
-            self.learn(new)
-        got: dict[int, int] = {}
-        for w, c in own.items():
-            for t in self[w]:
-                got[t] = got.get(t, 0) + c
-        return got, len(words)
-
-
-class _Vocabulary(_Hashes):
-    """Numbers of the known terms of words: their places in sorted hashes."""
-
-    def __init__(self, keys: np.ndarray):
-        super().__init__()
-        self.keys = keys
-
-    def look_up(self, terms: list[tuple[int, ...]]) -> list[tuple[int, ...]]:
-        if not len(self.keys):
-            return [()] * len(terms)
-        flat = np.array([h for t in terms for h in t], np.int64)
-        at = np.minimum(np.searchsorted(self.keys, flat), len(self.keys) - 1)
-        number = np.where(self.keys[at] == flat, at, -1).tolist()
-        out, a = [], 0
-        for t in terms:
-            out.append(tuple(x for x in number[a:a + len(t)] if x >= 0))
-            a += len(t)
-        return out
+            if len(self.rows) + len(new) > self.limit:
+                self._forget()
+                new = list(set(words))
+            self._learn(new)
+        row = np.fromiter(map(self.rows.__getitem__, words), np.int64, len(words))
+        size = self.size[row]
+        term = self.flat[_cells((np.cumsum(self.size) - self.size)[row], size)]
+        text = np.repeat(np.repeat(np.arange(len(texts)), per), size)
+        order = np.lexsort((term, text))
+        term, text = term[order], text[order]
+        first = np.ones(len(term), bool)
+        first[1:] = (term[1:] != term[:-1]) | (text[1:] != text[:-1])
+        at = np.flatnonzero(first)
+        tf = np.add.reduceat(np.repeat(np.array(n, np.int64), size)[order], at) if len(at) else np.zeros(0, np.int64)
+        return np.searchsorted(text[at], np.arange(len(texts) + 1)), term[at], np.minimum(tf, 255).astype(np.uint8), np.array(total, np.int64)
 
 
 LOG = np.append(0, 1 + np.log(np.arange(1, 256)))  # weight of a frequency
@@ -160,24 +167,32 @@ class Model(NamedTuple):
            prior: float, empty: float, k: int) -> Model:
         """From the examples' entries: ``row`` is each example's first entry in
         ``term`` and ``tf``, and the end."""
-        n = len(ids)
-        size = np.diff(row)
-        of = np.repeat(np.arange(n), size)
-        value = LOG[tf] * weight[term]
-        norm = np.sqrt(np.bincount(of, weights=value * value, minlength=n) + length_of(words) ** 2)
-        # similar examples into one block: by their heaviest term that others have, too
+        n, parts = len(ids), [(a, min(a + 1000, len(ids))) for a in range(0, len(ids), 1000)]
+        weight = weight.astype(np.float32)
         held = np.bincount(term, minlength=len(keys))
-        value[held[term] < 2] = 0
-        by = np.lexsort((value, of))
-        heaviest = np.zeros(n, np.int64)
-        heaviest[of[by]] = term[by]
+        norm, heaviest = length_of(words) ** 2, np.zeros(n, np.int64)
+        for a, b in parts:  # by parts, which bounds the memory
+            t = term[row[a]:row[b]]
+            of = np.repeat(np.arange(b - a), np.diff(row[a:b + 1]))
+            value = LOG[tf[row[a]:row[b]]] * weight[t]
+            norm[a:b] += np.bincount(of, weights=value * value, minlength=b - a)
+            # similar examples into one block: by their heaviest term that others have, too
+            value[held[t] < 2] = 0
+            by = np.lexsort((t, value, of))
+            heaviest[a + of[by]] = t[by]
         order = np.lexsort((ids, heaviest))
-        rank = np.empty(n, np.int64)
-        rank[order] = np.arange(n)
-        place = rank[of].astype(np.uint16 if n <= 1 << 16 else np.int32)
-        by = np.lexsort((place, term))
         start = np.append(0, np.cumsum(held)).astype(np.int64)
-        return Model(uuid.uuid4().hex, keys, weight.astype(np.float32), start, place[by], tf[by], norm[order], words[order], ids[order], toxic[order].astype(float), prior, empty, k)
+        place, own, at = np.empty(len(term), np.uint16 if n <= 1 << 16 else np.int32), np.empty(len(term), np.uint8), start[:-1].copy()
+        for a, b in parts:  # examples in the order of their places, so that lists rise
+            size = row[order[a:b] + 1] - row[order[a:b]]
+            cell = _cells(row[order[a:b]], size)
+            p = np.repeat(np.arange(a, b), size)
+            by = np.argsort(term[cell], kind="stable")
+            t, cell = term[cell[by]], cell[by]
+            run = np.arange(len(t)) - np.searchsorted(t, t)
+            place[at[t] + run], own[at[t] + run] = p[by], tf[cell]
+            at += np.bincount(t, minlength=len(keys))
+        return Model(uuid.uuid4().hex, keys, weight, start, place, own, np.sqrt(norm)[order], words[order], ids[order], toxic[order].astype(float), prior, empty, k)
 
 
 class Index:
@@ -188,18 +203,23 @@ class Index:
     def __init__(self, model: Model):
         self.model, n = model, len(model.ids)
         size = np.diff(model.start)
-        self.value = (LOG[model.tf] * np.repeat(model.weight, size) / model.norm[model.place]).astype(np.float32)
-        self.length = length_of(model.words) / model.norm
+        self.value = LOG[model.tf].astype(np.float32)
+        for a in range(0, len(size), 100_000):  # by parts, which bounds the memory
+            lo, hi = model.start[a], model.start[min(a + 100_000, len(size))]
+            self.value[lo:hi] *= np.repeat(model.weight[a:a + 100_000], size[a:a + 100_000]) / model.norm[model.place[lo:hi]]
+        self.length = np.full(-(-n // BLOCK) * BLOCK, -3.0)  # places after the last example stay below all bounds
+        self.length[:n] = length_of(model.words) / model.norm
+        self.length = self.length.reshape(-1, BLOCK)
         order = np.argsort(-size, kind="stable")[:max(1, DENSE_BYTES // (4 * max(n, 1)))]
         frequent = np.sort(order[size[order] * FREQUENT > n]) if n > BLOCK else np.zeros(0, np.int64)
         self.slot = np.full(len(size), -1, np.int32)
         self.slot[frequent] = np.arange(len(frequent))
-        self.dense = np.zeros((-(-n // BLOCK) * BLOCK, len(frequent)), np.float32)
+        self.dense = np.zeros((-(-n // BLOCK), len(frequent), BLOCK), np.float32)  # blocks x frequent terms x examples
         for j, t in enumerate(frequent.tolist()):
-            a, b = model.start[t], model.start[t + 1]
-            self.dense[model.place[a:b], j] = self.value[a:b]
-        self.block_max = self.dense.reshape(len(self.dense) // BLOCK, BLOCK, len(frequent)).max(axis=1) if n else self.dense
-        self.frequent_norm = np.sqrt((self.dense[:n].astype(float) ** 2).sum(axis=1))
+            at = model.place[model.start[t]:model.start[t + 1]]
+            self.dense[at // BLOCK, j, at % BLOCK] = self.value[model.start[t]:model.start[t + 1]]
+        self.block_max = np.ascontiguousarray(self.dense.max(axis=2).T)  # terms x blocks
+        self.frequent_norm = np.sqrt((self.dense.astype(np.float32) ** 2).sum(axis=1, dtype=float))  # blocks x examples
 
     @staticmethod
     def opened(model: Model) -> Index:
@@ -209,63 +229,54 @@ class Index:
             got = Index._open[model.name] = Index(model)
         return got
 
-    def vector(self, counts: dict, n_words: int) -> tuple[np.ndarray, np.ndarray, float]:
+    def vector(self, term: np.ndarray, tf: np.ndarray, n_words: int) -> tuple[np.ndarray, np.ndarray, float]:
         """Terms, values and the length component of a unit vector."""
-        t = np.fromiter(counts, np.int64, len(counts))
-        tf = np.minimum(np.fromiter(counts.values(), np.int64, len(counts)), 255)
-        v = LOG[tf] * self.model.weight[t]
+        v = LOG[tf] * self.model.weight[term]
         length = float(length_of(np.array([n_words]))[0])
         norm = math.sqrt(float(v @ v) + length * length)
-        return t, v / norm, length / norm
+        return term, v / norm, length / norm
 
     def nearest(self, t: np.ndarray, v: np.ndarray, length: float, skip: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """Places of the ``k`` nearest examples that share a term, nearest
         first (ties: lower place), and their cosines."""
-        n, k = len(self.model.ids), self.model.k
+        k = self.model.k
         slot = self.slot[t]
         rare = slot < 0
-        first = self.model.start[t[rare]]
-        size = self.model.start[t[rare] + 1] - first
-        cell = _cells(first, size)
-        found = np.bincount(self.model.place[cell], weights=self.value[cell] * np.repeat(v[rare], size), minlength=n)
+        first, end = self.model.start[t[rare]], self.model.start[t[rare] + 1]
+        lists = [slice(a, b) for a, b in zip(first.tolist(), end.tolist(), strict=True)]
+        found = np.zeros(self.dense.shape[0] * BLOCK)
+        if lists:
+            place, value = (np.concatenate([x[y] for y in lists]) for x in (self.model.place, self.value))
+            found = np.bincount(place, weights=value * np.repeat(v[rare].astype(np.float32), end - first), minlength=len(found))
+        found = found.reshape(-1, BLOCK)
         own, weight = slot[~rare], v[~rare].astype(np.float32)
         base = found + length * self.length
+        if skip >= 0:
+            base[skip // BLOCK, skip % BLOCK] = -2
         # what the frequent terms can add: by block maxima, or by norms
-        more = np.repeat(self.block_max[:, own] @ weight, BLOCK)[:n]
-        more = np.minimum(more, math.sqrt(float(weight @ weight)) * self.frequent_norm) + 1e-6
-        touched = found > 0
-        near = touched | (more > 1e-6)
-        if touched.sum() > k:  # one of these may be ``skip``
-            least = np.partition(base[touched], -k - 1)[-k - 1]
-            near &= base + more >= least
-        left = np.flatnonzero(near)
-        left = left[left != skip]
-        upper = (base + more)[left]
-        place, cosine, some = left[:0], base[:0], 4 * BLOCK
-        if len(left) > 2 * some:  # those of the highest bounds first, which settles most of the others
-            ahead = np.argpartition(-upper, some)
-            place, cosine = self._looked_up(left[ahead[:some]], own, weight, base, touched)
-            left, upper = left[ahead[some:]], upper[ahead[some:]]
-            if len(place) >= k:
-                left = left[upper >= np.partition(cosine, -k)[-k]]
-        more_place, more_cosine = self._looked_up(left, own, weight, base, touched)
-        place, cosine = np.append(place, more_place), np.append(cosine, more_cosine)
-        if len(place) > k:
-            some = cosine >= np.partition(cosine, -k)[-k]
-            place, cosine = place[some], cosine[some]
+        more = np.minimum((weight @ self.block_max[own])[:, None], math.sqrt(float(weight @ weight)) * self.frequent_norm) + 1e-6
+        upper = (base + more).max(axis=1)
+        touched = base[found > 0]
+        least = np.partition(touched, -k)[-k] if len(touched) >= k else -1.0
+        left = np.flatnonzero(upper >= least)
+        left = left[np.argsort(-upper[left])]
+        place, cosine, step = left[:0], upper[:0], AHEAD
+        while len(left):  # blocks of the highest bounds first, which settles others
+            now, left = left[:step], left[step:]
+            lists = self.dense[now[:, None], own]
+            got = base[now] + weight @ lists
+            shares = (found[now] > 0) | (lists > 0).any(axis=1) if len(own) else found[now] > 0
+            shares &= got >= least
+            at = np.nonzero(shares)
+            place, cosine = np.append(place, now[at[0]] * BLOCK + at[1]), np.append(cosine, got[at])
+            if len(place) > k:
+                least = max(least, np.partition(cosine, -k)[-k])
+                place, cosine = place[cosine >= least], cosine[cosine >= least]
+                left = left[upper[left] >= least]
+            step *= 2
         best = np.lexsort((place, -cosine))[:k]
         return place[best], cosine[best]
 
-    def _looked_up(self, place: np.ndarray, own: np.ndarray, weight: np.ndarray, base: np.ndarray, touched: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Those of ``place`` that share a term, and their cosines, with their
-        entries in the lists of the frequent terms ``own``."""
-        lists = self.dense[np.ix_(place, own)]
-        cosine = base[place] + lists @ weight
-        shares = touched[place]
-        if not shares.all():
-            shares = shares | (lists > 0).any(axis=1)
-        return place[shares], cosine[shares]
-
     def votes(self, place: np.ndarray, cosine: np.ndarray) -> float:
         w = 1 / (1.05 - np.minimum(cosine, 1.0))
         return float((w @ self.model.toxic[place] + self.model.prior) / (w.sum() + 1))
@@ -323,11 +334,10 @@ def _document_frequencies(documents: DataFrame, keys: np.ndarray) -> np.ndarray:
     known = documents.sparkSession.sparkContext.broadcast(keys)
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        vocabulary, got = _Vocabulary(known.value), np.zeros(len(known.value) + 1, np.int64)
+        terms, got = Terms(known.value), np.zeros(len(known.value) + 1, np.int64)
         for batch in batches:
-            for text in batch.column(0).to_pylist():
-                t = vocabulary.count(text)[0]
-                got[np.fromiter(t, np.int64, len(t))] += 1
+            for a in range(0, batch.num_rows, PART):
+                got[:-1] += np.bincount(terms.count(batch.column(0).slice(a, PART).to_pylist())[1], minlength=len(got) - 1)
             got[-1] += batch.num_rows
         at = np.flatnonzero(got)
         for a in range(0, len(at), 100_000):
@@ -354,14 +364,13 @@ def _example_counts(rows: DataFrame) -> DataFrame:
     """The hashed terms of each training text, with frequencies, and its words."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        hashes = _Hashes()
+        terms = Terms()
         for batch in batches:
-            for a in range(0, batch.num_rows, 500):
-                part = batch.slice(a, 500)
-                got = [hashes.count(text) for text in part.column("text").to_pylist()]
-                term = pa.array([np.fromiter(c, np.int64, len(c)).tobytes() for c, _ in got], pa.binary())
-                tf = pa.array([np.minimum(np.fromiter(c.values(), np.int64, len(c)), 255).astype(np.uint8).tobytes() for c, _ in got], pa.binary())
-                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), pa.array([w for _, w in got], pa.int64()), term, tf], names=["doc_id", "toxic", "words", "term", "tf"])
+            for a in range(0, batch.num_rows, PART):
+                part = batch.slice(a, PART)
+                edge, term, tf, words = terms.count(part.column("text").to_pylist())
+                term, tf = (pa.array([x[i:j].tobytes() for i, j in zip(edge, edge[1:], strict=False)], pa.binary()) for x in (term, tf))
+                yield pa.RecordBatch.from_arrays([part.column("doc_id"), part.column("toxic"), pa.array(words), term, tf], names=["doc_id", "toxic", "words", "term", "tf"])
 
     return rows.select("doc_id", "text", "toxic").mapInArrow(run, "doc_id bigint, toxic int, words bigint, term binary, tf binary")
 
@@ -425,9 +434,8 @@ def _calibration(counts: DataFrame, known, n: int) -> Calibration:
             for doc_id, label, words, term, tf in zip(*(c.to_pylist() for c in batch.columns), strict=True):
                 if not tf:
                     continue
-                counts = dict(zip(np.searchsorted(model.keys, np.frombuffer(term, np.int64)).tolist(), np.frombuffer(tf, np.uint8).tolist(), strict=True))
-                skip = place[doc_id, words]
-                raw.append(index.votes(*index.nearest(*index.vector(counts, words), skip=skip)))
+                own = np.searchsorted(model.keys, np.frombuffer(term, np.int64)), np.frombuffer(tf, np.uint8)
+                raw.append(index.votes(*index.nearest(*index.vector(*own, words), skip=place[doc_id, words])))
                 toxic.append(label)
             yield pa.RecordBatch.from_arrays([pa.array(raw, pa.float64()), pa.array(toxic, pa.int32())], names=["raw", "toxic"])
 
@@ -437,10 +445,10 @@ def _calibration(counts: DataFrame, known, n: int) -> Calibration:
     return Calibration(*isotonic(got["raw"].to_numpy(), got["toxic"].to_numpy().astype(float)))
 
 
-def scored(index: Index, calibration: Calibration, counts: dict, n_words: int) -> tuple[float, list[dict]]:
+def scored(index: Index, calibration: Calibration, term: np.ndarray, tf: np.ndarray, n_words: int) -> tuple[float, list[dict]]:
     """Score and evidence of one text."""
     model = index.model
-    place, cosine = index.nearest(*index.vector(counts, n_words)) if counts else (np.zeros(0, np.int64), np.zeros(0))
+    place, cosine = index.nearest(*index.vector(term, tf, n_words)) if len(term) else (np.zeros(0, np.int64), np.zeros(0))
     if not len(place):
         return model.empty, []
     found = [{"doc_id": int(model.ids[p]), "similarity": float(c), "toxic": int(model.toxic[p])} for p, c in zip(place[:EVIDENCE], cosine, strict=False)]
@@ -455,9 +463,12 @@ def score(documents: DataFrame, fitted: Fitted) -> DataFrame:
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         index = Index.opened(known.value)
-        vocabulary = _Vocabulary(known.value.keys)
+        terms = Terms(known.value.keys)
         for batch in batches:
-            got = [scored(index, calibration, *vocabulary.count(t)) for t in batch.column("text").to_pylist()]
+            got = []
+            for a in range(0, batch.num_rows, PART):
+                edge, term, tf, words = terms.count(batch.column("text").slice(a, PART).to_pylist())
+                got += [scored(index, calibration, term[i:j], tf[i:j], w) for i, j, w in zip(edge, edge[1:], words.tolist(), strict=False)]
             s = np.array([x for x, _ in got], float)
             yield pa.RecordBatch.from_arrays(
                 [*batch.columns, pa.array(s), pa.array((s >= 0.5).astype(np.int32)), pa.array([e for _, e in got], _EVIDENCE)],
