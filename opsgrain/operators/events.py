@@ -14,6 +14,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from opsgrain.functions.tsql import clock_ms, clock_seconds_whole, ms_between, ms_to_seconds, seconds_between
+from opsgrain.operators import timeline
 from opsgrain.operators.temporal import (
     interval_lookup,
     mode_by,
@@ -31,6 +32,9 @@ EVENT_COLUMNS = [
 ]
 
 
+BIN_COLUMNS = ["PrimaryKey", "TimeStamp", "LocationPrimaryKey", "LocationBarcode", "ContainerBarcode", "LocationTaskType", "BinActionTime"]
+
+
 def location_map(bin_presented: DataFrame, open_bin: DataFrame, close_bin: DataFrame) -> DataFrame:
     """Most frequently seen barcode per location over three sources."""
     cols = ["LocationPrimaryKey", "LocationBarcode", "TimeStamp"]
@@ -46,7 +50,11 @@ def location_map(bin_presented: DataFrame, open_bin: DataFrame, close_bin: DataF
 def work_sessions(sign_in: DataFrame, sign_out: DataFrame, locmap: DataFrame) -> DataFrame:
     """Paired sign-in/sign-out sessions of all work types with the port
     barcode and millisecond-exact session length."""
-    s = pair_sessions(sign_in, sign_out, ["WorkType", "LocationPrimaryKey", "UserName"])
+    return with_port(pair_sessions(sign_in, sign_out, ["WorkType", "LocationPrimaryKey", "UserName"]), locmap)
+
+
+def with_port(s: DataFrame, locmap: DataFrame) -> DataFrame:
+    """E08 from paired sessions."""
     lm = locmap.select("LocationPrimaryKey", F.col("LocationBarcode").alias("Port"))
     ms = ms_between("SignInTime", "SignOutTime")
     return s.join(lm, on="LocationPrimaryKey", how="left").select(
@@ -150,7 +158,11 @@ def attribute_bins(bin_presented: DataFrame, sessions: DataFrame, pick: DataFram
 
 def bin_events(bin_presented: DataFrame, sessions: DataFrame, pick: DataFrame, close_bin: DataFrame) -> DataFrame:
     """One BIN_PRESENTATION event per presented bin, all task types."""
-    a = attribute_bins(bin_presented, sessions, pick, close_bin)
+    return bin_event_rows(attribute_bins(bin_presented, sessions, pick, close_bin))
+
+
+def bin_event_rows(a: DataFrame) -> DataFrame:
+    """E15 over attributed bins (``session_user``, ``pick_user``, ``CloseTime``)."""
     wait = clock_ms(F.col("BinActionTime"))
     close_ok = F.col("CloseTime").isNotNull() & (F.col("CloseTime") >= F.col("TimeStamp"))
     handle = F.when(close_ok, ms_between("TimeStamp", "CloseTime")).otherwise(wait)
@@ -229,7 +241,11 @@ def orders_with_pick_flag(order_rows: DataFrame, pick: DataFrame) -> DataFrame:
 def order_events(order_rows: DataFrame, pick: DataFrame) -> DataFrame:
     """One ORDER_COMPLETED event per completed order row; line and unit
     counts come from the order row only when no pick covers the order."""
-    o = orders_with_pick_flag(order_rows.filter(F.col("CompletedDate").isNotNull()), pick)
+    return order_event_rows(orders_with_pick_flag(order_rows.filter(F.col("CompletedDate").isNotNull()), pick))
+
+
+def order_event_rows(o: DataFrame) -> DataFrame:
+    """E17 over completed orders with ``has_pick``."""
     return _typed(o.select(*_event(
         WorkType=F.lit("Pick"),
         EventType=F.lit("ORDER_COMPLETED"),
@@ -252,14 +268,22 @@ def order_events(order_rows: DataFrame, pick: DataFrame) -> DataFrame:
 
 def work_events(t) -> DataFrame:
     """The v2 work-event stream over a table catalogue ``t``
-    (``opsgrain.sources.adapter.Tables`` or anything with the same attributes)."""
-    lm = location_map(t.bin_presented, t.open_bin, t.close_bin)
-    ws = work_sessions(t.sign_in, t.sign_out, lm)
+    (``opsgrain.sources.adapter.Tables`` or anything with the same attributes).
+
+    It reads typed events (``timeline.typed``): eight scans and twelve
+    partitionings in all, where the separate matchers above read their tables
+    38 times."""
+    def sessions() -> DataFrame:
+        return timeline.paired_sessions(timeline.typed(t, "SignIn", "SignOut"))
+
+    lm = timeline.barcode_of_location(timeline.typed(t, "BinPresented", "OpenBin", "CloseBin"))
+    bins = timeline.with_session_user(timeline.typed(t, "BinPresented").select(*BIN_COLUMNS), sessions())
+    bins = timeline.with_later_events(bins, timeline.typed(t, "Pick", "CloseBin"), timeline.typed(t, "BinPresented", "Pick", "CloseBin"))
     return (
-        session_events(ws)
-        .unionByName(bin_events(t.bin_presented, ws, t.pick, t.close_bin))
-        .unionByName(line_events(t.pick))
-        .unionByName(order_events(t.order_rows, t.pick))
+        session_events(with_port(sessions(), lm))
+        .unionByName(bin_event_rows(bins))
+        .unionByName(line_events(timeline.typed(t, "Pick")))
+        .unionByName(order_event_rows(timeline.orders_with_pick_flag(timeline.typed(t, "Order", "Pick"))))
     )
 
 
@@ -308,7 +332,11 @@ def bin_events_v1(bin_presented: DataFrame, sessions_v1: DataFrame, pick: DataFr
     else nearest pick by container; durations in whole seconds (boundaries)."""
     bp = bin_presented.filter(F.col("LocationTaskType").isin("Pick", "OnDemand"))
     sess = sessions_v1.withColumn("WorkType", F.lit("Pick"))
-    a = attribute_bins(bp, sess, pick, close_bin, any_task_type=True)
+    return bin_event_rows_v1(attribute_bins(bp, sess, pick, close_bin, any_task_type=True))
+
+
+def bin_event_rows_v1(a: DataFrame) -> DataFrame:
+    """E09 over attributed bins."""
     wait = clock_seconds_whole(F.col("BinActionTime"))
     close_ok = F.col("CloseTime").isNotNull() & (F.col("CloseTime") >= F.col("TimeStamp"))
     return _v1(
@@ -383,9 +411,12 @@ def order_events_v1(history: DataFrame, fulfillment_orders: DataFrame, pick: Dat
 
 def work_events_v1(t) -> DataFrame:
     """The v1 work-event stream = E09 ∪ E10 ∪ (E11 + E12)."""
-    sessions = pick_sessions_v1(t.sign_in, t.sign_out)
+    bins = timeline.typed(t, "BinPresented").select(*BIN_COLUMNS).where(F.col("LocationTaskType").isin("Pick", "OnDemand"))
+    sessions = timeline.paired_sessions(timeline.typed(t, "SignIn", "SignOut").where("WorkType = 'Pick'"))
+    bins = timeline.with_session_user(bins, sessions, any_task_type=True)
+    bins = timeline.with_later_events(bins, timeline.typed(t, "Pick", "CloseBin"), timeline.typed(t, "BinPresented", "Pick", "CloseBin"))
     return (
-        bin_events_v1(t.bin_presented, sessions, t.pick, t.close_bin)
+        bin_event_rows_v1(bins)
         .unionByName(pick_events_v1(t.pick))
         .unionByName(order_events_v1(t.status_history, t.fulfillment_orders, t.pick))
     )

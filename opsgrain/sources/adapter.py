@@ -18,6 +18,7 @@ from functools import cached_property
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from opsgrain.operators.timeline import COLUMNS
 from opsgrain.session import ensure_utc
 
 
@@ -80,103 +81,90 @@ class Tables:
     def _events_of(self, *types: str) -> DataFrame:
         return self.ev.filter(F.col("event_type").isin(*types))
 
+    @staticmethod
+    def _kinds() -> dict[str, tuple[str, Column, dict[str, Column]]]:
+        """Event type, condition and columns of each kind of typed events."""
+        eid, at, every = F.col("event_id"), F.col("ts"), F.lit(True)
+        to = F.floor(eid / 7).cast("bigint")
+        m6 = eid % 6
+        secs = F.lpad(_s(F.floor(F.col("value")).cast("bigint") % 60), 2, "0")
+        key = {"PrimaryKey": eid, "TimeStamp": at}
+        return {
+            "SignIn": ("signup", every, {
+                "WorkType": F.col("wt"), **key, "LocationPrimaryKey": F.col("loc"), "UserName": _ifnull_when(eid % 23 == 0, F.col("usr"))}),
+            "SignOut": ("error", every, {
+                "WorkType": F.col("wt"), **key, "LocationPrimaryKey": F.col("loc"), "UserName": F.col("usr")}),
+            "BinPresented": ("view", every, {
+                **key, "LocationPrimaryKey": _ifnull_when(eid % 17 == 0, F.col("loc")), "LocationBarcode": F.col("port"), "ContainerBarcode": F.col("bin"),
+                "LocationTaskType": F.when(eid % 19 == 0, F.lit(None).cast("string")).when(eid % 29 == 0, F.lit("")).otherwise(F.col("wt")),
+                "BinActionTime": F.when(eid % 11 == 0, F.lit("n/a")).otherwise(F.concat(F.lit("00:00:"), secs, F.lit(".500")))}),
+            "CloseBin": ("click", eid % 2 == 0, {
+                **key, "LocationPrimaryKey": _ifnull_when(eid % 17 == 1, F.col("loc")), "LocationBarcode": F.col("port"), "ContainerBarcode": F.col("bin")}),
+            "OpenBin": ("click", eid % 2 == 1, {
+                **key, "LocationPrimaryKey": F.col("loc"),
+                "LocationBarcode": F.when(eid % 5 == 0, F.concat(F.col("port"), F.lit("X"))).otherwise(F.col("port")), "ContainerBarcode": F.col("bin")}),
+            "Pick": ("purchase", every, {
+                **key, "PickPrimaryKey": eid, "PercentOfOrderLine": _ifnull_when(eid % 10 == 0, F.lit(100).cast("bigint")),
+                "TransportOrderPrimaryKey": to, "LocationBarcode": F.col("port"), "ContainerBarcode": F.col("bin"),
+                "OrderNumber": F.concat(F.lit("SO"), _s(to)),
+                "OrderCategory": F.when(m6 == 0, F.lit(None).cast("string")).when(m6 == 1, "NO VALUE").when(m6 == 2, "Unknown")
+                .when(m6 == 3, " Retail ").when(m6 == 4, "Web").otherwise("B2B"),
+                "PickCompleteDate": _ifnull_when(eid % 9 == 0, at + F.expr("INTERVAL 90 SECONDS")), "Sku": F.concat(F.lit("SKU"), _s(eid % 40)),
+                "ActualPickQuantity": F.floor(F.col("value")).cast("bigint") % 10, "RequiredPickQuantity": eid % 6,
+                "UserName": _ifnull_when(eid % 13 == 0, F.col("usr"))}),
+            "Order": ("signup", every, {
+                **key, "OrderPrimaryKey": to, "OrderNumber": F.concat(F.lit("SO"), _s(to)), "CompletedDate": _ifnull_when(eid % 8 == 0, at),
+                "UserName": F.col("usr"), "Port": F.col("port"), "OrderLineCount": eid % 4 + 1, "EachUnitCount": eid % 9}),
+        }
+
+    def _of_kind(self, kind: str) -> DataFrame:
+        event_type, condition, columns = self._kinds()[kind]
+        return self._events_of(event_type).filter(condition).select(*(c.alias(name) for name, c in columns.items()))
+
+    def typed(self, *kinds: str) -> DataFrame:
+        """``Kind`` and the typed columns of some kinds of events, by one scan
+        (an event can be of two kinds)."""
+        own = {k: v for k, v in self._kinds().items() if k in kinds}
+        rows = self._events_of(*sorted({v[0] for v in own.values()}))
+        of = F.array_compact(F.array(*(F.when((F.col("event_type") == event_type) & condition, k) for k, (event_type, condition, _) in own.items())))
+        rows = rows.withColumn("Kind", F.explode(of))
+
+        def column(name: str, kind: str) -> Column:
+            out = None
+            for k, (_, _, columns) in own.items():
+                if name in columns:
+                    out = (F if out is None else out).when(F.col("Kind") == k, columns[name])
+            return (F.lit(None) if out is None else out).cast(kind).alias(name)
+
+        return rows.select("Kind", *(column(name, kind) for name, kind in COLUMNS.items()))
+
     @cached_property
     def sign_in(self) -> DataFrame:
-        eid = F.col("event_id")
-        return self._events_of("signup").select(
-            F.col("wt").alias("WorkType"),
-            eid.alias("PrimaryKey"),
-            F.col("ts").alias("TimeStamp"),
-            F.col("loc").alias("LocationPrimaryKey"),
-            _ifnull_when(eid % 23 == 0, F.col("usr")).alias("UserName"),
-        )
+        return self._of_kind("SignIn")
 
     @cached_property
     def sign_out(self) -> DataFrame:
-        return self._events_of("error").select(
-            F.col("wt").alias("WorkType"),
-            F.col("event_id").alias("PrimaryKey"),
-            F.col("ts").alias("TimeStamp"),
-            F.col("loc").alias("LocationPrimaryKey"),
-            F.col("usr").alias("UserName"),
-        )
+        return self._of_kind("SignOut")
 
     @cached_property
     def bin_presented(self) -> DataFrame:
-        eid = F.col("event_id")
-        secs = F.lpad(_s(F.floor(F.col("value")).cast("bigint") % 60), 2, "0")
-        return self._events_of("view").select(
-            eid.alias("PrimaryKey"),
-            F.col("ts").alias("TimeStamp"),
-            _ifnull_when(eid % 17 == 0, F.col("loc")).alias("LocationPrimaryKey"),
-            F.col("port").alias("LocationBarcode"),
-            F.col("bin").alias("ContainerBarcode"),
-            F.when(eid % 19 == 0, F.lit(None).cast("string")).when(eid % 29 == 0, F.lit(""))
-            .otherwise(F.col("wt")).alias("LocationTaskType"),
-            F.when(eid % 11 == 0, F.lit("n/a"))
-            .otherwise(F.concat(F.lit("00:00:"), secs, F.lit(".500"))).alias("BinActionTime"),
-        )
+        return self._of_kind("BinPresented")
 
     @cached_property
     def close_bin(self) -> DataFrame:
-        eid = F.col("event_id")
-        return self._events_of("click").filter(eid % 2 == 0).select(
-            eid.alias("PrimaryKey"),
-            F.col("ts").alias("TimeStamp"),
-            _ifnull_when(eid % 17 == 1, F.col("loc")).alias("LocationPrimaryKey"),
-            F.col("port").alias("LocationBarcode"),
-            F.col("bin").alias("ContainerBarcode"),
-        )
+        return self._of_kind("CloseBin")
 
     @cached_property
     def open_bin(self) -> DataFrame:
-        eid = F.col("event_id")
-        return self._events_of("click").filter(eid % 2 == 1).select(
-            eid.alias("PrimaryKey"),
-            F.col("ts").alias("TimeStamp"),
-            F.col("loc").alias("LocationPrimaryKey"),
-            F.when(eid % 5 == 0, F.concat(F.col("port"), F.lit("X"))).otherwise(F.col("port")).alias("LocationBarcode"),
-            F.col("bin").alias("ContainerBarcode"),
-        )
+        return self._of_kind("OpenBin")
 
     @cached_property
     def pick(self) -> DataFrame:
-        eid = F.col("event_id")
-        to = F.floor(eid / 7).cast("bigint")
-        m6 = eid % 6
-        return self._events_of("purchase").select(
-            eid.alias("PrimaryKey"),
-            F.col("ts").alias("TimeStamp"),
-            eid.alias("PickPrimaryKey"),
-            _ifnull_when(eid % 10 == 0, F.lit(100).cast("bigint")).alias("PercentOfOrderLine"),
-            to.alias("TransportOrderPrimaryKey"),
-            F.col("port").alias("LocationBarcode"),
-            F.col("bin").alias("ContainerBarcode"),
-            F.concat(F.lit("SO"), _s(to)).alias("OrderNumber"),
-            F.when(m6 == 0, F.lit(None).cast("string")).when(m6 == 1, "NO VALUE").when(m6 == 2, "Unknown")
-            .when(m6 == 3, " Retail ").when(m6 == 4, "Web").otherwise("B2B").alias("OrderCategory"),
-            _ifnull_when(eid % 9 == 0, F.col("ts") + F.expr("INTERVAL 90 SECONDS")).alias("PickCompleteDate"),
-            F.concat(F.lit("SKU"), _s(eid % 40)).alias("Sku"),
-            (F.floor(F.col("value")).cast("bigint") % 10).alias("ActualPickQuantity"),
-            (eid % 6).alias("RequiredPickQuantity"),
-            _ifnull_when(eid % 13 == 0, F.col("usr")).alias("UserName"),
-        )
+        return self._of_kind("Pick")
 
     @cached_property
     def order_rows(self) -> DataFrame:
-        eid = F.col("event_id")
-        to = F.floor(eid / 7).cast("bigint")
-        return self._events_of("signup").select(
-            eid.alias("PrimaryKey"),
-            F.col("ts").alias("TimeStamp"),
-            to.alias("OrderPrimaryKey"),
-            F.concat(F.lit("SO"), _s(to)).alias("OrderNumber"),
-            _ifnull_when(eid % 8 == 0, F.col("ts")).alias("CompletedDate"),
-            F.col("usr").alias("UserName"),
-            F.col("port").alias("Port"),
-            (eid % 4 + 1).alias("OrderLineCount"),
-            (eid % 9).alias("EachUnitCount"),
-        )
+        return self._of_kind("Order")
 
     @cached_property
     def status_history(self) -> DataFrame:
