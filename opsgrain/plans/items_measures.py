@@ -355,8 +355,8 @@ def m37(t):
 
 # ---- measures under filters and grouping -------------------------------------------------------------
 
-def _sliced(key: str, sql: str, fn, by=(), where=None, **options):
-    register(key, sql)(lambda t: canon(M.measure(fn, model_of(t), by, where, **options)))
+def _sliced(key: str, sql: str, fn, by=(), where=None, both=(), treatas=(), **options):
+    register(key, sql)(lambda t: canon(M.measure(fn, model_of(t), by, where, both, treatas, **options)))
 
 
 _IN_OK = "ContainerPrimaryKey in (select PrimaryKey from cont_ok)"
@@ -410,6 +410,65 @@ for _metric in ("Units Picked", "Orders Putaway", "Total Units On Hand"):
 from ({_kpi_view_sql(_metric)}) v group by 1""",
             M.kpi_sum, ["Date"], metric=_metric, as_of=AS_OF_DATE)
 
+# averages and the empty-location count by dimension
+_EMPTY_BY = """select c.{0} as "containers_{0}", count(*) as n from containers c cross join template_compartments k
+where c.Status is distinct from 'Outside' and c.TemplatePrimaryKey in (select PrimaryKey from gtp_tmpl) and not exists (
+  select 1 from inv_np i where i.ContainerPrimaryKey = c.PrimaryKey and i.ContainerX = k.XPosition and i.ContainerY = k.YPosition) group by 1"""
+_sliced("M07_by_container_status", f"""select "containers_Status", n as "Total Locations Empty" from ({_EMPTY_BY.format("Status")}) e""", M.locations_empty, ["containers.Status"])
+_sliced("M07_by_position", """select k.XPosition as "template_compartments_XPosition", count(*) as "Total Locations Empty" from containers c cross join template_compartments k
+where c.Status is distinct from 'Outside' and c.TemplatePrimaryKey in (select PrimaryKey from gtp_tmpl) and not exists (
+  select 1 from inv_np i where i.ContainerPrimaryKey = c.PrimaryKey and i.ContainerX = k.XPosition and i.ContainerY = k.YPosition) group by 1""",
+        M.locations_empty, ["template_compartments.XPosition"])
+_sliced("M10_by_template", f"""select cast("containers_TemplatePrimaryKey" as bigint) as "containers_TemplatePrimaryKey", {pct_text_sql('n', 'd')} as "% Locations Empty" from (
+  select coalesce(e."containers_TemplatePrimaryKey", b.TemplatePrimaryKey) as "containers_TemplatePrimaryKey", coalesce(n, 0) as n, coalesce(d, 0) as d
+  from ({_EMPTY_BY.format("TemplatePrimaryKey")}) e full join (
+    select c.TemplatePrimaryKey, count(distinct (c.PrimaryKey, k.XPosition, k.YPosition)) as d from containers c join template_compartments k using (TemplatePrimaryKey)
+    where c.Snapshot_Id = (select max(Snapshot_Id) from containers) group by 1) b on e."containers_TemplatePrimaryKey" = b.TemplatePrimaryKey) r""",
+        M.pct_locations, ["containers.TemplatePrimaryKey"], empty=True)
+_sliced("M15_by_position", """select cast(k.XPosition as bigint) as "template_compartments_XPosition",
+  cast(coalesce((select sum(i.Quantity) from inventory i where i.ContainerX = k.XPosition and i.ContainerPrimaryKey in (select PrimaryKey from cont_all)
+     and i.ContainerY in (select YPosition from template_compartments y where y.XPosition = k.XPosition)), 0) as bigint)
+  / cast((select count(distinct PrimaryKey) from containers) * (select count(distinct YPosition) from template_compartments y where y.XPosition = k.XPosition) as bigint) as "Avg Units Stocked Per Location"
+from (select distinct XPosition from template_compartments) k""", M.avg_units_per_location, ["template_compartments.XPosition"])
+_sliced("M15_by_container_status", """select s.Status as "containers_Status", cast(coalesce((select sum(Quantity) from inventory i where i.ContainerPrimaryKey in (select PrimaryKey from containers c where c.Status is not distinct from s.Status)
+     and ContainerX in (select XPosition from template_compartments) and ContainerY in (select YPosition from template_compartments)), 0) as bigint)
+  / cast((select count(distinct PrimaryKey) from containers c where c.Status is not distinct from s.Status) * (select count(distinct XPosition) * count(distinct YPosition) from template_compartments) as bigint) as "Avg Units Stocked Per Location"
+from (select distinct Status from containers) s""", M.avg_units_per_location, ["containers.Status"])
+_sliced("M16_by_status", """select Status, cast((s * 200 + n) // (2 * n) as bigint) / 100 as "Avg Units Stocked per Bin(s)" from (
+  select Status, cast(sum(q) as bigint) as s, count(*) as n from (select Status, ContainerPrimaryKey, coalesce(sum(Quantity), 0) as q from inventory group by 1, 2) p group by 1) r""",
+        M.avg_units_per_bin, ["Status"])
+_UOM = "(select distinct PrimaryKey, ProductPrimaryKey from units_of_measure)"
+_sliced("M17_by_status", f"""select Status, cast(sum(Quantity) as bigint) / cast((select count(distinct PrimaryKey) from products) as bigint) as "Avg Units Stocked per SKU"
+from inventory i join {_UOM} u on u.PrimaryKey = i.UnitOfMeasurePrimaryKey where u.ProductPrimaryKey in (select PrimaryKey from products) group by 1""", M.avg_units_per_sku, ["Status"])
+_sliced("M17_by_sku", f"""select p.Sku as "products_Sku", cast(coalesce(sum(q), 0) as bigint) / count(distinct p.PrimaryKey) as "Avg Units Stocked per SKU"
+from products p left join (select u.ProductPrimaryKey, sum(Quantity) as q from inventory i join {_UOM} u on u.PrimaryKey = i.UnitOfMeasurePrimaryKey group by 1) s on s.ProductPrimaryKey = p.PrimaryKey group by 1""",
+        M.avg_units_per_sku, ["products.Sku"])
+_sliced("M18_by_template", """select cast(t as bigint) as "containers_TemplatePrimaryKey", cast(count(*) as bigint) / cast((select count(*) from products) as bigint) as "Avg Locations Stocked per SKU"
+from inventory i left join (select distinct PrimaryKey, TemplatePrimaryKey as t from containers) c on c.PrimaryKey = i.ContainerPrimaryKey
+where i.UnitOfMeasurePrimaryKey in (select PrimaryKey from units_of_measure where ProductPrimaryKey in (select PrimaryKey from products)) group by 1""",
+        M.avg_locations_per_sku, ["containers.TemplatePrimaryKey"])
+_sliced("M93_by_task_group", """select cast(t.TaskGroupPrimaryKey as bigint) as "inventory_tasks_TaskGroupPrimaryKey", count(distinct t.TaskGroupPrimaryKey) as "DistinctTaskGroupCount (Orders)",
+  count(*) as "CycleCountOpenTasks (Lines)" from tasks_cyclecount cc join inventory_tasks t on t.PrimaryKey = cc.InventoryTaskPrimaryKey
+  and cast(t.LastUpdatedDate as date) = cast(cc.LastUpdatedDate as date) where not t.IsClosed group by 1""", M.older_cycle_count_open, ["inventory_tasks.TaskGroupPrimaryKey"])
+
+# filters over added and two-way relationships
+_PICK_ORDERS = M.Edge("pick", "OrderNumber", "fulfillment_orders", "ExternalOrderNumber")
+_COUNTED = M.Edge("tasks_cyclecount", "ContainerPrimaryKey", "containers", "PrimaryKey")
+_LINE_DATES = M.Edge("fulfillment_lines", "to_date(LastUpdatedDate)", "calendar", "Date")
+_sliced("M40_of_web_picks", """select count(*) as "FulfillmentOrdersCount (Orders)" from fulfillment_orders o
+where lower(Status) in (select lower(Status) from fulfillment_orders where PrimaryKey in (select ItemKey from open_rows where MetricName = 'Orders Pick'))
+and exists (select 1 from pick p where p.OrderNumber = o.ExternalOrderNumber and p.OrderCategory = 'Web')""", M.open_pick_orders, where={"pick": "OrderCategory = 'Web'"}, treatas=[_PICK_ORDERS])
+_sliced("M24_of_active_orders", """select count(*) as "Pick" from pick where OrderNumber in (select ExternalOrderNumber from fulfillment_orders where Status = 'Active')""",
+        M.pick_count, where={"fulfillment_orders": "Status = 'Active'"}, treatas=[_PICK_ORDERS])
+_sliced("M44_of_counted_containers", """select count(distinct TaskGroupPrimaryKey) as "DistinctTaskGroupCount (Orders)" from inventory_tasks where not IsClosed and PrimaryKey in (
+  select InventoryTaskPrimaryKey from tasks_cyclecount where ContainerPrimaryKey in (select PrimaryKey from containers where TemplatePrimaryKey = 2))""",
+        M.distinct_task_groups, where={"containers": "TemplatePrimaryKey = 2"}, treatas=[_COUNTED], both=[("tasks_cyclecount", "inventory_tasks")])
+_sliced("M46_of_counted_groups", """select cast(coalesce(sum(Quantity), 0) as bigint) as Quantity from inventory where ContainerPrimaryKey in (select PrimaryKey from containers where PrimaryKey in (
+  select ContainerPrimaryKey from tasks_cyclecount where InventoryTaskPrimaryKey in (select PrimaryKey from inventory_tasks where TaskGroupPrimaryKey % 7 = 1)))""",
+        M.quantity, where={"inventory_tasks": "TaskGroupPrimaryKey % 7 = 1"}, treatas=[_COUNTED])
+_sliced("M38_of_march", """select count(*) as "FulfillmentOrderLinesCount (Lines)" from fulfillment_lines
+where lower(Status) in ('active', 'allocated', 'allocating', 'new', 'pending') and month(LastUpdatedDate) = 3""", M.open_pick_lines, where={"calendar": "Month = 3"}, treatas=[_LINE_DATES])
+
 # the selected-metric measures for every choice
 _SUM_OF = {"Orders": "sum(OrdersCompleted)", "Lines": "sum(LinesCompleted)", "Bins": "sum(BinPresentationsCompleted)",
            "All": "sum(OrdersCompleted) + sum(LinesCompleted) + sum(BinPresentationsCompleted)"}

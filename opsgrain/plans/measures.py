@@ -21,6 +21,9 @@ from pyspark.sql import functions as F
 
 from opsgrain.functions.frames import beside, broadcast_if_small
 from opsgrain.plans import pages as P
+from opsgrain.plans.relations import Edge, Slice, keys_of, reached, within
+from opsgrain.plans.relations import pair as _pair
+from opsgrain.plans.relations import slices as _slices
 
 # ---- DAX filter helpers ----------------------------------------------------------------
 
@@ -40,11 +43,6 @@ def _keys(df: DataFrame, col: str, alias: str) -> DataFrame:
     return df.select(F.col(col).alias(alias)).dropna().dropDuplicates()
 
 
-def _slices(m, df: DataFrame) -> list[str]:
-    """The model's grouping columns that ``df`` has."""
-    return [c for c in m.by if c in df.columns]
-
-
 def _agg(m, df: DataFrame, *aggs: Column) -> DataFrame:
     """One row, or one per slice where ``df`` has the grouping columns."""
     keys = _slices(m, df)
@@ -94,15 +92,6 @@ def total_bins(m) -> DataFrame:
     return _scalar(m, c, F.count_distinct("PrimaryKey").cast("bigint"), "Total Bin(s)")
 
 
-def _pair(m, a: DataFrame, b: DataFrame) -> DataFrame:
-    """Two results side by side: slice by slice (a missing slice counts 0), or
-    a one-row result beside every row of the other."""
-    keys = [c for c in _slices(m, a) if c in b.columns]
-    if keys:
-        return a.join(b, keys, "full").na.fill(0)
-    return beside(b, a) if _slices(m, b) else beside(a, b)
-
-
 def pct_bins(m, empty: bool = False) -> DataFrame:
     """M04 / M05."""
     n = total_bins_with_inventory(m, empty).withColumnRenamed(
@@ -128,18 +117,29 @@ def locations_empty(m) -> DataFrame:
     Σ over eligible container rows of the compartment-row multiplicity of each
     occupied (x, y) of that container."""
     gtp = _keys(m.container_templates.filter(F.col("IsGoodsToPerson") == F.lit(True)), "PrimaryKey", "TemplatePrimaryKey")
-    cont = m.containers.filter(not_outside()).join(gtp, "TemplatePrimaryKey", "left_semi") \
-        .select(F.col("PrimaryKey").alias("ContainerPrimaryKey"))
-    comp = m.template_compartments
-    mult = comp.groupBy(F.col("XPosition").alias("ContainerX"), F.col("YPosition").alias("ContainerY")) \
-        .agg(F.count(F.lit(1)).alias("_mult"))
-    occ = m.inventory.filter(not_pending()).select("ContainerPrimaryKey", "ContainerX", "ContainerY").dropDuplicates() \
-        .join(mult, ["ContainerX", "ContainerY"]).groupBy("ContainerPrimaryKey").agg(F.sum("_mult").alias("_w"))
-    occupied = cont.join(occ, "ContainerPrimaryKey").agg(F.coalesce(F.sum("_w"), F.lit(0)).alias("_occ"))
-    n_cont = cont.agg(F.count(F.lit(1)).alias("_nc"))
-    n_comp = comp.agg(F.count(F.lit(1)).alias("_nk"))
-    return _pair(m, _pair(m, n_cont, n_comp), occupied).select(
-        (F.col("_nc") * F.col("_nk") - F.col("_occ")).cast("bigint").alias("Total Locations Empty"))
+    cont = m.containers.filter(not_outside()).join(gtp, "TemplatePrimaryKey", "left_semi")
+    cont = cont.select(F.col("PrimaryKey").alias("ContainerPrimaryKey"), *_own(m, cont, m.containers))
+    comp = m.template_compartments.select(F.col("XPosition").alias("ContainerX"), F.col("YPosition").alias("ContainerY"), *_own(m, m.template_compartments))
+    stock = m.inventory.filter(not_pending())
+    stock = stock.select("ContainerPrimaryKey", "ContainerX", "ContainerY", *(c for c in _slices(m, stock) if c not in (*cont.columns, *comp.columns)))
+    reached(m, cont, comp, stock)
+    mult = _agg_by(comp, ["ContainerX", "ContainerY", *_slices(m, comp)], F.count(F.lit(1)).alias("_mult"))
+    occ = stock.dropDuplicates().join(mult, ["ContainerX", "ContainerY"])
+    occ = _agg_by(occ, ["ContainerPrimaryKey", *_slices(m, occ)], F.sum("_mult").alias("_w"))
+    occupied = _agg(m, cont.join(occ, "ContainerPrimaryKey"), F.coalesce(F.sum("_w"), F.lit(0)).alias("_occ"))
+    n_cont = _agg(m, cont, F.count(F.lit(1)).alias("_nc"))
+    n_comp = _agg(m, comp, F.count(F.lit(1)).alias("_nk"))
+    every = _pair(m, _pair(m, n_cont, n_comp), occupied)
+    return _value(m, every, (F.col("_nc") * F.col("_nk") - F.col("_occ")).cast("bigint").alias("Total Locations Empty"))
+
+
+def _own(m, df: DataFrame, table: DataFrame | None = None) -> list[str]:
+    """Grouping columns of a table under their own names."""
+    return _slices(m, table if table is not None else df)
+
+
+def _agg_by(df: DataFrame, keys: Sequence[str], *aggs: Column) -> DataFrame:
+    return df.groupBy(*keys).agg(*aggs)
 
 
 def total_locations(m) -> DataFrame:
@@ -192,47 +192,48 @@ def avg_units_per_location(m) -> DataFrame:
     """Quantity of inventory whose container, x and y are known values,
     over (#containers × #x values × #y values).  The denominator is a product
     of three distinct counts; no cross product is built."""
-    cont = all_container_keys(m)
-    xs = _keys(m.template_compartments, "XPosition", "ContainerX")
-    ys = _keys(m.template_compartments, "YPosition", "ContainerY")
-    inv = m.inventory.join(cont, "ContainerPrimaryKey", "left_semi").join(xs, "ContainerX", "left_semi") \
-        .join(ys, "ContainerY", "left_semi")
-    total = inv.agg(F.coalesce(F.sum("Quantity"), F.lit(0)).alias("_t"))
-    n = _pair(m, _pair(m, cont.agg(F.count(F.lit(1)).alias("_c")), xs.agg(F.count(F.lit(1)).alias("_x"))),
-              ys.agg(F.count(F.lit(1)).alias("_y")))
+    cont = keys_of(m, m.containers, "PrimaryKey", "ContainerPrimaryKey")
+    xs = keys_of(m, m.template_compartments, "XPosition", "ContainerX")
+    ys = keys_of(m, m.template_compartments, "YPosition", "ContainerY")
+    reached(m, m.inventory, cont, xs)
+    inv = within(m, within(m, within(m, m.inventory, cont, "ContainerPrimaryKey"), xs, "ContainerX"), ys, "ContainerY")
+    total = _agg(m, inv, F.coalesce(F.sum("Quantity"), F.lit(0)).alias("_t"))
+    n = [_agg(m, d, F.count(F.lit(1)).alias(name)) for d, name in ((cont, "_c"), (xs, "_x"), (ys, "_y"))]
+    every = _pair(m, _pair(m, _pair(m, total, n[0]), n[1]), n[2])
     d = F.col("_c") * F.col("_x") * F.col("_y")
-    return _pair(m, total, n).select(F.when(d == 0, F.lit(0.0)).otherwise(F.col("_t") / d).alias("Avg Units Stocked Per Location"))
+    return _value(m, every, F.when(d == 0, F.lit(0.0)).otherwise(F.col("_t") / d).alias("Avg Units Stocked Per Location"))
 
 
 def avg_units_per_bin(m) -> DataFrame:
-    """Average over inventory containers of their summed quantity, rounded to 2."""
-    per = m.inventory.groupBy("ContainerPrimaryKey").agg(F.coalesce(F.sum("Quantity"), F.lit(0)).alias("_q"))
-    tot = per.agg(F.sum("_q").alias("_s"), F.count(F.lit(1)).alias("_n"))
+    """Average over inventory containers of their summed quantity, rounded
+    to 2; in a slice, over the containers with inventory there."""
+    reached(m, m.inventory)
+    per = _agg_by(m.inventory, ["ContainerPrimaryKey", *(c for c in _slices(m, m.inventory) if c != "ContainerPrimaryKey")], F.coalesce(F.sum("Quantity"), F.lit(0)).alias("_q"))
+    tot = _agg(m, per, F.sum("_q").alias("_s"), F.count(F.lit(1)).alias("_n"))
     cents = F.expr("(_s * 200 + _n) div (2 * _n)")
-    return tot.select(F.when(F.col("_n") == 0, F.lit(0.0)).otherwise(cents / F.lit(100)).alias("Avg Units Stocked per Bin(s)"))
+    return _value(m, tot, F.when(F.col("_n") == 0, F.lit(0.0)).otherwise(cents / F.lit(100)).alias("Avg Units Stocked per Bin(s)"))
 
 
 def avg_units_per_sku(m) -> DataFrame:
     """Average over products of the quantity of inventory in any of the
     product's units of measure (0 for products without stock)."""
     uom = m.units_of_measure.select(F.col("PrimaryKey").alias("UnitOfMeasurePrimaryKey"), "ProductPrimaryKey").dropDuplicates()
-    per = m.inventory.join(uom, "UnitOfMeasurePrimaryKey").groupBy("ProductPrimaryKey").agg(F.sum("Quantity").alias("_q"))
-    prods = m.products.select(F.col("PrimaryKey").alias("ProductPrimaryKey")).dropDuplicates()
-    j = prods.join(per, "ProductPrimaryKey", "left")
-    tot = j.agg(F.sum(F.coalesce(F.col("_q"), F.lit(0))).alias("_s"), F.count(F.lit(1)).alias("_n"))
-    return tot.select(F.when(F.col("_n") == 0, F.lit(0.0)).otherwise(F.col("_s") / F.col("_n")).alias("Avg Units Stocked per SKU"))
+    prods = keys_of(m, m.products, "PrimaryKey", "ProductPrimaryKey")
+    reached(m, m.inventory, prods)
+    held = within(m, m.inventory.join(uom, "UnitOfMeasurePrimaryKey"), prods, "ProductPrimaryKey")
+    every = _pair(m, _agg(m, held, F.coalesce(F.sum("Quantity"), F.lit(0)).alias("_s")), _agg(m, prods, F.count(F.lit(1)).alias("_n")))
+    return _value(m, every, F.when(F.col("_n") == 0, F.lit(0.0)).otherwise(F.col("_s") / F.col("_n")).alias("Avg Units Stocked per SKU"))
 
 
 def avg_locations_per_sku(m) -> DataFrame:
     """Inventory rows whose unit of measure belongs to a known product,
     over the number of products."""
-    prods = _keys(m.products, "PrimaryKey", "ProductPrimaryKey")
-    uom = m.units_of_measure.join(prods, "ProductPrimaryKey", "left_semi")
+    prods = keys_of(m, m.products, "PrimaryKey", "ProductPrimaryKey")
+    reached(m, m.inventory, prods)
+    uom = m.units_of_measure.join(prods.select("ProductPrimaryKey").distinct(), "ProductPrimaryKey", "left_semi")
     inv = m.inventory.join(_keys(uom, "PrimaryKey", "UnitOfMeasurePrimaryKey"), "UnitOfMeasurePrimaryKey", "left_semi")
-    a = inv.agg(F.count(F.lit(1)).alias("_r"))
-    b = m.products.agg(F.count(F.lit(1)).alias("_p"))
-    return _pair(m, a, b).select(F.when(F.col("_p") == 0, F.lit(0.0)).otherwise(F.col("_r") / F.col("_p"))
-                              .alias("Avg Locations Stocked per SKU"))
+    every = _pair(m, _agg(m, inv, F.count(F.lit(1)).alias("_r")), _agg(m, m.products, F.count(F.lit(1)).alias("_p")))
+    return _value(m, every, F.when(F.col("_p") == 0, F.lit(0.0)).otherwise(F.col("_r") / F.col("_p")).alias("Avg Locations Stocked per SKU"))
 
 
 def quantity(m) -> DataFrame:
@@ -611,53 +612,11 @@ def older_port_sort(c: Column) -> Column:
     return F.substring(t, 2, 1 << 20).try_cast("double")
 
 
-# The model's relationships, as fact: (key in the fact, dimension, key there).
-RELATIONSHIPS = {
-    "inventory": [("ContainerPrimaryKey", "containers", "PrimaryKey"), ("UnitOfMeasurePrimaryKey", "units_of_measure", "PrimaryKey")],
-    "containers": [("TemplatePrimaryKey", "container_templates", "PrimaryKey")],
-    "units_of_measure": [("ProductPrimaryKey", "products", "PrimaryKey")],
-    "compartment_barcodes": [("ContainerPrimaryKey", "containers", "PrimaryKey")],
-    "putaway_lines": [("PutAwayContainerPrimaryKey", "putaway_containers", "PrimaryKey")],
-    "fulfillment_lines": [("FulfillmentOrderPrimaryKey", "fulfillment_orders", "PrimaryKey")],
-    "tasks_cyclecount": [("InventoryTaskPrimaryKey", "inventory_tasks", "PrimaryKey")],
-}
-
-
-class Slice:
-    """A model under a caller's filters and grouping.
-
-    ``where`` maps a table to a condition; a filtered dimension is semi-joined
-    into the facts it relates to.  ``by`` names columns: a measure gives a row
-    per value where its fact has them, and its plain total where not."""
-
-    def __init__(self, model, by: Sequence[str] = (), where: dict[str, Column | str] | None = None):
-        self._model, self.by, self._where = model, list(by), dict(where or {})
-        self._tables: dict[str, DataFrame] = {}
-
-    def all(self):
-        """The model without filters and grouping."""
-        return self._model
-
-    def _filtered(self, name: str) -> bool:
-        return name in self._where or any(self._filtered(dim) for _, dim, _ in RELATIONSHIPS.get(name, ()))
-
-    def __getattr__(self, name):
-        if name in self._tables:
-            return self._tables[name]
-        df = getattr(self._model, name)
-        if isinstance(df, DataFrame):
-            if name in self._where:
-                df = df.filter(self._where[name])
-            for fk, dim, pk in RELATIONSHIPS.get(name, ()):
-                if self._filtered(dim):
-                    df = df.join(getattr(self, dim).select(F.col(pk).alias(fk)).distinct(), fk, "left_semi")
-            self._tables[name] = df
-        return df
-
-
-def measure(fn: Callable, m, by: Sequence[str] = (), where: dict[str, Column | str] | None = None, **options) -> DataFrame:
-    """Evaluate a measure function under filters, per value of ``by``."""
-    return fn(Slice(m, by, where), **options)
+def measure(fn: Callable, m, by: Sequence[str] = (), where: dict[str, Column | str] | None = None, both: Sequence[tuple[str, str]] = (),
+            treatas: Sequence[Edge] = (), **options) -> DataFrame:
+    """Evaluate a measure function under filters, per value of ``by`` (see
+    ``relations.Slice``)."""
+    return fn(Slice(m, by, where, both, treatas), **options)
 
 
 class Model:
@@ -684,6 +643,12 @@ class Model:
     def __getattr__(self, name):
         return getattr(self._t, name)
 
+    @property
+    def calendar(self) -> DataFrame:
+        """The dates of the order lines, which a slicer filters."""
+        d = self._t.fulfillment_lines.select(F.to_date("LastUpdatedDate").alias("Date")).dropna().distinct()
+        return d.select("Date", F.year("Date").alias("Year"), F.month("Date").alias("Month"))
+
     @property
     def compartment_barcodes(self) -> DataFrame:
         """One barcode per (container, compartment position) of the latest
@@ -712,12 +677,16 @@ def older_cycle_count_open(m) -> DataFrame:
     """The older model's DistinctTaskGroupCount and CycleCountOpenTasks:
     cycle-count rows joined to open tasks on the task key and the same
     LastUpdatedDate day (the model's cross join + filter is this equi-join)."""
-    t = m.inventory_tasks.filter(F.col("IsClosed") == F.lit(False)).select(
-        F.col("PrimaryKey").alias("InventoryTaskPrimaryKey"), "TaskGroupPrimaryKey", F.to_date("LastUpdatedDate").alias("_d"))
-    cc = m.tasks_cyclecount.select("InventoryTaskPrimaryKey", F.to_date("LastUpdatedDate").alias("_d"))
-    j = cc.join(t, ["InventoryTaskPrimaryKey", "_d"])
-    return j.agg(F.count_distinct("TaskGroupPrimaryKey").alias("DistinctTaskGroupCount (Orders)"),
-                 F.count(F.lit(1)).alias("CycleCountOpenTasks (Lines)"))
+    tasks = m.inventory_tasks.filter(F.col("IsClosed") == F.lit(False))
+    reached(m, tasks, m.tasks_cyclecount)
+    key = [F.to_date("LastUpdatedDate").alias("_d")]
+    t = tasks.select(F.col("PrimaryKey").alias("InventoryTaskPrimaryKey"), F.col("TaskGroupPrimaryKey").alias("_group"), *key, *(c for c in _slices(m, tasks) if c != "InventoryTaskPrimaryKey"))
+    cc = m.tasks_cyclecount.select("InventoryTaskPrimaryKey", *key, *(c for c in _slices(m, m.tasks_cyclecount) if c != "InventoryTaskPrimaryKey"))
+    both = [c for c in m.by if c in t.columns and c in cc.columns and c != "InventoryTaskPrimaryKey"]  # a slice's counts meet that slice's tasks
+    same = [cc[c].eqNullSafe(t[c]) for c in both]
+    j = cc.join(t, [*(cc[c] == t[c] for c in ("InventoryTaskPrimaryKey", "_d")), *same]).drop(t["InventoryTaskPrimaryKey"], t["_d"], *(t[c] for c in both))
+    return _agg(m, j, F.count_distinct("_group").alias("DistinctTaskGroupCount (Orders)"),
+                F.count(F.lit(1)).alias("CycleCountOpenTasks (Lines)"))
 
 
 def test_customer_order_lines(m) -> DataFrame:
