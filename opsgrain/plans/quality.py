@@ -693,21 +693,28 @@ def matrix_completeness(matrix: DataFrame) -> DataFrame:
                   + F.when(F.col("mc") != 18, 1).otherwise(0), F.when(fail, "FAIL").otherwise("PASS"), details)
 
 
+#: What can be wrong with a consolidation row; only a missing capacity is no failure.
+DEFECTS = ("label", "capacity", "negative", "denominator", "scale")
+
+
+def with_defects(report: DataFrame) -> DataFrame:
+    """Consolidation rows with ``units`` and ``wrong``, the list of their defects."""
+    units, places, spare = (F.col(c).try_cast("decimal(19,4)") for c in ("Quantity", "TotalCompartments", "TotalUnrealizedCapacity"))
+    full = units + spare
+    unnamed = F.exists(F.array("Sku", "CompartmentSizeName"), lambda x: x.isNull() | (x == ""))
+    found = {
+        "label": unnamed | F.col("Quantity").isNull(), "capacity": F.col("TotalCompartments").isNull() | F.col("TotalUnrealizedCapacity").isNull(),
+        "negative": F.least(units, places, spare) < 0, "denominator": full <= 0, "scale": (full != 0) & ~(spare / full).between(0, 1),
+    }
+    return report.withColumn("units", units).withColumn("wrong", F.array_compact(F.array(*(F.when(found[d], d) for d in DEFECTS))))
+
+
 def consolidation_counts(report: DataFrame, source: DataFrame | None) -> DataFrame:
-    """One row of consolidation row-quality counts, plus the source's rows and quantity."""
-    q, tc, tu = (F.col(c).try_cast("decimal(19,4)") for c in ("Quantity", "TotalCompartments", "TotalUnrealizedCapacity"))
-    den = tu + q
-    r = report.agg(
-        F.count(F.lit(1)).alias("n"),
-        F.sum(F.coalesce(q, F.lit(0))).cast("decimal(19,4)").alias("rq"),
-        _cnt(F.nullif(F.col("Sku"), F.lit("")).isNull() | F.nullif(F.col("CompartmentSizeName"), F.lit("")).isNull()
-             | F.col("Quantity").isNull()).alias("miss"),
-        _cnt(F.col("TotalCompartments").isNull() | F.col("TotalUnrealizedCapacity").isNull()).alias("opt"),
-        _cnt((q < 0) | (tc < 0) | (tu < 0)).alias("neg"),
-        _cnt(F.col("Quantity").isNotNull() & F.col("TotalUnrealizedCapacity").isNotNull() & (den <= 0)).alias("bden"),
-        _cnt(F.col("Quantity").isNotNull() & F.col("TotalUnrealizedCapacity").isNotNull() & (den != 0)
-             & ~(tu / den).between(0, 1)).alias("bfrag"),
-        F.count_distinct("Sku").alias("skus"), F.count_distinct("CompartmentSizeName").alias("sizes"))
+    """One row: consolidation rows and units, how many rows have each defect,
+    and the source's rows and units."""
+    r = with_defects(report).agg(
+        F.count(F.lit(1)).alias("n"), F.sum(F.coalesce("units", F.lit(0))).cast("decimal(19,4)").alias("rq"),
+        *(F.count_if(F.array_contains("wrong", d)).alias(d) for d in DEFECTS), F.count_distinct("Sku").alias("skus"), F.count_distinct("CompartmentSizeName").alias("sizes"))
     if source is not None:
         src = source.agg(F.count(F.lit(1)).alias("sr"),
                          F.sum(F.coalesce(F.col("Quantity").try_cast("decimal(19,4)"), F.lit(0))).cast("decimal(19,4)").alias("sq"))
@@ -716,25 +723,24 @@ def consolidation_counts(report: DataFrame, source: DataFrame | None) -> DataFra
     return _one_row_join(r, src)
 
 
+def _failing() -> Column:
+    return F.col("label") + F.col("negative") + F.col("denominator") + F.col("scale") + F.when((F.col("sr") > 0) & (F.col("n") == 0), 1).otherwise(0)
+
+
 def _consolidation_status() -> Column:
-    sr, n = F.col("sr"), F.col("n")
-    return (F.when((F.col("miss") > 0) | (F.col("neg") > 0) | (F.col("bden") > 0) | (F.col("bfrag") > 0), "FAIL")
-            .when((sr > 0) & (n == 0), "FAIL").when(sr.isNull(), "WARN").when(n == 0, "WARN")
-            .when(F.col("opt") > 0, "WARN").otherwise("PASS"))
+    return F.when(_failing() > 0, "FAIL").when(F.col("sr").isNull() | (F.col("n") == 0) | (F.col("capacity") > 0), "WARN").otherwise("PASS")
 
 
 def _row_quality_text() -> Column:
-    return F.concat(
-        F.lit(", without label: "), _s(F.col("miss")), F.lit(", without capacity: "), _s(F.col("opt")),
-        F.lit(", negative: "), _s(F.col("neg")), F.lit(", no denominator: "), _s(F.col("bden")),
-        F.lit(", fragmentation off scale: "), _s(F.col("bfrag")))
+    said = {"label": "without label", "capacity": "without capacity", "negative": "negative", "denominator": "no denominator", "scale": "fragmentation off scale"}
+    return F.concat(*(x for d in DEFECTS for x in (F.lit(f", {said[d]}: "), _s(F.col(d)))))
 
 
 def consolidation_quality(report: DataFrame, source: DataFrame | None) -> DataFrame:
     """Q25: consolidation rows are displayable, non-negative, with fragmentation in 0..1."""
     j = consolidation_counts(report, source)
     sr, n = F.col("sr"), F.col("n")
-    issues = F.col("miss") + F.col("neg") + F.col("bden") + F.col("bfrag") + F.when((sr > 0) & (n == 0), 1).otherwise(0)
+    issues = _failing()
     details = F.concat(
         F.lit("in source: "), F.coalesce(_s(sr), F.lit("unavailable")), F.lit(", in report: "), _s(n),
         F.lit(", units in source: "), F.coalesce(_s(F.col("sq")), F.lit("unavailable")), F.lit(", SKUs: "),
