@@ -52,18 +52,20 @@ def barcode_of_location(seen: DataFrame) -> DataFrame:
     return n.groupBy("LocationPrimaryKey").agg(F.min_by("LocationBarcode", rank).alias("LocationBarcode"))
 
 
-def paired_sessions(signs: DataFrame) -> DataFrame:
+def paired_sessions(signs: DataFrame, *more: str) -> DataFrame:
     """The n-th sign-in with the n-th sign-out of a (work type, location,
     user, day), kept if later.  Both sides are numbered in one window, and the
-    grouping by number needs no further partitioning."""
+    grouping by number needs no further partitioning.  ``more`` columns of both
+    sides come along, with ``SignIn`` and ``SignOut`` before their names."""
     keys = ["WorkType", "LocationPrimaryKey", "UserName", "SessionDate"]
     rows = signs.where("TimeStamp is not null").withColumn("SessionDate", F.to_date("TimeStamp")).dropna(subset=keys)
     so_far = Window.partitionBy(*keys).orderBy("TimeStamp", "PrimaryKey", "Kind").rowsBetween(Window.unboundedPreceding, Window.currentRow)
     number = F.when(_is("SignIn"), F.count(F.when(_is("SignIn"), 1)).over(so_far)).otherwise(F.count(F.when(_is("SignOut"), 1)).over(so_far))
-    at = F.struct("TimeStamp", "PrimaryKey")
+    at = F.struct("TimeStamp", "PrimaryKey", *more)
     pairs = rows.withColumn("n", number).groupBy(*keys, "n").agg(F.max(F.when(_is("SignIn"), at)).alias("i"), F.max(F.when(_is("SignOut"), at)).alias("o"))
     return pairs.where("o.TimeStamp > i.TimeStamp").select(
-        *keys, F.col("i.PrimaryKey").alias("SignInPrimaryKey"), F.col("o.PrimaryKey").alias("SignOutPrimaryKey"), F.col("i.TimeStamp").alias("SignInTime"), F.col("o.TimeStamp").alias("SignOutTime"))
+        *keys, F.col("i.PrimaryKey").alias("SignInPrimaryKey"), F.col("o.PrimaryKey").alias("SignOutPrimaryKey"), F.col("i.TimeStamp").alias("SignInTime"), F.col("o.TimeStamp").alias("SignOutTime"),
+        *(F.col(f"{side}.{c}").alias(f"{name}{c}") for side, name in (("i", "SignIn"), ("o", "SignOut")) for c in more))
 
 
 def with_session_user(bins: DataFrame, sessions: DataFrame, any_task_type: bool = False, bucket_seconds: int = DEFAULT_BUCKET_SECONDS) -> DataFrame:

@@ -10,6 +10,7 @@ MODULES = [
     "opsgrain.plans.items_staging",
     "opsgrain.plans.items_measures",
     "opsgrain.plans.items_quality",
+    "opsgrain.plans.items_streaming",
 ]
 
 

@@ -3,14 +3,17 @@
 from __future__ import annotations
 
 import datetime as dt
+import uuid
 
 from pyspark.sql import functions as F
 
 from opsgrain.oracle.pages_sql import AS_OF, PAGES_CTES, matrix_sql
 from opsgrain.plans import pages as P
 from opsgrain.plans import rollups as R
-from opsgrain.plans.catalog import add_ctes, canon, materialized, register
+from opsgrain.plans.catalog import REGISTRY, add_ctes, canon, materialized, register
 from opsgrain.plans.items_events import work_events
+from opsgrain.plans.published import publish, read_published
+from opsgrain.session import checkpoint_dir
 
 add_ctes(PAGES_CTES)
 
@@ -207,3 +210,17 @@ def p40u(t):
 from (select distinct Ports from r09) x where Ports is not null and Ports not in ('No Data', 'Unattributed')""")
 def p40p(t):
     return canon(P.dim_ports(daily_of(t)))
+
+
+# ---- published tables: written, replaced and read again ----------------------------------------------
+
+def _published(t, name: str, df):
+    """Publish some rows first, then all, and read what is in force."""
+    path = f"{checkpoint_dir(t.spark).rstrip('/')}/opsgrain-tables/{name}-{uuid.uuid4().hex}"
+    publish(df.where(F.xxhash64(*df.columns) % 2 == 0), path)
+    publish(df, path)
+    return canon(read_published(t.spark, path))
+
+
+register("P30_published_matrix", REGISTRY["P30_inventory_location_summary"][1])(lambda t: _published(t, "matrix", matrix_of(t)))
+register("P32_published_consolidation", REGISTRY["P32_consolidation"][1])(lambda t: _published(t, "consolidation", P.consolidation(t.defrag_detail)))

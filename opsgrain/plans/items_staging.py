@@ -62,22 +62,24 @@ def s04(t):
     return canon(S.parse_events(dedup_of(t), "Pick-SignIn", SIGN_SCHEMA))
 
 
-EVENT_SCHEMA = T.StructType([T.StructField(c, T.StringType()) for c in
-                             ("User", "LocationPrimaryKey", "LocationBarcode", "ContainerBarcode", "Quantity")])
-
-
 @register("S04_parse_all_events", """select DataDescription, SourcePrimaryKey as PrimaryKey, strftime(EventTimestamp, '%Y-%m-%d %H:%M:%S.%f') as TimeStamp,
   json_extract_string(JsonData, '$.User') as "User", json_extract_string(JsonData, '$.LocationPrimaryKey') as LocationPrimaryKey,
   json_extract_string(JsonData, '$.LocationBarcode') as LocationBarcode, json_extract_string(JsonData, '$.ContainerBarcode') as ContainerBarcode,
   json_extract_string(JsonData, '$.Quantity') as Quantity
 from dedup""")
 def s04_all(t):
-    """Each of the fifteen descriptions as its typed event table, one under the other."""
-    out = None
-    for d in S.EVENT_DESCRIPTIONS:
-        part = S.parse_events(dedup_of(t), d, EVENT_SCHEMA).withColumn("DataDescription", F.lit(d))
-        out = part if out is None else out.unionByName(part)
-    return canon(out)
+    """The fifteen descriptions' typed event tables, one under the other, from
+    one parse of each payload."""
+    typed = S.typed_telemetry(dedup_of(t), dict.fromkeys(S.TELEMETRY_FIELDS, "string"))
+    return canon(typed.where(F.col("DataDescription").isin(*S.EVENT_DESCRIPTIONS)).drop("SourceDatabase", "SourceTable", "Malformed"))
+
+
+@register("S04_typed_telemetry", """select DataDescription, SourcePrimaryKey as PrimaryKey, strftime(EventTimestamp, '%Y-%m-%d %H:%M:%S.%f') as TimeStamp, SourceDatabase, SourceTable,
+  JsonData ->> '$.User' as "User", try_cast(JsonData ->> '$.LocationPrimaryKey' as bigint) as LocationPrimaryKey, JsonData ->> '$.LocationBarcode' as LocationBarcode,
+  JsonData ->> '$.ContainerBarcode' as ContainerBarcode, try_cast(JsonData ->> '$.Quantity' as bigint) as Quantity, not json_valid(JsonData) as Malformed
+from dedup""")
+def s04_typed(t):
+    return canon(S.typed_telemetry(dedup_of(t)))
 
 
 INV_SPEC = ("PrimaryKey:i, UnitOfMeasurePrimaryKey:i, ContainerPrimaryKey:i, Status, ContainerSide:i, ContainerX:i, "

@@ -82,23 +82,45 @@ def sync_increment(spark: SparkSession, src: DataFrame, target: str, ledger_path
     return row
 
 
+def _manifest(target: str) -> str:
+    return f"{target.rstrip('/')}-manifest"
+
+
+def _record(spark: SparkSession, target: str, rows: list[tuple]) -> None:
+    """Replace the manifest's entries of some snapshots."""
+    df = spark.createDataFrame(rows, "Snapshot_Id bigint, Snapshot_Timestamp timestamp, Live boolean").coalesce(1)
+    df.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("Snapshot_Id").parquet(_manifest(target))
+
+
 def append_snapshot(src: DataFrame, target: str, snapshot_id: int, ts: dt.datetime) -> None:
-    """Stamp Snapshot_Id / Snapshot_Timestamp and append as a new
-    snapshot partition (``partitionBy('Snapshot_Id')`` so readers of the latest
-    snapshot prune to one folder)."""
+    """Stamp Snapshot_Id / Snapshot_Timestamp and write a snapshot
+    partition (``partitionBy('Snapshot_Id')`` so readers of the latest snapshot
+    prune to one folder), then its manifest entry.  A retry replaces its own
+    partition and entry; a run that died in between left rows that no reader of
+    the manifest sees."""
+    spark = src.sparkSession
     (src.withColumn("Snapshot_Id", F.lit(snapshot_id).cast("bigint"))
         .withColumn("Snapshot_Timestamp", F.lit(ts).cast("timestamp"))
-        .write.mode("append").partitionBy("Snapshot_Id").parquet(target))
-
-
-def purge(spark: SparkSession, target: str, keep: int, new_target: str) -> str:
-    """Retention: copy the newest ``keep`` snapshots to ``new_target``
-    (write to a new path, then switch readers), never rewriting in place."""
-    df = spark.read.parquet(target)
-    ids = df.select("Snapshot_Id").distinct().orderBy(F.col("Snapshot_Id").desc()).limit(keep)
-    # at most `keep` rows are broadcast
-    df.join(F.broadcast(ids), "Snapshot_Id", "left_semi").write.mode("overwrite").partitionBy("Snapshot_Id").parquet(new_target)
-    return new_target
+        .write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("Snapshot_Id").parquet(target))
+    _record(spark, target, [(snapshot_id, ts, True)])
+
+
+def read_snapshots(spark: SparkSession, target: str) -> DataFrame:
+    """The snapshots that the manifest holds as live: a filter on the partition
+    column, whose values are as many as retention keeps."""
+    live = [r["Snapshot_Id"] for r in spark.read.parquet(_manifest(target)).where("Live").select("Snapshot_Id").collect()]
+    return spark.read.parquet(target).where(F.col("Snapshot_Id").isin(live) if live else F.lit(False))
+
+
+def purge(spark: SparkSession, target: str, keep: int) -> list[int]:
+    """Retention: retire all but the newest ``keep`` snapshots in the
+    manifest.  No kept file is touched; the retired ids are returned, whose
+    folders may be removed once no reader holds them."""
+    live = spark.read.parquet(_manifest(target)).where("Live").orderBy(F.col("Snapshot_Id").desc()).collect()  # one row a snapshot
+    old = [(r["Snapshot_Id"], r["Snapshot_Timestamp"], False) for r in live[keep:]]
+    if old:
+        _record(spark, target, old)
+    return [r[0] for r in old]
 
 
 # ---- ledger reports (Y04, Y05, Y10) ------------------------------------------------------------

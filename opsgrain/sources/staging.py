@@ -15,8 +15,8 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsgrain.functions.tsql import json_value, ms_between, ms_to_seconds
-from opsgrain.operators.temporal import pair_sessions
+from opsgrain.functions.tsql import ms_between, ms_to_seconds
+from opsgrain.operators.timeline import paired_sessions
 
 METRIC_COLUMNS = ["SourceDatabase", "SourceTable", "SourcePriority", "SourcePrimaryKey", "DataDescription",
                   "JsonData", "EventTimestamp"]
@@ -81,6 +81,32 @@ def parse_events(df: DataFrame, description: str, schema: T.StructType) -> DataF
                     *[F.col(f"_j.{f.name}").alias(f.name) for f in schema.fields])
 
 
+# The payload's fields, and their types.
+TELEMETRY_FIELDS = {"User": "string", "LocationPrimaryKey": "bigint", "LocationBarcode": "string", "ContainerBarcode": "string", "Quantity": "bigint"}
+
+
+def typed_telemetry(deduped: DataFrame, fields: dict[str, str] | None = None) -> DataFrame:
+    """S04 for all descriptions at once: each payload is parsed once, to a
+    VARIANT, and its fields are taken from that.
+
+    Defined results: a payload that is no JSON, or no JSON object, keeps its
+    row, with ``Malformed`` true and all fields null; a missing field, one of
+    another type, or a nested value where a scalar is wanted is null; a null
+    payload is not malformed."""
+    fields = fields or TELEMETRY_FIELDS
+    parsed = deduped.withColumn("_v", F.try_parse_json("JsonData"))
+
+    def field(name: str, kind: str) -> Column:
+        text = F.try_variant_get("_v", f"$.{name}", "string")
+        nested = text.startswith("{") | text.startswith("[")
+        return F.when(~nested, text if kind == "string" else F.try_variant_get("_v", f"$.{name}", kind)).alias(name)
+
+    is_object = F.coalesce(F.schema_of_variant("_v").startswith("OBJECT"), F.lit(False))
+    return parsed.select(
+        "DataDescription", F.col("SourcePrimaryKey").alias("PrimaryKey"), F.col("EventTimestamp").alias("TimeStamp"), "SourceDatabase", "SourceTable",
+        *(field(name, kind) for name, kind in fields.items()), (F.col("JsonData").isNotNull() & ~is_object).alias("Malformed"))
+
+
 def latest_snapshot(df: DataFrame, col: str = "Snapshot_Id") -> DataFrame:
     """Rows of the greatest snapshot id.  The max is a scalar subquery
     (evaluated once, no join); on snapshot-partitioned storage the filter
@@ -137,40 +163,17 @@ def template_names(templates: DataFrame, compartments: DataFrame, sizes: DataFra
 
 # ---- E06: sessions from raw telemetry ----------------------------------------------------
 
-def raw_sign_events(deduped: DataFrame, descriptions: Sequence[str], suffix: str) -> DataFrame:
-    d = deduped.filter(F.col("DataDescription").isin(*descriptions))
-    return d.select(
-        F.replace(F.col("DataDescription"), F.lit(suffix), F.lit("")).alias("WorkType"),
-        "SourceDatabase", "SourceTable", "SourcePrimaryKey", F.col("EventTimestamp").alias("TimeStamp"), "JsonData",
-        json_value("JsonData", "$.User").alias("UserName"),
-        json_value("JsonData", "$.LocationPrimaryKey").try_cast("bigint").alias("LocationPrimaryKey"),
-        F.concat_ws(":", "SourceDatabase", "SourceTable", F.col("SourcePrimaryKey").cast("string")).alias("SourcePrioritySort"),
-    )
-
-
 def raw_work_sessions(deduped: DataFrame) -> DataFrame:
-    """E04 over de-duplicated telemetry; ties ordered by the text
-    'db:table:key' (text order, not numeric)."""
-    ins = raw_sign_events(deduped, SIGN_IN_DESCRIPTIONS, "-SignIn")
-    outs = raw_sign_events(deduped, SIGN_OUT_DESCRIPTIONS, "-SignOut")
-    keys = ["WorkType", "LocationPrimaryKey", "UserName"]
-    pi = ins.select(*keys, "TimeStamp", F.col("SourcePrioritySort").alias("PrimaryKey"),
-                    F.struct("SourceDatabase", "SourceTable", "SourcePrimaryKey").alias("_src"))
-    po = outs.select(*keys, "TimeStamp", F.col("SourcePrioritySort").alias("PrimaryKey"),
-                     F.struct("SourceDatabase", "SourceTable", "SourcePrimaryKey").alias("_src"))
-    # pair on the text tie-break, then bring the source columns back by it
-    s = pair_sessions(pi.drop("_src"), po.drop("_src"), keys)
-    si = pi.select(F.col("PrimaryKey").alias("SignInPrimaryKey"), F.col("_src").alias("_in")).dropDuplicates(["SignInPrimaryKey"])
-    so = po.select(F.col("PrimaryKey").alias("SignOutPrimaryKey"), F.col("_src").alias("_out")).dropDuplicates(["SignOutPrimaryKey"])
-    s = s.join(si, "SignInPrimaryKey").join(so, "SignOutPrimaryKey")
+    """E04 over de-duplicated telemetry, in one pass of it; ties ordered
+    by the text 'db:table:key' (text order, not numeric)."""
+    way = F.when(F.col("DataDescription").isin(*SIGN_IN_DESCRIPTIONS), "SignIn").when(F.col("DataDescription").isin(*SIGN_OUT_DESCRIPTIONS), "SignOut")
+    signs = typed_telemetry(deduped.withColumn("_way", way).where("_way is not null").drop("_way")).select(
+        way.alias("Kind"), F.substring_index("DataDescription", "-Sign", 1).alias("WorkType"), "LocationPrimaryKey", F.col("User").alias("UserName"), "TimeStamp",
+        F.concat_ws(":", "SourceDatabase", "SourceTable", F.col("PrimaryKey").cast("string")).alias("PrimaryKey"),
+        "SourceDatabase", "SourceTable", F.col("PrimaryKey").alias("SourcePrimaryKey"))
+    s = paired_sessions(signs, "SourceDatabase", "SourceTable", "SourcePrimaryKey")
     ms = ms_between("SignInTime", "SignOutTime")
     return s.select(
-        "WorkType", "UserName", "LocationPrimaryKey", F.lit(None).cast("string").alias("Port"),
-        "SignInTime", "SignOutTime",
-        F.when(F.col("SignOutTime") > F.col("SignInTime"), ms).alias("SessionMs"),
-        F.when(F.col("SignOutTime") > F.col("SignInTime"), ms_to_seconds(ms)).alias("SessionSeconds"),
-        F.col("_in.SourceDatabase").alias("SignInSourceDatabase"), F.col("_in.SourceTable").alias("SignInSourceTable"),
-        F.col("_in.SourcePrimaryKey").alias("SignInSourcePrimaryKey"),
-        F.col("_out.SourceDatabase").alias("SignOutSourceDatabase"), F.col("_out.SourceTable").alias("SignOutSourceTable"),
-        F.col("_out.SourcePrimaryKey").alias("SignOutSourcePrimaryKey"),
-    )
+        "WorkType", "UserName", "LocationPrimaryKey", F.lit(None).cast("string").alias("Port"), "SignInTime", "SignOutTime",
+        ms.alias("SessionMs"), ms_to_seconds(ms).alias("SessionSeconds"),
+        *(f"{side}{c}" for side in ("SignIn", "SignOut") for c in ("SourceDatabase", "SourceTable", "SourcePrimaryKey")))

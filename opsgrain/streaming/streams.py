@@ -1,10 +1,11 @@
 """Structured Streaming re-aim of the source's 2-minute polling sync.
 
-* T01 ``stream_dedupe``: content-hash de-duplication with a watermark
-  (``dropDuplicatesWithinWatermark``); the first arrival wins, where the batch
-  form (S03) prefers the best source priority.
-* T02 ``stream_throughput``: hourly event counts per port in append mode;
-  an hour is emitted once the watermark passes its end.
+* T01 ``stream_best_copies``: S03 over a stream, from partial results per
+  batch; ``stream_dedupe`` is the form with a watermark and bounded state, in
+  which the first arrival wins.
+* T02 ``stream_hourly``: hourly event counts per port from partial sums per
+  batch, open hours and late rows included; ``stream_throughput`` is the form
+  in append mode, which gives an hour once the watermark passes its end.
 * T03 ``stream_sessions``: incremental sign-in/sign-out pairing.  Each
   micro-batch stores its raw rows under (day, batch) and re-pairs only the days
   it touched, overwriting those day partitions of the session table.  Pairing
@@ -29,7 +30,7 @@ from pyspark.sql.streaming import StreamingQuery
 from opsgrain.operators.temporal import pair_sessions
 from opsgrain.plans.pages import port_label  # the batch page's port labels
 from opsgrain.session import checkpoint_dir
-from opsgrain.sources.staging import event_hash
+from opsgrain.sources.staging import dedupe_metrics, event_hash
 
 
 def _checkpoint(spark: SparkSession, name: str) -> str:
@@ -55,6 +56,58 @@ def stream_throughput(events: DataFrame, watermark: str = "2 hours") -> DataFram
     )
 
 
+# ---- exact incremental aggregates (T01, T02) ------------------------------------------------------
+#
+# Each micro-batch is reduced to partial results and written as its own (day, batch) partition, which a replay
+# overwrites.  A reader merges the partials, so the result is that of the whole input in whatever order it came,
+# with late rows and hours still open, and a lost or repeated batch does no harm.
+
+def _partials(path: str, day: str, reduce):
+    def run(batch: DataFrame, batch_id: int) -> None:
+        part = reduce(batch).withColumn("_day", F.to_date(day)).withColumn("_batch", F.lit(batch_id).cast("bigint"))
+        part.write.mode("overwrite").option("partitionOverwriteMode", "dynamic").partitionBy("_day", "_batch").parquet(path)
+    return run
+
+
+def _start(stream: DataFrame, run, name: str, trigger: dict | None) -> StreamingQuery:
+    out = stream.writeStream.foreachBatch(run).option("checkpointLocation", _checkpoint(stream.sparkSession, name))
+    return out.trigger(**(trigger or {"availableNow": True})).start()
+
+
+def stream_best_copies(metrics: DataFrame, path: str, name: str = "best-copies", trigger: dict | None = None) -> StreamingQuery:
+    """S03 over a stream: per batch the best copy of each content and the
+    number of copies.  Read it with ``read_best_copies``."""
+    return _start(metrics, _partials(path, "EventTimestamp", dedupe_metrics), name, trigger)
+
+
+def read_best_copies(spark: SparkSession, path: str) -> DataFrame:
+    """What S03 gives for all batches so far."""
+    parts = spark.read.parquet(path).drop("_day", "_batch")
+    content = ["DataDescription", "EventTimestamp", "EventHash"]
+    order = F.struct("SourcePriority", "SourceDatabase", "SourceTable", "SourcePrimaryKey")
+    kept = F.struct(*(c for c in parts.columns if c not in (*content, "DuplicateSourceRows")))
+    best = parts.groupBy(*content).agg(F.min_by(kept, order).alias("_k"), F.sum("DuplicateSourceRows").alias("DuplicateSourceRows"))
+    return best.select(*content, "_k.*", "DuplicateSourceRows").select(*parts.columns)
+
+
+HOURLY = {"OrdersCompleted": "OrderCompletedCount", "LinesCompleted": "LineCompletedCount", "BinPresentationsCompleted": "BinPresentationCount"}
+
+
+def stream_hourly(events: DataFrame, path: str, name: str = "hourly", trigger: dict | None = None) -> StreamingQuery:
+    """T02 without a watermark: orders, lines and bins of Pick events per hour
+    and port label, partial sums per batch.  Read it with ``read_hourly``."""
+    def reduce(batch: DataFrame) -> DataFrame:
+        e = batch.where("WorkType = 'Pick' and StartTime is not null").groupBy(F.date_trunc("hour", "StartTime").alias("Hour"), port_label(F.col("Port")).alias("Ports"))
+        return e.agg(*(F.sum(c).cast("bigint").alias(name) for name, c in HOURLY.items()))
+
+    return _start(events, _partials(path, "Hour", reduce), name, trigger)
+
+
+def read_hourly(spark: SparkSession, path: str) -> DataFrame:
+    """The totals of all batches so far."""
+    return spark.read.parquet(path).groupBy("Hour", "Ports").agg(*(F.sum(c).alias(c) for c in HOURLY))
+
+
 SIGN_KEYS = ["WorkType", "LocationPrimaryKey", "UserName"]
 
 
@@ -64,8 +117,13 @@ def _sessions_batch(raw_path: str, sessions_path: str):
         staged = batch.withColumn("_day", F.to_date("TimeStamp")).withColumn("_batch", F.lit(batch_id).cast("bigint"))
         (staged.write.mode("overwrite").option("partitionOverwriteMode", "dynamic")
          .partitionBy("_day", "_batch").parquet(raw_path))
-        days = staged.select("_day").distinct()
-        hist = spark.read.parquet(raw_path).join(days, "_day", "left_semi")
+        touched = [r["_day"] for r in staged.select("_day").distinct().collect()]  # the days of one micro-batch
+        if not touched:
+            return
+        days = spark.createDataFrame([(d,) for d in touched], "_day date")
+        # only the folders of these days are listed, and nothing is inferred
+        folders = [f"{raw_path}/_day={'__HIVE_DEFAULT_PARTITION__' if d is None else d}" for d in touched]
+        hist = spark.read.schema(staged.schema).option("basePath", raw_path).parquet(*folders)
         ins = hist.filter(F.col("Side") == "in")
         outs = hist.filter(F.col("Side") == "out")
         s = pair_sessions(ins, outs, SIGN_KEYS).withColumn(

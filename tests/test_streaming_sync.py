@@ -3,6 +3,7 @@
 from __future__ import annotations
 
 import datetime as dt
+import glob
 import os
 import tempfile
 
@@ -11,6 +12,7 @@ from pyspark.sql import functions as F
 import pytest
 
 from opsgrain.operators.temporal import pair_sessions
+from opsgrain.plans import published
 from opsgrain.plans import sync as Y
 from opsgrain.sources.adapter import Tables
 from opsgrain.sources.staging import dedupe_metrics, metric_sources
@@ -74,6 +76,9 @@ def test_stream_throughput_matches_batch_hours(spark):
     batch_total = ev.filter(F.col("WorkType") == "Pick").agg(F.sum("OrderCompletedCount")).first()[0]
     # hours still open at the end of the stream are not emitted in append mode
     assert 0 < total <= batch_total
+    hourly = T.stream_hourly(spark.readStream.schema(ev.schema).option("maxFilesPerTrigger", 1).parquet(os.path.join(d, "ev")), os.path.join(d, "hourly"), f"h-{os.path.basename(d)}")
+    hourly.awaitTermination(300)
+    assert T.read_hourly(spark, os.path.join(d, "hourly")).agg(F.sum("OrdersCompleted")).first()[0] == batch_total
 
 
 def test_foreach_sync_is_idempotent_per_batch(spark):
@@ -130,9 +135,48 @@ def test_snapshot_append_and_purge(spark):
     base = t.inventory.drop("Snapshot_Id")
     for i in (1, 2, 3):
         Y.append_snapshot(base, tgt, i, dt.datetime(2024, 1, i))
-    kept = Y.purge(spark, tgt, 2, os.path.join(d, "inv_v2"))
-    ids = sorted(r[0] for r in spark.read.parquet(kept).select("Snapshot_Id").distinct().collect())
-    assert ids == [2, 3]
+        Y.append_snapshot(base, tgt, i, dt.datetime(2024, 1, i))  # a retry
+    n = base.count()
+    assert Y.read_snapshots(spark, tgt).groupBy("Snapshot_Id").count().collect() == Y.read_snapshots(spark, tgt).groupBy("Snapshot_Id").agg(F.lit(n).alias("count")).collect()
+    files = {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{tgt}/*/*.parquet")}
+    assert Y.purge(spark, tgt, 2) == [1] and Y.purge(spark, tgt, 2) == []
+    assert sorted(r[0] for r in Y.read_snapshots(spark, tgt).select("Snapshot_Id").distinct().collect()) == [2, 3]
+    assert files == {f: os.stat(f).st_mtime_ns for f in glob.glob(f"{tgt}/*/*.parquet")}  # no file was written anew
+    # rows without an entry, as a run that died leaves them, are not seen
+    base.withColumn("Snapshot_Id", F.lit(9)).withColumn("Snapshot_Timestamp", F.lit(None).cast("timestamp")).write.mode("append").partitionBy("Snapshot_Id").parquet(tgt)
+    assert Y.read_snapshots(spark, tgt).where("Snapshot_Id = 9").count() == 0
+
+
+def test_published_table_is_never_half_written(spark):
+    path = os.path.join(_scratch(), "table")
+    one, two = (spark.range(n).withColumn("v", F.lit(n)) for n in (5, 9))
+    with pytest.raises(FileNotFoundError):
+        published.read_published(spark, path)
+    published.publish(one, path)
+    before = published.read_published(spark, path)
+    broken = two.withColumn("v", F.when(F.col("id") == 7, F.raise_error(F.lit("dies here"))).otherwise(F.col("v")))
+    with pytest.raises(Exception, match="dies here"):
+        published.publish(broken, path)
+    two.write.parquet(f"{path}/versions/orphan")  # a version whose writer died before its pointer
+    assert published.read_published(spark, path).count() == 5
+    published.publish(two, path)
+    assert published.read_published(spark, path).count() == 9 and before.count() == 5
+    published.publish(one, path)
+    assert published.read_published(spark, path).count() == 5 and len(published.versions_to_drop(spark, path)) == 1
+
+
+def test_partial_results_converge_in_any_order_and_on_replay(spark):
+    t = Tables(spark, SF)
+    src = metric_sources([(f"db{i}", "ReportedMetrics", i, t.reported_metrics(i)) for i in (4, 1, 3, 2)])
+    path = os.path.join(_scratch(), "best")
+    run = T._partials(path, "EventTimestamp", dedupe_metrics)
+    parts = [src.where(F.col("SourcePrimaryKey") % 3 == k) for k in (2, 0, 1)]
+    for batch, part in enumerate(parts):
+        run(part, batch)
+    run(parts[2], 2)  # replayed
+    want = dedupe_metrics(src)
+    got = T.read_best_copies(spark, path).select(*want.columns)
+    assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect())))
 
 
 def test_recover_stuck_completes_newest_open_row(spark):
