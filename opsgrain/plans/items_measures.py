@@ -487,3 +487,24 @@ for _series in M.OWH_SERIES:
     for _choice in ("All", _series.split()[0]):
         _sliced(f"M42_{_choice.lower()}_{_series.lower().replace(' ', '_')}", f"select cast({_count} as bigint) as KPI_Selected_OWH from ({_of}) r",
                 M.kpi_selected_owh, metric=_choice, series=_series)
+
+# ---- put-away, cycle-count and close-bin records (M25, M26, M30, M32, M33) -------------------------------
+
+add_ctes({
+    "put_away": """select event_id, usr, if(event_id % 4 = 0, null, event_id // 8) as task_group, if(event_id % 7 = 0, null, event_id // 3) as container, if(event_id % 5 = 0, event_id % 3, null) as reason
+from ev where event_type = 'purchase' and wt = 'PutAway'""",
+    "cycle_counts": """select event_id, usr, if(event_id % 6 = 0, null, event_id // 7) as task_order, if(event_id % 11 = 0, null, port) as barcode, if(event_id % 5 = 0, event_id % 3, null) as reason
+from ev where event_type = 'purchase' and wt = 'CycleCount'""",
+    "close_bin_records": """select event_id, ts, i, case (event_id + i) % 3 when 0 then 'Pending' when 1 then 'Available' end as status,
+  if((event_id + i) % 7 = 0, null, (cast(floor(value) as bigint) + i) % 5) as units
+from (select *, unnest(range(event_id % 4)) as i from ev where event_type = 'click' and event_id % 2 = 0 and event_id % 9 <> 0) e""",
+})
+_sliced("M25_put", 'select count(*) as "Put" from put_away', M.put_count)
+_sliced("M25_put_by_user", 'select usr as UserName, count(*) as "Put" from put_away group by 1', M.put_count, ["UserName"])
+_sliced("M26_cycle_count", 'select count(*) as "Cycle Count" from cycle_counts', M.cycle_count)
+_sliced("M30_num_bins_occupied", """select count(*) as "Num Bins Occupied" from close_bin_records where status is distinct from 'Pending' and units > 0""", M.num_bins_occupied)
+_sliced("M30_by_status", """select status as InventoryStatus, count(*) filter (status is distinct from 'Pending' and units > 0) as "Num Bins Occupied" from close_bin_records group by 1""",
+        M.num_bins_occupied, ["InventoryStatus"])
+for _metric, _put, _cc in (("Orders", "task_group", "task_order"), ("Lines", "container", "barcode"), ("Bins", "reason", "reason"), ("All", "1", "1")):
+    _sliced(f"M32_put_owh_{_metric.lower()}", f'select count({_put}) as "Put OWH" from put_away', M.put_owh, metric=_metric)
+    _sliced(f"M33_cyclecount_owh_{_metric.lower()}", f'select count({_cc}) as "CycleCount OWH" from cycle_counts', M.cycle_count_owh, metric=_metric)

@@ -4,6 +4,8 @@ the drill-through reports (R12-R14)."""
 
 from __future__ import annotations
 
+import uuid
+
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
@@ -14,7 +16,9 @@ from opsgrain.plans import rollups as R
 from opsgrain.plans.catalog import add_ctes, canon, materialized, register, sel
 from opsgrain.plans.items_events import ROLLUP_SPEC, work_events
 from opsgrain.plans.items_pages import _rollup_of, daily_of
+from opsgrain.session import checkpoint_dir
 from opsgrain.sources import staging as S
+from opsgrain.sources.optional import OptionalSources
 
 add_ctes(STAGING_CTES)
 
@@ -223,3 +227,14 @@ def r13(t):
                              f"{sel('MinStartTime:T, MaxStartTime:T')} from r09 where WorkType = 'Pick'")
 def r14(t):
     return canon(R.trace_daily(daily_of(t), work_type="Pick"))
+
+
+@register("S01_optional_sources", """select concat('db', id) as Source, id <> 4 as Present, cast(count(*) filter (id <> 4) as bigint) as Rows
+from (values (1), (2), (3), (4)) s(id) left join metric_sources m on m.SourcePriority = s.id group by id""")
+def s01_optional(t):
+    """Four telemetry sources, of which the last is not there: what was found."""
+    base = f"{checkpoint_dir(t.spark).rstrip('/')}/opsgrain-tables/sources-{uuid.uuid4().hex}"
+    for i in (1, 2, 3):
+        t.reported_metrics(i).write.parquet(f"{base}/db{i}")
+    found = OptionalSources(t.spark, {f"db{i}": f"{base}/db{i}" for i in (1, 2, 3, 4)}, t.reported_metrics(1).schema)
+    return canon(found.status())

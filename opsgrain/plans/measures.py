@@ -277,6 +277,46 @@ def pick_count(m) -> DataFrame:
     return _scalar(m, m.pick, F.count(F.lit(1)), "Pick")
 
 
+def put_count(m) -> DataFrame:
+    """M25."""
+    return _scalar(m, m.put_away, F.count(F.lit(1)), "Put")
+
+
+def cycle_count(m) -> DataFrame:
+    """M26."""
+    return _scalar(m, m.cycle_counts, F.count(F.lit(1)), "Cycle Count")
+
+
+def num_bins_occupied(m) -> DataFrame:
+    """Close-bin inventory records that are not Pending (an unknown status
+    counts) with a quantity above 0; 0 where there is none."""
+    kept = not_pending("InventoryStatus") & (F.coalesce("ProductQuantity", F.lit(0)) > 0)
+    return _scalar(m, m.close_bin_records, F.count_if(kept), "Num Bins Occupied")
+
+
+#: The key whose presence makes an event count for a chosen metric; all events count for All.
+OWH_KEYS = {
+    "put_away": {"Orders": "InventoryTaskGroupPrimaryKey", "Lines": "PutAwayContainerPrimaryKey", "Bins": "ReasonCodePrimaryKey"},
+    "cycle_counts": {"Orders": "TransportOrderPrimaryKey", "Lines": "LocationBarcode", "Bins": "ReasonCodePrimaryKey"},
+}
+
+
+def _event_owh(m, table: str, metric: str, name: str) -> DataFrame:
+    key = OWH_KEYS[table].get(metric)
+    value = F.count(F.lit(1)) if metric == "All" else F.count(key) if key else F.lit(None).cast("bigint")
+    return _scalar(m, getattr(m, table), value, name)
+
+
+def put_owh(m, metric: str) -> DataFrame:
+    """M32, with the metric's name passed explicitly as in M31."""
+    return _event_owh(m, "put_away", metric, "Put OWH")
+
+
+def cycle_count_owh(m, metric: str) -> DataFrame:
+    """M33, likewise."""
+    return _event_owh(m, "cycle_counts", metric, "CycleCount OWH")
+
+
 def order_measures(m) -> DataFrame:
     """M27 Orders HD, M28 Lines HD, M29 Units HD."""
     return _agg(m, m.order_rows, F.count_distinct("OrderNumber").alias("Orders HD"), F.count(F.lit(1)).alias("Lines HD"),

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 
 from opsgrain.operators.timeline import COLUMNS
 from opsgrain.session import ensure_utc
+from opsgrain.sources.staging import inventory_records
 
 
 def _s(c: Column) -> Column:
@@ -166,6 +167,42 @@ class Tables:
     def order_rows(self) -> DataFrame:
         return self._of_kind("Order")
 
+    @cached_property
+    def put_away(self) -> DataFrame:
+        eid = F.col("event_id")
+        return self._events_of("purchase").filter("wt = 'PutAway'").select(
+            eid.alias("PrimaryKey"), F.col("ts").alias("TimeStamp"), F.col("usr").alias("UserName"),
+            _ifnull_when(eid % 4 == 0, F.floor(eid / 8).cast("bigint")).alias("InventoryTaskGroupPrimaryKey"),
+            _ifnull_when(eid % 7 == 0, F.floor(eid / 3).cast("bigint")).alias("PutAwayContainerPrimaryKey"),
+            F.when(eid % 5 == 0, eid % 3).alias("ReasonCodePrimaryKey"))
+
+    @cached_property
+    def cycle_counts(self) -> DataFrame:
+        eid = F.col("event_id")
+        return self._events_of("purchase").filter("wt = 'CycleCount'").select(
+            eid.alias("PrimaryKey"), F.col("ts").alias("TimeStamp"), F.col("usr").alias("UserName"),
+            _ifnull_when(eid % 6 == 0, F.floor(eid / 7).cast("bigint")).alias("TransportOrderPrimaryKey"),
+            _ifnull_when(eid % 11 == 0, F.col("port")).alias("LocationBarcode"),
+            F.when(eid % 5 == 0, eid % 3).alias("ReasonCodePrimaryKey"))
+
+    @cached_property
+    def close_bin_payloads(self) -> DataFrame:
+        """Close-bin telemetry with the bin's inventory records as a nested
+        array: none to three of them, or no array at all."""
+        eid = F.col("event_id")
+        n = (eid % 4).cast("int")
+        record = lambda i: F.struct(
+            F.when((eid + i) % 3 == 0, "Pending").when((eid + i) % 3 == 1, "Available").alias("InventoryStatus"),
+            F.when((eid + i) % 7 != 0, (F.floor(F.col("value")).cast("bigint") + i) % 5).alias("ProductQuantity"))
+        records = F.when(n == 0, F.array().cast("array<struct<InventoryStatus:string,ProductQuantity:bigint>>")).otherwise(F.transform(F.sequence(F.lit(0), n - 1), record))
+        return self._events_of("click").filter(eid % 2 == 0).select(
+            eid.alias("PrimaryKey"), F.col("ts").alias("TimeStamp"),
+            F.to_json(F.struct(F.col("bin").alias("ContainerBarcode"), F.when(eid % 9 != 0, records).alias("InventoryRecords"))).alias("JsonData"))
+
+    @cached_property
+    def close_bin_records(self) -> DataFrame:
+        return inventory_records(self.close_bin_payloads)
+
     @cached_property
     def status_history(self) -> DataFrame:
         eid = F.col("event_id")

@@ -107,6 +107,15 @@ def typed_telemetry(deduped: DataFrame, fields: dict[str, str] | None = None) ->
         *(field(name, kind) for name, kind in fields.items()), (F.col("JsonData").isNotNull() & ~is_object).alias("Malformed"))
 
 
+def inventory_records(payloads: DataFrame) -> DataFrame:
+    """The inventory records nested in close-bin payloads, one row each, with
+    their place in the array.  A payload without the array, with an empty one
+    or malformed has no records; a null record is a row of nulls."""
+    records = F.from_json("JsonData", "InventoryRecords array<struct<InventoryStatus:string,ProductQuantity:bigint>>")["InventoryRecords"]
+    return payloads.select("PrimaryKey", "TimeStamp", F.posexplode(records).alias("Position", "_r")).select(
+        F.col("PrimaryKey").alias("CloseBinPrimaryKey"), "TimeStamp", "Position", "_r.InventoryStatus", "_r.ProductQuantity")
+
+
 def latest_snapshot(df: DataFrame, col: str = "Snapshot_Id") -> DataFrame:
     """Rows of the greatest snapshot id.  The max is a scalar subquery
     (evaluated once, no join); on snapshot-partitioned storage the filter

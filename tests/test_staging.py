@@ -5,10 +5,13 @@ from __future__ import annotations
 import datetime as dt
 
 import duckdb
+import pytest
 
 from opsgrain.plans import items_quality as IQ
+from opsgrain.plans import measures as M
 from opsgrain.plans import quality as Q
 from opsgrain.sources import staging as S
+from opsgrain.sources.optional import OptionalSources, optional
 
 METRICS = "SourceDatabase string, SourceTable string, SourcePriority int, SourcePrimaryKey long, DataDescription string, JsonData string, EventTimestamp timestamp"
 
@@ -54,3 +57,33 @@ def test_every_defect_of_a_consolidation_row(spark):
         got = Q.visible_consolidation(df, df).first().asDict()
         for c in ("SourceRows", "ReportRows", "Status", "Details"):
             assert got[c] == want[c], (c, len(rows))
+
+
+def test_inventory_records_of_payloads(spark):
+    at = dt.datetime(2026, 1, 1)
+    payloads = ['{"InventoryRecords":[{"InventoryStatus":"Pending","ProductQuantity":3},{"ProductQuantity":2},null]}', '{"InventoryRecords":[]}', '{"ContainerBarcode":"C1"}', "{broken", None,
+                '{"InventoryRecords":[{"InventoryStatus":"Available","ProductQuantity":0},{"InventoryStatus":"Available","ProductQuantity":null},{"InventoryStatus":null,"ProductQuantity":7}]}']
+    df = spark.createDataFrame([(k, at, p) for k, p in enumerate(payloads)], "PrimaryKey long, TimeStamp timestamp, JsonData string")
+    records = S.inventory_records(df)
+    assert sorted((r.CloseBinPrimaryKey, r.Position, r.InventoryStatus, r.ProductQuantity) for r in records.collect()) == [
+        (0, 0, "Pending", 3), (0, 1, None, 2), (0, 2, None, None), (5, 0, "Available", 0), (5, 1, "Available", None), (5, 2, None, 7)]
+
+    class Model:
+        by = ()
+        close_bin_records = records
+
+    assert M.num_bins_occupied(Model()).first()[0] == 2
+    Model.close_bin_records = records.limit(0)
+    assert M.num_bins_occupied(Model()).first()[0] == 0
+
+
+def test_optional_sources(spark, tmp_path):
+    schema = spark.createDataFrame([], "PrimaryKey long, JsonData string").schema
+    spark.createDataFrame([(1, "x")], "PrimaryKey int, Other string").write.parquet(str(tmp_path / "there"))
+    (tmp_path / "broken").mkdir()
+    (tmp_path / "broken" / "part-0.parquet").write_bytes(b"no parquet")
+    found = OptionalSources(spark, {"there": str(tmp_path / "there"), "absent": str(tmp_path / "absent")}, schema)
+    assert [tuple(r) for r in found.status().collect()] == [("there", True, 1), ("absent", False, 0)]
+    assert [tuple(r) for r in found.tables["there"].collect()] == [(1, None)] and found.tables["absent"].schema == schema
+    with pytest.raises(Exception, match="(?i)parquet|footer|read"):
+        optional(spark, str(tmp_path / "broken"), schema).collect()
