@@ -82,6 +82,23 @@ def sync_increment(spark: SparkSession, src: DataFrame, target: str, ledger_path
     return row
 
 
+def begin_batch(spark: SparkSession, ledger_path: str, job: str, now: dt.datetime) -> dict:
+    """The top-level ledger row of a run of ``job``, begun and not finished."""
+    led = current_ledger(_read_or_empty(spark, ledger_path, LEDGER_SCHEMA))
+    last = led.agg(F.max("Id").alias("id"), F.max(F.when((F.col("JobName") == job) & F.col("TableName").isNull(), F.col("BatchId"))).alias("batch")).first()
+    row = dict.fromkeys(LEDGER_SCHEMA.names) | {
+        "Id": (last["id"] or 0) + 1, "JobName": job, "BatchId": (last["batch"] or 0) + 1, "SyncStartTime": now, "IsStarted": True, "IsCompleted": False,
+        "IsDeleted": False, "RecordedAt": now}
+    spark.createDataFrame([row], LEDGER_SCHEMA).write.mode("append").parquet(ledger_path)
+    return row
+
+
+def finish_batch(spark: SparkSession, ledger_path: str, begun: dict, now: dt.datetime, rows: int) -> None:
+    """Append the correction that closes a run's top-level row."""
+    row = begun | {"SyncEndTime": now, "IsCompleted": True, "TotalRecordSource": rows, "TotalRecordSynced": rows, "RecordedAt": now}
+    spark.createDataFrame([row], LEDGER_SCHEMA).write.mode("append").parquet(ledger_path)
+
+
 def _manifest(target: str) -> str:
     return f"{target.rstrip('/')}-manifest"
 
