@@ -1,6 +1,6 @@
 """Registered queries for the streams (T01-T03): each writes the given events
-into a folder of files, runs the stream over them file by file until all is
-read, and returns what its reader then gives."""
+into a folder of files of bounded size, runs the stream over them in a few
+batches until all is read, and returns what its reader then gives."""
 
 from __future__ import annotations
 
@@ -8,6 +8,7 @@ import uuid
 
 from pyspark.sql import functions as F
 
+from opsgrain.functions.frames import tasks_of
 from opsgrain.plans.catalog import REGISTRY, canon, register, sel
 from opsgrain.plans.items_events import work_events
 from opsgrain.plans.items_staging import METRIC_SPEC, sources_of
@@ -15,11 +16,16 @@ from opsgrain.session import checkpoint_dir
 from opsgrain.streaming import streams
 
 
+#: Batches in which a stream reads its events.
+BATCHES = 4
+
+
 def _streamed(t, name: str, events, start) -> str:
     """Run ``start(stream, path, name)`` over ``events`` to the end; its path."""
     path = f"{checkpoint_dir(t.spark).rstrip('/')}/opsgrain-tables/{name}-{uuid.uuid4().hex}"
-    events.repartition(4).write.parquet(f"{path}/source")
-    stream = t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", 1).parquet(f"{path}/source")
+    files = max(BATCHES, tasks_of(events))
+    events.repartition(files, *events.columns).write.parquet(f"{path}/source")
+    stream = t.spark.readStream.schema(events.schema).option("maxFilesPerTrigger", -(-files // BATCHES)).parquet(f"{path}/source")
     start(stream, f"{path}/target", f"{name}-{uuid.uuid4().hex}").awaitTermination()
     return f"{path}/target"
 

@@ -27,6 +27,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from opsgrain.functions.frames import spread
 from opsgrain.operators.temporal import pair_sessions
 from opsgrain.plans.pages import port_label  # the batch page's port labels
 from opsgrain.session import checkpoint_dir
@@ -86,7 +87,7 @@ def read_best_copies(spark: SparkSession, path: str) -> DataFrame:
     content = ["DataDescription", "EventTimestamp", "EventHash"]
     order = F.struct("SourcePriority", "SourceDatabase", "SourceTable", "SourcePrimaryKey")
     kept = F.struct(*(c for c in parts.columns if c not in (*content, "DuplicateSourceRows")))
-    best = parts.groupBy(*content).agg(F.min_by(kept, order).alias("_k"), F.sum("DuplicateSourceRows").alias("DuplicateSourceRows"))
+    best = spread(parts, *content).groupBy(*content).agg(F.min_by(kept, order).alias("_k"), F.sum("DuplicateSourceRows").alias("DuplicateSourceRows"))
     return best.select(*content, "_k.*", "DuplicateSourceRows").select(*parts.columns)
 
 

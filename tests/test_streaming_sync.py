@@ -11,7 +11,9 @@ from pyspark.sql import functions as F
 
 import pytest
 
+from opsgrain.functions import frames
 from opsgrain.operators.temporal import pair_sessions
+from opsgrain.plans import items_streaming
 from opsgrain.plans import published
 from opsgrain.plans import sync as Y
 from opsgrain.sources.adapter import Tables
@@ -179,6 +181,23 @@ def test_partial_results_converge_in_any_order_and_on_replay(spark):
     assert sorted(map(repr, map(tuple, got.collect()))) == sorted(map(repr, map(tuple, want.collect())))
 
 
+def test_copies_are_sorted_in_tasks_of_bounded_size(spark, monkeypatch, tmp_path):
+    rows = spark.createDataFrame([("db1", "M", 1, i, "Pick", f"{i % 900}", dt.datetime(2024, 1, 1)) for i in range(3000)],
+                                 "SourceDatabase string, SourceTable string, SourcePriority int, SourcePrimaryKey bigint, DataDescription string, JsonData string, EventTimestamp timestamp")
+    want = sorted(map(tuple, dedupe_metrics(rows.coalesce(1)).collect()))
+    monkeypatch.setattr(frames, "TASK_ROWS", 300)
+    sizes = [n for _, n in frames.spread(rows.coalesce(1), "SourcePrimaryKey").groupBy(F.spark_partition_id()).count().collect()]
+    assert len(sizes) == 10 and max(sizes) < 2 * 300
+    got = dedupe_metrics(rows.coalesce(1))
+    assert "REPARTITION_BY_NUM" in got._jdf.queryExecution().executedPlan().toString() and sorted(map(tuple, got.collect())) == want
+    # the streamed files are of bounded size, too
+    tables = Tables(spark, "/root/testdata/sf0.001")
+    path = items_streaming._streamed(tables, "bounded", rows, T.stream_best_copies)
+    files = spark.read.parquet(f"{os.path.dirname(path)}/source").groupBy(F.input_file_name()).count().collect()
+    assert len(files) == 10 and max(n for _, n in files) < 2 * 300
+    assert sorted(map(tuple, T.read_best_copies(spark, path).select(*got.columns).collect())) == want
+
+
 def test_recover_stuck_completes_newest_open_row(spark):
     t = Tables(spark, SF)
     led = Y.ledger_from_batches(t.report_data)
