@@ -19,7 +19,7 @@ from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsgrain.operators.timeline import COLUMNS
-from opsgrain.session import ensure_utc
+from opsgrain.session import ensure_small_tasks, ensure_utc
 from opsgrain.sources.staging import inventory_records
 
 
@@ -53,6 +53,7 @@ class Tables:
 
     def __init__(self, spark: SparkSession, sf_dir: str):
         ensure_utc(spark)
+        ensure_small_tasks(spark)
         self.spark = spark
         self.sf_dir = sf_dir.rstrip("/")
 

@@ -85,3 +85,18 @@ def test_each_slice_equals_the_filtered_measure(spark, fn, table, column):
     for r in rows[:4]:
         alone = M.measure(fn, m, where={table: F.col(column).eqNullSafe(F.lit(r[0]))}).first()
         assert tuple(alone) == tuple(r)[1:], r
+
+
+def test_shuffled_rows_of_one_task_are_bounded(spark):
+    from opsgrain.session import ADVISORY, TASK_BYTES
+    from opsgrain.sources.adapter import Tables
+
+    before = spark.conf.get(ADVISORY)
+    try:
+        for given, want in (("64MB", TASK_BYTES), ("1g", TASK_BYTES), ("8m", 8 << 20), (str(4 << 20), 4 << 20)):
+            spark.conf.set(ADVISORY, given)
+            Tables(spark, "/root/testdata/sf0.001")
+            now = spark.conf.get(ADVISORY)
+            assert (given if want < TASK_BYTES else str(want)) == now
+    finally:
+        spark.conf.set(ADVISORY, before)
