@@ -9,7 +9,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsgrain.functions.frames import beside
+from opsgrain.functions.frames import beside, broadcast_if_small
 from opsgrain.sources.staging import EVENT_DESCRIPTIONS
 
 
@@ -929,6 +929,10 @@ def _listed(df: DataFrame, rows: str, metrics: dict[str, str], first: str = "d0"
     return df.select(F.explode(F.array(*items)).alias("m")).select("m.*")
 
 
+#: A side of keys and dates with at most so many rows is broadcast (some 50 MB).
+KEY_ROWS = 1_000_000
+
+
 def visible_kpi_expected(t, daily: DataFrame, as_of) -> DataFrame:
     """The 13 expected KPI values recomputed from the operational sources over
     the recent window, one aggregate per group of sources.  Inventory filters
@@ -952,15 +956,18 @@ def visible_kpi_expected(t, daily: DataFrame, as_of) -> DataFrame:
     closed = t.putaway_containers.filter((F.col("Status") == "Closed") & (F.to_date("LastUpdatedDateInventory") >= recent)).select(
         F.col("PrimaryKey").alias("PutAwayContainerPrimaryKey"), F.to_date("LastUpdatedDateInventory").alias("d"))
     boxes_in = closed.agg(n, F.count_distinct("PutAwayContainerPrimaryKey").alias("orders"), *span(F.col("d")))
-    lines_in = closed.join(
+    shut = broadcast_if_small(closed, KEY_ROWS)  # a week's containers: the tables they meet are not shuffled
+    lines_in = shut.join(
         t.putaway_lines.filter(F.col("ActualQuantity") > 0).select("PutAwayContainerPrimaryKey", "ActualQuantity", *unit), "PutAwayContainerPrimaryKey"
     ).join(uom, unit, "left").groupBy("d").agg(n, F.sum("ActualQuantity").alias("units"), F.count_distinct(sku).alias("skus")).agg(
         F.sum("n").alias("n"), F.sum("units").alias("units"), F.sum("skus").alias("skus"), *span(F.col("d")))
     shown = F.struct("PutAwayContainerPrimaryKey", F.coalesce("LocationPrimaryKey", F.lit(-1)), F.coalesce("NewContainerPrimaryKey", F.lit(-1)))
+    moved = shut.join(t.tasks_putaway.select("PutAwayContainerPrimaryKey", "InventoryTaskPrimaryKey", "LocationPrimaryKey"), "PutAwayContainerPrimaryKey")
+    wanted = broadcast_if_small(moved.select("InventoryTaskPrimaryKey"), KEY_ROWS)
+    known = t.inventory_tasks.select(F.col("PrimaryKey").alias("InventoryTaskPrimaryKey")).join(wanted, "InventoryTaskPrimaryKey", "left_semi").distinct()
+    actions = t.task_actions.select("InventoryTaskPrimaryKey", "NewContainerPrimaryKey").join(wanted, "InventoryTaskPrimaryKey", "left_semi")
     tasks_in = (
-        closed.join(t.tasks_putaway.select("PutAwayContainerPrimaryKey", "InventoryTaskPrimaryKey", "LocationPrimaryKey"), "PutAwayContainerPrimaryKey")
-        .join(t.inventory_tasks.select(F.col("PrimaryKey").alias("InventoryTaskPrimaryKey")), "InventoryTaskPrimaryKey", "left_semi")
-        .join(t.task_actions.select("InventoryTaskPrimaryKey", "NewContainerPrimaryKey"), "InventoryTaskPrimaryKey")
+        moved.join(known, "InventoryTaskPrimaryKey").join(actions, "InventoryTaskPrimaryKey")  # a semi-join would be pushed below the broadcast one
         .groupBy("d").agg(n, F.count_distinct(shown).alias("shown")).agg(F.sum("n").alias("n"), F.sum("shown").alias("shown"), *span(F.col("d")))
     )
     picked = daily.filter((F.col("WorkType") == "Pick") & (F.col("EventDate") >= recent)).agg(

@@ -87,3 +87,29 @@ def test_optional_sources(spark, tmp_path):
     assert [tuple(r) for r in found.tables["there"].collect()] == [(1, None)] and found.tables["absent"].schema == schema
     with pytest.raises(Exception, match="(?i)parquet|footer|read"):
         optional(spark, str(tmp_path / "broken"), schema).collect()
+
+
+def test_open_work_and_kpi_sources_shuffle_no_more_than_they_need(spark, monkeypatch):
+    """Both cycle-count series come from one join, keys of other series are not
+    compared, and a week's containers meet their lines and tasks by broadcast."""
+    from opsgrain.plans import pages as P
+    from opsgrain.plans.items_pages import AS_OF_DATE, daily_of, open_rows_of
+    from opsgrain.sources.adapter import Tables
+
+    t = Tables(spark, "/root/testdata/sf0.001")
+    rows = open_rows_of(t)
+    assert rows._jdf.queryExecution().optimizedPlan().toString().count("Join Inner") == 2
+    twice = spark.createDataFrame([("Orders Cycle Count", dt.datetime(2024, 1, 1), k) for k in (7, 7, None, 8)] + [("Lines Put", dt.datetime(2024, 1, 2), k) for k in (5, 5, None)],
+                                  "MetricName string, LastUpdatedDate timestamp, ItemKey bigint")
+    assert {r["MetricName"]: r["SourceRows"] for r in P.open_work(twice).collect()} == {"Orders Cycle Count": 2, "Lines Put": 3}
+    assert {r["MetricName"]: r["OpenWork"] for r in P.open_work_trend(twice).collect()} == {"Orders Cycle Count": 2, "Lines Put": 3}
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        small = Q.visible_kpi_expected(t, daily_of(t), AS_OF_DATE)
+        assert small._jdf.queryExecution().executedPlan().toString().count("BroadcastHashJoin") >= 4
+        got = sorted(map(str, small.collect()))
+        monkeypatch.setattr(Q, "KEY_ROWS", 0)
+        assert sorted(map(str, Q.visible_kpi_expected(t, daily_of(t), AS_OF_DATE).collect())) == got
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
