@@ -6,7 +6,7 @@ with scalar subqueries (``functions.frames.beside``), never with a join.
 
 from __future__ import annotations
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from opsgrain.functions.frames import beside, broadcast_if_small
@@ -962,12 +962,13 @@ def visible_kpi_expected(t, daily: DataFrame, as_of) -> DataFrame:
     ).join(uom, unit, "left").groupBy("d").agg(n, F.sum("ActualQuantity").alias("units"), F.count_distinct(sku).alias("skus")).agg(
         F.sum("n").alias("n"), F.sum("units").alias("units"), F.sum("skus").alias("skus"), *span(F.col("d")))
     shown = F.struct("PutAwayContainerPrimaryKey", F.coalesce("LocationPrimaryKey", F.lit(-1)), F.coalesce("NewContainerPrimaryKey", F.lit(-1)))
-    moved = shut.join(t.tasks_putaway.select("PutAwayContainerPrimaryKey", "InventoryTaskPrimaryKey", "LocationPrimaryKey"), "PutAwayContainerPrimaryKey")
-    wanted = broadcast_if_small(moved.select("InventoryTaskPrimaryKey"), KEY_ROWS)
-    known = t.inventory_tasks.select(F.col("PrimaryKey").alias("InventoryTaskPrimaryKey")).join(wanted, "InventoryTaskPrimaryKey", "left_semi").distinct()
-    actions = t.task_actions.select("InventoryTaskPrimaryKey", "NewContainerPrimaryKey").join(wanted, "InventoryTaskPrimaryKey", "left_semi")
+    task = "InventoryTaskPrimaryKey"
+    moved = broadcast_if_small(shut.join(t.tasks_putaway.select("PutAwayContainerPrimaryKey", task, "LocationPrimaryKey"), "PutAwayContainerPrimaryKey"), KEY_ROWS)
+    # tasks and actions meet the moved rows at once; an action counts where its task is there, too
+    seen = t.task_actions.select(task, "NewContainerPrimaryKey", F.lit(False).alias("_is_task")).unionByName(
+        t.inventory_tasks.select(F.col("PrimaryKey").alias(task), F.lit(True).alias("_is_task")), allowMissingColumns=True)
     tasks_in = (
-        moved.join(known, "InventoryTaskPrimaryKey").join(actions, "InventoryTaskPrimaryKey")  # a semi-join would be pushed below the broadcast one
+        seen.join(moved, task).withColumn("_known", F.max("_is_task").over(Window.partitionBy(task))).where("_known and not _is_task")
         .groupBy("d").agg(n, F.count_distinct(shown).alias("shown")).agg(F.sum("n").alias("n"), F.sum("shown").alias("shown"), *span(F.col("d")))
     )
     picked = daily.filter((F.col("WorkType") == "Pick") & (F.col("EventDate") >= recent)).agg(
