@@ -34,15 +34,26 @@ def _window_hashes(words: str, hashed) -> Column:
     return F.transform(starts, lambda i: hashed(F.slice(words, i, WINDOW)))
 
 
+def _let(value: Column, result) -> Column:
+    """``result(value)``, with ``value`` computed once however often it is used there."""
+    return F.transform(F.array(value), result)[0]
+
+
 def _covered(words: str) -> Column:
     """Words that lie in a window found twice or more.  Equal windows are
     neighbours after sorting by (hash, start)."""
     wide = _window_hashes(words, lambda w: F.struct(F.xxhash64(w).alias("h"), F.hash(w).alias("g")))
-    e = F.array_sort(F.transform(wide, lambda x, i: F.struct(x["h"].alias("h"), x["g"].alias("g"), i.alias("i"))))
-    after = F.zip_with(e, F.slice(e, 2, F.greatest(F.size(e), F.lit(1))),
-                       lambda a, b: F.struct(a["i"].alias("i"), F.coalesce((a["h"] == b["h"]) & (a["g"] == b["g"]), F.lit(False)).alias("same")))
-    before = F.concat(F.array(F.struct(F.lit(-1).alias("i"), F.lit(False).alias("same"))), F.slice(after, 1, F.greatest(F.size(after) - 1, F.lit(1))))
-    starts = F.array_sort(F.filter(F.zip_with(after, before, lambda a, p: F.when(a["same"] | p["same"], a["i"])), lambda i: i.isNotNull()))
+    sorted_ = F.array_sort(F.transform(wide, lambda x, i: F.struct(x["h"].alias("h"), x["g"].alias("g"), i.alias("i"))))
+
+    def with_next(e: Column) -> Column:
+        return F.zip_with(e, F.slice(e, 2, F.greatest(F.size(e), F.lit(1))),
+                          lambda a, b: F.struct(a["i"].alias("i"), F.coalesce((a["h"] == b["h"]) & (a["g"] == b["g"]), F.lit(False)).alias("same")))
+
+    def repeated(after: Column) -> Column:
+        before = F.concat(F.array(F.struct(F.lit(-1).alias("i"), F.lit(False).alias("same"))), F.slice(after, 1, F.greatest(F.size(after) - 1, F.lit(1))))
+        return F.array_sort(F.filter(F.zip_with(after, before, lambda a, p: F.when(a["same"] | p["same"], a["i"])), lambda i: i.isNotNull()))
+
+    starts = _let(_let(sorted_, with_next), repeated)
     zero = F.struct(F.lit(-WINDOW).alias("last"), F.lit(0).cast("bigint").alias("n"))
     return F.aggregate(starts, zero,
                        lambda a, s: F.struct(s.alias("last"), (a["n"] + F.least(F.lit(WINDOW), s - a["last"])).alias("n")),

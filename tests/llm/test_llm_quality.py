@@ -44,6 +44,13 @@ def test_overlapping_windows_count_once(spark):
     assert got == {k: brute_measure(t)[4] for k, t in enumerate(texts)}
 
 
+def test_windows_are_sorted_once(spark):
+    """Lambda bodies share no subexpressions: each mention of the sorted windows would sort them again."""
+    docs = spark.createDataFrame([(1, "a b c d " * 60, "h")], "doc_id long, text string, source string")
+    plan = host_rules.measure(docs)._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("array_sort(") == 2  # the windows, and the starts of the repeated ones
+
+
 def test_bad_hosts_lose_their_good_documents(spark):
     rows = [(k, prose(k, 40) if k % 10 == 0 else "short", "bad") for k in range(200)]
     rows += [(1000 + k, prose(k, 40), f"h{k % 7}") for k in range(140)] + [(2000, prose(9, 40), None), (2001, "short", "h0")]
