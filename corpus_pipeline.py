@@ -17,7 +17,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from opsgrain.llm import decontaminate, packing, perplexity, simhash, toxicity
-from opsgrain.llm.common import broadcast_if_small, load, stored
+from opsgrain.llm.common import broadcast_if_small, in_few_files, load, stored
 
 CORE = ("doc_id", "text", "lang", "source", "n_chars")
 
@@ -50,8 +50,9 @@ def simhash_near_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> Dat
     component that begins with one of them, the smallest text stays."""
     plain = _plain(docs)
     found = stored(simhash.near_duplicates(plain), "near-duplicates")
-    several = stored(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), "repeated-ids")
-    gone = stored(found.where("doc_id <> component_id").select("doc_id").distinct(), "duplicate-ids")
+    n = found.count()
+    several = stored(in_few_files(found.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").select("doc_id"), n), "repeated-ids")
+    gone = stored(in_few_files(found.where("doc_id <> component_id").select("doc_id").distinct(), n), "duplicate-ids")
     kept = plain.where("doc_id is not null").join(broadcast_if_small(gone), "doc_id", "left_anti")
     bare = not found.where("doc_id is null").isEmpty()
     if bare or not several.isEmpty():

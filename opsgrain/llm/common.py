@@ -12,6 +12,9 @@ from opsgrain.session import checkpoint_dir
 #: A side with at most so many rows may be broadcast (some tens of bytes a row).
 BROADCAST_ROWS = 200_000
 
+#: A stored table of known size has a file for every so many narrow rows.
+FILE_ROWS = 100_000
+
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -31,6 +34,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+def in_few_files(df: DataFrame, rows: int) -> DataFrame:
+    """``df``, which has at most ``rows`` narrow rows, in no more partitions than
+    so many rows need.  Where Spark does not itself merge small partitions, each
+    becomes a file, and on a local file system every file costs its writer two
+    processes (``chmod`` of it and of its checksum); while one starts, the
+    executor's memory is seen twice.  Partitions of large tables stay."""
+    return df.coalesce(max(1, -(-rows // FILE_ROWS)))
+
+
 def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFrame:
     """``df`` with a broadcast hint if it has at most ``max_rows`` rows, else
     as it is, for a shuffle join.  ``df`` should be a stored table, because it

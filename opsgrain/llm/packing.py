@@ -22,7 +22,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsgrain.llm.common import broadcast_if_small, stored
+from opsgrain.llm.common import broadcast_if_small, in_few_files, stored
 from opsgrain.llm.pretokens import encoder_of, slices, tokenizer_path
 
 CAPACITY = 2048
@@ -147,7 +147,7 @@ def pack(documents: DataFrame, path: str | None = None, capacity: int = CAPACITY
     says what to return of its ids, by default ``ids`` themselves."""
     path = path or tokenizer_path("byte_bpe_50k.json")
     pieces = stored(cut(documents, path, capacity, end_id), "pieces")
-    by_task = stored(pieces.groupBy("task", "length").agg(F.count("*").alias("n")), "piece-counts")
+    by_task = stored(in_few_files(pieces.groupBy("task", "length").agg(F.count("*").alias("n")), pieces.count()), "piece-counts")
     total = {r["length"]: r["n"] for r in by_task.groupBy("length").agg(F.sum("n").alias("n")).collect()}  # at most `capacity` rows
     where = places(plan_bins(total, capacity), capacity)
     before = Window.partitionBy("length").orderBy("task").rowsBetween(Window.unboundedPreceding, -1)
@@ -165,7 +165,7 @@ def pack(documents: DataFrame, path: str | None = None, capacity: int = CAPACITY
                 [*kept.columns, pa.array(at[:, 2] + k // at[:, 3]), pa.array(at[:, 4] + k % at[:, 3] * length)],
                 names=[*kept.schema.names, "sequence_id", "offset"])
 
-    located = narrow.join(broadcast_if_small(stored(offsets, "piece-offsets")), ["task", "length"]).select(
+    located = narrow.join(broadcast_if_small(stored(in_few_files(offsets, by_task.count()), "piece-offsets")), ["task", "length"]).select(
         "doc_id", "piece", "start", F.col("length").cast("bigint").alias("length"), narrow[narrow.columns[-1]], (F.col("nth") + F.col("before")).alias("rank"))
     schema = T.StructType([f for f in located.schema.fields if f.name != "rank"]).add("sequence_id", "long").add("offset", "long")
     return located.mapInArrow(find, schema)

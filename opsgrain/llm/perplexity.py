@@ -35,7 +35,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsgrain.llm.common import broadcast_if_small, stored
+from opsgrain.llm.common import broadcast_if_small, in_few_files, stored
 from opsgrain.llm.pretokens import slices
 
 ORDER = 5
@@ -70,7 +70,7 @@ def grams(texts: list[str | None], order: int) -> tuple[np.ndarray, np.ndarray]:
 def _trusted(documents: DataFrame, labels: DataFrame) -> DataFrame:
     good = labels.where("doc_id is not null").groupBy(F.col("doc_id").cast("bigint").alias("_id")).agg(
         (F.min(F.coalesce("quality", F.lit(0))) == 1).alias("trusted")).where("trusted")
-    good = broadcast_if_small(stored(good, "trusted"))
+    good = broadcast_if_small(stored(in_few_files(good, labels.count()), "trusted"))
     docs = documents.drop(*COLUMNS)
     return docs.join(good, F.col("doc_id").cast("bigint") == F.col("_id"), "left").drop("_id").withColumn("trusted", F.coalesce("trusted", F.lit(False)))
 
@@ -131,10 +131,13 @@ def _discounts(level: DataFrame) -> list[float]:
 
 def log_probabilities(counts: DataFrame, order: int = ORDER) -> DataFrame:
     """``code`` and ``logp``, the natural logarithm of the probability of the
-    n-gram's last byte after the others, for each code of ``counts``."""
+    n-gram's last byte after the others, for each code of ``counts``, a stored
+    table."""
+    n = counts.count()
+    most = {k: min(n, SYMBOLS ** k) for k in range(1, order + 1)}
     levels = {order: counts.select("code", "raw", F.col("raw").alias("a"))}
     for k in range(order - 1, 0, -1):
-        levels[k] = stored(_level(levels[k + 1], k), f"grams-{k}")
+        levels[k] = stored(in_few_files(_level(levels[k + 1], k), most[k]), f"grams-{k}")
     lower = None
     for k in range(1, order + 1):
         d = _discounts(levels[k])
@@ -149,7 +152,7 @@ def log_probabilities(counts: DataFrame, order: int = ORDER) -> DataFrame:
         else:
             t = t.join(lower.select(F.col("code").alias("suffix"), F.col("p").alias("below")), "suffix")
         p = F.when(F.col("total").isNull(), F.col("below")).otherwise((F.col("a") - F.col("cut") + F.col("freed") * F.col("below")) / F.col("total"))
-        lower = stored(t.select("code", p.alias("p")), f"probabilities-{k}")
+        lower = stored(in_few_files(t.select("code", p.alias("p")), most[k]), f"probabilities-{k}")
     return lower.select("code", F.ln("p").alias("logp"))
 
 
@@ -234,24 +237,26 @@ def out_of_sample(documents: DataFrame, counts: DataFrame, order: int = ORDER) -
     """``lang``, ``loss`` and ``grams`` of the trusted ones of ``documents``,
     each under the model of the other folds.  ``counts`` are those of all."""
     good = stored(documents.where("trusted").select("lang", "text", "trusted", F.pmod(F.xxhash64("text"), F.lit(FOLDS)).alias("fold")), "trusted-texts")
-    out = []
+    n, out = counts.count(), []
     for f in range(FOLDS):
         fold = good.where(F.col("fold") == f)
         own = count_grams(fold, order).withColumnRenamed("raw", "own")
         # other folds' counts of every n-gram
         rest = counts.join(own, "code", "left").select("code", (F.col("raw") - F.coalesce("own", F.lit(0))).alias("raw"))
-        out.append(_scored(fold, stored(rest, f"grams-without-{f}"), order).select("lang", "loss", "grams"))
+        out.append(_scored(fold, stored(in_few_files(rest, n), f"grams-without-{f}"), order).select("lang", "loss", "grams"))
     return reduce(DataFrame.unionAll, out)
 
 
 def thresholds(losses: DataFrame, quantile: float, margin: float, shrink: float, min_trusted: int) -> DataFrame:
     """Per language (null: of all together): mean and threshold of the loss per
-    byte, from an exact histogram of trusted documents' ``losses``."""
+    byte, from an exact histogram of trusted documents' ``losses``, a stored
+    table."""
     t = losses.select("lang", "loss", "grams")
+    rows = 2 * losses.count()  # each counts for its language and for all
     t = t.where("lang is not null").unionAll(t.withColumn("lang", F.lit(None).cast("string")))
-    means = stored(t.groupBy("lang").agg((F.sum("loss") / F.sum("grams")).alias("mean"), F.count("*").alias("n")), "language-means")
+    means = stored(in_few_files(t.groupBy("lang").agg((F.sum("loss") / F.sum("grams")).alias("mean"), F.count("*").alias("n")), rows), "language-means")
     of = t.join(broadcast_if_small(means), t["lang"].eqNullSafe(means["lang"])).select(means["lang"], "mean", "n", (shrunk_loss(shrink) - F.col("mean")).alias("x"))
-    bins = stored(of.groupBy("lang", "mean", "n", F.floor(F.col("x") * BINS).alias("bin")).agg(F.count("*").alias("c")), "loss-bins")
+    bins = stored(in_few_files(of.groupBy("lang", "mean", "n", F.floor(F.col("x") * BINS).alias("bin")).agg(F.count("*").alias("c")), rows), "loss-bins")
 
     def distances(b: DataFrame) -> DataFrame:
         up_to = F.sum("c").over(Window.partitionBy("lang").orderBy("bin"))

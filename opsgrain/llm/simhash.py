@@ -27,7 +27,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from opsgrain.llm.common import stored
+from opsgrain.llm.common import in_few_files, stored
 from opsgrain.llm.components import stars
 
 SHINGLE = 4
@@ -273,9 +273,10 @@ def near_duplicates(documents: DataFrame, size: int = SHINGLE, radius: int = MAX
     component) and ``component_id``: the smallest doc_id that chains of links
     reach."""
     docs = stored(fingerprints(documents, size, seed), "fingerprints")
+    n = docs.count()
     distinct = stored(docs.groupBy("fp").agg(F.min("doc_id").alias("doc_id")), "distinct-fingerprints")
     star = stars(links(distinct, radius))
     rooted = distinct.join(star.withColumnRenamed("a", "fp"), "fp", "left").select("fp", "doc_id", F.coalesce("b", "fp").alias("root"))
     smallest = rooted.groupBy("root").agg(F.min("doc_id").alias("component_id"))
-    classes = stored(rooted.join(smallest, "root").select("fp", "root", "component_id"), "classes")
-    return docs.join(classes, "fp").select("doc_id", "fp", "root", "component_id")
+    classes = stored(in_few_files(rooted.join(smallest, "root").select("fp", "root", "component_id"), n), "classes")
+    return in_few_files(docs.join(classes, "fp").select("doc_id", "fp", "root", "component_id"), n)

@@ -11,7 +11,7 @@ import xxhash
 from llm_cases import CLASHING, DOCUMENTS, edge_documents, empty_documents, prose
 
 import corpus_pipeline
-from opsgrain.llm import components, decontaminate, registry, simhash
+from opsgrain.llm import common, components, decontaminate, packing, perplexity, registry, simhash
 
 SF = "/root/testdata/sf0.001"
 
@@ -114,6 +114,38 @@ def test_stars(spark, seed):
     assert components.stars(spark.createDataFrame([], "a long, b long")).count() == 0
 
 
+def test_small_tables_make_few_files(spark, monkeypatch):
+    """Where Spark merges no small partitions, a stored table of few rows is still one file."""
+    files = {}
+
+    def noted(df, name):
+        out = common.stored(df, name)
+        files[name] = max(files.get(name, 0), len(out.inputFiles()))
+        return out
+
+    for module in (components, simhash, perplexity, packing, corpus_pipeline):
+        monkeypatch.setattr(module, "stored", noted)
+    held = {"spark.sql.shuffle.partitions": "40", "spark.sql.adaptive.coalescePartitions.enabled": "false"}
+    before = {k: spark.conf.get(k) for k in held}
+    docs = spark.createDataFrame([(k, prose(k // 2, 40) + " x" * (k % 2), "en", "s", 1) for k in range(60)], DOCUMENTS)
+    good = spark.createDataFrame([(k, 1, 0) for k in range(0, 60, 2)], "doc_id long, quality int, toxic int")
+    try:
+        for k, v in held.items():
+            spark.conf.set(k, v)
+        corpus_pipeline.simhash_near_dedup(spark, docs, SF).count()
+        components.stars(spark.createDataFrame([(k, k + 1) for k in range(300)], "a long, b long"))
+        perplexity.thresholds(perplexity.with_losses(docs, good).where("trusted"), 0.99, 0.1, 100.0, 50)
+        packing.pack(docs).count()
+    finally:
+        for k, v in before.items():
+            spark.conf.set(k, v)
+    one = {"large-stars", "stars", "classes", "near-duplicates", "duplicate-ids", "trusted", "piece-counts", "piece-offsets", "loss-bins",
+           *(f"grams-{k}" for k in range(1, 5)), *(f"probabilities-{k}" for k in range(1, 6))}
+    assert {k: files[k] for k in sorted(one)} == dict.fromkeys(sorted(one), 1)
+    assert common.in_few_files(spark.range(10, numPartitions=7), 5 * common.FILE_ROWS).rdd.getNumPartitions() == 5
+    assert common.in_few_files(spark.range(10, numPartitions=7), 9 * common.FILE_ROWS).rdd.getNumPartitions() == 7
+
+
 # --- operator 8 -----------------------------------------------------------------
 
 def items_frame(spark, rows):
