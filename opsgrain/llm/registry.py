@@ -51,7 +51,7 @@ def op8_decontamination(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 def op9_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     docs = load(spark, sf_dir, "documents").select("doc_id", "text")
-    scored = toxicity.score(docs, toxicity.fit(docs, load(spark, sf_dir, "labels")))
+    scored = toxicity.score(docs, toxicity.fit(docs, load(spark, sf_dir, "labels"), carried=["doc_id"]))
     return scored.select("doc_id", toxicity.held_out(F.col("doc_id")).alias("held_out"), "score", "predicted", "evidence")
 
 
