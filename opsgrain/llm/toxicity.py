@@ -59,12 +59,12 @@ SHARED = 256  # terms by which examples are grouped
 FREQUENT = 20  # a term in more than one of so many examples of a group is frequent
 DENSE_BYTES = 64 << 20  # bound of a worker's table of frequent terms
 AHEAD = 16  # blocks of a text whose examples are looked up first
-SHORT = 128  # postings of a list that is not worth a copy of its own
-TEXTS = 250  # texts searched for at a time
+SHORT = 64  # postings of a list that is not worth a copy of its own
+TEXTS = 500  # texts searched for at a time
 FLOOR = 0.05  # weight of a term that does not separate the labels
 LENGTH_WEIGHT = 0.5
 EVIDENCE = 3
-PART = 250  # texts whose terms are counted at a time
+PART = 500  # texts whose terms are counted at a time
 
 ADDED = ("score", "predicted", "evidence")
 EVIDENCE_TYPE = "array<struct<doc_id:bigint,similarity:double,toxic:int>>"
@@ -326,8 +326,8 @@ class Index:
         """``nearest`` of each text, ``TEXTS`` at a time."""
         return [x for a in range(0, len(texts), TEXTS) for x in self._nearest_of(texts[a:a + TEXTS])]
 
-    def _found(self, t: np.ndarray, v: np.ndarray) -> np.ndarray:
-        """Every example's share of a cosine by the postings of rare terms."""
+    def _add_found(self, t: np.ndarray, v: np.ndarray, base: np.ndarray) -> None:
+        """Adds every example's share of a cosine by the postings of rare terms."""
         first, end = self.start[t], self.start[t + 1]
         size = end - first
         some, few = np.flatnonzero(size > SHORT), np.flatnonzero((size > 0) & (size <= SHORT))
@@ -336,15 +336,16 @@ class Index:
         lists.append(all_postings[_cells(first[few], size[few])])
         got = np.concatenate(lists).view(POSTING)
         many = np.repeat(np.append(v[some], v[few]).astype(np.float32), np.append(size[some], size[few]))
-        return np.bincount(got["place"], weights=got["value"] * many, minlength=self.length.size)
+        many *= got["value"]
+        np.add.at(base, got["place"].astype(np.int64), many)
 
     def _nearest_of(self, texts: list[tuple[np.ndarray, np.ndarray, float, int]]) -> list[tuple[np.ndarray, np.ndarray]]:
         k, n, blocks = self.model.k, len(texts), self.dense.shape[0]
         if not blocks or not n:
             return [(np.zeros(0, np.int64), np.zeros(0))] * n
-        base = np.empty((n, blocks * BLOCK), np.float32)
+        base = np.zeros((n, blocks * BLOCK), np.float32)
         for i, (t, v, _, _) in enumerate(texts):
-            base[i] = self._found(t, v)
+            self._add_found(t, v, base[i])
         touched = base > 0
         for i, (_, _, length, skip) in enumerate(texts):
             base[i] += np.float32(length) * self.length

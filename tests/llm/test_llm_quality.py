@@ -207,6 +207,63 @@ def test_nearest_equals_exhaustive_search():
         assert np.allclose([cosine_of(vectors[i], vectors[model.ids[p]]) for p in place], got, atol=1e-5)
 
 
+def test_many_texts_at_a_time_equal_exhaustive_search(monkeypatch):
+    monkeypatch.setattr(toxicity, "GROUP", 200)  # four groups
+    monkeypatch.setattr(toxicity, "TEXTS", 100)
+    monkeypatch.setattr(toxicity, "AHEAD", 3)
+    rng = np.random.default_rng(2)
+    n, terms = 900, 360
+    # three "languages" of 120 terms, each with frequent ones, and texts of one term, which every group holds
+    often = np.append(np.full(15, 0.04), np.full(105, 0.4 / 105))
+    rows = [({int(t) + 120 * (i % 3): int(rng.integers(1, 400) if i % 50 == 0 else rng.integers(1, 4)) for t in rng.choice(120, rng.integers(1, 25), replace=False, p=often)}, int(rng.integers(1, 500))) for i in range(n)]
+    rows[5] = rows[500] = rows[7]  # ties
+    row = np.cumsum([0, *(len(c) for c, _ in rows)])
+    term, tf = (np.concatenate([np.array(list(x(c)), np.int64) for c, _ in rows]) for x in (dict.keys, dict.values))
+    weight = rng.uniform(0.5, 3, terms)
+    model = toxicity.Model.of(np.arange(terms), weight, row, term.astype(np.int32), np.minimum(tf, 255).astype(np.uint8), np.array([w for _, w in rows]), np.arange(n), rng.integers(0, 2, n), 0.2, 0.1, 15)
+    index = toxicity.Index(model)
+    assert sorted(model.ids) == list(range(n)) and len(model.edge) > 2  # groups
+    assert any((index.slot[:, t] >= 0).any() and (index.slot[:, t] < 0).any() for t in range(terms))  # frequent in some groups only
+    at = {d: p for p, d in enumerate(model.ids.tolist())}
+    vectors = vectors_of(rows, dict(enumerate(weight)))
+    asked = [*range(0, n, 5), 7]
+    got = index.nearest_of([(*index.vector(np.array(list(rows[i][0])), np.minimum(list(rows[i][0].values()), 255), rows[i][1]), at[i]) for i in asked])
+    for i, (place, cosine) in zip(asked, got, strict=True):
+        want = sorted((x for j in range(n) if j != i and (x := cosine_of(vectors[i], vectors[j])) is not None), reverse=True)[:15]
+        assert np.allclose(cosine, want, atol=1e-5)
+        assert np.allclose([cosine_of(vectors[i], vectors[model.ids[p]]) for p in place], cosine, atol=1e-5)
+    ties = got[asked.index(5)][0][:2]
+    assert model.ids[ties].tolist() == [7, 500] and (np.diff(ties) > 0).all()  # equal examples by place
+    assert index.nearest_of([]) == []
+
+
+def test_terms_are_counted_like_a_regular_expression():
+    texts = ["Word, word. word", "x1y_z it's\u00a0\u00c9t\u00e9 \u00b2\u0663 \u039f\u03a3 \u039f\u03a3.", "", None, "aaaa " * 300 + "aaaa-aaaa", "internationally internationale"]
+    for keys in (None, np.sort(toxicity.hashes_of(["word", "it", "aaaa", "inter*", "interna*", "internationally"]))):
+        for limit in (300_000, 2):
+            edge, term, tf, words = (counter := toxicity.Terms(keys, limit)).count(texts)
+            edge, term, tf, words = counter.count(texts)  # from what it keeps
+            for i, text in enumerate(texts):
+                found = re.findall(r"[^\W\d_]+", (text or "").lower())
+                want = Counter(int(h) for w in found for h in toxicity.hashes_of(toxicity.terms_of(w)) if keys is None or h in keys)
+                own = term[edge[i]:edge[i + 1]]
+                own = own.tolist() if keys is None else keys[own].tolist()
+                assert dict(zip(own, tf[edge[i]:edge[i + 1]].tolist(), strict=True)) == {h: min(c, 255) for h, c in want.items()} and words[i] == len(found)
+
+
+def test_texts_are_counted_once(spark):
+    rows = [(k, prose(k, 30) + (" vile" if k % 2 else ""), k % 7, k % 2) for k in range(200)] + [(None, None, 1, 0), (300, "", 2, 0), (300, "", 3, 0)]
+    docs = spark.createDataFrame([r[:3] for r in rows], "doc_id long, text string, other int")
+    marks = labels(spark, [(r[0], 1, r[3]) for r in rows[:150]])
+    fitted = toxicity.fit(docs, marks)
+    again = docs.select("doc_id", "text", "other")  # counted anew, as it is another table
+    a, b = (sorted((tuple(r[:5]) for r in toxicity.score(d, fitted).collect()), key=str) for d in (docs, again))
+    assert a == b and len(a) == len(rows) and toxicity.score(docs, fitted).columns == ["doc_id", "text", "other", "score", "predicted", "evidence"]
+    lean = toxicity.fit(docs, marks, carried=["doc_id"])
+    assert "text" not in lean.counts.columns  # stored terms, no text
+    assert sorted(((r[0], *r[1:3]) for r in toxicity.score(docs, lean).collect()), key=str) == sorted(((r[0], *r[3:5]) for r in a), key=str)
+
+
 def test_scores_equal_brute_force(spark):
     """The whole operator on the small tables, with its own terms, statistics,
     weights, neighbours, votes and calibration in plain Python."""
