@@ -284,7 +284,7 @@ class Index:
         for a, b in parts:
             lo, hi = model.start[a], model.start[b]
             place, of = model.place[lo:hi], np.repeat(np.arange(a, b), size[a:b])
-            value = LOG[model.tf[lo:hi]].astype(np.float32) * (model.weight[of] / model.norm[place]).astype(np.float32)
+            value = (LOG[model.tf[lo:hi]].astype(np.float32) * (model.weight[of] / model.norm[place])).astype(np.float32)
             at = self.slot[of_block[place // BLOCK], of]
             out = at < 0
             self.dense[place[~out] // BLOCK, at[~out], place[~out] % BLOCK] = value[~out]
@@ -326,8 +326,9 @@ class Index:
         """``nearest`` of each text, ``TEXTS`` at a time."""
         return [x for a in range(0, len(texts), TEXTS) for x in self._nearest_of(texts[a:a + TEXTS])]
 
-    def _add_found(self, t: np.ndarray, v: np.ndarray, base: np.ndarray) -> None:
-        """Adds every example's share of a cosine by the postings of rare terms."""
+    def _found(self, t: np.ndarray, v: np.ndarray) -> np.ndarray:
+        """Every example's share of a cosine by the postings of rare terms, summed
+        as doubles."""
         first, end = self.start[t], self.start[t + 1]
         size = end - first
         some, few = np.flatnonzero(size > SHORT), np.flatnonzero((size > 0) & (size <= SHORT))
@@ -336,16 +337,15 @@ class Index:
         lists.append(all_postings[_cells(first[few], size[few])])
         got = np.concatenate(lists).view(POSTING)
         many = np.repeat(np.append(v[some], v[few]).astype(np.float32), np.append(size[some], size[few]))
-        many *= got["value"]
-        np.add.at(base, got["place"].astype(np.int64), many)
+        return np.bincount(got["place"], weights=got["value"] * many, minlength=self.length.size)
 
     def _nearest_of(self, texts: list[tuple[np.ndarray, np.ndarray, float, int]]) -> list[tuple[np.ndarray, np.ndarray]]:
         k, n, blocks = self.model.k, len(texts), self.dense.shape[0]
         if not blocks or not n:
             return [(np.zeros(0, np.int64), np.zeros(0))] * n
-        base = np.zeros((n, blocks * BLOCK), np.float32)
+        base = np.empty((n, blocks * BLOCK), np.float32)
         for i, (t, v, _, _) in enumerate(texts):
-            self._add_found(t, v, base[i])
+            base[i] = self._found(t, v)
         touched = base > 0
         for i, (_, _, length, skip) in enumerate(texts):
             base[i] += np.float32(length) * self.length
