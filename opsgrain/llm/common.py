@@ -3,6 +3,8 @@
 from __future__ import annotations
 
 import uuid
+from collections.abc import Iterator
+from contextlib import contextmanager
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -15,6 +17,14 @@ BROADCAST_ROWS = 200_000
 #: A stored table of known size has a file for every so many narrow rows.
 FILE_ROWS = 100_000
 
+#: Bytes of rows that go to a Python worker at a time where a row may have megabytes.
+BATCH_BYTES = 4 << 20
+BATCH_SETTING = "spark.sql.execution.arrow.maxBytesPerBatch"
+
+#: Writer options for rows that may have megabytes: a writer and a reader hold a
+#: row group whole, and without them its size is first looked at after 100 rows.
+WIDE_ROWS = {"parquet.block.size": 8 << 20, "parquet.page.size.row.check.min": 1}
+
 
 def load(spark: SparkSession, sf_dir: str, table: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{table}.parquet")
@@ -25,15 +35,31 @@ def new_path(spark: SparkSession, name: str) -> str:
     return f"{checkpoint_dir(spark).rstrip('/')}/opsgrain-llm/{name}-{uuid.uuid4().hex}"
 
 
-def stored(df: DataFrame, name: str) -> DataFrame:
+def stored(df: DataFrame, name: str, **options: int) -> DataFrame:
     """Write ``df`` as Parquet to the shared folder and read it back: the
     lineage ends there, several readers share one computation, and no executor
-    holds the only copy."""
+    holds the only copy.  ``options`` are the writer's."""
     path = new_path(df.sparkSession, name)
-    df.write.option("compression", "zstd").parquet(path)
+    df.write.option("compression", "zstd").options(**options).parquet(path)
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
+@contextmanager
+def small_batches(spark: SparkSession) -> Iterator[None]:
+    """What is computed inside sends ``BATCH_BYTES`` of rows and one more row to
+    a Python worker at a time.  Spark's usual 64 MB are held by the executor in
+    buffers that double, and by the worker, for every task at once."""
+    before = spark.conf.get(BATCH_SETTING, None)
+    spark.conf.set(BATCH_SETTING, str(BATCH_BYTES))
+    try:
+        yield
+    finally:
+        if before is None:
+            spark.conf.unset(BATCH_SETTING)
+        else:
+            spark.conf.set(BATCH_SETTING, before)
+
+
 def in_few_files(df: DataFrame, rows: int) -> DataFrame:
     """``df``, which has at most ``rows`` narrow rows, in no more partitions than
     so many rows need.  Where Spark does not itself merge small partitions, each

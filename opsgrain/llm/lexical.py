@@ -14,9 +14,11 @@ looked up for the documents that still can get in, and the documents of the
 intersection lists are scored first, for an early threshold.  The bounds are
 exact, so the ranking is that of an exhaustive search.
 
-Scale: a task holds one index block and one block of queries (at most
-``QUERY_TERMS`` terms, unless one query alone has more); it returns at most
-``top`` rows a query, which are cut again by salted, then whole windows.
+Scale: a task holds some megabytes of index blocks (a batch to its worker, a row
+group) and one block of queries (at most ``QUERY_TERMS`` terms, unless one query
+alone has more); a posting has three bytes, and eight more if its term occurs
+``LARGE`` times or more; a task returns at most ``top`` rows a query, which are
+cut again by salted, then whole windows.
 
 Defined results: a null or empty text, and one without a term, is no document
 and no query; a null doc_id comes after the others of equal score, and rows
@@ -39,15 +41,16 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
-from opsgrain.llm.common import stored
+from opsgrain.llm.common import WIDE_ROWS, small_batches, stored
 
 TERM = re.compile(rb"[0-9a-z\x80-\xff]+")  # over lowered UTF-8, whose other bytes are all above
 BLOCK_POSTINGS = 262_144
 BLOCK_DOCS = 60_000  # places fit 16 bits
+LARGE = 255  # stands for every frequency from it on
 QUERY_TERMS = 100_000
 SALTS = 64
 
-INDEX = "block bigint, docs bigint, length bigint, ids binary, bare binary, lengths binary, terms array<string>, held array<int>, places binary, tfs binary"
+INDEX = "block bigint, docs bigint, length bigint, ids binary, bare binary, lengths binary, terms array<string>, held array<int>, places binary, tfs binary, large binary"
 IMPACTS = "block bigint, ids binary, bare binary, terms binary, starts binary, places binary, shares binary, pairs binary, joint binary, pair_starts binary, pair_places binary"
 
 
@@ -56,6 +59,17 @@ def terms_of(text: bytes | None) -> Counter:
     return Counter(TERM.findall(text.lower())) if text else Counter()
 
 
+def packed_tfs(tf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """Frequencies in a byte each, and those of ``LARGE`` or more."""
+    return np.minimum(tf, LARGE).astype(np.uint8), tf[tf >= LARGE]
+
+
+def unpacked_tfs(tfs: bytes, large: bytes) -> np.ndarray:
+    out = np.frombuffer(tfs, np.uint8).astype(np.int64)
+    out[out == LARGE] = np.frombuffer(large, np.int64)
+    return out
+
+
 class Index(NamedTuple):
     blocks: DataFrame
     frequencies: DataFrame  # term, df
@@ -75,9 +89,8 @@ def _row(block: int, ids: list, lengths: list, numbers: dict, term: list, tf: li
     one = [pa.array([x]) for x in (block, len(ids), sum(lengths), own.tobytes(), bare.tobytes(), np.array(lengths, np.int64).tobytes())]
     lists = [pa.ListArray.from_arrays(pa.array([0, len(numbers)], pa.int32()), x) for x in (words, held)]
     tf = tf[order]
-    packed = tf.astype(np.uint8) if tf.max(initial=0) < 256 else tf  # told apart by their size
-    return pa.RecordBatch.from_arrays([*one, *lists, pa.array([place.tobytes()]), pa.array([packed.tobytes()])],
-                                      names=["block", "docs", "length", "ids", "bare", "lengths", "terms", "held", "places", "tfs"])
+    last = [pa.array([x.tobytes()]) for x in (place, *packed_tfs(tf))]
+    return pa.RecordBatch.from_arrays([*one, *lists, *last], names=[c.split()[0] for c in INDEX.split(", ")])
 
 
 def build(documents: DataFrame, block_postings: int = BLOCK_POSTINGS) -> Index:
@@ -104,7 +117,8 @@ def build(documents: DataFrame, block_postings: int = BLOCK_POSTINGS) -> Index:
             yield _row(block, ids, lengths, numbers, term, tf, per)
 
     texts = documents.select(F.col("doc_id").cast("bigint").alias("doc_id"), F.col("text").cast("binary").alias("text"))
-    blocks = stored(texts.mapInArrow(run, INDEX), "lexical-blocks")
+    with small_batches(documents.sparkSession):
+        blocks = stored(texts.mapInArrow(run, INDEX), "lexical-blocks", **WIDE_ROWS)
     total = blocks.agg(F.coalesce(F.sum("docs"), F.lit(0)).alias("n"), F.coalesce(F.sum("length"), F.lit(0)).alias("l")).first()
     held = blocks.select(F.explode(F.arrays_zip("terms", "held")).alias("x"))
     frequencies = held.groupBy(F.col("x.terms").alias("term")).agg(F.sum("x.held").alias("df"))
@@ -160,15 +174,14 @@ def prepare(index: Index, queries: Queries) -> DataFrame:
                 held = np.array(column["held"].values.to_numpy(), np.int64)
                 first = np.append(0, np.cumsum(held))
                 place = np.frombuffer(column["places"].as_py(), np.uint16)
-                raw = column["tfs"].as_py()
-                tf = np.frombuffer(raw, np.uint8 if len(raw) == len(place) else np.int64)
+                tf = unpacked_tfs(column["tfs"].as_py(), column["large"].as_py())
                 found = sorted((q.numbers[t], i) for i, t in enumerate(column["terms"].as_py()) if t in q.numbers)
                 if not found:
                     continue
                 places, parts, at = [], [], {}
                 for k, (t, i) in enumerate(found):
                     a, b = first[i], first[i + 1]
-                    f = tf[a:b].astype(np.int64)
+                    f = tf[a:b]
                     places.append(place[a:b])
                     parts.append(1_000_000_000 * f // (1000 * f + damped[place[a:b]]))
                     at[t] = k
@@ -194,7 +207,8 @@ def prepare(index: Index, queries: Queries) -> DataFrame:
                     packed(numbers, np.int32), packed(joint, np.int64), packed(edges(lists), np.int64), packed(np.concatenate(lists) if lists else [], np.uint16),
                 ], names=[c.split()[0] for c in IMPACTS.split(", ")])
 
-    out = stored(index.blocks.mapInArrow(run, IMPACTS), "lexical-impacts")
+    with small_batches(index.blocks.sparkSession):
+        out = stored(index.blocks.mapInArrow(run, IMPACTS), "lexical-impacts", **WIDE_ROWS)
     known.destroy()
     return out
 
@@ -307,7 +321,8 @@ def search(impacts: DataFrame, queries: Queries, top: int) -> DataFrame:
                 yield pa.RecordBatch.from_arrays([pa.array(np.full(len(score), row)), pa.array(doc, mask=bare > 0), pa.array(score), pa.array(np.full(len(score), task % SALTS, np.int32))],
                                                  names=["query", "doc_id", "score", "task"])
 
-    out = stored(impacts.mapInArrow(run, "query bigint, doc_id bigint, score bigint, task int"), "lexical-found")
+    with small_batches(impacts.sparkSession):
+        out = stored(impacts.mapInArrow(run, "query bigint, doc_id bigint, score bigint, task int"), "lexical-found")
     known.destroy()
     return out
 

@@ -11,11 +11,14 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
+import pyarrow.parquet as pq
 import pytest
 from llm_cases import LONG, edge_documents, edge_rows, empty_documents, prose
 from pyspark.sql import functions as F
 
 from opsgrain.llm import lexical, pii, registry, spelling
+from opsgrain.llm.common import BATCH_BYTES, BATCH_SETTING, WIDE_ROWS, small_batches, stored
 
 SF = "/root/testdata/sf0.001"
 ASCII_LOWER = {c: c + 32 for c in range(65, 91)}
@@ -136,6 +139,34 @@ def test_search_equals_exhaustive_search(spark, monkeypatch, postings, query_ter
         assert ranked(lexical.lexical_search(docs.repartition(3), asked, top, query_terms)) == brute_search(rows, items, top)
 
 
+def test_frequent_term_of_one_document_leaves_a_byte_a_posting(spark):
+    rows = [(k, prose(k, 60)) for k in range(50)] + [(50, "often " * 254 + "once"), (51, "often " * 255), (52, "often " * 256 + prose(3, 9)), (53, "often " * 70_000 + "rare " * 300)]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    postings = sum(len(brute_terms(t)) for _, t in rows)
+    found = lexical.build(docs.coalesce(1)).blocks.collect()
+    assert sum(len(r["tfs"]) for r in found) == postings
+    assert sorted(n for r in found for n in np.frombuffer(r["large"], np.int64).tolist()) == [255, 256, 300, 70_000]
+    items = [(1, "often"), (2, "rare once " + prose(3, 9))]
+    asked = spark.createDataFrame(items, "item_id long, text string")
+    assert ranked(lexical.lexical_search(docs, asked, 60)) == brute_search(rows, items, 60)
+
+
+def test_rows_of_megabytes_go_to_workers_a_few_at_a_time(spark):
+    def sizes(batches):
+        for b in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([b.num_rows])], names=["n"])
+
+    rows = stored(spark.range(0, 24, 1, 1).select(F.expr("randstr(1000000, 7)").cast("binary").alias("b")), "wide-rows", **WIDE_ROWS)
+    found = [pq.ParquetFile(f.removeprefix("file://").removeprefix("file:")).metadata for f in rows.inputFiles()]
+    groups = [m.row_group(i).num_rows for m in found for i in range(m.num_row_groups)]
+    assert sum(groups) == 24 and max(groups) <= 12
+    before = spark.conf.get(BATCH_SETTING)
+    with small_batches(spark):
+        got = [r["n"] for r in stored(rows.mapInArrow(sizes, "n bigint"), "batches").collect()]
+    assert sum(got) == 24 and max(got) <= BATCH_BYTES // 1_000_000 + 1
+    assert spark.conf.get(BATCH_SETTING) == before
+
+
 def test_pair_bounds_are_true_and_tighter():
     rng = np.random.default_rng(3)
     tighter = 0
