@@ -76,5 +76,13 @@ def broadcast_if_small(df: DataFrame, max_rows: int = BROADCAST_ROWS) -> DataFra
     return F.broadcast(df) if df.limit(max_rows + 1).count() <= max_rows else df
 
 
+def shuffled(df: DataFrame) -> DataFrame:
+    """``df`` with a hint that both sides of its join are shuffled and merged.
+    Spark takes a stored table to be as large as its compressed files, and the
+    result of a Python step as large as its input, so what a step makes of many
+    rows, or what compresses well, may look small enough to broadcast."""
+    return df.hint("merge")
+
+
 def lower_ascii(c: Column) -> Column:
     return F.translate(c, "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")

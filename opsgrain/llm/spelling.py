@@ -12,7 +12,8 @@ find the same pairs again from their other word, and are left out.
 A reduced form that more than ``crowded`` words share is looked up with the
 whole alphabet in place of the few symbols, where no two words share a form,
 so no key of the join holds more than ``crowded`` vocabulary words and nothing
-is dropped.  Words over ``LONG`` code points travel by hash, and their pairs
+is dropped.  All joins are shuffled; only the crowded forms are broadcast, if a
+count finds them few.  Words over ``LONG`` code points travel by hash, and their pairs
 are joined back, so a very long word costs its length times the alphabet.
 
 ``forms`` counts each word's near words, picks its form, and follows forms to
@@ -37,7 +38,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from opsgrain.llm.common import broadcast_if_small, stored
+from opsgrain.llm.common import broadcast_if_small, shuffled, stored
 
 MIN_LENGTH = 7
 RUN = re.compile(f"[a-zÀ-ÿ]{{{MIN_LENGTH},}}")
@@ -219,11 +220,11 @@ def verified(candidates: DataFrame, symbols: int) -> DataFrame:
 def lookups(callers: DataFrame, index: DataFrame, symbols: int | None, long: bool) -> DataFrame:
     """``(own, word, n)``: candidates of ``callers(word)`` in ``index(key,
     word, n)``.  ``long``: whether there may be words over ``LONG``."""
-    found = neighbourhoods(callers.where(F.length("word") <= LONG), symbols).join(index, "key").select("own", "word", "n")
+    found = neighbourhoods(callers.where(F.length("word") <= LONG), symbols).join(shuffled(index), "key").select("own", "word", "n")
     if long:
         far = callers.where(F.length("word") > LONG)
         names = far.select(F.xxhash64("word").alias("ref"), F.col("word").alias("own"))
-        found = found.unionByName(neighbourhoods(far, symbols).drop("own").distinct().join(index, "key").join(names, "ref").select("own", "word", "n"))
+        found = found.unionByName(neighbourhoods(far, symbols).drop("own").distinct().join(shuffled(index), "key").join(shuffled(names), "ref").select("own", "word", "n"))
     return found
 
 
@@ -236,7 +237,7 @@ def near_pairs(words: DataFrame, symbols: int = SYMBOLS, crowded: int = CROWDED)
     heavy = stored(reduced.groupBy("key").count().where(F.col("count") > crowded).select("key"), "crowded-forms")
     if heavy.isEmpty():
         return verified(lookups(words, reduced, symbols, long), symbols)
-    heavy = broadcast_if_small(heavy)
+    heavy = broadcast_if_small(shuffled(heavy))
     light = verified(lookups(words, reduced.join(heavy, "key", "left_anti"), symbols, long), symbols)
     # crowded forms: their words (the crowd) and the words with such a form in their neighbourhood (the callers) meet
     # by the whole alphabet; what rises there may fall here, so both sides' neighbourhoods are generated
@@ -245,18 +246,18 @@ def near_pairs(words: DataFrame, symbols: int = SYMBOLS, crowded: int = CROWDED)
     callers = near.where("own is not null").select(F.col("own").alias("word")).distinct()
     if long:
         refs = near.where("own is null").select("ref").distinct()
-        callers = callers.unionByName(words.withColumn("ref", F.xxhash64("word")).join(refs, "ref", "left_semi").select("word"))
+        callers = callers.unionByName(words.withColumn("ref", F.xxhash64("word")).join(shuffled(refs), "ref", "left_semi").select("word"))
     callers = stored(callers.withColumn("n", F.lit(0).cast("bigint")), "callers")
     there = lookups(callers, keyed(crowd, None), None, long)
     back = lookups(crowd, keyed(callers, None), None, long).select(F.col("word").alias("own"), F.col("own").alias("word"))
-    exact = there.unionByName(back.join(crowd, "word").select("own", "word", "n"))
+    exact = there.unionByName(back.join(shuffled(crowd), "word").select("own", "word", "n"))
     return light.unionByName(verified(exact, symbols).distinct())
 
 
 def forms(words: DataFrame, pairs: DataFrame, factor: int = 10) -> DataFrame:
     """``word, form, root, n, n_near, form_n`` of every word."""
     named = pairs.select(F.col("own").alias("a"), F.col("word").alias("b"), F.col("n").alias("bn")).join(
-        words.select(F.col("word").alias("a"), F.col("n").alias("an")), "a")
+        shuffled(words.select(F.col("word").alias("a"), F.col("n").alias("an"))), "a")
     best = F.struct((-F.col("m")).alias("less"), F.col("near").alias("word"))
     rows = words.select("word", "n", F.lit(None).cast("string").alias("near"), F.lit(None).cast("bigint").alias("m"))
     rows = rows.unionByName(named.select(F.col("a").alias("word"), F.lit(None).cast("bigint").alias("n"), F.col("b").alias("near"), F.col("bn").alias("m")))
@@ -264,7 +265,7 @@ def forms(words: DataFrame, pairs: DataFrame, factor: int = 10) -> DataFrame:
     near = rows.groupBy("word").agg(F.max("n").alias("n"), F.count("near").alias("n_near"), F.min(F.when(F.col("near").isNotNull(), best)).alias("best"))
     strong = -F.col("best.less") >= factor * F.col("n")
     near = stored(near.select("word", "n", "n_near", F.when(strong, F.col("best.word")).alias("form"), F.when(strong, -F.col("best.less")).alias("form_n")), "near-words")
-    return near.join(roots(near.where("form is not null").select("word", "form")), "word", "left").select(
+    return near.join(shuffled(roots(near.where("form is not null").select("word", "form"))), "word", "left").select(
         "word", "form", F.coalesce("root", "word").alias("root"), "n", "n_near", "form_n")
 
 
@@ -274,7 +275,7 @@ def roots(links: DataFrame) -> DataFrame:
     links = stored(links.select("word", F.col("form").alias("root")), "forms")
     while True:
         ahead = links.select(F.col("word").alias("root"), F.col("root").alias("_next"))
-        links = stored(links.join(ahead, "root", "left").select("word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("moved")), "roots")
+        links = stored(links.join(shuffled(ahead), "root", "left").select("word", F.coalesce("_next", "root").alias("root"), F.col("_next").isNotNull().alias("moved")), "roots")
         if links.where("moved").isEmpty():
             return links.select("word", "root")
         links = links.select("word", "root")

@@ -93,6 +93,25 @@ def test_words_of_one_reduced_form_are_all_linked(spark):
         assert sorted(tuple(sorted((r["own"], r["word"]))) for r in spelling.near_pairs(table, crowded=crowded).collect()) == want
 
 
+def test_spelling_joins_are_not_broadcast_by_estimated_size(spark):
+    def plan(df):
+        return df._jdf.queryExecution().executedPlan().toString()
+
+    rnd = random.Random(6)
+    words = {"".join(rnd.choices("abcdefgh", k=8)): 2 for _ in range(300)} | {"z" * 80: 3, "z" * 79: 40, "y" * 7: 2, "y" * 8: 30}
+    table = stored(spark.createDataFrame(list(words.items()), "word string, n long"), "test-words")
+    pairs = spelling.near_pairs(table)
+    assert "SortMergeJoin" in plan(pairs) and "Broadcast" not in plan(pairs)
+    forms = spelling.forms(table, stored(pairs, "test-pairs"))
+    assert "SortMergeJoin" in plan(forms) and "Broadcast" not in plan(forms)
+    assert forms_of(forms) == brute_forms(words)
+    # crowded forms, which were counted, are the only rows broadcast
+    crowded = spelling.near_pairs(table, symbols=2, crowded=3)
+    assert set(re.findall(r"BroadcastHashJoin \[([a-z]+)#", plan(crowded))) == {"key"}
+    assert all("LeftAnti" in x or "LeftSemi" in x for x in re.findall("BroadcastHashJoin.*", plan(crowded)))
+    assert forms_of(spelling.forms(table, stored(crowded, "test-pairs"))) == brute_forms(words)
+
+
 def test_spelling_edge_cases(spark):
     docs = edge_documents(spark)
     want = brute_forms(brute_words([r[:2] for r in edge_rows()]))
